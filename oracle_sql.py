@@ -346,4 +346,55 @@ def oracle_queries() -> dict[str, str]:
     out = {name: with_models(f"SELECT * FROM {name}") for name in MODEL_NAMES}
     for name, final in QUESTIONS.items():
         out[name] = with_models(final, QUESTION_CTES)
+    out.update(dq_queries())
+    return out
+
+
+# ---- data-quality checks, generated from the declared suite ---------------
+def _cols(c):
+    return [c] if isinstance(c, str) else list(c)
+
+
+def _check_sql(model: str, kind: str, arg) -> str:
+    head = lambda col, check: f"SELECT '{model}' AS model, '{col}' AS \"column\", '{check}' AS \"check\", "
+    if kind == "not_null":
+        return head(arg, "not_null") + f"CAST(count(*) FILTER (WHERE {arg} IS NULL) AS BIGINT) AS failures FROM {model}"
+    if kind == "unique":
+        cs = _cols(arg)
+        nn = " AND ".join(f"{c} IS NOT NULL" for c in cs)
+        return (head(",".join(cs), "unique") + "CAST(count(*) AS BIGINT) AS failures FROM "
+                f"(SELECT {', '.join(cs)} FROM {model} WHERE {nn} GROUP BY ALL HAVING count(*) > 1)")
+    if kind == "relationships":
+        cc, parent, pc = arg
+        cc, pc = _cols(cc), _cols(pc)
+        nn = " AND ".join(f"c.{c} IS NOT NULL" for c in cc)
+        on = " AND ".join(f"p.{p_} = c.{c}" for c, p_ in zip(cc, pc))
+        return (head(",".join(cc), "relationships") + "CAST(count(*) AS BIGINT) AS failures "
+                f"FROM {model} c WHERE {nn} AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE {on})")
+    col, values = arg
+    vals = ", ".join(f"'{v}'" for v in values)
+    return (head(col, "accepted_values") + "CAST(count(*) AS BIGINT) AS failures FROM "
+            f"(SELECT DISTINCT {col} FROM {model} WHERE {col} IS NOT NULL AND {col} NOT IN ({vals}))")
+
+
+def dq_sql(specs, kind=None) -> str:
+    selects = []
+    for spec in specs:
+        for model, m in spec.items():
+            for k in ("not_null", "unique", "relationships", "accepted_values"):
+                if kind and k != kind:
+                    continue
+                items = getattr(m, k)
+                if k == "accepted_values":
+                    items = list(items.items())
+                selects += [_check_sql(model, k, a) for a in items]
+    return with_models("\nUNION ALL\n".join(selects))
+
+
+def dq_queries() -> dict[str, str]:
+    from tillhouse.plans.checks import suite_specs
+    st, mt = suite_specs("single"), suite_specs("multi")
+    out = {"dq_suite_single": dq_sql(st), "dq_suite_multi": dq_sql(mt)}
+    for kind in ("not_null", "unique", "relationships", "accepted_values"):
+        out[f"dq_{kind}"] = dq_sql(st + mt, kind)
     return out
