@@ -347,6 +347,7 @@ def oracle_queries() -> dict[str, str]:
     for name, final in QUESTIONS.items():
         out[name] = with_models(final, QUESTION_CTES)
     out.update(dq_queries())
+    out.update(load_queries())
     return out
 
 
@@ -398,3 +399,44 @@ def dq_queries() -> dict[str, str]:
     for kind in ("not_null", "unique", "relationships", "accepted_values"):
         out[f"dq_{kind}"] = dq_sql(st + mt, kind)
     return out
+
+
+# ---- load layer over events / orders ---------------------------------------
+_FIRST = """
+ev AS (SELECT event_type AS tenant_id, user_id, event_id, ts AS updated_at, value FROM events),
+wm1 AS (SELECT tenant_id, CAST(date_trunc('second', max(updated_at)) AS TIMESTAMP) AS watermark
+        FROM ev WHERE updated_at < TIMESTAMP '2024-01-15 00:00:00' GROUP BY 1),
+slice AS (SELECT ev.* FROM ev LEFT JOIN wm1 ON ev.tenant_id = wm1.tenant_id
+          WHERE ev.updated_at > coalesce(wm1.watermark, TIMESTAMP '1970-01-01 00:00:00')),
+wm2 AS (SELECT tenant_id, CAST(date_trunc('second', max(updated_at)) AS TIMESTAMP) AS watermark
+        FROM slice GROUP BY 1)"""
+
+_AUDIT_TABLES = ["customers", "products", "transactions", "transaction_items", "stores", "suppliers",
+                 "promotions", "transaction_promotions"]
+
+
+def load_queries() -> dict[str, str]:
+    audit_parts = "\nUNION ALL\n".join(
+        f"SELECT tenant_id, '{t}' AS table_name, count(*) AS rows_loaded FROM raw_mt_{t} GROUP BY 1"
+        for t in _AUDIT_TABLES)
+    return {
+        "latest_by_key": "SELECT * FROM events QUALIFY row_number() OVER "
+                         "(PARTITION BY event_type, user_id ORDER BY ts DESC, event_id DESC) = 1",
+        "incremental_slice": f"WITH {_FIRST} SELECT * FROM slice",
+        "watermark_advance": f"""WITH {_FIRST}
+SELECT coalesce(n.tenant_id, o.tenant_id) AS tenant_id, 'events' AS table_name,
+       coalesce(n.watermark, o.watermark) AS watermark, CAST(2 AS BIGINT) AS run_id
+FROM wm1 o FULL OUTER JOIN wm2 n ON o.tenant_id = n.tenant_id""",
+        "tenant_union": with_models(
+            "SELECT tenant_id, transaction_id, customer_id, store_id, transaction_date, total_amount, "
+            "payment_method, status FROM mt_orders"),
+        "load_audit": with_models(
+            f"SELECT tenant_id, table_name, CAST(rows_loaded AS BIGINT) AS rows_loaded FROM per "
+            f"UNION ALL SELECT NULL, NULL, CAST(sum(rows_loaded) AS BIGINT) FROM per",
+            f"per AS ({audit_parts})"),
+        "surrogate_key": f"""SELECT c_custkey, {sk('c_custkey')} AS key_id,
+  {sk('c_name', 'c_mktsegment')} AS key_pair, {sk('c_mktsegment', 'CAST(NULL AS VARCHAR)')} AS key_with_null
+FROM customer""",
+        "initcap_alnum": f"""SELECT p_partkey, {initcap('p_name')} AS name_title,
+  {initcap('p_type')} AS type_title, {initcap('p_brand')} AS brand_title FROM part""",
+    }
