@@ -37,10 +37,12 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
 
     Spark's exact ``percentile`` merges every distinct value into one task.
     Here a sketch (``percentile_approx``, rank error <= n/accuracy) first
-    brackets each target rank between two values a <= v <= b; only the values
-    inside the bracket (about 2*margin*n/accuracy of them, grouped by value so
-    ties collapse) are ranked exactly, offset by the count of values below a.
-    Memory per task is bounded by accuracy, not by n.
+    brackets each target rank between two values a <= v <= b.  Exact counts
+    verify that the bracket holds both ranks the interpolation needs; a side
+    that does not (possible only for small n) is opened up.  Only the values
+    inside the bracket - about 2*margin*n/accuracy of them, grouped by value
+    so ties collapse - are then ranked, offset by the count below a.  Memory
+    per task is bounded by accuracy, not by n; the result is always exact.
     """
     x = df.select(F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
     m = margin / accuracy
@@ -51,18 +53,24 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
                 F.percentile_approx("_x", edges, accuracy).alias("e"))
            .select(F.struct("n", "e").alias("s"))).scalar()
     n, e = st["n"], st["e"]
+    xv = F.col("_x")
+    counts = x.agg(*[F.count_if(xv < e[2 * i]).alias(f"b{i}") for i in range(len(probs))],
+                   *[F.count_if(xv <= e[2 * i + 1]).alias(f"u{i}") for i in range(len(probs))])
+    c = counts.select(F.struct(*counts.columns).alias("c")).scalar()
+    w = Window.orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = []
     for i, q in enumerate(probs):
         a, b = e[2 * i], e[2 * i + 1]
         pos = F.lit(float(q)) * (n - 1).cast("double")
         lo_rank, hi_rank = F.floor(pos), F.ceil(pos)
-        below = x.where(F.col("_x") < a).select(F.count(F.lit(1))).scalar()
-        w = Window.orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        bracket = (x.where((F.col("_x") >= a) & (F.col("_x") <= b))
-                    .groupBy("_x").agg(F.count(F.lit(1)).alias("_c"))
+        lo_ok = c[f"b{i}"] <= lo_rank            # every value below a ranks below lo_rank
+        hi_ok = c[f"u{i}"] >= hi_rank + 1        # the value at hi_rank is <= b
+        below = F.when(lo_ok, c[f"b{i}"]).otherwise(F.lit(0))
+        keep = (~lo_ok | (xv >= a)) & (~hi_ok | (xv <= b))
+        bracket = (x.where(keep).groupBy("_x").agg(F.count(F.lit(1)).alias("_c"))
                     .withColumn("_cum", below + F.sum("_c").over(w)))
-        v = (bracket.agg(F.min(F.when(F.col("_cum") > lo_rank, F.col("_x"))).alias("lo"),
-                         F.min(F.when(F.col("_cum") > hi_rank, F.col("_x"))).alias("hi"))
+        v = (bracket.agg(F.min(F.when(F.col("_cum") > lo_rank, xv)).alias("lo"),
+                         F.min(F.when(F.col("_cum") > hi_rank, xv)).alias("hi"))
                     .select(F.struct("lo", "hi").alias("v"))).scalar()
         out.append(v["lo"] + (pos - lo_rank) * (v["hi"] - v["lo"]))
     return out
