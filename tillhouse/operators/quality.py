@@ -39,13 +39,19 @@ def unique(df: DataFrame, model: str, cols: Sequence[str] | str) -> DataFrame:
 
 def relationships(child: DataFrame, model: str, child_cols: Sequence[str] | str,
                   parent: DataFrame, parent_cols: Sequence[str] | str) -> DataFrame:
-    """Child rows whose non-NULL key has no parent (single or composite key)."""
+    """Child rows whose non-NULL key has no parent (single or composite key).
+
+    Child keys are counted per key first (partial aggregation collapses a hot
+    foreign key before the shuffle), then anti-joined with the distinct parent
+    keys; the failing row count is the sum of the orphan keys' counts.
+    """
     cc = [child_cols] if isinstance(child_cols, str) else list(child_cols)
     pc = [parent_cols] if isinstance(parent_cols, str) else list(parent_cols)
     nn = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cc])
+    keys = child.where(nn).groupBy(*cc).agg(F.count(F.lit(1)).alias("_n"))
     p = parent.select(*[F.col(p_).alias(c) for p_, c in zip(pc, cc)]).distinct()
-    orphans = child.select(*cc).where(nn).join(p, cc, "left_anti")
-    return _row(orphans.agg(F.count(F.lit(1)).alias("f")), model, ",".join(cc),
+    orphans = keys.join(p, cc, "left_anti")
+    return _row(orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("f")), model, ",".join(cc),
                 "relationships", F.col("f"))
 
 

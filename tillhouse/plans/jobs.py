@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tillhouse.plans import checks
 from tillhouse.plans.warehouse import Warehouse
 from tillhouse.schemas import RAW_ST, WATERMARK_STATE, conform
+from tillhouse.session import checkpoint_dir
 from tillhouse.sources import landing, watermark
 
 
@@ -89,9 +90,18 @@ def load_incremental(spark: SparkSession, sources: Mapping[str, Callable[[DataFr
 
 
 # ---- builds -----------------------------------------------------------------
+def _shared(df: DataFrame) -> DataFrame:
+    """A staging model read by several marts, computed once: a reliable
+    checkpoint into the cluster's shared checkpoint folder (survives executor
+    loss, cuts the lineage)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def build_single(spark: SparkSession, raw: Mapping[str, DataFrame], marts_root: str,
                  loaded_at: Column | None = None) -> dict[str, DataFrame]:
     wh = Warehouse.from_raw(raw_st=dict(raw), loaded_at=loaded_at)
+    wh.stg_st["stg_transactions"] = _shared(wh.stg_st["stg_transactions"])   # fact + date dim
     write_tables(wh.marts_st, marts_root)
     return read_tables(spark, marts_root, wh.marts_st)
 
@@ -99,10 +109,55 @@ def build_single(spark: SparkSession, raw: Mapping[str, DataFrame], marts_root:
 def build_multi(spark: SparkSession, raw: Mapping[str, DataFrame], marts_root: str,
                 loaded_at: Column | None = None) -> dict[str, DataFrame]:
     wh = Warehouse.from_raw(raw_mt=dict(raw), loaded_at=loaded_at)
+    # deduplicated transactions feed both facts and the date dimension
+    wh.stg_mt["stg_transactions_mt"] = _shared(wh.stg_mt["stg_transactions_mt"])
     write_tables(wh.marts_mt, marts_root)
     return read_tables(spark, marts_root, wh.marts_mt)
 
 
+def land_raw_single(spark: SparkSession, raw: Mapping[str, DataFrame], raw_root: str) -> dict[str, DataFrame]:
+    """Full load of the single-tenant raw tables; returns the landed tables."""
+    for t, df in raw.items():
+        landing.land_full(df, _path(raw_root, t))
+    return {t: spark.read.parquet(_path(raw_root, t)) for t in raw}
+
+
+def land_raw_multi(spark: SparkSession, raw: Mapping[str, DataFrame], landing_root: str,
+                   batch_id: int) -> dict[str, DataFrame]:
+    """Append the multi-tenant row versions as one batch (keeping their own
+    ``_batch_id`` when present); returns all landed versions."""
+    for t, df in raw.items():
+        out = df if "_batch_id" in df.columns else df.withColumn("_batch_id", F.lit(batch_id).cast("long"))
+        out.write.mode("append").partitionBy("tenant_id").parquet(_path(landing_root, t))
+    return {t: landing.read_landed(spark, _path(landing_root, t)).select(*raw[t].columns) for t in raw}
+
+
+def seed_state(spark: SparkSession, landed: Mapping[str, DataFrame], state_path: str, run_id: int) -> None:
+    """State for tables landed outside ``load_incremental`` (e.g. an initial
+    bulk landing): the watermark of everything landed so far."""
+    marks = [watermark.batch_watermarks(df, t, run_id) for t, df in landed.items()]
+    reduce(DataFrame.unionByName, marks).write.mode("append").partitionBy("run_id").parquet(state_path)
+
+
+def daily_single(spark: SparkSession, sources: Mapping[str, DataFrame], root: str) -> DataFrame:
+    """The single-tenant day: full load -> staging -> marts -> checks.
+    Returns the failing checks (empty when every check passes)."""
+    raw = land_raw_single(spark, sources, _path(root, "raw"))
+    st = build_single(spark, raw, _path(root, "marts"))
+    wh = Warehouse.from_raw(raw_st=raw)
+    return failing(run_checks({**wh.stg_st, **st}, layers=("single",)))
+
+
+def daily_multi(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, run_id: int) -> DataFrame:
+    """The multi-tenant day: incremental load -> staging -> marts -> checks."""
+    landing_root = _path(root, "landing")
+    load_incremental(spark, sources, landing_root, _path(root, "state"), run_id)
+    raw = {t: landing.read_landed(spark, _path(landing_root, t)) for t in sources}
+    mt = build_multi(spark, raw, _path(root, "marts"))
+    wh = Warehouse.from_raw(raw_mt=raw)
+    return failing(run_checks({**wh.stg_mt, **mt}, layers=("multi",)))
+
+
 def run_checks(models: Mapping[str, DataFrame], layers=("single", "multi")) -> DataFrame:
     return checks.run_checks(dict(models), layers)
 

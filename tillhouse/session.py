@@ -39,6 +39,18 @@ def get_session(master: str | None = None, app: str = "tillhouse",
     return spark
 
 
+def shuffle_partitions_for(input_bytes: int, target_partition_bytes: int = 256 << 20,
+                           minimum: int = 8, maximum: int = 100_000) -> int:
+    """Initial shuffle partition count for an input of ``input_bytes``.
+
+    AQE only *coalesces* small partitions (and splits skewed ones), so the
+    initial count must be large enough for the biggest shuffle: about one
+    partition per 256 MB of input keeps every partition well inside executor
+    memory; AQE merges the rest back to its advisory size.
+    """
+    return max(minimum, min(maximum, -(-input_bytes // target_partition_bytes)))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
