@@ -32,45 +32,76 @@ def member_flag(df: DataFrame, members: DataFrame, keys: Sequence[str], flag: st
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
-                    accuracy: int = 10000, margin: float = 3.0) -> list[Column]:
-    """Exact, linearly interpolated quantiles (``quantile_cont``) as scalar Columns.
+                    accuracy: int = 10000, margin: float = 3.0) -> Column:
+    """Exact, linearly interpolated quantiles (``quantile_cont``) of ``col``.
+
+    Returns ONE scalar-subquery Column holding ``array<double>`` in the order of
+    ``probs`` (reference it once and pick elements, so the plan stays small).
 
     Spark's exact ``percentile`` merges every distinct value into one task.
-    Here a sketch (``percentile_approx``, rank error <= n/accuracy) first
-    brackets each target rank between two values a <= v <= b.  Exact counts
-    verify that the bracket holds both ranks the interpolation needs; a side
-    that does not (possible only for small n) is opened up.  Only the values
-    inside the bracket - about 2*margin*n/accuracy of them, grouped by value
-    so ties collapse - are then ranked, offset by the count below a.  Memory
-    per task is bounded by accuracy, not by n; the result is always exact.
+    Here three passes over the values, each a partial aggregation:
+
+    1. a sketch (``percentile_approx``, rank error <= n/accuracy) brackets
+       each target rank between values a <= v <= b;
+    2. exact counts verify that each bracket holds both ranks the
+       interpolation needs; a side that does not (possible only for small n)
+       is opened up, so the result is always exact;
+    3. only the values inside a bracket - about 2*margin*n/accuracy of them,
+       grouped by value so ties collapse - are ranked (a window per target,
+       offset by the count below the bracket).
+
+    Memory per task is bounded by ``accuracy``, not by n.
     """
+    k = len(probs)
     x = df.select(F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    xv = F.col("_x")
     m = margin / accuracy
     edges: list[float] = []
     for q in probs:
         edges += [max(q - m, 0.0), min(q + m, 1.0)]
-    st = (x.agg(F.count(F.lit(1)).alias("n"),
-                F.percentile_approx("_x", edges, accuracy).alias("e"))
-           .select(F.struct("n", "e").alias("s"))).scalar()
-    n, e = st["n"], st["e"]
-    xv = F.col("_x")
-    counts = x.agg(*[F.count_if(xv < e[2 * i]).alias(f"b{i}") for i in range(len(probs))],
-                   *[F.count_if(xv <= e[2 * i + 1]).alias(f"u{i}") for i in range(len(probs))])
-    c = counts.select(F.struct(*counts.columns).alias("c")).scalar()
-    w = Window.orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = []
+
+    # Each scalar enters the plan once, as a column; everything downstream reads
+    # the column (a subquery repeated inside expressions multiplies the plan).
+
+    # 1. sketch -> per target: rank positions and candidate bracket
+    stats = x.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_x", edges, accuracy).alias("e"))
+    targets = []
     for i, q in enumerate(probs):
-        a, b = e[2 * i], e[2 * i + 1]
-        pos = F.lit(float(q)) * (n - 1).cast("double")
-        lo_rank, hi_rank = F.floor(pos), F.ceil(pos)
-        lo_ok = c[f"b{i}"] <= lo_rank            # every value below a ranks below lo_rank
-        hi_ok = c[f"u{i}"] >= hi_rank + 1        # the value at hi_rank is <= b
-        below = F.when(lo_ok, c[f"b{i}"]).otherwise(F.lit(0))
-        keep = (~lo_ok | (xv >= a)) & (~hi_ok | (xv <= b))
-        bracket = (x.where(keep).groupBy("_x").agg(F.count(F.lit(1)).alias("_c"))
-                    .withColumn("_cum", below + F.sum("_c").over(w)))
-        v = (bracket.agg(F.min(F.when(F.col("_cum") > lo_rank, xv)).alias("lo"),
-                         F.min(F.when(F.col("_cum") > hi_rank, xv)).alias("hi"))
-                    .select(F.struct("lo", "hi").alias("v"))).scalar()
-        out.append(v["lo"] + (pos - lo_rank) * (v["hi"] - v["lo"]))
-    return out
+        pos = F.lit(float(q)) * (F.col("n") - 1).cast("double")
+        targets.append(F.struct(F.lit(i).alias("i"), F.col("e")[2 * i].alias("a"),
+                                F.col("e")[2 * i + 1].alias("b"), F.floor(pos).alias("lo_rank"),
+                                F.ceil(pos).alias("hi_rank"), (pos - F.floor(pos)).alias("frac")))
+    P = stats.select(F.array(*targets).alias("p")).scalar()
+
+    # 2. exact counts below a / up to b; open a side whose bracket misses its rank
+    p = F.col("_p")
+    counts = (x.select("_x", P.alias("_p"))
+               .agg(F.first("_p").alias("_p"),
+                    *[F.count_if(xv < p[i]["a"]).alias(f"below{i}") for i in range(k)],
+                    *[F.count_if(xv <= p[i]["b"]).alias(f"upto{i}") for i in range(k)]))
+    checked = counts.select(F.array(*[F.struct(
+        p[i]["i"].alias("i"),
+        F.when(F.col(f"below{i}") <= p[i]["lo_rank"], p[i]["a"]).alias("lower"),
+        F.when(F.col(f"upto{i}") >= p[i]["hi_rank"] + 1, p[i]["b"]).alias("upper"),
+        F.when(F.col(f"below{i}") <= p[i]["lo_rank"], F.col(f"below{i}")).otherwise(F.lit(0)).alias("below"),
+        p[i]["lo_rank"].alias("lo_rank"), p[i]["hi_rank"].alias("hi_rank"), p[i]["frac"].alias("frac"))
+        for i in range(k)]).alias("t"))
+    C = checked.scalar()
+
+    # 3. rank the bracketed values of every target (k rows per value at most
+    #    before the bracket filter, which keeps ~2*margin*n/accuracy of them)
+    t = F.col("t")
+    inside = (t["lower"].isNull() | (xv >= t["lower"])) & (t["upper"].isNull() | (xv <= t["upper"]))
+    hits = (x.select("_x", C.alias("_ts"))
+             .select("_x", F.explode("_ts").alias("t"))
+             .where(inside))
+    grouped = hits.groupBy(F.col("t.i").alias("i"), "_x").agg(
+        F.count(F.lit(1)).alias("_c"), F.first("t").alias("t"))
+    w = Window.partitionBy("i").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = grouped.withColumn("_cum", F.col("t.below") + F.sum("_c").over(w))
+    per_target = ranked.groupBy("i").agg(
+        F.min(F.when(F.col("_cum") > F.col("t.lo_rank"), xv)).alias("lo"),
+        F.min(F.when(F.col("_cum") > F.col("t.hi_rank"), xv)).alias("hi"),
+        F.first("t.frac").alias("frac"))
+    values = per_target.select(F.struct("i", (F.col("lo") + F.col("frac") * (F.col("hi") - F.col("lo"))).alias("v")).alias("r"))
+    return values.agg(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["v"])).scalar()

@@ -143,10 +143,12 @@ def customer_segments(fct_sales: DataFrame, dim_customer_mt: DataFrame,
     a NULL-customer group, before the join to the customer dimension.
     """
     cust = customer_spend(fct_sales)
-    q1, q2 = exact_quantiles(cust, "total_spend", list(quantiles))
+    th = F.col("_th")
     spend = F.col("total_spend")
-    seg = F.when(spend >= q2, F.lit(SEGMENTS[0])).when(spend >= q1, F.lit(SEGMENTS[1])) \
+    seg = F.when(spend >= th[1], F.lit(SEGMENTS[0])).when(spend >= th[0], F.lit(SEGMENTS[1])) \
            .otherwise(F.lit(SEGMENTS[2]))
+    # the thresholds enter the plan once, as a column
+    cust = cust.select("*", exact_quantiles(cust, "total_spend", list(quantiles)).alias("_th"))
     j = cust.join(dim_customer_mt.select("tenant_id", "customer_id", "city"), ["tenant_id", "customer_id"])
     return (j.groupBy("city", seg.alias("segment"))
              .agg(F.count(F.lit(1)).cast("long").alias("n_customers"))
