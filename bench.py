@@ -27,7 +27,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from tillhouse.plans import checks, jobs  # noqa: E402
+from tillhouse.plans import jobs  # noqa: E402
 from tillhouse.plans import questions as Q  # noqa: E402
 from tillhouse.plans.warehouse import Warehouse  # noqa: E402
 from tillhouse.session import get_session, scratch_path  # noqa: E402
@@ -40,8 +40,9 @@ def run(df) -> None:
 def shuffle_bytes(log_dir: str) -> dict[str, int]:
     """Shuffle bytes written per job group, from the event log."""
     stage_group, out = {}, defaultdict(int)
-    for path in glob.glob(f"{log_dir}/*"):
-        with open(path) as fh:
+    paths = [p for p in glob.glob(f"{log_dir}/**", recursive=True) if os.path.isfile(p)]
+    for path in sorted(paths):
+        with open(path, errors="replace") as fh:
             for line in fh:
                 if '"SparkListenerJobStart"' in line:
                     ev = json.loads(line)
@@ -70,7 +71,8 @@ def main() -> None:
     os.makedirs(log_dir, exist_ok=True)
     spark = get_session(f"local[{cpus}]", "tillhouse-bench", shuffle_partitions=max(8, cpus * 2),
                         extra={"spark.driver.memory": "16g", "spark.eventLog.enabled": "true",
-                               "spark.eventLog.dir": f"file://{log_dir}"})
+                               "spark.eventLog.dir": f"file://{log_dir}",
+                               "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"})
     sc = spark.sparkContext
     times: dict[str, float] = {}
 
@@ -122,7 +124,7 @@ def main() -> None:
 
     wh_landed = Warehouse.from_raw(raw_st, raw_mt)
     models = {**wh_landed.stg_st, **st, **wh_landed.stg_mt, **mt}
-    timed("dq_suite", lambda: run(checks.run_checks(models)))
+    timed("dq_suite", lambda: jobs.run_checks(models).collect())
 
     spark.stop()
     total = round(sum(times.values()), 3)

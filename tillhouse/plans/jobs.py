@@ -15,11 +15,14 @@ at most one stage of one job).
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillhouse.operators.quality import run_suite
 from tillhouse.plans import checks
 from tillhouse.plans.warehouse import Warehouse
 from tillhouse.schemas import RAW_ST, WATERMARK_STATE, conform
@@ -31,13 +34,25 @@ def _path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+def run_concurrently(actions: Mapping[str, Callable[[], object]]) -> dict[str, object]:
+    """Submit independent Spark actions (e.g. writes of different tables) at
+    the same time, so stages of one table that cannot use every core leave
+    the rest to the others.  Each action is still one distributed job; an
+    error in any of them is re-raised here."""
+    if len(actions) <= 1:
+        return {k: f() for k, f in actions.items()}
+    with ThreadPoolExecutor(max_workers=min(len(actions), 8)) as pool:
+        # worker threads inherit the caller's local properties (job group,
+        # scheduler pool), so cancellation and accounting still apply
+        futures = {k: pool.submit(inheritable_thread_target(f)) for k, f in actions.items()}
+        return {k: fut.result() for k, fut in futures.items()}
+
+
 def write_tables(tables: Mapping[str, DataFrame], root: str) -> dict[str, str]:
-    out = {}
-    for name, df in tables.items():
-        p = _path(root, name)
-        df.write.mode("overwrite").parquet(p)
-        out[name] = p
-    return out
+    paths = {name: _path(root, name) for name in tables}
+    run_concurrently({name: (lambda df=df, p=paths[name]: df.write.mode("overwrite").parquet(p))
+                      for name, df in tables.items()})
+    return paths
 
 
 def read_tables(spark: SparkSession, root: str, names) -> dict[str, DataFrame]:
@@ -48,10 +63,9 @@ def read_tables(spark: SparkSession, root: str, names) -> dict[str, DataFrame]:
 def load_full(spark: SparkSession, sources: Mapping[str, DataFrame], raw_root: str) -> DataFrame:
     """Replace every single-tenant raw table with its source snapshot; return
     the audit (rows per table + total) computed from the written tables."""
-    written = {}
-    for table, df in sources.items():
-        landing.land_full(conform(df, RAW_ST[table]), _path(raw_root, table))
-        written[table] = spark.read.parquet(_path(raw_root, table))
+    run_concurrently({t: (lambda t=t, df=df: landing.land_full(conform(df, RAW_ST[t]), _path(raw_root, t)))
+                      for t, df in sources.items()})
+    written = {t: spark.read.parquet(_path(raw_root, t)) for t in sources}
     return landing.load_audit(written, tenant_col=None)
 
 
@@ -117,8 +131,8 @@ def build_multi(spark: SparkSession, raw: Mapping[str, DataFrame], marts_root: s
 
 def land_raw_single(spark: SparkSession, raw: Mapping[str, DataFrame], raw_root: str) -> dict[str, DataFrame]:
     """Full load of the single-tenant raw tables; returns the landed tables."""
-    for t, df in raw.items():
-        landing.land_full(df, _path(raw_root, t))
+    run_concurrently({t: (lambda df=df, t=t: landing.land_full(df, _path(raw_root, t)))
+                      for t, df in raw.items()})
     return {t: spark.read.parquet(_path(raw_root, t)) for t in raw}
 
 
@@ -126,9 +140,11 @@ def land_raw_multi(spark: SparkSession, raw: Mapping[str, DataFrame], landing_ro
                    batch_id: int) -> dict[str, DataFrame]:
     """Append the multi-tenant row versions as one batch (keeping their own
     ``_batch_id`` when present); returns all landed versions."""
-    for t, df in raw.items():
+    def append(t, df):
         out = df if "_batch_id" in df.columns else df.withColumn("_batch_id", F.lit(batch_id).cast("long"))
         out.write.mode("append").partitionBy("tenant_id").parquet(_path(landing_root, t))
+
+    run_concurrently({t: (lambda t=t, df=df: append(t, df)) for t, df in raw.items()})
     return {t: landing.read_landed(spark, _path(landing_root, t)).select(*raw[t].columns) for t in raw}
 
 
@@ -158,8 +174,26 @@ def daily_multi(spark: SparkSession, sources: Mapping[str, DataFrame], root: str
     return failing(run_checks({**wh.stg_mt, **mt}, layers=("multi",)))
 
 
-def run_checks(models: Mapping[str, DataFrame], layers=("single", "multi")) -> DataFrame:
-    return checks.run_checks(dict(models), layers)
+CHECK_RESULT_SCHEMA = "model string, column string, check string, failures bigint"
+
+
+def run_checks(models: Mapping[str, DataFrame], layers=("single", "multi"),
+               concurrent: bool = True) -> DataFrame:
+    """Run the declared suite(s).  With ``concurrent`` every model's checks are
+    submitted at the same time (one small aggregation job each); the result
+    is one row per check - bounded by the suite, not by the data - so it is
+    gathered into a small DataFrame.  Without, one lazy union is returned."""
+    models = dict(models)
+    if not concurrent:
+        return checks.run_checks(models, layers)
+    actions = {}
+    for layer in layers:
+        for si, spec in enumerate(checks.suite_specs(layer)):
+            for name, m in spec.items():
+                actions[f"{layer}:{si}:{name}"] = (lambda name=name, m=m: run_suite(models, {name: m}).collect())
+    rows = [r for v in run_concurrently(actions).values() for r in v]
+    spark = next(iter(models.values())).sparkSession
+    return spark.createDataFrame(rows, CHECK_RESULT_SCHEMA)
 
 
 def failing(results: DataFrame) -> DataFrame:
