@@ -14,6 +14,7 @@ at most one stage of one job).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -26,7 +27,7 @@ from tillhouse.operators.quality import run_suite
 from tillhouse.plans import checks
 from tillhouse.plans.warehouse import Warehouse
 from tillhouse.schemas import RAW_ST, WATERMARK_STATE, conform
-from tillhouse.session import checkpoint_dir
+from tillhouse.session import scratch_path
 from tillhouse.sources import landing, watermark
 
 
@@ -104,18 +105,20 @@ def load_incremental(spark: SparkSession, sources: Mapping[str, Callable[[DataFr
 
 
 # ---- builds -----------------------------------------------------------------
-def _shared(df: DataFrame) -> DataFrame:
-    """A staging model read by several marts, computed once: a reliable
-    checkpoint into the cluster's shared checkpoint folder (survives executor
-    loss, cuts the lineage)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _shared(df: DataFrame, name: str) -> DataFrame:
+    """A staging model read by several marts, computed once: written as
+    Parquet under the cluster's shared checkpoint folder and read back
+    (survives executor loss, cuts the lineage, keeps column pruning and
+    filter pushdown for the readers)."""
+    path = scratch_path(df.sparkSession, f"staging-{uuid.uuid4().hex[:12]}/{name}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def build_single(spark: SparkSession, raw: Mapping[str, DataFrame], marts_root: str,
                  loaded_at: Column | None = None) -> dict[str, DataFrame]:
     wh = Warehouse.from_raw(raw_st=dict(raw), loaded_at=loaded_at)
-    wh.stg_st["stg_transactions"] = _shared(wh.stg_st["stg_transactions"])   # fact + date dim
+    wh.stg_st["stg_transactions"] = _shared(wh.stg_st["stg_transactions"], "stg_transactions")  # fact + date dim
     write_tables(wh.marts_st, marts_root)
     return read_tables(spark, marts_root, wh.marts_st)
 
@@ -124,7 +127,7 @@ def build_multi(spark: SparkSession, raw: Mapping[str, DataFrame], marts_root: s
                 loaded_at: Column | None = None) -> dict[str, DataFrame]:
     wh = Warehouse.from_raw(raw_mt=dict(raw), loaded_at=loaded_at)
     # deduplicated transactions feed both facts and the date dimension
-    wh.stg_mt["stg_transactions_mt"] = _shared(wh.stg_mt["stg_transactions_mt"])
+    wh.stg_mt["stg_transactions_mt"] = _shared(wh.stg_mt["stg_transactions_mt"], "stg_transactions_mt")
     write_tables(wh.marts_mt, marts_root)
     return read_tables(spark, marts_root, wh.marts_mt)
 

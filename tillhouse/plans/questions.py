@@ -136,11 +136,15 @@ def customer_spend(fct_sales: DataFrame) -> DataFrame:
 
 
 def customer_segments(fct_sales: DataFrame, dim_customer_mt: DataFrame,
-                      quantiles=SEGMENT_QUANTILES) -> DataFrame:
+                      quantiles=SEGMENT_QUANTILES, exact: bool = True,
+                      accuracy: int = 10000) -> DataFrame:
     """Customers per (city of the *customer*, High / Medium / Low spend segment).
 
-    Thresholds are exact interpolated quantiles over every spender, including
-    a NULL-customer group, before the join to the customer dimension.
+    Thresholds are quantiles over every spender, including a NULL-customer
+    group, before the join to the customer dimension: exact and interpolated
+    by default (bounded memory, see ``exact_quantiles``); ``exact=False``
+    takes the sketch's values directly (one pass, an element of the data
+    within n/accuracy ranks, not interpolated).
     """
     cust = customer_spend(fct_sales)
     th = F.col("_th")
@@ -148,15 +152,20 @@ def customer_segments(fct_sales: DataFrame, dim_customer_mt: DataFrame,
     seg = F.when(spend >= th[1], F.lit(SEGMENTS[0])).when(spend >= th[0], F.lit(SEGMENTS[1])) \
            .otherwise(F.lit(SEGMENTS[2]))
     # the thresholds enter the plan once, as a column
-    cust = cust.select("*", exact_quantiles(cust, "total_spend", list(quantiles)).alias("_th"))
+    if exact:
+        th_value = exact_quantiles(cust, "total_spend", list(quantiles), accuracy=accuracy)
+    else:
+        th_value = cust.agg(F.percentile_approx(F.col("total_spend").cast("double"), list(quantiles),
+                                                accuracy)).scalar()
+    cust = cust.select("*", th_value.alias("_th"))
     j = cust.join(dim_customer_mt.select("tenant_id", "customer_id", "city"), ["tenant_id", "customer_id"])
     return (j.groupBy("city", seg.alias("segment"))
              .agg(F.count(F.lit(1)).cast("long").alias("n_customers"))
              .orderBy("city", "segment"))
 
 
-def customer_segments_wide(fct_sales: DataFrame, dim_customer_mt: DataFrame) -> DataFrame:
-    seg = customer_segments(fct_sales, dim_customer_mt)
+def customer_segments_wide(fct_sales: DataFrame, dim_customer_mt: DataFrame, **kw) -> DataFrame:
+    seg = customer_segments(fct_sales, dim_customer_mt, **kw)
     return pivot_wide(seg, ["city"], "segment", SEGMENTS, {"n_customers": "{v}"}).orderBy("city")
 
 
