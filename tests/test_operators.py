@@ -54,12 +54,13 @@ def test_last_n_distinct_densify_series(spark):
         "store string, month string, revenue double")
     months = last_n_distinct(facts, "month", 2)
     assert sorted(r[0] for r in months.collect()) == ["2024-02", "2024-03"]
-    dense = densify(facts, facts, "store", months, "month", "revenue")
+    dense = densify(facts, "store", "month", "revenue", months)
     got = {(r.store, r.month): r.revenue for r in dense.collect()}
     assert got == {("S1", "2024-02"): 0.0, ("S1", "2024-03"): 7.0, ("S2", "2024-02"): 0.0,
                    ("S2", "2024-03"): 0.0, ("S3", "2024-02"): 2.0, ("S3", "2024-03"): 0.0}
-    s = {r.store: (r.months, r.data) for r in series(dense, "store", "month", "revenue").collect()}
+    s = {r.store: (r.months, r.data) for r in series(facts, "store", "month", "revenue", months).collect()}
     assert s["S1"] == (["2024-02", "2024-03"], [0.0, 7.0])
+    assert s["S2"] == (["2024-02", "2024-03"], [0.0, 0.0])
 
 
 def test_pivot_wide_fills_missing(spark):

@@ -4,34 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def densify(facts: DataFrame, entities: DataFrame, entity: str, axis_values: DataFrame,
-            axis: str, measure: str, fill=0) -> DataFrame:
-    """Every (entity, axis value) cell, missing measure = ``fill``.
-
-    ``axis_values`` must be small and bounded (e.g. the last 6 months): it is
-    folded into one array by a scalar subquery and exploded per entity, so no
-    cross join is planned and nothing passes through the driver.
-    """
-    axis_arr = axis_values.agg(F.array_sort(F.collect_set(axis))).scalar()
-    cells = entities.select(entity).distinct().select(entity, F.explode(axis_arr).alias(axis))
-    return (cells.join(facts.select(entity, axis, measure), [entity, axis], "left")
-                 .select(entity, axis, F.coalesce(F.col(measure), F.lit(fill).cast(facts.schema[measure].dataType)).alias(measure)))
+def axis_array(axis_values: DataFrame, axis: str) -> Column:
+    """The (small, bounded) axis values as one sorted array: a scalar subquery."""
+    return axis_values.agg(F.array_sort(F.collect_set(axis))).scalar()
 
 
-def series(dense: DataFrame, entity: str, axis: str, measure: str,
-           axis_out: str = "months", measure_out: str = "data") -> DataFrame:
-    """One row per entity: the axis values and the measure as arrays ordered by axis.
+def series(facts: DataFrame, entity: str, axis: str, measure: str, axis_values: DataFrame,
+           fill=0, axis_out: str = "months", measure_out: str = "data") -> DataFrame:
+    """One row per entity of ``facts``: the axis values and the measure per value
+    as arrays in axis order, ``fill`` where the entity has no row (R2).
 
-    Bounded per entity by the (small) axis of ``densify``.
+    ``facts`` has one row per (entity, axis value); ``axis_values`` is small
+    and bounded (e.g. the last 6 months).  One aggregation per entity collects
+    only the cells on the axis into a map (at most len(axis) entries), which
+    is then read out in axis order - no cross join, no second pass.  Entities
+    with no cell on the axis are kept (all ``fill``).
     """
-    pairs = F.array_sort(F.collect_list(F.struct(F.col(axis).alias("a"), F.col(measure).alias("m"))))
-    return (dense.groupBy(entity).agg(pairs.alias("_p"))
-                 .select(entity, F.transform("_p", lambda x: x["a"]).alias(axis_out),
-                         F.transform("_p", lambda x: x["m"]).alias(measure_out)))
+    axes = F.col("_axes")
+    cell = F.when(F.array_contains(axes, F.col(axis)), F.struct(F.col(axis), F.col(measure)))
+    per = (facts.select(entity, axis, measure, axis_array(axis_values, axis).alias("_axes"))
+                .groupBy(entity)
+                .agg(F.first("_axes").alias("_axes"), F.map_from_entries(F.collect_list(cell)).alias("_m")))
+    fill_value = F.lit(fill).cast(facts.schema[measure].dataType)
+    return per.select(entity, axes.alias(axis_out),
+                      F.transform(axes, lambda a: F.coalesce(F.try_element_at(F.col("_m"), a), fill_value))
+                       .alias(measure_out))
+
+
+def densify(facts: DataFrame, entity: str, axis: str, measure: str, axis_values: DataFrame,
+            fill=0) -> DataFrame:
+    """Every (entity, axis value) cell, missing measure = ``fill`` (R1): the
+    series exploded back into rows."""
+    s = series(facts, entity, axis, measure, axis_values, fill, "_a", "_v")
+    return s.select(entity, F.inline(F.arrays_zip(F.col("_a").alias(axis), F.col("_v").alias(measure))))
 
 
 def pivot_wide(df: DataFrame, group: Sequence[str], pivot_col: str, values: Sequence,

@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillhouse.operators import (densify, exact_quantiles, last_n_distinct, member_flag,
-                                 pivot_wide, series, share_of_total, top_k, top_k_per)
+from tillhouse.operators import (exact_quantiles, last_n_distinct, member_flag, pivot_wide, series,
+                                 share_of_total, top_k, top_k_per)
 
 SEGMENTS = ["High", "Medium", "Low"]
 SEGMENT_QUANTILES = (0.33, 0.66)
@@ -70,20 +70,27 @@ def revenue_by_store(fct_sales: DataFrame, dim_store: DataFrame, dim_date_mt: Da
     return out if as_decimal else out.select("store", "month", _money("revenue")).orderBy("month", "store")
 
 
-def revenue_by_store_dense(fct_sales: DataFrame, dim_store: DataFrame, dim_date_mt: DataFrame,
-                           n_months: int = 6) -> DataFrame:
-    """Every store with sales ever x the last ``n_months`` observed months, missing = 0."""
+def _store_series(fct_sales, dim_store, dim_date_mt, n_months) -> DataFrame:
     sparse = revenue_by_store(fct_sales, dim_store, dim_date_mt, as_decimal=True)
+    sparse = sparse.select("store", "month", _money("revenue"))
     months = last_n_distinct(sparse, "month", n_months)
-    dense = densify(sparse, sparse, "store", months, "month", "revenue", fill=0)
-    return dense.select("store", "month", _money("revenue")).orderBy("store", "month")
+    return series(sparse, "store", "month", "revenue", months, fill=0.0, axis_out="months", measure_out="data")
 
 
 def revenue_by_store_series(fct_sales: DataFrame, dim_store: DataFrame, dim_date_mt: DataFrame,
                             n_months: int = 6) -> DataFrame:
-    """One row per store: ``months`` and ``data`` arrays in month order."""
-    dense = revenue_by_store_dense(fct_sales, dim_store, dim_date_mt, n_months)
-    return series(dense, "store", "month", "revenue", "months", "data").orderBy("store")
+    """One row per store with sales ever: the last ``n_months`` observed months
+    and the store's revenue in each (0 where none), as arrays in month order."""
+    return _store_series(fct_sales, dim_store, dim_date_mt, n_months).orderBy("store")
+
+
+def revenue_by_store_dense(fct_sales: DataFrame, dim_store: DataFrame, dim_date_mt: DataFrame,
+                           n_months: int = 6) -> DataFrame:
+    """Every store with sales ever x the last ``n_months`` observed months, missing = 0."""
+    s = _store_series(fct_sales, dim_store, dim_date_mt, n_months)
+    return (s.select("store", F.inline(F.arrays_zip(F.col("months").alias("month"),
+                                                     F.col("data").alias("revenue"))))
+             .orderBy("store", "month"))
 
 
 def top_promotions(fct_promotion_usage: DataFrame, dim_promotion: DataFrame, k: int = 10) -> DataFrame:
@@ -114,19 +121,23 @@ def _city_product_revenue(fct_sales, dim_store, dim_product_mt) -> DataFrame:
     return j.groupBy("city", "product_name").agg(F.sum("_r").alias("revenue"))
 
 
-def top_products_by_city(fct_sales: DataFrame, dim_store: DataFrame, dim_product_mt: DataFrame,
-                         k: int = 3, with_rank: bool = False) -> DataFrame:
-    """Top k products per city of the *store*, by revenue (name breaks ties)."""
+def _top_products_by_city(fct_sales, dim_store, dim_product_mt, k) -> DataFrame:
     totals = _city_product_revenue(fct_sales, dim_store, dim_product_mt)
     top = top_k_per(totals, ["city"], [F.desc("revenue"), F.asc("product_name")], k, rank_col="rank")
-    cols = ["city", "product_name", _money("revenue")] + (["rank"] if with_rank else [])
-    return top.select(*cols).orderBy("city", F.desc("revenue"), "product_name")
+    return top.select("city", "product_name", _money("revenue"), "rank")
+
+
+def top_products_by_city(fct_sales: DataFrame, dim_store: DataFrame, dim_product_mt: DataFrame,
+                         k: int = 3) -> DataFrame:
+    """Top k products per city of the *store*, by revenue (name breaks ties)."""
+    return (_top_products_by_city(fct_sales, dim_store, dim_product_mt, k).drop("rank")
+            .orderBy("city", F.desc("revenue"), "product_name"))
 
 
 def top_products_by_city_wide(fct_sales: DataFrame, dim_store: DataFrame, dim_product_mt: DataFrame,
                               k: int = 3) -> DataFrame:
     """One row per city: product_1, revenue_1 .. product_k, revenue_k (missing revenue 0)."""
-    ranked = top_products_by_city(fct_sales, dim_store, dim_product_mt, k, with_rank=True)
+    ranked = _top_products_by_city(fct_sales, dim_store, dim_product_mt, k)
     return pivot_wide(ranked, ["city"], "rank", list(range(1, k + 1)),
                       {"product_name": "product_{v}", "revenue": "revenue_{v}"}).orderBy("city")
 
@@ -135,7 +146,7 @@ def customer_spend(fct_sales: DataFrame) -> DataFrame:
     return fct_sales.groupBy("tenant_id", "customer_id").agg(F.sum("subtotal").alias("total_spend"))
 
 
-def customer_segments(fct_sales: DataFrame, dim_customer_mt: DataFrame,
+def _customer_segments(fct_sales: DataFrame, dim_customer_mt: DataFrame,
                       quantiles=SEGMENT_QUANTILES, exact: bool = True,
                       accuracy: int = 10000) -> DataFrame:
     """Customers per (city of the *customer*, High / Medium / Low spend segment).
@@ -160,12 +171,15 @@ def customer_segments(fct_sales: DataFrame, dim_customer_mt: DataFrame,
     cust = cust.select("*", th_value.alias("_th"))
     j = cust.join(dim_customer_mt.select("tenant_id", "customer_id", "city"), ["tenant_id", "customer_id"])
     return (j.groupBy("city", seg.alias("segment"))
-             .agg(F.count(F.lit(1)).cast("long").alias("n_customers"))
-             .orderBy("city", "segment"))
+             .agg(F.count(F.lit(1)).cast("long").alias("n_customers")))
+
+
+def customer_segments(fct_sales: DataFrame, dim_customer_mt: DataFrame, **kw) -> DataFrame:
+    return _customer_segments(fct_sales, dim_customer_mt, **kw).orderBy("city", "segment")
 
 
 def customer_segments_wide(fct_sales: DataFrame, dim_customer_mt: DataFrame, **kw) -> DataFrame:
-    seg = customer_segments(fct_sales, dim_customer_mt, **kw)
+    seg = _customer_segments(fct_sales, dim_customer_mt, **kw)
     return pivot_wide(seg, ["city"], "segment", SEGMENTS, {"n_customers": "{v}"}).orderBy("city")
 
 
