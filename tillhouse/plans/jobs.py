@@ -116,19 +116,27 @@ def _shared(df: DataFrame, name: str) -> DataFrame:
 
 
 def build_single(spark: SparkSession, raw: Mapping[str, DataFrame], marts_root: str,
-                 loaded_at: Column | None = None) -> dict[str, DataFrame]:
+                 loaded_at: Column | None = None, staging_out: dict | None = None) -> dict[str, DataFrame]:
+    """Staging (lazy) -> marts (written, read back).  ``staging_out``, when
+    given, receives the staging models the build used (shared ones already
+    written), so checks after the build need not recompute them."""
     wh = Warehouse.from_raw(raw_st=dict(raw), loaded_at=loaded_at)
     wh.stg_st["stg_transactions"] = _shared(wh.stg_st["stg_transactions"], "stg_transactions")  # fact + date dim
     write_tables(wh.marts_st, marts_root)
+    if staging_out is not None:
+        staging_out.update(wh.stg_st)
     return read_tables(spark, marts_root, wh.marts_st)
 
 
 def build_multi(spark: SparkSession, raw: Mapping[str, DataFrame], marts_root: str,
-                loaded_at: Column | None = None) -> dict[str, DataFrame]:
+                loaded_at: Column | None = None, staging_out: dict | None = None) -> dict[str, DataFrame]:
+    """As ``build_single`` for the multi-tenant models."""
     wh = Warehouse.from_raw(raw_mt=dict(raw), loaded_at=loaded_at)
-    # deduplicated transactions feed both facts and the date dimension
+    # deduplicated transactions feed both facts, the date dimension and checks
     wh.stg_mt["stg_transactions_mt"] = _shared(wh.stg_mt["stg_transactions_mt"], "stg_transactions_mt")
     write_tables(wh.marts_mt, marts_root)
+    if staging_out is not None:
+        staging_out.update(wh.stg_mt)
     return read_tables(spark, marts_root, wh.marts_mt)
 
 
@@ -162,9 +170,9 @@ def daily_single(spark: SparkSession, sources: Mapping[str, DataFrame], root: st
     """The single-tenant day: full load -> staging -> marts -> checks.
     Returns the failing checks (empty when every check passes)."""
     raw = land_raw_single(spark, sources, _path(root, "raw"))
-    st = build_single(spark, raw, _path(root, "marts"))
-    wh = Warehouse.from_raw(raw_st=raw)
-    return failing(run_checks({**wh.stg_st, **st}, layers=("single",)))
+    stg: dict = {}
+    st = build_single(spark, raw, _path(root, "marts"), staging_out=stg)
+    return failing(run_checks({**stg, **st}, layers=("single",)))
 
 
 def daily_multi(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, run_id: int) -> DataFrame:
@@ -172,9 +180,9 @@ def daily_multi(spark: SparkSession, sources: Mapping[str, DataFrame], root: str
     landing_root = _path(root, "landing")
     load_incremental(spark, sources, landing_root, _path(root, "state"), run_id)
     raw = {t: landing.read_landed(spark, _path(landing_root, t)) for t in sources}
-    mt = build_multi(spark, raw, _path(root, "marts"))
-    wh = Warehouse.from_raw(raw_mt=raw)
-    return failing(run_checks({**wh.stg_mt, **mt}, layers=("multi",)))
+    stg: dict = {}
+    mt = build_multi(spark, raw, _path(root, "marts"), staging_out=stg)
+    return failing(run_checks({**stg, **mt}, layers=("multi",)))
 
 
 CHECK_RESULT_SCHEMA = "model string, column string, check string, failures bigint"
