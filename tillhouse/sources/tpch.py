@@ -274,20 +274,25 @@ def raw_mt_transactions(t: DriverTables) -> DataFrame:
 
 def raw_mt_transaction_items(t: DriverTables) -> DataFrame:
     """Line items as row versions; some first lines also have an older,
-    doubled version in batch 0 that deduplication must discard."""
+    doubled version in batch 0 that deduplication must discard.  Both come
+    from one scan through a generator (no second pass, no union)."""
     k = F.col("l_orderkey")
-    cols = _item_cols(local_txn_id(k))
-    base = t.lineitem.select(tenant_of(k).alias("tenant_id"), *cols,
-                             F.col("l_shipdate").alias("updated_at"),
-                             F.lit(1).cast("long").alias("_batch_id"),
+    names = [f.name for f in RAW_ST["transaction_items"].fields]
+    base = t.lineitem.select(tenant_of(k).alias("tenant_id"), *_item_cols(local_txn_id(k)),
+                             F.col("l_shipdate").alias("_ts"),
                              ((F.col("l_linenumber") == 1) & (k % 11 == 0)).alias("_old"))
-    old = base.where("_old").select(
-        "tenant_id", "item_id", "transaction_id", "product_id",
-        (F.col("quantity") + 1).alias("quantity"), "unit_price", "discount",
-        (F.col("subtotal") * 2).cast("decimal(14,2)").alias("subtotal"),
-        F.timestamp_add("DAY", F.lit(-1), F.col("updated_at")).alias("updated_at"),
-        F.lit(0).cast("long").alias("_batch_id"))
-    return _versioned(base.drop("_old").unionByName(old), "transaction_items")
+
+    def version(overrides: dict, ts, batch: int):
+        fields = [overrides.get(n, F.col(n)).alias(n) for n in names]
+        return F.struct(*fields, ts.alias("updated_at"), F.lit(batch).cast("long").alias("_batch_id"))
+
+    older = version({"quantity": F.col("quantity") + 1,
+                     "subtotal": (F.col("subtotal") * 2).cast("decimal(14,2)")},
+                    F.timestamp_add("DAY", F.lit(-1), F.col("_ts")), 0)
+    versions = F.array(version({}, F.col("_ts"), 1), F.when(F.col("_old"), older))
+    out = (base.select("tenant_id", F.explode(versions).alias("v"))
+               .where(F.col("v").isNotNull()).select("tenant_id", "v.*"))
+    return _versioned(out, "transaction_items")
 
 
 def _promo_lines(t: DriverTables) -> DataFrame:
