@@ -43,3 +43,11 @@ def test_scans_prune_columns_and_push_filters(spark):
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string," in text
     assert "o_comment" not in text and "c_acctbal" not in text
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
+
+
+def test_no_unscalable_operators_in_any_registered_plan(spark):
+    bad = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"]
+    for name, fn in E.queries().items():
+        df = fn(spark, E.SMOKE_DIR)
+        text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+        assert not [b for b in bad if b in text], name

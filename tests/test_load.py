@@ -89,3 +89,27 @@ def test_stream_lands_only_new_files(spark, tmp_root):
     land_new_files(spark, f"{src}/*", st, out, ck)
     got = sorted((r.tenant_id, r.id, r._batch_id) for r in spark.read.parquet(out).collect())
     assert got == [("t1", 1, 0), ("t2", 2, 1)]
+
+
+def test_jdbc_multi_tenant_incremental_load(spark, tmp_root):
+    url = "jdbc:derby:memory:tillhouse_mt;create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+
+    def put(schema, rows):
+        df = spark.createDataFrame(rows, "customer_id long, name string, updated_at timestamp")
+        df.write.format("jdbc").option("url", url).option("dbtable", f"{schema}.customers") \
+            .option("driver", props["driver"]).mode("overwrite").save()
+
+    put("A", [(1, "a1", T(2024, 1, 1, 10, 0, 0)), (2, "a2", T(2024, 1, 1, 11, 0, 0))])
+    put("B", [(1, "b1", T(2024, 1, 2, 10, 0, 0))])            # id 1 collides across tenants
+    src = {"customers": jdbc.incremental_source(spark, url, {"ta": "A", "tb": "B"}, "customers", props)}
+    land, state = f"{tmp_root}/landing", f"{tmp_root}/state"
+    a1 = jobs.load_incremental(spark, src, land, state, 1)
+    assert {(r.tenant_id, r.rows_loaded) for r in a1.collect()} == {("ta", 2), ("tb", 1), (None, 3)}
+    put("A", [(1, "a1", T(2024, 1, 1, 10, 0, 0)), (2, "a2-new", T(2024, 1, 3, 9, 0, 0))])
+    a2 = jobs.load_incremental(spark, src, land, state, 2)
+    assert {(r.tenant_id, r.rows_loaded) for r in a2.collect()} == {("ta", 1), (None, 1)}
+    from tillhouse.operators import latest_by_key
+    latest = {(r.tenant_id, r.customer_id): r.name for r in
+              latest_by_key(landing.read_landed(spark, f"{land}/customers"), ["tenant_id", "customer_id"]).collect()}
+    assert latest == {("ta", 1): "a1", ("ta", 2): "a2-new", ("tb", 1): "b1"}
