@@ -29,6 +29,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tillhouse.plans import jobs  # noqa: E402
 from tillhouse.plans import questions as Q  # noqa: E402
+from tillhouse.plans.lazy import merged  # noqa: E402
 from tillhouse.plans.warehouse import Warehouse  # noqa: E402
 from tillhouse.session import get_session, scratch_path  # noqa: E402
 
@@ -123,7 +124,7 @@ def main() -> None:
     for name, fn in qs.items():
         timed(name, lambda fn=fn: run(fn()))
 
-    models = {**stg, **st, **mt}
+    models = merged(stg, st, mt)
     timed("dq_suite", lambda: jobs.run_checks(models).collect())
 
     spark.stop()

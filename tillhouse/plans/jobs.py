@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.operators.quality import run_suite
 from tillhouse.plans import checks
+from tillhouse.plans.lazy import merged
 from tillhouse.plans.warehouse import Warehouse
 from tillhouse.schemas import RAW_ST, WATERMARK_STATE, conform
 from tillhouse.session import scratch_path
@@ -120,7 +121,7 @@ def build_single(spark: SparkSession, raw: Mapping[str, DataFrame], marts_root:
     """Staging (lazy) -> marts (written, read back).  ``staging_out``, when
     given, receives the staging models the build used (shared ones already
     written), so checks after the build need not recompute them."""
-    wh = Warehouse.from_raw(raw_st=dict(raw), loaded_at=loaded_at)
+    wh = Warehouse.from_raw(raw_st=raw, loaded_at=loaded_at)
     wh.stg_st["stg_transactions"] = _shared(wh.stg_st["stg_transactions"], "stg_transactions")  # fact + date dim
     write_tables(wh.marts_st, marts_root)
     if staging_out is not None:
@@ -131,7 +132,7 @@ def build_single(spark: SparkSession, raw: Mapping[str, DataFrame], marts_root:
 def build_multi(spark: SparkSession, raw: Mapping[str, DataFrame], marts_root: str,
                 loaded_at: Column | None = None, staging_out: dict | None = None) -> dict[str, DataFrame]:
     """As ``build_single`` for the multi-tenant models."""
-    wh = Warehouse.from_raw(raw_mt=dict(raw), loaded_at=loaded_at)
+    wh = Warehouse.from_raw(raw_mt=raw, loaded_at=loaded_at)
     # deduplicated transactions feed both facts, the date dimension and checks
     wh.stg_mt["stg_transactions_mt"] = _shared(wh.stg_mt["stg_transactions_mt"], "stg_transactions_mt")
     write_tables(wh.marts_mt, marts_root)
@@ -172,7 +173,7 @@ def daily_single(spark: SparkSession, sources: Mapping[str, DataFrame], root: st
     raw = land_raw_single(spark, sources, _path(root, "raw"))
     stg: dict = {}
     st = build_single(spark, raw, _path(root, "marts"), staging_out=stg)
-    return failing(run_checks({**stg, **st}, layers=("single",)))
+    return failing(run_checks(merged(stg, st), layers=("single",)))
 
 
 def daily_multi(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, run_id: int) -> DataFrame:
@@ -182,7 +183,7 @@ def daily_multi(spark: SparkSession, sources: Mapping[str, DataFrame], root: str
     raw = {t: landing.read_landed(spark, _path(landing_root, t)) for t in sources}
     stg: dict = {}
     mt = build_multi(spark, raw, _path(root, "marts"), staging_out=stg)
-    return failing(run_checks({**stg, **mt}, layers=("multi",)))
+    return failing(run_checks(merged(stg, mt), layers=("multi",)))
 
 
 CHECK_RESULT_SCHEMA = "model string, column string, check string, failures bigint"
@@ -194,7 +195,6 @@ def run_checks(models: Mapping[str, DataFrame], layers=("single", "multi"),
     submitted at the same time (one small aggregation job each); the result
     is one row per check - bounded by the suite, not by the data - so it is
     gathered into a small DataFrame.  Without, one lazy union is returned."""
-    models = dict(models)
     if not concurrent:
         return checks.run_checks(models, layers)
     actions = {}

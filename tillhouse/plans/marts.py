@@ -8,12 +8,15 @@ transactions): sort-merge joins on ``(tenant_id, transaction_id)``.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.functions import (day_name, is_weekend, iso_dow, month_label, surrogate_key,
                                  year_month)
 from tillhouse.operators import date_spine
+from tillhouse.plans.lazy import LazyDict
 
 
 def _loaded(loaded_at: Column | None) -> Column:
@@ -137,23 +140,25 @@ def fct_promotion_usage(stg_junction: DataFrame, stg_transactions_mt: DataFrame,
         _loaded(loaded_at))
 
 
-def marts_single(stg: dict[str, DataFrame], loaded_at: Column | None = None) -> dict[str, DataFrame]:
-    return {
-        "dim_customer": dim_customer(stg["stg_customers"], loaded_at),
-        "dim_product": dim_product(stg["stg_products"], loaded_at),
-        "dim_date": dim_date(stg["stg_transactions"]),
-        "fact_sales": fact_sales(stg["stg_transaction_items"], stg["stg_transactions"], loaded_at),
-    }
-
-
-def marts_multi(stg: dict[str, DataFrame], loaded_at: Column | None = None) -> dict[str, DataFrame]:
-    return {
-        "dim_customer_mt": dim_customer_mt(stg["stg_customers_mt"], loaded_at),
-        "dim_product_mt": dim_product_mt(stg["stg_products_mt"], loaded_at),
-        "dim_date_mt": dim_date_mt(stg["stg_transactions_mt"]),
-        "dim_store": dim_store(stg["stg_stores"], loaded_at),
-        "dim_promotion": dim_promotion(stg["stg_promotions"], loaded_at),
-        "fct_sales": fct_sales(stg["stg_transaction_items_mt"], stg["stg_transactions_mt"], loaded_at),
-        "fct_promotion_usage": fct_promotion_usage(stg["stg_transaction_promotions"],
-                                                   stg["stg_transactions_mt"], loaded_at),
-    }
+def marts_single(stg: Mapping[str, DataFrame], loaded_at: Column | None = None) -> LazyDict:
+    """The four single-tenant marts (each built on first use)."""
+    return LazyDict({
+        "dim_customer": lambda: dim_customer(stg["stg_customers"], loaded_at),
+        "dim_product": lambda: dim_product(stg["stg_products"], loaded_at),
+        "dim_date": lambda: dim_date(stg["stg_transactions"]),
+        "fact_sales": lambda: fact_sales(stg["stg_transaction_items"], stg["stg_transactions"], loaded_at),
+    })
+
+
+def marts_multi(stg: Mapping[str, DataFrame], loaded_at: Column | None = None) -> LazyDict:
+    """The seven multi-tenant marts (each built on first use)."""
+    return LazyDict({
+        "dim_customer_mt": lambda: dim_customer_mt(stg["stg_customers_mt"], loaded_at),
+        "dim_product_mt": lambda: dim_product_mt(stg["stg_products_mt"], loaded_at),
+        "dim_date_mt": lambda: dim_date_mt(stg["stg_transactions_mt"]),
+        "dim_store": lambda: dim_store(stg["stg_stores"], loaded_at),
+        "dim_promotion": lambda: dim_promotion(stg["stg_promotions"], loaded_at),
+        "fct_sales": lambda: fct_sales(stg["stg_transaction_items_mt"], stg["stg_transactions_mt"], loaded_at),
+        "fct_promotion_usage": lambda: fct_promotion_usage(stg["stg_transaction_promotions"],
+                                                           stg["stg_transactions_mt"], loaded_at),
+    })

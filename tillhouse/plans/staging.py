@@ -7,11 +7,14 @@ so a transaction that moved from completed to cancelled stays out.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.functions import clean_title, norm, strip
 from tillhouse.operators import latest_by_key
+from tillhouse.plans.lazy import LazyDict
 from tillhouse.schemas import MT_KEYS
 
 COMPLETED = "completed"
@@ -101,19 +104,27 @@ def stg_suppliers(raw: DataFrame) -> DataFrame:
         "contact_name", clean_title("city").alias("city"), "country")
 
 
-def staging_single(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {"stg_customers": stg_customers(raw["customers"]),
-            "stg_products": stg_products(raw["products"]),
-            "stg_transactions": stg_transactions(raw["transactions"]),
-            "stg_transaction_items": stg_transaction_items(raw["transaction_items"])}
+SINGLE = {"stg_customers": (stg_customers, "customers"), "stg_products": (stg_products, "products"),
+          "stg_transactions": (stg_transactions, "transactions"),
+          "stg_transaction_items": (stg_transaction_items, "transaction_items")}
+MULTI = {"stg_customers_mt": (stg_customers_mt, "customers"),
+         "stg_products_mt": (stg_products_mt, "products"),
+         "stg_transactions_mt": (stg_transactions_mt, "transactions"),
+         "stg_transaction_items_mt": (stg_transaction_items_mt, "transaction_items"),
+         "stg_stores": (stg_stores, "stores"), "stg_promotions": (stg_promotions, "promotions"),
+         "stg_transaction_promotions": (stg_transaction_promotions, "transaction_promotions"),
+         "stg_suppliers": (stg_suppliers, "suppliers")}
+
+
+def _layer(models, raw) -> LazyDict:
+    return LazyDict({name: (lambda fn=fn, t=t: fn(raw[t])) for name, (fn, t) in models.items()})
+
+
+def staging_single(raw: Mapping[str, DataFrame]) -> LazyDict:
+    """The four single-tenant staging models (each built on first use)."""
+    return _layer(SINGLE, raw)
 
 
-def staging_multi(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {"stg_customers_mt": stg_customers_mt(raw["customers"]),
-            "stg_products_mt": stg_products_mt(raw["products"]),
-            "stg_transactions_mt": stg_transactions_mt(raw["transactions"]),
-            "stg_transaction_items_mt": stg_transaction_items_mt(raw["transaction_items"]),
-            "stg_stores": stg_stores(raw["stores"]),
-            "stg_promotions": stg_promotions(raw["promotions"]),
-            "stg_transaction_promotions": stg_transaction_promotions(raw["transaction_promotions"]),
-            "stg_suppliers": stg_suppliers(raw["suppliers"])}
+def staging_multi(raw: Mapping[str, DataFrame]) -> LazyDict:
+    """The eight multi-tenant staging models (each built on first use)."""
+    return _layer(MULTI, raw)

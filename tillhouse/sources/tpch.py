@@ -185,10 +185,11 @@ def raw_transaction_items(t: DriverTables) -> DataFrame:
     return conform(t.lineitem.select(*_item_cols(F.col("l_orderkey"))), RAW_ST["transaction_items"])
 
 
-def raw_single(t: DriverTables) -> dict[str, DataFrame]:
-    return {"customers": raw_customers(t), "products": raw_products(t),
-            "transactions": raw_transactions(t),
-            "transaction_items": raw_transaction_items(t)}
+def raw_single(t: DriverTables):
+    from tillhouse.plans.lazy import LazyDict
+    return LazyDict({"customers": lambda: raw_customers(t), "products": lambda: raw_products(t),
+                     "transactions": lambda: raw_transactions(t),
+                     "transaction_items": lambda: raw_transaction_items(t)})
 
 
 # ---- multi-tenant raw tables (row versions) -------------------------------
@@ -338,12 +339,13 @@ def raw_mt_transaction_promotions(t: DriverTables) -> DataFrame:
     return _versioned(out, "transaction_promotions")
 
 
-def raw_multi(t: DriverTables) -> dict[str, DataFrame]:
-    return {
-        "customers": raw_mt_customers(t), "products": raw_mt_products(t),
-        "transactions": raw_mt_transactions(t),
-        "transaction_items": raw_mt_transaction_items(t),
-        "stores": raw_mt_stores(t), "suppliers": raw_mt_suppliers(t),
-        "promotions": raw_mt_promotions(t),
-        "transaction_promotions": raw_mt_transaction_promotions(t),
-    }
+def raw_multi(t: DriverTables):
+    from tillhouse.plans.lazy import LazyDict
+    return LazyDict({
+        "customers": lambda: raw_mt_customers(t), "products": lambda: raw_mt_products(t),
+        "transactions": lambda: raw_mt_transactions(t),
+        "transaction_items": lambda: raw_mt_transaction_items(t),
+        "stores": lambda: raw_mt_stores(t), "suppliers": lambda: raw_mt_suppliers(t),
+        "promotions": lambda: raw_mt_promotions(t),
+        "transaction_promotions": lambda: raw_mt_transaction_promotions(t),
+    })
