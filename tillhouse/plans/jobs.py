@@ -130,9 +130,11 @@ def build_single(spark: SparkSession, raw: Mapping[str, DataFrame], marts_root:
 
 
 def build_multi(spark: SparkSession, raw: Mapping[str, DataFrame], marts_root: str,
-                loaded_at: Column | None = None, staging_out: dict | None = None) -> dict[str, DataFrame]:
-    """As ``build_single`` for the multi-tenant models."""
-    wh = Warehouse.from_raw(raw_mt=raw, loaded_at=loaded_at)
+                loaded_at: Column | None = None, staging_out: dict | None = None,
+                mt_deduplicated: bool = False) -> dict[str, DataFrame]:
+    """As ``build_single`` for the multi-tenant models; ``mt_deduplicated``
+    when ``raw`` holds compacted tables (one row per key)."""
+    wh = Warehouse.from_raw(raw_mt=raw, loaded_at=loaded_at, mt_deduplicated=mt_deduplicated)
     # deduplicated transactions feed both facts, the date dimension and checks
     wh.stg_mt["stg_transactions_mt"] = _shared(wh.stg_mt["stg_transactions_mt"], "stg_transactions_mt")
     write_tables(wh.marts_mt, marts_root)
@@ -167,6 +169,41 @@ def seed_state(spark: SparkSession, landed: Mapping[str, DataFrame], state_path:
     reduce(DataFrame.unionByName, marks).write.mode("append").partitionBy("run_id").parquet(state_path)
 
 
+def compact_tables(spark: SparkSession, landing_root: str, compact_root: str, tables, run_id: int,
+                   previous_run_id: int | None = None) -> dict[str, DataFrame]:
+    """Compacted copy of each landed table as of ``run_id`` (D3): the latest
+    version per ``(tenant_id, pk)``, written to ``<compact_root>/<table>/v<run_id>``.
+
+    With the compacted copy of ``previous_run_id`` as base, only the batch of
+    ``run_id`` is merged in (``landing.merge_versions``: the base is not
+    shuffled); without one, every landed version is deduplicated once.
+    Earlier copies stay in place, so a failed run leaves the last good one.
+    """
+    from tillhouse.operators import latest_by_key
+    from tillhouse.schemas import MT_KEYS
+
+    out = {}
+    actions = {}
+    for t in tables:
+        keys = ["tenant_id", MT_KEYS[t]]
+        landed = landing.read_landed(spark, _path(landing_root, t))
+        base = None
+        if previous_run_id is not None:
+            try:
+                base = spark.read.parquet(_path(compact_root, f"{t}/v{previous_run_id}"))
+            except Exception:  # noqa: BLE001 - no earlier copy: rebuild from all versions
+                base = None
+        if base is None:
+            merged_df = latest_by_key(landed, keys)
+        else:
+            merged_df = landing.merge_versions(base, landed.where(F.col("_batch_id") == run_id), keys)
+        target = _path(compact_root, f"{t}/v{run_id}")
+        out[t] = target
+        actions[t] = (lambda df=merged_df, p=target: df.write.mode("overwrite").partitionBy("tenant_id").parquet(p))
+    run_concurrently(actions)
+    return {t: spark.read.parquet(p) for t, p in out.items()}
+
+
 def daily_single(spark: SparkSession, sources: Mapping[str, DataFrame], root: str) -> DataFrame:
     """The single-tenant day: full load -> staging -> marts -> checks.
     Returns the failing checks (empty when every check passes)."""
@@ -176,13 +213,22 @@ def daily_single(spark: SparkSession, sources: Mapping[str, DataFrame], root: st
     return failing(run_checks(merged(stg, st), layers=("single",)))
 
 
-def daily_multi(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, run_id: int) -> DataFrame:
-    """The multi-tenant day: incremental load -> staging -> marts -> checks."""
+def daily_multi(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, run_id: int,
+                compacted: bool = False, previous_run_id: int | None = None) -> DataFrame:
+    """The multi-tenant day: incremental load -> staging -> marts -> checks.
+
+    ``compacted``: merge the day's batch into the compacted copy of
+    ``previous_run_id`` and build from it (no dedup of the whole history);
+    otherwise staging deduplicates every landed version on read.
+    """
     landing_root = _path(root, "landing")
     load_incremental(spark, sources, landing_root, _path(root, "state"), run_id)
-    raw = {t: landing.read_landed(spark, _path(landing_root, t)) for t in sources}
+    if compacted:
+        raw = compact_tables(spark, landing_root, _path(root, "compact"), list(sources), run_id, previous_run_id)
+    else:
+        raw = {t: landing.read_landed(spark, _path(landing_root, t)) for t in sources}
     stg: dict = {}
-    mt = build_multi(spark, raw, _path(root, "marts"), staging_out=stg)
+    mt = build_multi(spark, raw, _path(root, "marts"), staging_out=stg, mt_deduplicated=compacted)
     return failing(run_checks(merged(stg, mt), layers=("multi",)))
 
 

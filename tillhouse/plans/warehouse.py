@@ -29,10 +29,12 @@ MT_ONLY_MODELS = {"stg_stores", "stg_promotions", "stg_transaction_promotions",
 
 
 class Warehouse:
-    def __init__(self, raw_st, raw_mt, loaded_at: Column | None = None):
-        # raw_st / raw_mt: dicts of DataFrames, or zero-argument callables that
-        # build them (so a single-tenant question never analyses MT tables)
+    def __init__(self, raw_st, raw_mt, loaded_at: Column | None = None, mt_deduplicated: bool = False):
+        # raw_st / raw_mt: mappings of DataFrames, or zero-argument callables
+        # that build them (so a single-tenant question never analyses MT
+        # tables); mt_deduplicated: raw_mt is compacted (one row per key)
         self._raw_st, self._raw_mt, self.loaded_at = raw_st, raw_mt, loaded_at
+        self.mt_deduplicated = mt_deduplicated
 
     @classmethod
     def from_driver_tables(cls, spark: SparkSession, sf_dir: str, pin_load_ts: bool = True) -> "Warehouse":
@@ -41,8 +43,8 @@ class Warehouse:
                    pinned_loaded_at() if pin_load_ts else None)
 
     @classmethod
-    def from_raw(cls, raw_st=None, raw_mt=None, loaded_at=None) -> "Warehouse":
-        return cls(raw_st, raw_mt, loaded_at)
+    def from_raw(cls, raw_st=None, raw_mt=None, loaded_at=None, mt_deduplicated: bool = False) -> "Warehouse":
+        return cls(raw_st, raw_mt, loaded_at, mt_deduplicated)
 
     @cached_property
     def raw_st(self) -> dict[str, DataFrame]:
@@ -58,7 +60,7 @@ class Warehouse:
 
     @cached_property
     def stg_mt(self) -> dict[str, DataFrame]:
-        return staging.staging_multi(self.raw_mt)
+        return staging.staging_multi(self.raw_mt, self.mt_deduplicated)
 
     @cached_property
     def marts_st(self) -> dict[str, DataFrame]:
