@@ -3,7 +3,9 @@
 Steps (each timed, with its shuffle bytes read from Spark's event log):
   land_raw_single      full load of the single-tenant raw tables
   land_raw_multi       initial landing of the multi-tenant row versions (+ state)
+  compact_full         latest version per key of everything landed (written)
   load_incremental_1pct  incremental run where 1 % of transactions changed
+  compact_1pct         that day's batch merged into the compacted copy
   build_single / build_multi   staging -> marts (written, read back)
   <question>           each analytical question on the written marts
   dq_suite             all 86 data-quality checks
@@ -94,6 +96,8 @@ def main() -> None:
         jobs.seed_state(spark, landed, state, 1)
         return landed
     timed("land_raw_multi", land_multi)
+    compact_root = f"{root}/compact"
+    timed("compact_full", lambda: jobs.compact_tables(spark, landing_root, compact_root, list(wh.raw_mt), 1))
 
     # the source after a day in which 1 % of the transactions changed status
     src = wh.raw_mt["transactions"].where(F.col("_batch_id") == 1).drop("_batch_id")
@@ -103,11 +107,14 @@ def main() -> None:
     source_today = src.unionByName(changed)
     timed("load_incremental_1pct",
           lambda: jobs.load_incremental(spark, {"transactions": source_today}, landing_root, state, 2).collect())
-    raw_mt = {t: spark.read.parquet(f"{landing_root}/{t}") for t in wh.raw_mt}
+    # merge only today's batch into yesterday's compacted copy
+    raw_mt = timed("compact_1pct", lambda: jobs.compact_tables(spark, landing_root, compact_root,
+                                                               list(wh.raw_mt), 2, previous_run_id=1))
 
     stg: dict = {}
     st = timed("build_single", lambda: jobs.build_single(spark, raw_st, f"{root}/st", wh.loaded_at, stg))
-    mt = timed("build_multi", lambda: jobs.build_multi(spark, raw_mt, f"{root}/mt", wh.loaded_at, stg))
+    mt = timed("build_multi", lambda: jobs.build_multi(spark, raw_mt, f"{root}/mt", wh.loaded_at, stg,
+                                                       mt_deduplicated=True))
 
     qs = {
         "top_products_per_category": lambda: Q.top_products_per_category(st["fact_sales"], st["dim_product"]),

@@ -177,7 +177,8 @@ def compact_tables(spark: SparkSession, landing_root: str, compact_root: str, ta
     With the compacted copy of ``previous_run_id`` as base, only the batch of
     ``run_id`` is merged in (``landing.merge_versions``: the base is not
     shuffled); without one, every landed version is deduplicated once.
-    Earlier copies stay in place, so a failed run leaves the last good one.
+    A table without a batch in ``run_id`` keeps its previous copy.  Earlier
+    copies stay in place, so a failed run leaves the last good one.
     """
     from tillhouse.operators import latest_by_key
     from tillhouse.schemas import MT_KEYS
@@ -196,7 +197,11 @@ def compact_tables(spark: SparkSession, landing_root: str, compact_root: str, ta
         if base is None:
             merged_df = latest_by_key(landed, keys)
         else:
-            merged_df = landing.merge_versions(base, landed.where(F.col("_batch_id") == run_id), keys)
+            delta = landed.where(F.col("_batch_id") == run_id)
+            if delta.isEmpty():              # untouched today: keep yesterday's copy
+                out[t] = _path(compact_root, f"{t}/v{previous_run_id}")
+                continue
+            merged_df = landing.merge_versions(base, delta, keys)
         target = _path(compact_root, f"{t}/v{run_id}")
         out[t] = target
         actions[t] = (lambda df=merged_df, p=target: df.write.mode("overwrite").partitionBy("tenant_id").parquet(p))
