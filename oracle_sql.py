@@ -422,6 +422,8 @@ def load_queries() -> dict[str, str]:
     return {
         "latest_by_key": "SELECT * FROM events QUALIFY row_number() OVER "
                          "(PARTITION BY event_type, user_id ORDER BY ts DESC, event_id DESC) = 1",
+        "compaction_merge": "SELECT * FROM events QUALIFY row_number() OVER "
+                            "(PARTITION BY event_type, user_id ORDER BY ts DESC, event_id DESC) = 1",
         "incremental_slice": f"WITH {_FIRST} SELECT * FROM slice",
         "watermark_advance": f"""WITH {_FIRST}
 SELECT coalesce(n.tenant_id, o.tenant_id) AS tenant_id, 'events' AS table_name,

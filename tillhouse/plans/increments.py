@@ -34,6 +34,16 @@ def latest_events(t: DriverTables) -> DataFrame:
     return latest_by_key(t.events, ["event_type", "user_id"], "ts", ["event_id"])
 
 
+def compaction_merge(t: DriverTables) -> DataFrame:
+    """The events compacted up to the first load, merged with every later
+    event: must equal deduplicating all events at once."""
+    keys = ["event_type", "user_id"]
+    cut = F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz")
+    base = latest_by_key(t.events.where(F.col("ts") < cut), keys, "ts", ["event_id"])
+    delta = t.events.where(F.col("ts") >= cut)
+    return landing.merge_versions(base, delta, keys, "ts", ("event_id",))
+
+
 def _first_state(t: DriverTables) -> DataFrame:
     v = event_versions(t)
     first = v.where(F.col("updated_at") < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz"))
