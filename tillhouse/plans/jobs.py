@@ -14,7 +14,7 @@ at most one stage of one job).
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -106,12 +106,15 @@ def load_incremental(spark: SparkSession, sources: Mapping[str, Callable[[DataFr
 
 
 # ---- builds -----------------------------------------------------------------
-def _shared(df: DataFrame, name: str) -> DataFrame:
+def _shared(df: DataFrame, name: str, marts_root: str) -> DataFrame:
     """A staging model read by several marts, computed once: written as
     Parquet under the cluster's shared checkpoint folder and read back
     (survives executor loss, cuts the lineage, keeps column pruning and
-    filter pushdown for the readers)."""
-    path = scratch_path(df.sparkSession, f"staging-{uuid.uuid4().hex[:12]}/{name}")
+    filter pushdown for the readers).  The folder is keyed by the marts
+    location, so each build of the same marts overwrites its copy instead of
+    leaving a new one behind."""
+    key = hashlib.md5(marts_root.encode()).hexdigest()[:16]
+    path = scratch_path(df.sparkSession, f"staging-{key}/{name}")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -122,7 +125,7 @@ def build_single(spark: SparkSession, raw: Mapping[str, DataFrame], marts_root:
     given, receives the staging models the build used (shared ones already
     written), so checks after the build need not recompute them."""
     wh = Warehouse.from_raw(raw_st=raw, loaded_at=loaded_at)
-    wh.stg_st["stg_transactions"] = _shared(wh.stg_st["stg_transactions"], "stg_transactions")  # fact + date dim
+    wh.stg_st["stg_transactions"] = _shared(wh.stg_st["stg_transactions"], "stg_transactions", marts_root)  # fact + date dim
     write_tables(wh.marts_st, marts_root)
     if staging_out is not None:
         staging_out.update(wh.stg_st)
@@ -136,7 +139,7 @@ def build_multi(spark: SparkSession, raw: Mapping[str, DataFrame], marts_root: s
     when ``raw`` holds compacted tables (one row per key)."""
     wh = Warehouse.from_raw(raw_mt=raw, loaded_at=loaded_at, mt_deduplicated=mt_deduplicated)
     # deduplicated transactions feed both facts, the date dimension and checks
-    wh.stg_mt["stg_transactions_mt"] = _shared(wh.stg_mt["stg_transactions_mt"], "stg_transactions_mt")
+    wh.stg_mt["stg_transactions_mt"] = _shared(wh.stg_mt["stg_transactions_mt"], "stg_transactions_mt", marts_root)
     write_tables(wh.marts_mt, marts_root)
     if staging_out is not None:
         staging_out.update(wh.stg_mt)
