@@ -102,7 +102,16 @@ def load_incremental(spark: SparkSession, sources: Mapping[str, Callable[[DataFr
         marks.append(watermark.batch_watermarks(written, table, run_id))
     new_state = watermark.advance(state, reduce(DataFrame.unionByName, marks), run_id)
     new_state.write.mode("append").partitionBy("run_id").parquet(state_path)
-    return landing.load_audit(batches)
+    # every known (tenant, table) pair gets a row, 0 where nothing was loaded
+    known = read_state(spark, state_path).where(F.col("run_id") == run_id).select("tenant_id", "table_name")
+    counted = landing.load_audit(batches).where(F.col("table_name").isNotNull())
+    per = (known.join(counted, ["tenant_id", "table_name"], "left")
+                .select("tenant_id", "table_name",
+                        F.coalesce("rows_loaded", F.lit(0)).cast("long").alias("rows_loaded")))
+    total = per.agg(F.coalesce(F.sum("rows_loaded"), F.lit(0)).cast("long").alias("rows_loaded")).select(
+        F.lit(None).cast("string").alias("tenant_id"), F.lit(None).cast("string").alias("table_name"),
+        "rows_loaded")
+    return per.unionByName(total)
 
 
 # ---- builds -----------------------------------------------------------------
