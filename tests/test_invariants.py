@@ -36,3 +36,16 @@ def test_tenant_filter_prunes_landed_partitions(spark, tmp_root):
     plan = spark._jvm.PythonSQLUtils.explainString(q._jdf.queryExecution(), "formatted")
     assert "PartitionFilters: [isnotnull(tenant_id" in plan and "(tenant_id#" in plan.split("PartitionFilters")[1][:120]
     assert [r.id for r in q.collect()] == [1]
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    import importlib
+    E = importlib.import_module("__spark_entry__")
+    names = ["watermark_advance", "transactions_by_weekday"]
+    utc = {n: sorted(map(tuple, E.queries()[n](spark, SMOKE).collect())) for n in names}
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        other = {n: sorted(map(tuple, E.queries()[n](spark, SMOKE).collect())) for n in names}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert utc == other

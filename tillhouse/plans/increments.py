@@ -14,6 +14,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillhouse.functions._util import ntz
 from tillhouse.functions import initcap_alnum, surrogate_key
 from tillhouse.operators import latest_by_key
 from tillhouse.schemas import RAW_MT, conform
@@ -38,7 +39,7 @@ def compaction_merge(t: DriverTables) -> DataFrame:
     """The events compacted up to the first load, merged with every later
     event: must equal deduplicating all events at once."""
     keys = ["event_type", "user_id"]
-    cut = F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz")
+    cut = ntz(FIRST_LOAD_BEFORE)
     base = latest_by_key(t.events.where(F.col("ts") < cut), keys, "ts", ["event_id"])
     delta = t.events.where(F.col("ts") >= cut)
     return landing.merge_versions(base, delta, keys, "ts", ("event_id",))
@@ -46,7 +47,7 @@ def compaction_merge(t: DriverTables) -> DataFrame:
 
 def _first_state(t: DriverTables) -> DataFrame:
     v = event_versions(t)
-    first = v.where(F.col("updated_at") < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz"))
+    first = v.where(F.col("updated_at") < ntz(FIRST_LOAD_BEFORE))
     return watermark.advance(watermark.empty_state(t.spark),
                              watermark.batch_watermarks(first, EVENTS_TABLE, 1), 1)
 

@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillhouse.functions._util import ntz
 from tillhouse.plans import marts, staging
 from tillhouse.sources.tpch import DriverTables, raw_multi, raw_single
 
@@ -21,7 +22,7 @@ PINNED_LOAD_TS = _dt.datetime(2024, 1, 1, 0, 0, 0)
 
 
 def pinned_loaded_at() -> Column:
-    return F.lit(PINNED_LOAD_TS).cast("timestamp_ntz")
+    return ntz(PINNED_LOAD_TS)
 
 
 MT_ONLY_MODELS = {"stg_stores", "stg_promotions", "stg_transaction_promotions", "stg_suppliers",

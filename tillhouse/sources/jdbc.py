@@ -9,6 +9,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillhouse.functions._util import ntz
+
+
 EPOCH = _dt.datetime(1970, 1, 1)
 
 
@@ -36,7 +39,7 @@ def read_since(spark: SparkSession, url: str, table: str, since: _dt.datetime |
     remote WHERE clause (visible as ``PushedFilters`` in the plan).
     """
     df = read_full(spark, url, table, properties, **partitioning)
-    return df.where(F.col(version_col) > F.lit(since or EPOCH).cast("timestamp_ntz"))
+    return df.where(F.col(version_col) > ntz(since or EPOCH))
 
 
 def fan_in(sources: Mapping[str, DataFrame], tenant_col: str = "tenant_id") -> DataFrame:

@@ -15,6 +15,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillhouse.functions._util import ntz
 from tillhouse.schemas import RAW_MT, RAW_ST, conform
 
 # ---- fixed values of the derivation rules ---------------------------------
@@ -60,7 +61,7 @@ def _pick(values, idx: Column) -> Column:
 
 def _plus_days(base, n: Column) -> Column:
     if isinstance(base, _dt.datetime):
-        return F.timestamp_add("DAY", n, F.lit(base).cast("timestamp_ntz"))
+        return F.timestamp_add("DAY", n, ntz(base))
     return F.date_add(F.lit(base), n.cast("int"))
 
 
@@ -225,7 +226,7 @@ def raw_mt_stores(t: DriverTables) -> DataFrame:
         _plus_days(STORE_EPOCH, F.pmod(k, F.lit(1000))).alias("opened_at"),
         F.when(k % 5 == 0, F.lit(None)).otherwise(F.lit(1)).alias("is_active"),
     )
-    return _dims_for_all_tenants(s, F.lit(DIM_VERSION_TS).cast("timestamp_ntz"), "stores")
+    return _dims_for_all_tenants(s, ntz(DIM_VERSION_TS), "stores")
 
 
 def raw_mt_suppliers(t: DriverTables) -> DataFrame:
@@ -235,7 +236,7 @@ def raw_mt_suppliers(t: DriverTables) -> DataFrame:
         k.alias("supplier_id"), F.col("s_name").alias("supplier_name"),
         F.concat(F.lit("contact "), k.cast("string")).alias("contact_name"),
         F.col("n_name").alias("city"), F.col("r_name").alias("country"),
-        F.lit(DIM_VERSION_TS).cast("timestamp_ntz").alias("created_at"),
+        ntz(DIM_VERSION_TS).alias("created_at"),
     )
     return _dims_for_all_tenants(s, F.col("created_at"), "suppliers")
 
@@ -321,7 +322,7 @@ def raw_mt_promotions(t: DriverTables) -> DataFrame:
         start.alias("start_date"),
         F.date_add(start, 90).alias("end_date"),
         _pick(PROMO_MIN_PURCHASE, F.pmod(p, F.lit(4)) + 1).cast("decimal(12,2)").alias("min_purchase"),
-        F.lit(DIM_VERSION_TS).cast("timestamp_ntz").alias("updated_at"),
+        ntz(DIM_VERSION_TS).alias("updated_at"),
         F.lit(0).cast("long").alias("_batch_id"))
     return _versioned(out, "promotions")
 

@@ -13,6 +13,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillhouse.functions._util import ntz
 from tillhouse.schemas import WATERMARK_STATE
 
 EPOCH = _dt.datetime(1970, 1, 1)
@@ -35,7 +36,7 @@ def slice_since(df: DataFrame, state: DataFrame, table: str, version_col: str =
     wm = (current(state).where(F.col("table_name") == table)
           .select(F.col("tenant_id").alias(tenant_col), F.col("watermark").alias("_wm")))
     return (df.join(F.broadcast(wm), tenant_col, "left")
-              .where(F.col(version_col) > F.coalesce(F.col("_wm"), F.lit(EPOCH).cast("timestamp_ntz")))
+              .where(F.col(version_col) > F.coalesce(F.col("_wm"), ntz(EPOCH)))
               .drop("_wm"))
 
 
