@@ -89,6 +89,12 @@ def test_stream_lands_only_new_files(spark, tmp_root):
     land_new_files(spark, f"{src}/*", st, out, ck)
     got = sorted((r.tenant_id, r.id, r._batch_id) for r in spark.read.parquet(out).collect())
     assert got == [("t1", 1, 0), ("t2", 2, 1)]
+    # a replayed epoch replaces its first attempt instead of adding a copy
+    from tillhouse.streaming.file_landing import epoch_writer
+    replay = spark.createDataFrame([("t2", 2, T(2024, 1, 2))], schema)
+    epoch_writer(out)(replay, 1)
+    got = sorted((r.tenant_id, r.id, r._batch_id) for r in spark.read.parquet(out).collect())
+    assert got == [("t1", 1, 0), ("t2", 2, 1)]
 
 
 def test_jdbc_multi_tenant_incremental_load(spark, tmp_root):

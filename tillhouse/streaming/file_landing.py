@@ -2,10 +2,15 @@
 
 For sources that arrive as files (one folder per table, tenant in a column),
 the high-water mark is kept by the stream checkpoint instead of a watermark
-table: each micro-batch holds only new files and is appended as versions with
-``_batch_id = epoch id``.  ``availableNow`` processes the backlog and stops,
-so the job keeps the scheduled-batch shape of the reference's load while the
-checkpoint makes a re-run after a failure exactly-once at the file level.
+table: each micro-batch holds only new files and is landed as versions with
+``_batch_id = batch_offset + epoch id``.  ``availableNow`` processes the
+backlog and stops, so the job keeps the scheduled-batch shape of the
+reference's load.
+
+Exactly-once: every epoch is written into its own ``batch_id=<n>``
+partition with dynamic partition overwrite, so an epoch that is replayed
+after a failure replaces what its first attempt wrote instead of appending a
+second copy.
 """
 
 from __future__ import annotations
@@ -15,19 +20,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def land_new_files(spark: SparkSession, source_dir: str, schema: StructType, landing_path: str,
-                   checkpoint: str, tenant_col: str = "tenant_id", batch_offset: int = 0):
-    """Append rows of files not yet seen under ``source_dir`` to ``landing_path``.
-
-    Returns the finished streaming query (``availableNow`` trigger).
-    """
-    stream = spark.readStream.schema(schema).parquet(source_dir)
+def epoch_writer(landing_path: str, tenant_col: str = "tenant_id", batch_offset: int = 0):
+    """The ``foreachBatch`` function: idempotent per epoch id."""
 
     def write_batch(df: DataFrame, epoch_id: int) -> None:
-        (df.withColumn("_batch_id", F.lit(batch_offset + epoch_id).cast("long"))
-           .write.mode("append").partitionBy(tenant_col).parquet(landing_path))
+        batch = F.lit(batch_offset + epoch_id).cast("long")
+        (df.withColumn("_batch_id", batch).withColumn("batch_id", batch)
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("batch_id", tenant_col).parquet(landing_path))
+
+    return write_batch
 
-    q = (stream.writeStream.foreachBatch(write_batch)
+
+def land_new_files(spark: SparkSession, source_dir: str, schema: StructType, landing_path: str,
+                   checkpoint: str, tenant_col: str = "tenant_id", batch_offset: int = 0):
+    """Land rows of files not yet seen under ``source_dir`` into ``landing_path``
+    (partitioned by ``batch_id`` and tenant).  Returns the finished query."""
+    stream = spark.readStream.schema(schema).parquet(source_dir)
+    q = (stream.writeStream.foreachBatch(epoch_writer(landing_path, tenant_col, batch_offset))
                .option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())
     q.awaitTermination()
