@@ -24,7 +24,12 @@ a key are candidates and are verified exactly.
 * Links, not pairs: in each key's group, members are first verified against
   the group's hub, the class that shares the most; then only pairs from
   different components so far remain.  A group of k near copies costs k
-  verifications, and components come out exactly.
+  verifications, and components come out exactly.  Keys that many classes of
+  different components still share (parts of common passages) don't pair them
+  all: their classes meet again by the prefix filter, with shingles frequent
+  in a sample of them put last (any order is exact; the sample only orders).
+* Candidates are first compared by size and by 2,048-bit bitmaps, which rule
+  out most pairs exactly, before their texts are fetched.
 
 Keys travel as binary blocks of (key, class); a key that repeats in a task's
 block many times (a hot one) is sent on spread over all partitions, with one
@@ -53,6 +58,9 @@ from tillhouse.llm.common import U, connected_components, mix, partitions, shing
 RATIO = 1.3          # width of a size band
 FLUSH = 1_500_000    # keys a task holds before it sends a block
 HOT = 200            # times a key repeats in a block before it is spread
+BITMAP = 2048        # bits of a set's bitmap
+FEW = 16             # classes of a key that are compared with each other directly
+SAMPLE = 4000        # classes whose shingles are counted to order prefixes
 
 
 class Scheme:
@@ -123,10 +131,11 @@ def keys_of(x: np.ndarray, percent: int) -> np.ndarray:
         sums[full] = np.add.reduceat(part, (np.cumsum(count) - count)[full])
         ids = np.arange(s.m)
         exact = ids < s.exact
-        out.append(_finish(sums[exact & (count > 0)], ids[exact & (count > 0)], count[exact & (count > 0)], s, 1))
-        refine = list(ids[exact & (count == 0)])
-        if len(refine) <= s.spare_empty:
-            refine = []
+        some, refine = exact & (count > 0), list(ids[exact & (count == 0)])
+        own = np.sort(_finish(sums[some], ids[some], count[some], s, 1))
+        if len(refine) <= s.spare_empty:            # leave the empty ones out, then the least keys
+            own, refine = own[s.spare_empty - len(refine):], []
+        out.append(own)
         if s.deleted:
             own = ~exact & (count > 0)
             out.append(_finish(sums[own], ids[own], count[own], s, 0))
@@ -221,12 +230,59 @@ def _info(percent: int, size: int):
     def work(batches):
         for batch in batches:
             ns, cs = [], []
+            bits = []
             for t in batch.column(1).to_pylist():
                 x = shingle_set(t, size)
                 ns.append(len(x))
                 cs.append(class_of(x) if len(x) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int64()), pa.array(cs, pa.int64())],
-                                             names=["doc_id", "n_shingles", "class"])
+                b = np.zeros(BITMAP, bool)
+                b[(x >> U(20)).astype(np.int64) % BITMAP] = True
+                bits.append(np.packbits(b).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int64()), pa.array(cs, pa.int64()), pa.array(bits, pa.binary())],
+                                             names=["doc_id", "n_shingles", "class", "bits"])
+    return work
+
+
+def _possible(percent: int):
+    """Pairs (a, b, na, nb, za, zb) that their bitmaps don't rule out: bitmaps
+    differ in no more places than the sets in elements."""
+    def work(batches):
+        for batch in batches:
+            if batch.num_rows:
+                za, zb = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for i in (4, 5))
+                total = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+                keep = (100 + percent) * np.bitwise_count(za ^ zb).sum(1) <= (100 - percent) * total
+                yield batch.select([0, 1]).filter(pa.array(keep))
+    return work
+
+
+def _prefixes(percent: int, size: int, common):
+    """(token, class) of the first n - ceil(p n) + 1 shingles of each class, common shingles last."""
+    def work(batches):
+        import zstandard
+        frequent = common.value
+        unzip = zstandard.ZstdDecompressor()
+        for batch in batches:
+            ts, cs = [], []
+            for c, z in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                x = shingle_set(unzip.decompress(z).decode("utf-8", "surrogatepass"), size)
+                late = frequent[np.minimum(np.searchsorted(frequent, x), len(frequent) - 1)] == x if len(frequent) else np.zeros(len(x), bool)
+                x = np.concatenate([x[~late], x[late]])[:len(x) - (-(-percent * len(x) // 100)) + 1]
+                ts.append(x.view(np.int64))
+                cs.append(np.full(len(x), c, np.int64))
+            if ts:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ts)), pa.array(np.concatenate(cs))], names=["token", "class"])
+    return work
+
+
+def _tokens(size: int):
+    def work(batches):
+        import zstandard
+        unzip = zstandard.ZstdDecompressor()
+        for batch in batches:
+            xs = [shingle_set(unzip.decompress(z).decode("utf-8", "surrogatepass"), size).view(np.int64) for z in batch.column(0).to_pylist()]
+            if xs:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(xs))], names=["token"])
     return work
 
 
@@ -265,7 +321,7 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     kind = d.schema["doc_id"].dataType.simpleString()
     parts = partitions(spark)
 
-    info = store(d.mapInArrow(_info(percent, size), f"doc_id {kind}, n_shingles long, class long"), "info")
+    info = store(d.mapInArrow(_info(percent, size), f"doc_id {kind}, n_shingles long, class long, bits binary"), "info")
     blocks = d.select("text").mapInArrow(_emit(percent, size, 4 * parts), "bucket long, block binary")
     found = store(blocks.repartition(parts, "bucket").mapInArrow(_shared, "key long, class long"), "shared")
 
@@ -290,26 +346,45 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     # texts of the classes that share a key, one for each class
     wanted = rows.select("class").distinct()
     heads = info.where("class is not null").groupBy("class").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n")).join(wanted, "class")
-    sizes = heads.select("class", "n")
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bits").alias("bits")).join(wanted, "class")
+    heads = store(heads, "heads")
     texts = store(_texts(d, heads, size), "texts")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        a, b = (sizes.select(F.col("class").alias(x), F.col("n").alias(f"n{x}")) for x in "ab")
-        near = (pairs.join(a, "a").join(b, "b")
-                .where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b"))
+        a, b = (heads.select(F.col("class").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"z{x}")) for x in "ab")
+        near = (pairs.join(a.drop("za"), "a").join(b.drop("zb"), "b")
+                .where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)"))
+        near = (near.join(a.select("a", "za"), "a").join(b.select("b", "zb"), "b").select("a", "b", "na", "nb", "za", "zb")
+                    .mapInArrow(_possible(percent), "a long, b long"))
         ta, tb = (texts.select(F.col("class").alias(x), F.col("zip").alias(f"z{x}")) for x in "ab")
         both = near.join(ta, "a").join(tb, "b").select("a", "b", "za", "zb")
         return store(both.mapInArrow(_verify(percent, size), "a long, b long"), name)
 
     links = verified(star, "star-links")
     part = connected_components(links)
+    # what is left: pairs of different components that share a key
     of = rows.join(part.withColumnRenamed("node", "class"), "class", "left").select(
         "key", "class", F.coalesce("component", "class").alias("component"))
-    mixed = of.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p < q").select("key")
-    of = store(of.join(mixed, "key"), "open")
-    x, y = (of.select("key", F.col("class").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
-    rest = x.join(y, "key").where("ca <> cb and a < b").select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
+
+    def mixed(of: DataFrame, key: str) -> DataFrame:
+        many = of.groupBy(key).agg(F.min("component").alias("p"), F.max("component").alias("q"), F.count("*").alias("n"))
+        return of.join(many.where("p < q").select(key, "n"), key)
+
+    def pairs(of: DataFrame, key: str) -> DataFrame:
+        x, y = (of.select(key, F.col("class").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
+        return x.join(y, key).where("ca <> cb and a < b").select("a", "b")
+
+    of = store(mixed(of, "key"), "open")
+    # keys of many classes: their classes meet again through rare shingles of their prefixes
+    crowd = of.where(F.col("n") > FEW).select("class", "component").distinct()
+    crowd = store(crowd.join(texts, "class").select("class", "component", "zip"), "crowd")
+    some = crowd.orderBy(F.xxhash64("class")).limit(SAMPLE).select("zip").mapInArrow(_tokens(size), "token long")
+    often = some.groupBy("token").agg(F.count("*").alias("n")).where("n > 2").orderBy(F.desc("n"), "token").limit(200_000)
+    common = spark.sparkContext.broadcast(np.sort(np.array([r["token"] for r in often.collect()], np.int64).view(np.uint64)))
+    prefix = crowd.select("class", "zip").mapInArrow(_prefixes(percent, size, common), "token long, class long")
+    prefix = store(mixed(prefix.join(crowd.select("class", "component"), "class"), "token"), "prefix")
+    rest = pairs(of.where(F.col("n") <= FEW), "key").unionByName(pairs(prefix, "token")).distinct()
+    rest = rest.join(star, ["a", "b"], "left_anti")
     links = store(links.unionByName(verified(store(rest, "rest"), "rest-links")), "links")
 
     part = connected_components(links).withColumnRenamed("node", "class")
