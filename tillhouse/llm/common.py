@@ -84,6 +84,27 @@ def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
     return np.unique(shingles_of(word_hashes(text), size))
 
 
+# ---- running totals of array columns ----------------------------------------
+def let(x, body):
+    """``body`` of the value of ``x``, which is evaluated once (inside lambdas
+    Spark would evaluate a repeated expression each time)."""
+    return F.get(F.transform(F.array(x), body), F.lit(0))
+
+
+def running(values, op, zero):
+    """Running totals (each including its own element) of an array column under
+    an associative ``op``: blocks of 32 elements and an array of block totals,
+    so long arrays cost little more than their length."""
+    g = 32
+    total = lambda xs: F.aggregate(xs, zero, op)
+    cut = lambda vs: F.transform(F.sequence(F.lit(0), F.floor((F.size(vs) - 1) / g).cast("int")),
+                                 lambda b: F.slice(vs, b * g + 1, F.lit(g)))
+    starts = lambda blocks: F.aggregate(F.transform(blocks, total), F.array(zero),
+                                        lambda acc, t: F.concat(acc, F.array(op(F.element_at(acc, -1), t))))
+    return let(let(values, cut), lambda blocks: let(starts(blocks), lambda before: F.flatten(F.transform(
+        blocks, lambda xs, b: F.transform(xs, lambda x, i: op(F.get(before, b), total(F.slice(xs, F.lit(1), i + 1))))))))
+
+
 # ---- connected components ---------------------------------------------------
 def connected_components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)`` as (node, component), where

@@ -6,9 +6,9 @@ of the corpus, by (doc_id, line number), is equal or near; the earliest stays.
 
 1. Lines become (hash, first place) by a partially aggregated minimum, so
    equal lines, however many, meet as one row.
-2. Lines at one edit agree in the words before or after it: in their first or
-   in their last p words, p the same for both.  Only distinct lines that share
-   such a half with another distinct line go on (exact, not a heuristic).
+2. Lines at one edit agree in the words before and after it.  Only distinct
+   lines that share all but one of two parts, then of four, with another
+   distinct line go on (``_parts``: exact, not a heuristic).
 3. Those emit their deletion variants, the line itself and the line without
    each word, as hashed keys; equal variants are joined through the key's
    earliest line, and, where a key has several lines, through every pair of
@@ -38,7 +38,6 @@ from pyspark.sql import functions as F
 
 from tillhouse.llm.common import WORD_GAP, store
 
-STEP = 4  # halves are cut at multiples of STEP / 2 words
 
 
 def _words(line):
@@ -56,47 +55,55 @@ def _place():
     return F.struct("id", "tag", "no")
 
 
-def _key(*parts):
-    return F.xxhash64(*parts)
+def _hash():
+    return [F.xxhash64(F.lit(1), "words").alias("h1"), F.xxhash64(F.lit(2), "words").alias("h2")]
 
 
-def _halves():
-    """Keys of the first and last p words for the length classes of a line:
-    classes are n // STEP, and (n - 1) // STEP where that differs, so that
-    lengths n and n - 1 always have one in common; p = STEP / 2 * class <= n / 2."""
+def _parts(g: int):
+    """Keys that lines at one edit share.  Of g parts of u words (u = n // g,
+    and (n - 1) // g where that differs, so that lengths n and n - 1 have one in
+    common) the edit lies in one, and the words of the others stand where they
+    stood, counted from the start before it and from the end after it: for some
+    k the first k * u words and the last (g - 1 - k) * u words agree."""
     n = F.size("words")
-    classes = F.array_distinct(F.array(F.floor(n / STEP), F.floor((n - 1) / STEP)))
-    return F.flatten(F.transform(classes, lambda c: F.array(
-        _key(F.lit(1), c, F.slice("words", F.lit(1), (c * (STEP // 2)).cast("int"))),
-        _key(F.lit(2), c, F.slice("words", n - (c * (STEP // 2)).cast("int") + 1, (c * (STEP // 2)).cast("int"))))))
+    units = F.array_distinct(F.array(F.floor(n / g), F.floor((n - 1) / g))).cast("array<int>")
+    last = lambda size: F.slice("words", n - size + 1, size)
+    return F.flatten(F.transform(units, lambda u: F.array(*[
+        F.xxhash64(F.lit(k), u, F.slice("words", F.lit(1), u * k), last(u * (g - 1 - k))) for k in range(g)])))
+
+
+def _meeting(lines: DataFrame, *place: str) -> DataFrame:
+    """The ``place`` of lines that share a key of ``parts`` with another line."""
+    part = lines.select(*place, "h1", F.explode("parts").alias("part"))
+    met = part.groupBy("part").agg(F.min("h1").alias("p"), F.max("h1").alias("q")).where("p < q").select("part")
+    return part.join(met, "part").select(*place).distinct()
 
 
 def duplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 5) -> DataFrame:
     """(h1, h2, first, near): each distinct long line's hash, its first place
     and the place of the earliest earlier line at one edit (null: none)."""
-    lines = _lines(docs, doc_id, text, min_words).select(
-        *_hash(), "id", "tag", "no", _halves().alias("halves"))
-    first = store(lines.groupBy("h1", "h2").agg(F.min(_place()).alias("first"), F.first("halves").alias("halves")), "first")
-    # distinct lines that share a half with another
-    half = first.select("h1", F.explode("halves").alias("half"))
-    met = half.groupBy("half").agg(F.min("h1").alias("p"), F.max("h1").alias("q")).where("p < q").select("half")
-    near = first.select("h1", "h2", "first", F.explode("halves").alias("half")).join(met, "half").select(
-        F.col("first.id").alias("id"), F.col("first.tag").alias("tag"), F.col("first.no").alias("no")).distinct()
-    # their words, from the place where they stand first
+    lines = _lines(docs, doc_id, text, min_words).select(*_hash(), "id", "tag", "no", _parts(2).alias("parts"))
+    first = store(lines.groupBy("h1", "h2").agg(F.min(_place()).alias("first"), F.first("parts").alias("parts")), "first")
+    near = _meeting(first.select("h1", "first.*", "parts"), "id", "tag", "no")
+    # the words of those, from the place where they stand first
     by_doc = near.groupBy("id", "tag").agg(F.collect_list("no").alias("nos"))
     d = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("tag"), F.col(text).alias("text"))
     texts = d.join(by_doc, (d["id"].eqNullSafe(by_doc["id"])) & (d["tag"] == by_doc["tag"])).select(
-        d["id"], d["tag"], "text", "nos").dropDuplicates(["id", "tag"])
-    some = texts.select("id", "tag", F.split("text", "\n").alias("ls"), F.explode("nos").alias("no")).select(
-        "id", "tag", "no", _words(F.get("ls", F.col("no"))).alias("words"))
-    some = store(some, "lines")
-    # deletion neighbourhood: position 0 is the whole line
+        d["id"], d["tag"], F.split("text", "\n").alias("ls"), "nos")
+    some = store(texts.select("id", "tag", "ls", F.explode("nos").alias("no")).select(
+        "id", "tag", "no", _words(F.get("ls", F.col("no"))).alias("words")).distinct(), "some")
+    # the same test with smaller parts
+    fine = some.select("id", "tag", "no", _parts(4).alias("parts"), F.xxhash64("words").alias("h1"))
+    met = _meeting(fine, "id", "tag", "no").select(F.struct("id", "tag", "no").alias("there"))
+    some = store(some.join(met, _place().eqNullSafe(met["there"]), "left_semi"), "lines")
+    # deletion neighbourhood: position 0 is the whole line; stored, as both ways to meet read it
     n = F.size("words")
-    whole = lambda i: F.concat(F.slice("words", F.lit(1), i - 1), F.slice("words", i + 1, n))
+    rest = lambda i: F.concat(F.slice("words", F.lit(1), i - 1), F.slice("words", i + 1, n))
     variants = F.transform(F.sequence(F.lit(0), n), lambda i: F.struct(
-        i.alias("at"), F.when(i == 0, _key(F.col("words"))).otherwise(_key(whole(F.greatest(i, F.lit(1))))).alias("v")))
-    emitted = some.select(_place().alias("place"), F.size("words").alias("n"), F.explode(variants).alias("x")).select(
+        i.alias("at"), F.when(i == 0, F.xxhash64("words")).otherwise(F.xxhash64(rest(F.greatest(i, F.lit(1))))).alias("v")))
+    emitted = some.select(_place().alias("place"), n.alias("n"), F.explode(variants).alias("x")).select(
         "place", "n", F.col("x.at").alias("at"), F.col("x.v").alias("v"))
+    emitted = store(emitted, "variants")
     # the earliest line of each key, per way to meet: same deleted position, or whole against variant
     as_replaced = emitted.where("at > 0").select("place", F.xxhash64("v", "at", "n").alias("key"), F.lit(True).alias("small"), F.lit(True).alias("large"))
     as_inserted = emitted.select("place", F.xxhash64("v").alias("key"), (F.col("at") == 0).alias("small"), (F.col("at") > 0).alias("large"))
@@ -115,10 +122,6 @@ def duplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return first.select("h1", "h2", "first").join(best.withColumnRenamed("place", "first"), "first", "left")
 
 
-def _hash():
-    return [F.xxhash64(F.lit(1), "words").alias("h1"), F.xxhash64(F.lit(2), "words").alias("h2")]
-
-
 def within_one_edit(a, b):
     """Whether two word arrays are at most one inserted, deleted or replaced
     word apart: after the common start, the rests agree but for their first words."""

@@ -31,6 +31,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillhouse.llm.common import running
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -68,15 +70,7 @@ BEFORE = 24  # code points of context
 
 # ---- places -----------------------------------------------------------------
 def _sums(lengths: Column) -> Column:
-    """Running sums of an array of numbers, in blocks: linear but for a short array of block totals."""
-    g = 128
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / g).cast("int")),
-                         lambda b: F.slice(lengths, b * g + 1, F.lit(g)))
-    total = lambda xs: F.aggregate(xs, F.lit(0).cast("long"), lambda a, x: a + x)
-    starts = F.aggregate(F.transform(blocks, total), F.array(F.lit(0).cast("long")),
-                         lambda acc, t: F.concat(acc, F.array(F.element_at(acc, -1) + t)))
-    return F.flatten(F.transform(blocks, lambda xs, b: F.transform(
-        xs, lambda x, i: F.get(starts, b) + total(F.slice(xs, F.lit(1), i + 1)))))
+    return running(lengths, lambda a, b: a + b, F.lit(0).cast("long"))
 
 
 def _matches(t: Column, kind: str) -> tuple[Column, Column]:
