@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 CHUNK = 40_000     # distinct pre-tokens solved by one recursive query
-CACHE = 500_000  # solved pieces a task keeps
+CACHE = 1_200_000 # solved pieces a task keeps
 LONG = 600         # bytes
 
 STEP = """
