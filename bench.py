@@ -109,7 +109,7 @@ def main() -> None:
           lambda: jobs.load_incremental(spark, {"transactions": source_today}, landing_root, state, 2).collect())
     # merge only today's batch into yesterday's compacted copy
     raw_mt = timed("compact_1pct", lambda: jobs.compact_tables(spark, landing_root, compact_root,
-                                                               list(wh.raw_mt), 2, previous_run_id=1))
+                                                               list(wh.raw_mt), 2))
 
     stg: dict = {}
     st = timed("build_single", lambda: jobs.build_single(spark, raw_st, f"{root}/st", wh.loaded_at, stg))

@@ -110,10 +110,10 @@ def test_jdbc_multi_tenant_incremental_load(spark, tmp_root):
     put("B", [(1, "b1", T(2024, 1, 2, 10, 0, 0))])            # id 1 collides across tenants
     src = {"customers": jdbc.incremental_source(spark, url, {"ta": "A", "tb": "B"}, "customers", props)}
     land, state = f"{tmp_root}/landing", f"{tmp_root}/state"
-    a1 = jobs.load_incremental(spark, src, land, state, 1)
+    a1 = jobs.load_incremental(spark, src, land, state, 1, schemas={})
     assert {(r.tenant_id, r.rows_loaded) for r in a1.collect()} == {("ta", 2), ("tb", 1), (None, 3)}
     put("A", [(1, "a1", T(2024, 1, 1, 10, 0, 0)), (2, "a2-new", T(2024, 1, 3, 9, 0, 0))])
-    a2 = jobs.load_incremental(spark, src, land, state, 2)
+    a2 = jobs.load_incremental(spark, src, land, state, 2, schemas={})
     assert {(r.tenant_id, r.rows_loaded) for r in a2.collect()} == {("ta", 1), ("tb", 0), (None, 1)}
     from tillhouse.operators import latest_by_key
     latest = {(r.tenant_id, r.customer_id): r.name for r in

@@ -33,7 +33,7 @@ def initcap_alnum(c) -> Column:
     pieces = F.split(F.lower(as_col(c)), _WORD_START)
     return F.array_join(
         F.transform(pieces, lambda w: F.concat(F.upper(F.substring(w, 1, 1)),
-                                               F.substring(w, 2, 1 << 30))),
+                                               F.substr(w, F.lit(2)))),
         "")
 
 

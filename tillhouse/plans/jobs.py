@@ -27,8 +27,8 @@ from tillhouse.operators.quality import run_suite
 from tillhouse.plans import checks
 from tillhouse.plans.lazy import merged
 from tillhouse.plans.warehouse import Warehouse
-from tillhouse.schemas import RAW_ST, WATERMARK_STATE, conform
-from tillhouse.session import scratch_path
+from tillhouse.schemas import RAW_MT, RAW_ST, WATERMARK_STATE, conform
+from tillhouse.session import path_exists, scratch_path
 from tillhouse.sources import landing, watermark
 
 
@@ -72,36 +72,51 @@ def load_full(spark: SparkSession, sources: Mapping[str, DataFrame], raw_root: s
 
 
 def read_state(spark: SparkSession, state_path: str) -> DataFrame:
-    try:
-        return spark.read.schema(WATERMARK_STATE).parquet(state_path)
-    except Exception:  # noqa: BLE001 - no state yet (or unreadable): full reload
+    """The stored watermarks; none before the first run.  An unreadable state
+    is an error, never a silent full reload."""
+    if not path_exists(spark, state_path):
         return watermark.empty_state(spark)
+    return spark.read.schema(WATERMARK_STATE).parquet(state_path).select(*WATERMARK_STATE.fieldNames())
+
+
+def _conformed(df: DataFrame, table: str, batch_id: int, schemas: Mapping = RAW_MT) -> DataFrame:
+    """A batch in its table's declared schema: booleans as 0/1, a missing
+    column fails here, extra ones go."""
+    out = df if "_batch_id" in df.columns else df.withColumn("_batch_id", F.lit(batch_id).cast("long"))
+    return conform(out, schemas[table]) if table in schemas else out
+
+
+def _raw_schema(table: str):
+    return RAW_MT.get(table)
 
 
 def load_incremental(spark: SparkSession, sources: Mapping[str, Callable[[DataFrame], DataFrame] | DataFrame],
-                     landing_root: str, state_path: str, run_id: int) -> DataFrame:
+                     landing_root: str, state_path: str, run_id: int, schemas: Mapping = RAW_MT) -> DataFrame:
     """One incremental multi-tenant run.
 
+    Each batch lands in its table's declared schema (``schemas``); a table
+    that has none lands as its source gives it.
+
     ``sources[table]`` is either a DataFrame with ``tenant_id`` and
     ``updated_at`` (sliced here against the state), or a callable that
     receives the current state and returns the already-sliced rows (e.g.
     per-tenant ``jdbc.read_since`` with the filter pushed to the database).
 
-    Order matters (at-least-once): all batches are appended first; the state
-    of this run is appended only after every table landed.  A failure before
-    that re-pulls everything next run, which deduplication absorbs.
+    Order matters: all batches land first, the state of this run only after
+    every table landed.  A retry of the run reads the state of earlier runs and
+    replaces its own batch and state, so rows, state and audit come out the same.
     """
-    state = read_state(spark, state_path)
+    state = read_state(spark, state_path).where(F.col("run_id") < run_id)
     marks, batches = [], {}
     for table, src in sources.items():
         batch = src(state) if callable(src) else watermark.slice_since(src, state, table)
         path = _path(landing_root, table)
-        landing.append_versions(batch, path, run_id)
-        written = landing.read_landed(spark, path, run_id)
+        landing.append_versions(_conformed(batch.drop("_batch_id"), table, run_id, schemas), path, run_id)
+        written = landing.read_landed(spark, path, run_id, schemas.get(table))
         batches[table] = written
         marks.append(watermark.batch_watermarks(written, table, run_id))
     new_state = watermark.advance(state, reduce(DataFrame.unionByName, marks), run_id)
-    new_state.write.mode("append").partitionBy("run_id").parquet(state_path)
+    new_state.drop("run_id").write.mode("overwrite").parquet(f"{state_path.rstrip('/')}/run_id={run_id}")
     # every known (tenant, table) pair gets a row, 0 where nothing was loaded
     known = read_state(spark, state_path).where(F.col("run_id") == run_id).select("tenant_id", "table_name")
     counted = landing.load_audit(batches).where(F.col("table_name").isNotNull())
@@ -157,7 +172,7 @@ def build_multi(spark: SparkSession, raw: Mapping[str, DataFrame], marts_root: s
 
 def land_raw_single(spark: SparkSession, raw: Mapping[str, DataFrame], raw_root: str) -> dict[str, DataFrame]:
     """Full load of the single-tenant raw tables; returns the landed tables."""
-    run_concurrently({t: (lambda df=df, t=t: landing.land_full(df, _path(raw_root, t)))
+    run_concurrently({t: (lambda df=df, t=t: landing.land_full(conform(df, RAW_ST[t]) if t in RAW_ST else df, _path(raw_root, t)))
                       for t, df in raw.items()})
     return {t: spark.read.parquet(_path(raw_root, t)) for t in raw}
 
@@ -167,58 +182,63 @@ def land_raw_multi(spark: SparkSession, raw: Mapping[str, DataFrame], landing_ro
     """Append the multi-tenant row versions as one batch (keeping their own
     ``_batch_id`` when present); returns all landed versions."""
     def append(t, df):
-        out = df if "_batch_id" in df.columns else df.withColumn("_batch_id", F.lit(batch_id).cast("long"))
-        out.write.mode("append").partitionBy("tenant_id").parquet(_path(landing_root, t))
+        out = _conformed(df, t, batch_id)
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("_batch_id", "tenant_id").parquet(_path(landing_root, t)))
 
     run_concurrently({t: (lambda t=t, df=df: append(t, df)) for t, df in raw.items()})
-    return {t: landing.read_landed(spark, _path(landing_root, t)).select(*raw[t].columns) for t in raw}
+    return {t: landing.read_landed(spark, _path(landing_root, t), schema=_raw_schema(t)) for t in raw}
 
 
 def seed_state(spark: SparkSession, landed: Mapping[str, DataFrame], state_path: str, run_id: int) -> None:
     """State for tables landed outside ``load_incremental`` (e.g. an initial
     bulk landing): the watermark of everything landed so far."""
     marks = [watermark.batch_watermarks(df, t, run_id) for t, df in landed.items()]
-    reduce(DataFrame.unionByName, marks).write.mode("append").partitionBy("run_id").parquet(state_path)
+    reduce(DataFrame.unionByName, marks).drop("run_id").write.mode("overwrite").parquet(f"{state_path.rstrip('/')}/run_id={run_id}")
+
 
+MANIFEST = "table_name string, version_path string, last_batch long, run_id long"
 
-def compact_tables(spark: SparkSession, landing_root: str, compact_root: str, tables, run_id: int,
-                   previous_run_id: int | None = None) -> dict[str, DataFrame]:
+
+def compact_tables(spark: SparkSession, landing_root: str, compact_root: str, tables, run_id: int) -> dict[str, DataFrame]:
     """Compacted copy of each landed table as of ``run_id`` (D3): the latest
     version per ``(tenant_id, pk)``, written to ``<compact_root>/<table>/v<run_id>``.
 
-    With the compacted copy of ``previous_run_id`` as base, only the batch of
-    ``run_id`` is merged in (``landing.merge_versions``: the base is not
-    shuffled); without one, every landed version is deduplicated once.
-    A table without a batch in ``run_id`` keeps its previous copy.  Earlier
-    copies stay in place, so a failed run leaves the last good one.
+    A manifest names each table's current copy and the last batch in it.  Every
+    later batch up to ``run_id`` is merged in, however many runs were skipped
+    (``landing.merge_versions``: the base is not shuffled); a table without a
+    later batch keeps its copy; a table the manifest does not name is
+    deduplicated once from all versions.  A copy that the manifest names and
+    that is missing is an error.  Earlier copies stay in place, so a failed run
+    leaves the last good one.
     """
     from tillhouse.operators import latest_by_key
     from tillhouse.schemas import MT_KEYS
 
-    out = {}
-    actions = {}
+    manifest, known = _path(compact_root, "manifest"), {}
+    if path_exists(spark, manifest):
+        rows = (spark.read.schema(MANIFEST).parquet(manifest).where(F.col("run_id") < run_id).groupBy("table_name")
+                .agg(F.max_by(F.struct("version_path", "last_batch"), "run_id").alias("m")))
+        known = {r["table_name"]: (r["m"]["version_path"], r["m"]["last_batch"]) for r in rows.collect()}
+    out, actions = dict(known), {}
     for t in tables:
-        keys = ["tenant_id", MT_KEYS[t]]
-        landed = landing.read_landed(spark, _path(landing_root, t))
-        base = None
-        if previous_run_id is not None:
-            try:
-                base = spark.read.parquet(_path(compact_root, f"{t}/v{previous_run_id}"))
-            except Exception:  # noqa: BLE001 - no earlier copy: rebuild from all versions
-                base = None
-        if base is None:
-            merged_df = latest_by_key(landed, keys)
-        else:
-            delta = landed.where(F.col("_batch_id") == run_id)
-            if delta.isEmpty():              # untouched today: keep yesterday's copy
-                out[t] = _path(compact_root, f"{t}/v{previous_run_id}")
+        keys, schema = ["tenant_id", MT_KEYS[t]], _raw_schema(t)
+        landed = landing.read_landed(spark, _path(landing_root, t), schema=schema).where(F.col("_batch_id") <= run_id)
+        if t in known:
+            path, last = known[t]
+            delta = landed.where(F.col("_batch_id") > last)
+            if delta.isEmpty():
                 continue
-            merged_df = landing.merge_versions(base, delta, keys)
+            merged_df = landing.merge_versions(landing.read_landed(spark, path, schema=schema), delta, keys)
+        else:
+            merged_df = latest_by_key(landed, keys)
         target = _path(compact_root, f"{t}/v{run_id}")
-        out[t] = target
+        out[t] = (target, run_id)
         actions[t] = (lambda df=merged_df, p=target: df.write.mode("overwrite").partitionBy("tenant_id").parquet(p))
     run_concurrently(actions)
-    return {t: spark.read.parquet(p) for t, p in out.items()}
+    spark.createDataFrame([(t, p, b) for t, (p, b) in out.items()], "table_name string, version_path string, last_batch long") \
+         .coalesce(1).write.mode("overwrite").parquet(f"{manifest}/run_id={run_id}")
+    return {t: landing.read_landed(spark, out[t][0], schema=_raw_schema(t)) for t in tables}
 
 
 def daily_single(spark: SparkSession, sources: Mapping[str, DataFrame], root: str) -> DataFrame:
@@ -231,19 +251,19 @@ def daily_single(spark: SparkSession, sources: Mapping[str, DataFrame], root: st
 
 
 def daily_multi(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, run_id: int,
-                compacted: bool = False, previous_run_id: int | None = None) -> DataFrame:
+                compacted: bool = False) -> DataFrame:
     """The multi-tenant day: incremental load -> staging -> marts -> checks.
 
-    ``compacted``: merge the day's batch into the compacted copy of
-    ``previous_run_id`` and build from it (no dedup of the whole history);
+    ``compacted``: merge the batches since the last compaction into its copy
+    and build from it (no dedup of the whole history);
     otherwise staging deduplicates every landed version on read.
     """
     landing_root = _path(root, "landing")
     load_incremental(spark, sources, landing_root, _path(root, "state"), run_id)
     if compacted:
-        raw = compact_tables(spark, landing_root, _path(root, "compact"), list(sources), run_id, previous_run_id)
+        raw = compact_tables(spark, landing_root, _path(root, "compact"), list(sources), run_id)
     else:
-        raw = {t: landing.read_landed(spark, _path(landing_root, t)) for t in sources}
+        raw = {t: landing.read_landed(spark, _path(landing_root, t), schema=_raw_schema(t)) for t in sources}
     stg: dict = {}
     mt = build_multi(spark, raw, _path(root, "marts"), staging_out=stg, mt_deduplicated=compacted)
     return failing(run_checks(merged(stg, mt), layers=("multi",)))

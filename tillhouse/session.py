@@ -43,7 +43,7 @@ def get_session(master: str | None = None, app: str = "tillhouse",
 
 
 def shuffle_partitions_for(input_bytes: int, target_partition_bytes: int = 256 << 20,
-                           minimum: int = 8, maximum: int = 100_000) -> int:
+                           minimum: int = 8) -> int:
     """Initial shuffle partition count for an input of ``input_bytes``.
 
     AQE only *coalesces* small partitions (and splits skewed ones), so the
@@ -51,14 +51,15 @@ def shuffle_partitions_for(input_bytes: int, target_partition_bytes: int = 256 <
     partition per 256 MB of input keeps every partition well inside executor
     memory; AQE merges the rest back to its advisory size.
     """
-    return max(minimum, min(maximum, -(-input_bytes // target_partition_bytes)))
+    return max(minimum, -(-input_bytes // target_partition_bytes))
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) do we pick a folder of our
-    own; on a cluster the configured shared path is always used.
+    Only a local session may name none (tests): it gets a folder of its own.
+    On a cluster a machine-local folder would scatter the rows, so a missing
+    setting is an error there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
@@ -69,6 +70,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tillhouse-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and sc.getCheckpointDir() is None:
@@ -80,3 +84,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-path of the shared checkpoint folder for written intermediate tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return os.path.join(base, "tables", name) if "://" not in base else f"{base}/tables/{name}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there, in whatever store Spark reads it from."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillhouse.operators.dedup import latest_by_key
 
@@ -24,14 +25,19 @@ def land_full(df: DataFrame, path: str) -> None:
 
 
 def append_versions(df: DataFrame, path: str, batch_id: int, tenant_col: str = "tenant_id") -> None:
-    """Append row versions tagged with ``_batch_id``, partitioned by tenant
-    (tenant filters prune partitions)."""
-    out = df.withColumn("_batch_id", F.lit(batch_id).cast("long"))
-    out.write.mode("append").partitionBy(tenant_col).parquet(path)
-
-
-def read_landed(spark: SparkSession, path: str, batch_id: int | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
+    """Land a batch of row versions as its own partition ``_batch_id=<id>``, by
+    tenant inside.  A retry of the batch replaces it, so a run is idempotent."""
+    df.drop("_batch_id").write.mode("overwrite").partitionBy(tenant_col).parquet(f"{path.rstrip('/')}/_batch_id={batch_id}")
+
+
+def read_landed(spark: SparkSession, path: str, batch_id: int | None = None,
+                schema: T.StructType | None = None) -> DataFrame:
+    """Landed versions; ``batch_id`` prunes to that batch's files.  With the
+    declared ``schema`` an empty table reads as empty and ids that look like
+    numbers stay text."""
+    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+    if schema is not None:
+        df = df.select(*schema.fieldNames())
     return df.where(F.col("_batch_id") == batch_id) if batch_id is not None else df
 
 
@@ -72,8 +78,7 @@ def merge_versions(base: DataFrame, delta: DataFrame, keys: list[str], version:
     Keys the delta does not touch pass straight through (anti join on the
     delta's keys); only base rows of touched keys meet the delta rows in a
     dedup.  When the delta is small AQE broadcasts its keys, so the base is
-    scanned once and never shuffled - the daily cost follows the change
-    volume, not the history.
+    never shuffled; it is still scanned and written again as the new copy.
     """
     cols = base.columns
     d = latest_by_key(delta.select(*cols), keys, version, tie_break)

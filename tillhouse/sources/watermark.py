@@ -35,7 +35,7 @@ def slice_since(df: DataFrame, state: DataFrame, table: str, version_col: str =
     ``>``); a tenant without state starts at the epoch."""
     wm = (current(state).where(F.col("table_name") == table)
           .select(F.col("tenant_id").alias(tenant_col), F.col("watermark").alias("_wm")))
-    return (df.join(F.broadcast(wm), tenant_col, "left")
+    return (df.join(wm, tenant_col, "left")
               .where(F.col(version_col) > F.coalesce(F.col("_wm"), ntz(EPOCH)))
               .drop("_wm"))
 
