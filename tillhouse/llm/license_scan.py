@@ -219,8 +219,9 @@ class Model:
 
 def train(docs: DataFrame, sample_docs: int = 400, sample_paragraphs: int = 4000, text: str = "text") -> Model:
     """A model whose unknown class comes from at most ``sample_paragraphs``
-    paragraphs of ``sample_docs`` documents that name no licence themselves."""
-    few = (docs.select(F.substring(F.col(text), 1, 100_000).alias("text")).where("text is not null")
+    paragraphs of ``sample_docs`` documents of at most 100,000 characters, and
+    that name no licence themselves."""
+    few = (docs.select(F.col(text).alias("text")).where("length(text) <= 100000")
                .orderBy(F.xxhash64("text"), "text").limit(sample_docs).collect())
     negatives = [w for r in few for _, w in windows(r["text"])][:sample_paragraphs]
     named = (b"licen", b"copyright", b"spdx", b"creative", b"apache", b"gnu")
