@@ -103,6 +103,39 @@ def test_ngram_join_components(docs, empty):
     assert similar_components(empty).count() == 0
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_ngram_join_of_crowded_keys(spark, monkeypatch, seed):
+    """Near copies around the threshold, copies of far ones, and texts that share most of a
+    passage: classes that the first hub does not match still find each other."""
+    from tillhouse.llm import ngram_join
+    monkeypatch.setattr(ngram_join, "FEW", 2)
+    r = random.Random(seed)
+    base, texts = [r.choice(WORDS) for _ in range(90)], []
+
+    def edited(ws, times):
+        ws = list(ws)
+        for _ in range(times):
+            at = r.randrange(len(ws))
+            ws[at:at + r.choice([0, 1, 1, 1])] = [f"n{r.randrange(10 ** 6)}"] * r.choice([0, 1, 1])
+        return ws
+    for _ in range(90):
+        far = edited(base, r.randrange(7))
+        texts += [far, edited(far, 2)] if r.random() < 0.4 else [far]
+    for _ in range(60):
+        texts.append(base[20:60] + [f"o{r.randrange(10 ** 6)}" for _ in range(r.randrange(1, 12))])
+    sets = [shingles(" ".join(t)) for t in texts]
+    group = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                group = [group[b] if g == group[a] else g for g in group]
+    low = {g: group.index(g) for g in group}
+    assert len(low) > 10
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.similar_components(docs).collect()}
+    assert got == {i: low[g] for i, g in enumerate(group)}
+
+
 def test_ngram_schemes_keep_every_link():
     """Random pairs at exactly the threshold share a key, in every size band."""
     import numpy as np

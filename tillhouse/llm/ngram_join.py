@@ -25,9 +25,10 @@ a key are candidates and are verified exactly.
   the group's hub, the class that shares the most; then only pairs from
   different components so far remain.  A group of k near copies costs k
   verifications, and components come out exactly.  Keys that many classes of
-  different components still share (parts of common passages) don't pair them
-  all: their classes meet again by the prefix filter, with shingles frequent
-  in a sample of them put last (any order is exact; the sample only orders).
+  different components still share don't pair them all.  A class that is not
+  similar to the hub is similar to another one only where both differ from the
+  hub in the same shingles, in about half of the other's differences at least
+  (``_residuals``), so classes meet again by a prefix filter on those.
 * Candidates are first compared by size and by 2,048-bit bitmaps, which rule
   out most pairs exactly, before their texts are fetched.
 
@@ -60,7 +61,6 @@ FLUSH = 1_500_000    # keys a task holds before it sends a block
 HOT = 200            # times a key repeats in a block before it is spread
 BITMAP = 2048        # bits of a set's bitmap
 FEW = 16             # classes of a key that are compared with each other directly
-SAMPLE = 4000        # classes whose shingles are counted to order prefixes
 
 
 class Scheme:
@@ -256,33 +256,43 @@ def _possible(percent: int):
     return work
 
 
-def _prefixes(percent: int, size: int, common):
-    """(token, class) of the first n - ceil(p n) + 1 shingles of each class, common shingles last."""
+def _residuals(percent: int, size: int):
+    """From (class, hub, other, component, zx, zh) rows the differences D of each
+    class x from a hub h.  A far class o is not similar to h, so it differs from
+    it in (100 + p) d_o > (100 - p) (n_o + n_h) shingles; where o and x are
+    similar, they differ in no more than (100 - p) (n_o + n_x) / (100 + p), so
+    D_o and D_x share over (d_x + (100 - p) (n_h - n_x) / (100 + p)) / 2 > 0
+    elements.  Probe rows hold all of D for far classes of other components than
+    the hub's; index rows as many of D, x's own shingles first, as surely meet,
+    or n_x - p n_x + 1 of x's own shingles where there are so many (of those, a
+    similar set has one; the far one's D holds it, as h does not).  Two classes
+    differ in no fewer shingles than their counts of own shingles and of those
+    shared with h do, and than the parities of their shingles in 128 places
+    (size, own, odd0, odd1) do; a row with a null probe says that a class of another component is similar to h."""
     def work(batches):
         import zstandard
-        frequent = common.value
         unzip = zstandard.ZstdDecompressor()
+        read = lru_cache(500)(lambda z: shingle_set(unzip.decompress(z).decode("utf-8", "surrogatepass"), size))
         for batch in batches:
-            ts, cs = [], []
-            for c, z in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                x = shingle_set(unzip.decompress(z).decode("utf-8", "surrogatepass"), size)
-                late = frequent[np.minimum(np.searchsorted(frequent, x), len(frequent) - 1)] == x if len(frequent) else np.zeros(len(x), bool)
-                x = np.concatenate([x[~late], x[late]])[:len(x) - (-(-percent * len(x) // 100)) + 1]
-                ts.append(x.view(np.int64))
-                cs.append(np.full(len(x), c, np.int64))
-            if ts:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ts)), pa.array(np.concatenate(cs))], names=["token", "class"])
-    return work
-
-
-def _tokens(size: int):
-    def work(batches):
-        import zstandard
-        unzip = zstandard.ZstdDecompressor()
-        for batch in batches:
-            xs = [shingle_set(unzip.decompress(z).decode("utf-8", "surrogatepass"), size).view(np.int64) for z in batch.column(0).to_pylist()]
-            if xs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(xs))], names=["token"])
+            parts, sketch = [], np.zeros((batch.num_rows, 4), np.int64)
+            for i in range(batch.num_rows):
+                x, h = read(batch.column(4)[i].as_py()), read(batch.column(5)[i].as_py())
+                own = np.setdiff1d(x, h, True)
+                d = np.concatenate([own, np.setdiff1d(h, x, True)])
+                least = ((100 + percent) * len(d) + (100 - percent) * (len(h) - len(x))) // (2 * (100 + percent)) + 1
+                enough, plain = len(d) - least + 1, len(x) - (-(-percent * len(x) // 100)) + 1
+                odd = np.bincount((x >> U(40)).astype(np.int64) % 128, minlength=128) % 2
+                sketch[i] = len(x), len(own), *np.packbits(odd.astype(bool)).view(np.int64)
+                parts.append((i, d[:plain if plain <= len(own) and (plain < enough or enough > len(own)) else enough], False))
+                if batch.column(2)[i].as_py():
+                    far = (100 + percent) * len(d) > (100 - percent) * (len(x) + len(h))
+                    parts.append((i, d if far else d[:1], True if far else None))
+            if parts:
+                at, probe = (np.repeat([x[k] for x in parts], [len(x[1]) for x in parts]) for k in (0, 2))
+                token = np.concatenate([t for _, t, _ in parts]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([*batch.select([0, 1, 3]).take(pa.array(at)).columns, pa.array(token), pa.array(probe.tolist(), pa.bool_()),
+                                                  *[pa.array(sketch[at, k]) for k in range(4)]],
+                                                 names=["class", "hub", "component", "token", "probe", "size", "own", "odd0", "odd1"])
     return work
 
 
@@ -363,28 +373,33 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     links = verified(star, "star-links")
     part = connected_components(links)
     # what is left: pairs of different components that share a key
-    of = rows.join(part.withColumnRenamed("node", "class"), "class", "left").select(
-        "key", "class", F.coalesce("component", "class").alias("component"))
-
-    def mixed(of: DataFrame, key: str) -> DataFrame:
-        many = of.groupBy(key).agg(F.min("component").alias("p"), F.max("component").alias("q"), F.count("*").alias("n"))
-        return of.join(many.where("p < q").select(key, "n"), key)
-
-    def pairs(of: DataFrame, key: str) -> DataFrame:
-        x, y = (of.select(key, F.col("class").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
-        return x.join(y, key).where("ca <> cb and a < b").select("a", "b")
-
-    of = store(mixed(of, "key"), "open")
-    # keys of many classes: their classes meet again through rare shingles of their prefixes
-    crowd = of.where(F.col("n") > FEW).select("class", "component").distinct()
-    crowd = store(crowd.join(texts, "class").select("class", "component", "zip"), "crowd")
-    some = crowd.orderBy(F.xxhash64("class")).limit(SAMPLE).select("zip").mapInArrow(_tokens(size), "token long")
-    often = some.groupBy("token").agg(F.count("*").alias("n")).where("n > 2").orderBy(F.desc("n"), "token").limit(200_000)
-    common = spark.sparkContext.broadcast(np.sort(np.array([r["token"] for r in often.collect()], np.int64).view(np.uint64)))
-    prefix = crowd.select("class", "zip").mapInArrow(_prefixes(percent, size, common), "token long, class long")
-    prefix = store(mixed(prefix.join(crowd.select("class", "component"), "class"), "token"), "prefix")
-    rest = pairs(of.where(F.col("n") <= FEW), "key").unionByName(pairs(prefix, "token")).distinct()
-    rest = rest.join(star, ["a", "b"], "left_anti")
+    # of each component the class with the most links; a key's hub is that of its largest component, or its smallest class
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
+    centres = part.join(ends, "node").groupBy("component").agg(F.count("*").alias("members"), F.max_by("node", F.struct("links", "node")).alias("centre"))
+    nodes = (heads.select("class", F.col("n").alias("size")).join(part.withColumnRenamed("node", "class"), "class", "left")
+                  .join(centres, "component", "left")
+                  .select("class", F.coalesce("component", "class").alias("component"), F.struct(
+                      F.coalesce("members", F.lit(1)).alias("members"), (-F.col("size")).alias("size"),
+                      F.coalesce("centre", "class").alias("class"), F.coalesce("component", "class").alias("component")).alias("hub")))
+    of = rows.select("key", "class").join(nodes, "class")
+    many = of.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q"), F.count("*").alias("n"), F.max("hub").alias("hub"))
+    of = store(of.drop("hub").join(many.where("p < q").select("key", "n", "hub"), "key"), "open")
+    x, y = (of.where(F.col("n") <= FEW).select("key", F.col("class").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
+    rest = x.join(y, "key").where("ca <> cb and a < b").select("a", "b")
+    # keys of many classes: their classes meet again through their differences from the key's hub
+    crowd = of.where((F.col("n") > FEW) & (F.col("class") != F.col("hub.class"))).select(
+        "class", F.col("hub.class").alias("hub"), (F.col("component") != F.col("hub.component")).alias("other"), "component").distinct()
+    crowd = crowd.join(texts.withColumnRenamed("zip", "zx"), "class").join(texts.select(F.col("class").alias("hub"), F.col("zip").alias("zh")), "hub")
+    differ = store(crowd.select("class", "hub", "other", "component", "zx", "zh").mapInArrow(
+        _residuals(percent, size), "class long, hub long, component long, token long, probe boolean, size long, own long, odd0 long, odd1 long"), "differ")
+    x, y = (differ.where(F.col("probe") == side).select("hub", "token", *[F.col(k).alias(f"{c}_{k}") for k in ("class", "component", "size", "own", "odd0", "odd1")])
+            for c, side in (("x", False), ("y", True)))
+    met = (x.join(y, ["hub", "token"]).where("x_component <> y_component").where(
+        f"{100 + percent} * greatest(abs(x_own - y_own) + abs(x_size - x_own - y_size + y_own), bit_count(x_odd0 ^ y_odd0) + bit_count(x_odd1 ^ y_odd1))"
+        f" <= {100 - percent} * (x_size + y_size)")
+           .select(F.least("x_class", "y_class").alias("a"), F.greatest("x_class", "y_class").alias("b")))
+    near = differ.where("probe is null").select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b"))
+    rest = rest.unionByName(met).unionByName(near).distinct().join(star, ["a", "b"], "left_anti")
     links = store(links.unionByName(verified(store(rest, "rest"), "rest-links")), "links")
 
     part = connected_components(links).withColumnRenamed("node", "class")
