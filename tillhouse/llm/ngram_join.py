@@ -389,7 +389,8 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     # keys of many classes: their classes meet again through their differences from the key's hub
     crowd = of.where((F.col("n") > FEW) & (F.col("class") != F.col("hub.class"))).select(
         "class", F.col("hub.class").alias("hub"), (F.col("component") != F.col("hub.component")).alias("other"), "component").distinct()
-    crowd = crowd.join(texts.withColumnRenamed("zip", "zx"), "class").join(texts.select(F.col("class").alias("hub"), F.col("zip").alias("zh")), "hub")
+    # by class last, so that the classes of a hot hub are spread over all tasks
+    crowd = crowd.join(texts.select(F.col("class").alias("hub"), F.col("zip").alias("zh")), "hub").join(texts.withColumnRenamed("zip", "zx"), "class")
     differ = store(crowd.select("class", "hub", "other", "component", "zx", "zh").mapInArrow(
         _residuals(percent, size), "class long, hub long, component long, token long, probe boolean, size long, own long, odd0 long, odd1 long"), "differ")
     x, y = (differ.where(F.col("probe") == side).select("hub", "token", *[F.col(k).alias(f"{c}_{k}") for k in ("class", "component", "size", "own", "odd0", "odd1")])
