@@ -21,9 +21,8 @@ SEGMENT_QUANTILES = (0.33, 0.66)
 
 
 def _calendar(dim_date: DataFrame, *cols: str) -> DataFrame:
-    # one row per calendar day between the first and last sale: bounded by
-    # the calendar (a century is 36,525 rows), never by the data volume
-    return F.broadcast(dim_date.select("date_day", *cols))
+    # no broadcast hint: one stray date makes the calendar long, so AQE decides by its size
+    return dim_date.select("date_day", *cols)
 
 
 def _money(c: str, out: str | None = None):
