@@ -237,6 +237,27 @@ def test_chunks_find_shared_passages(spark):
     assert repeated_passages(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_each_chunk_is_kept_by_one_document(spark):
+    """A passage of documents 2 and 3 next to one that document 1 also holds: each stays once."""
+    from tillhouse.llm.chunk_dedup import chunks, repeated_passages
+    early, late = text_of(51, 90), text_of(52, 90)
+    rows = [(1, text_of(53, 60) + " " + early + " " + text_of(54, 60)), (2, early + " " + late + " " + text_of(55, 60)),
+            (3, text_of(56, 60) + " " + early + " " + late), (4, text_of(57, 80) + " " + late + " " + text_of(58, 20))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = repeated_passages(docs).collect()
+    gone = {(r["doc_id"], w) for r in got if r["duplicate"] for w in range(r["start"], r["end"])}
+    held, kept = {}, set()
+    for r in chunks(docs).collect():
+        held.setdefault((r["d1"], r["d2"]), set()).add(r["doc_id"])
+        if (r["doc_id"], r["place"] & 0xFFFFFFFF) not in gone:
+            kept.add((r["d1"], r["d2"]))
+    shared = {d for d, ids in held.items() if len(ids) > 1}
+    assert len(shared) > 20 and shared <= kept
+    assert {r["doc_id"] for r in got if not r["duplicate"]} == {1, 2} and {r["doc_id"] for r in got if r["duplicate"]} == {2, 3, 4}
+    words_gone = {i: sum(d == i for d, _ in gone) for i in (1, 2, 3, 4)}
+    assert words_gone[1] == 0 and 70 < words_gone[2] <= 90 and words_gone[3] > 150 and 70 < words_gone[4] <= 90
+
+
 def test_quality_classifier(spark):
     from tillhouse.llm.quality_classifier import quality_scores
     good = [(i, text_of(i, 60)) for i in range(150)]

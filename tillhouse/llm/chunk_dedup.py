@@ -8,7 +8,9 @@ digest; neighbouring chunks of a text that other documents hold too form a
 run.  A passage's first and last words lie in chunks whose boundaries also
 depend on other text, so its run is shorter than the passage: a run is
 reported when it, the two chunks before and the chunk after it have more than
-``min_words`` words.
+``min_words`` words.  Each of its chunks is kept in the first document that
+holds it, so a run is returned in pieces, cut where that document begins or
+ends to be this one.
 
 Data flow: one scan emits (digest, doc, place) rows; a partially aggregated
 minimum and maximum document per digest meets them again in a join, which
@@ -108,10 +110,11 @@ def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
 
 
 def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 50) -> DataFrame:
-    """One row per occurrence of a passage that other documents repeat: doc_id,
-    start, end (words counted from 0, end exclusive), n_words, n_chunks, first_doc_id
-    (smallest doc_id that holds one of its chunks), duplicate (false in the
-    document that keeps it)."""
+    """One row per piece of a passage that other documents repeat: doc_id, start,
+    end (words counted from 0, end exclusive), n_words, n_chunks, first_doc_id
+    (smallest doc_id that holds one of its chunks), duplicate (false where this
+    document is the first to hold the chunks and so keeps them).  A passage is
+    one piece, or several where that changes from chunk to chunk."""
     c = chunks(docs, doc_id, text).where("doc_id is not null")
     shared = (c.groupBy("d1", "d2").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last"))
                .where("first_doc_id < last").drop("last"))
@@ -120,11 +123,14 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
             .select("doc_id", "copy", "first_doc_id", F.shiftright("place", 32).alias("k"),
                     F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).alias("start"),
                     bits(0).alias("n_words"), bits(16).alias("before"), bits(32).alias("after")))
-    run = dup.withColumn("run", F.col("k") - F.row_number().over(Window.partitionBy("doc_id", "copy").orderBy("k")))
-    out = run.groupBy("doc_id", "copy", "run").agg(
+    dup = dup.withColumn("duplicate", F.col("doc_id") != F.col("first_doc_id"))
+    # a row's number in its text, less its rank: equal within a run, and within a piece of one flag
+    rank = lambda *by: F.col("k") - F.row_number().over(Window.partitionBy("doc_id", "copy", *by).orderBy("k"))
+    pieces = dup.withColumns({"run": rank(), "piece": rank("duplicate")}).groupBy("doc_id", "copy", "run", "duplicate", "piece").agg(
         F.min("start").alias("start"), F.max(F.col("start") + F.col("n_words")).alias("end"),
         F.sum("n_words").alias("n_words"), F.count("*").alias("n_chunks"), F.min("first_doc_id").alias("first_doc_id"),
-        (F.min_by("before", "k") + F.max_by("after", "k")).alias("edge"))
-    return (out.where(F.col("n_words") + F.col("edge") > min_words)
-               .select("doc_id", "start", "end", "n_words", "n_chunks", "first_doc_id",
-                       (F.col("doc_id") != F.col("first_doc_id")).alias("duplicate")))
+        F.min("k").alias("k"), F.min_by("before", "k").alias("before"), F.max_by("after", "k").alias("after"))
+    whole = Window.partitionBy("doc_id", "copy", "run")
+    out = pieces.withColumn("reach", F.sum("n_words").over(whole) + F.min_by("before", "k").over(whole) + F.max_by("after", "k").over(whole))
+    return (out.where(F.col("reach") > min_words)
+               .select("doc_id", "start", "end", "n_words", "n_chunks", "first_doc_id", "duplicate"))
