@@ -258,6 +258,29 @@ def test_each_chunk_is_kept_by_one_document(spark):
     assert words_gone[1] == 0 and 70 < words_gone[2] <= 90 and words_gone[3] > 150 and 70 < words_gone[4] <= 90
 
 
+def test_chunks_find_barely_long_and_periodic_passages(spark):
+    """Passages of 51 words, and of one to four short words again and again."""
+    from tillhouse.llm.chunk_dedup import boundaries, repeated_passages
+    r, passages = random.Random(8), []
+    for k in range(300):
+        passages.append(text_of(10_000 + k, 51))
+    for k in range(150):
+        unit = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randrange(1, 4))) for _ in range(1 + k % 4)]
+        passages.append(" ".join((unit * 80)[:r.choice([51, 80])]))
+    rows = []
+    for k, passage in enumerate(passages):
+        rows += [(2 * k, text_of(20_000 + k, r.randrange(1, 60)) + " " + passage + " " + text_of(30_000 + k, r.randrange(1, 60))),
+                 (2 * k + 1, text_of(40_000 + k, r.randrange(1, 60)) + "\n" + passage + " " + text_of(50_000 + k, r.randrange(1, 60)))]
+    got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in got} == set(range(2 * len(passages)))
+    import numpy as np
+    for t in ("", "a", "ab" * 40, "a" * 3000, "x" * 200 + BASE + "abc " * 900, BASE):
+        cuts, ends, units = boundaries(np.frombuffer(t.encode(), np.uint8))
+        at = [0, *ends.tolist()]
+        assert "".join(t[b - u:b] * ((b - a) // u) for a, b, u in zip(at, at[1:], units.tolist())) == t
+        assert max(units, default=0) <= 128 and len(ends) < len(t) / 16 + 3
+
+
 def test_quality_classifier(spark):
     from tillhouse.llm.quality_classifier import quality_scores
     good = [(i, text_of(i, 60)) for i in range(150)]

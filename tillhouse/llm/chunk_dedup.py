@@ -1,14 +1,17 @@
 """Operator 10: substring dedup by content-defined chunks.
 
 The words of a text are joined by single spaces; a gear rolling hash over the
-last 16 bytes cuts the result where it is smaller than at all places within
-REACH bytes, or after MOST bytes.  Boundaries so depend on nearby bytes only:
-an insertion moves no later one.  Chunks are deduplicated by their 128-bit
-digest; neighbouring chunks of a text that other documents hold too form a
-run.  A passage's first and last words lie in chunks whose boundaries also
-depend on other text, so its run is shorter than the passage: a run is
-reported when it, the two chunks before and the chunk after it have more than
-``min_words`` words.  Each of its chunks is kept in the first document that
+last 16 bytes cuts the result where it is least within REACH bytes, or after
+MOST bytes.  Boundaries so depend on nearby bytes only: an insertion moves no
+later one, and a text that repeats with a short period is cut at the same place
+of each period.  Chunks are deduplicated by their 128-bit digest; neighbouring
+chunks of a text that other documents hold too form a run.  A passage's first
+and last words lie in chunks whose boundaries also depend on other text, so its
+run is shorter than the passage.  A cut depends on the 32 bytes before and the
+16 after it, so a passage that began 32 bytes before the last cut ahead of the
+run, or ended 16 after the next one behind it, would have that cut in common
+too: a run is reported when it and the words up to there are more than
+``min_words``.  Each of its chunks is kept in the first document that
 holds it, so a run is returned in pieces, cut where that document begins or
 ends to be this one.
 
@@ -17,7 +20,9 @@ minimum and maximum document per digest meets them again in a join, which
 adaptive execution splits where a digest is hot; only chunks of two documents
 or more survive.  Runs are formed per document from those.
 
-Defined results: null and empty texts have no chunk; rows with a null doc_id
+Defined results: a stretch that repeats one unit of up to REACH bytes is one
+chunk however long, and shared where another document repeats that unit; null
+and empty texts have no chunk; rows with a null doc_id
 are not reported; rows of equal doc_id are one document, and identical rows
 count once; other columns are ignored.
 """
@@ -33,16 +38,21 @@ from pyspark.sql import functions as F
 from tillhouse.llm.common import SPACES, mix
 
 REACH, MOST = 16, 128
+BACK = 2 * REACH     # bytes before a cut that it depends on: REACH values, each of 16 bytes
 GEAR = (mix(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 
 
-def boundaries(data: np.ndarray) -> list[int]:
-    """Ends of the chunks of a byte array.  The rolling value of byte i is the
-    sum of GEAR[data[i - j]] << 2j over the last 16 bytes, built by doubling; a
-    chunk ends after a byte whose value is smaller than all within REACH bytes."""
+def boundaries(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places after which a byte array is cut, from 0 on; the ends of its chunks;
+    and the bytes at each chunk's end that stand for it.  The rolling value of byte
+    i is the sum of GEAR[data[i - j]] << 2j over the last 16 bytes, built by
+    doubling; a cut stands after a byte whose value no other within REACH bytes is
+    below.  Equal least values so near are equal bytes that repeat with a period of
+    REACH or less: such text is cut once in each period, and its equal neighbouring
+    pieces are one chunk, which one of them stands for."""
     n = len(data)
     if n == 0:
-        return []
+        return np.zeros(1, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
     h = GEAR[data]
     for width in (1, 2, 4, 8):
         h[width:] = h[width:] + (h[:-width] << np.uint32(2 * width))
@@ -51,29 +61,34 @@ def boundaries(data: np.ndarray) -> list[int]:
     for width in (1, 2, 4, 8):
         low[:-width] = np.minimum(low[:-width], low[width:])
     cut = np.zeros(n, bool)
-    cut[:n - 1] = h[:n - 1] < low[1:n]                # REACH values after i
-    cut[REACH:] &= h[REACH:] < low[:max(0, n - REACH)]        # and before it
+    cut[:n - 1] = h[:n - 1] <= low[1:n]               # REACH values after i
+    cut[REACH:] &= h[REACH:] <= low[:max(0, n - REACH)]       # and before it
     cut[:REACH] = False
-    out, at = [], 0
-    for c in (np.nonzero(cut)[0] + 1).tolist():
-        while c - at > MOST:
-            at += MOST
-            out.append(at)
-        out.append(c)
-        at = c
-    while n - at > MOST:
-        at += MOST
-        out.append(at)
-    if at < n:
-        out.append(n)
-    return out
+    cuts = np.concatenate([[0], np.nonzero(cut)[0] + 1, [n]])
+    at, size = cuts[:-1], np.diff(cuts)
+    same = np.append(False, (size[1:] == size[:-1]) & (size[1:] <= REACH))    # equal to the piece before
+    for u in np.unique(size[same]).tolist():
+        differ = np.append(0, np.cumsum(data[u:] != data[:-u]))
+        w = np.nonzero(same & (size == u))[0]
+        same[w] = differ[at[w]] == differ[at[w] - u]
+    last = np.append(~same[1:], True)
+    ends, units = cuts[1:][last], size[last]
+    starts = np.append(0, ends[:-1])
+    wide = (units > MOST).nonzero()[0]
+    if len(wide):
+        more = [np.arange(a + MOST, c, MOST) for a, c in zip(starts[wide], ends[wide])]
+        units[wide] -= [len(x) * MOST for x in more]
+        where = np.repeat(wide, [len(x) for x in more])
+        ends, units = np.insert(ends, where, np.concatenate(more)), np.insert(units, where, MOST)
+    return cuts, ends, units
 
 
 def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per chunk of the text's words, joined by single spaces: digest
     (d1, d2), doc_id, copy (a hash of the text), place = k << 32 | number of the
-    first word begun in it, and info = words begun in it | of the two chunks before
-    << 16 | of the chunk after << 32."""
+    first word begun in it, and info = words begun in it | before it << 32 | after
+    it << 48, where before and after are as far as a passage can reach that has this
+    chunk's near cut, but not the next one beyond, in common with another text."""
     d = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     schema = f"d1 long, d2 long, doc_id {d.schema['doc_id'].dataType.simpleString()}, copy long, place long, info long"
 
@@ -87,17 +102,20 @@ def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
                     continue
                 raw = b" ".join(t.encode("utf-8", "surrogatepass").split())
                 data = np.frombuffer(raw, np.uint8)
-                cut = boundaries(data)
+                cuts, cut, units = boundaries(data)
                 gap = data == 32
                 begins = ~gap
                 begins[1:] &= gap[:-1]
-                at = [0, *cut[:-1]]
-                n = np.add.reduceat(begins.astype(np.int64), at)
-                before = np.append(0, n[:-1])
-                before[2:] += n[:-2]
-                digests += [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(at, cut)]
-                places.append((np.arange(len(at), dtype=np.int64) << 32) | (np.cumsum(n) - n))
-                infos.append(n | (before << 16) | (np.append(n[1:], 0) << 32))
+                at = np.append(0, cut[:-1])
+                words = np.append(0, np.cumsum(begins))             # begun before a byte
+                n = words[cut] - words[at]
+                far = cuts[np.maximum(np.searchsorted(cuts, at) - 1, 0)]
+                before = words[at] - words[np.maximum(far - BACK, 0)]
+                far = cuts[np.minimum(np.searchsorted(cuts, cut, "right"), len(cuts) - 1)]
+                after = words[np.minimum(far + REACH, len(data))] - words[cut]
+                digests += [xxhash.xxh3_128_digest(raw[b - u:b]) for u, b in zip(units.tolist(), cut.tolist())]
+                places.append((np.arange(len(at), dtype=np.int64) << 32) | words[at])
+                infos.append(n | (np.minimum(before, 0x7FFF) << 32) | (np.minimum(after, 0x7FFF) << 48))
                 rows += [i] * len(cut)
                 copies.append(np.full(len(cut), xxhash.xxh3_64_intdigest(raw) >> 1, np.int64))
             if rows:
@@ -118,11 +136,11 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     c = chunks(docs, doc_id, text).where("doc_id is not null")
     shared = (c.groupBy("d1", "d2").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last"))
                .where("first_doc_id < last").drop("last"))
-    bits = lambda shift: F.shiftright("info", shift).bitwiseAND(F.lit(0xFFFF))
+    bits = lambda shift, mask=0x7FFF: F.shiftright("info", shift).bitwiseAND(F.lit(mask))
     dup = (c.join(shared, ["d1", "d2"]).dropDuplicates(["doc_id", "copy", "place"])
             .select("doc_id", "copy", "first_doc_id", F.shiftright("place", 32).alias("k"),
                     F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).alias("start"),
-                    bits(0).alias("n_words"), bits(16).alias("before"), bits(32).alias("after")))
+                    bits(0, 0xFFFFFFFF).alias("n_words"), bits(32).alias("before"), bits(48).alias("after")))
     dup = dup.withColumn("duplicate", F.col("doc_id") != F.col("first_doc_id"))
     # a row's number in its text, less its rank: equal within a run, and within a piece of one flag
     rank = lambda *by: F.col("k") - F.row_number().over(Window.partitionBy("doc_id", "copy", *by).orderBy("k"))
