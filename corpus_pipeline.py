@@ -6,7 +6,7 @@ under the shared checkpoint folder and reads them again for the next stage.
 
 A stage takes (spark, docs, sf_dir).  All but the last return the columns of
 ``documents``.  Null and empty texts: the classifier scores them like others;
-an empty text has no long line, no shingle and no token.  Empty tables stay
+an empty text has no line with a word, no shingle and no token.  Empty tables stay
 empty through every stage.
 """
 
@@ -36,7 +36,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines equal to, or one word apart from, an earlier line go; a document
     that had words and keeps none goes with them.  n_chars follows the text."""
-    out = line_dedup(docs.withColumn("_had", F.col("text").rlike(r"[^\x20\x09-\x0D]")))
+    out = line_dedup(docs.withColumn("_had", F.col("text").rlike(r"[^\x20\x09-\x0D]")), exact_words=1)
     out = out.where("not coalesce(_had, false) or text rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_exact") + F.col("n_near") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))

@@ -172,6 +172,42 @@ def test_line_dedup(docs, empty):
     assert line_dedup(docs).count() == len(ROWS)
 
 
+def test_line_dedup_takes_short_lines(spark, tmp_path):
+    """op7 and the pipeline's stage against brute force, over lines of none to seven words."""
+    import corpus_pipeline as P
+    from tillhouse.llm.queries import op7_line_dedup
+    r = random.Random(4)
+    texts = ["\n".join(" ".join(r.choice("abcd") for _ in range(r.randrange(8))) for _ in range(6)) for _ in range(50)]
+    spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars int").write.parquet(f"{tmp_path}/documents.parquet")
+
+    def near(a, b):
+        a, b = sorted((a, b), key=len)
+        if len(b) < 5 or len(b) - len(a) > 1:
+            return False
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        return any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+    seen, want, short = [], {}, 0
+    for i, t in enumerate(texts):
+        kept, exact, close = [], 0, 0
+        for line in t.split("\n"):
+            ws = line.split()
+            gone = "exact" if ws and ws in seen else "near" if any(near(ws, x) for x in seen) else ""
+            exact, close = exact + (gone == "exact"), close + (gone == "near")
+            short += gone == "near" and len(ws) == 4
+            kept += [] if gone else [line]
+            if ws:
+                seen.append(ws)
+        want[i] = (6, exact, close, "\n".join(kept))
+    assert short
+    got = {x["doc_id"]: x for x in op7_line_dedup(spark, str(tmp_path)).collect()}
+    assert {i: (x["n_lines"], x["n_exact"], x["n_near"], x["text_sha256"]) for i, x in got.items()} == {
+        i: (n, e, c, hashlib.sha256(t.encode()).hexdigest()) for i, (n, e, c, t) in want.items()}
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    left = {x["doc_id"]: x["text"] for x in P.lines(spark, docs, str(tmp_path)).collect()}
+    assert left == {i: t for i, (_, _, _, t) in want.items() if t.strip() or not texts[i].strip()}
+
+
 def test_decontaminate(docs, empty):
     from tillhouse.llm.decontaminate import decontaminate
     spark = docs.sparkSession

@@ -22,12 +22,16 @@ one replacement apart, and a whole line and a variant are one insertion
 apart), so a hot key costs one pair per line, not all pairs, and still finds
 an earlier near line whenever there is one.
 
-Only lines of at least ``min_words`` words are ever duplicates; blank and short
-lines stay.  Everything runs as DataFrame functions.
+Equal lines go from ``exact_words`` words on; the queries take every line that
+has a word.  Blank lines stay, as the layout of the rest.  Near lines need
+``min_words`` words in the longer of the two: with five, four in five words or
+more agree, as at the 80 % of the other operators, while one word in four or
+fewer changes what a line says.  A line of ``min_words`` - 1 words is thus near
+only to one of a word more, and emits no variant but itself.  Everything runs
+as DataFrame functions.
 
 Defined results: null texts stay null, empty ones empty; a text whose every
-line of ``min_words`` words goes keeps its short lines; rows of equal or null
-doc_id are ordered by their text as well, and equal rows count once, the first
+line with a word goes keeps its blank lines; rows of equal or null doc_id are ordered by their text as well, and equal rows count once, the first
 occurrence inside keeping the line in each of them.
 """
 
@@ -45,12 +49,16 @@ def _words(line):
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
-    """(id, tag, no, words) of every long line; tag tells rows of one id apart by their text."""
+    """(id, tag, no, words) of every line of ``min_words`` words; tag tells rows of one id apart by their text."""
     d = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("tag"), F.split(F.col(text), "\n").alias("ls"))
     x = d.select("id", "tag", F.posexplode("ls").alias("no", "line")).where(F.length("line") >= 2 * min_words - 1)
     return x.select("id", "tag", "no", _words(F.col("line")).alias("words")).where(F.size("words") >= min_words)
 
 
+def _shortest(min_words: int, exact_words: int) -> int:
+    return max(1, min(exact_words, min_words - 1))
+
+
 def _place():
     return F.struct("id", "tag", "no")
 
@@ -59,14 +67,14 @@ def _hash():
     return [F.xxhash64(F.lit(1), "words").alias("h1"), F.xxhash64(F.lit(2), "words").alias("h2")]
 
 
-def _parts(g: int):
-    """Keys that lines at one edit share.  Of g parts of u words (u = n // g,
+def _parts(g: int, least: int):
+    """Keys that lines at one edit, of ``least`` words or more, share.  Of g parts of u words (u = n // g,
     and (n - 1) // g where that differs, so that lengths n and n - 1 have one in
     common) the edit lies in one, and the words of the others stand where they
     stood, counted from the start before it and from the end after it: for some
     k the first k * u words and the last (g - 1 - k) * u words agree."""
     n = F.size("words")
-    units = F.array_distinct(F.array(F.floor(n / g), F.floor((n - 1) / g))).cast("array<int>")
+    units = F.array_distinct(F.array(F.floor(n / g), F.floor(F.greatest(n - 1, F.lit(least)) / g))).cast("array<int>")
     last = lambda size: F.slice("words", n - size + 1, size)
     return F.flatten(F.transform(units, lambda u: F.array(*[
         F.xxhash64(F.lit(k), u, F.slice("words", F.lit(1), u * k), last(u * (g - 1 - k))) for k in range(g)])))
@@ -79,10 +87,12 @@ def _meeting(lines: DataFrame, *place: str) -> DataFrame:
     return part.join(met, "part").select(*place).distinct()
 
 
-def duplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 5) -> DataFrame:
-    """(h1, h2, first, near): each distinct long line's hash, its first place
+def duplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 5, exact_words: int = 4) -> DataFrame:
+    """(h1, h2, first, near): each distinct line's hash, its first place
     and the place of the earliest earlier line at one edit (null: none)."""
-    lines = _lines(docs, doc_id, text, min_words).select(*_hash(), "id", "tag", "no", _parts(2).alias("parts"))
+    least = max(1, min_words - 1)
+    parts = F.when(F.size("words") >= least, _parts(2, least))
+    lines = _lines(docs, doc_id, text, _shortest(min_words, exact_words)).select(*_hash(), "id", "tag", "no", parts.alias("parts"))
     first = store(lines.groupBy("h1", "h2").agg(F.min(_place()).alias("first"), F.first("parts").alias("parts")), "first")
     near = _meeting(first.select("h1", "first.*", "parts"), "id", "tag", "no")
     # the words of those, from the place where they stand first
@@ -93,13 +103,13 @@ def duplicate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     some = store(texts.select("id", "tag", "ls", F.explode("nos").alias("no")).select(
         "id", "tag", "no", _words(F.get("ls", F.col("no"))).alias("words")).distinct(), "some")
     # the same test with smaller parts
-    fine = some.select("id", "tag", "no", _parts(4).alias("parts"), F.xxhash64("words").alias("h1"))
+    fine = some.select("id", "tag", "no", _parts(4, least).alias("parts"), F.xxhash64("words").alias("h1"))
     met = _meeting(fine, "id", "tag", "no").select(F.struct("id", "tag", "no").alias("there"))
     some = store(some.join(met, _place().eqNullSafe(met["there"]), "left_semi"), "lines")
-    # deletion neighbourhood: position 0 is the whole line; stored, as both ways to meet read it
+    # deletion neighbourhood: position 0 is the whole line, all that one too short to be the longer emits; stored, as both ways to meet read it
     n = F.size("words")
     rest = lambda i: F.concat(F.slice("words", F.lit(1), i - 1), F.slice("words", i + 1, n))
-    variants = F.transform(F.sequence(F.lit(0), n), lambda i: F.struct(
+    variants = F.transform(F.sequence(F.lit(0), F.when(n >= min_words, n).otherwise(0)), lambda i: F.struct(
         i.alias("at"), F.when(i == 0, F.xxhash64("words")).otherwise(F.xxhash64(rest(F.greatest(i, F.lit(1))))).alias("v")))
     emitted = some.select(_place().alias("place"), n.alias("n"), F.explode(variants).alias("x")).select(
         "place", "n", F.col("x.at").alias("at"), F.col("x.v").alias("v"))
@@ -134,12 +144,12 @@ def within_one_edit(a, b):
         more == 1, rest(a, 1) == rest(b, 0)).when(more == -1, rest(a, 0) == rest(b, 1)).otherwise(False)
 
 
-def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 5) -> DataFrame:
+def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 5, exact_words: int = 4) -> DataFrame:
     """``docs`` with duplicate lines taken out of ``text``, plus n_lines,
-    n_exact and n_near (long lines that went, by kind)."""
+    n_exact and n_near (lines that went, by kind)."""
     docs = docs.drop(*[c for c in ("n_lines", "n_exact", "n_near", "_gone", "_tag") if c in docs.columns])
-    found = duplicate_lines(docs, doc_id, text, min_words)
-    lines = _lines(docs, doc_id, text, min_words).select(*_hash(), "id", "tag", "no")
+    found = duplicate_lines(docs, doc_id, text, min_words, exact_words)
+    lines = _lines(docs, doc_id, text, _shortest(min_words, exact_words)).select(*_hash(), "id", "tag", "no")
     several = lines.join(found, ["h1", "h2"]).select(
         "id", "tag", "no", (_place() > F.col("first")).alias("exact"), F.col("near").isNotNull().alias("near"))
     gone = several.where("exact or near").groupBy(F.col("id").alias("_id"), F.col("tag").alias("_tag")).agg(

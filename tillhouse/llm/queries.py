@@ -56,7 +56,7 @@ def queries() -> dict:
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tillhouse.llm.line_dedup import line_dedup
-    out = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), exact_words=1)
     return out.select("doc_id", "n_lines", "n_exact", "n_near", F.sha2("text", 256).alias("text_sha256"))
 
 
