@@ -155,6 +155,19 @@ def test_ngram_schemes_keep_every_link():
                 assert len(np.intersect1d(keys_of(x, 80), keys_of(y, 80))), (n, gone, more)
 
 
+def test_ngram_schemes_pay_for_their_slack():
+    """In every scheme some segment agrees that the slack does not cover."""
+    from tillhouse.llm.ngram_join import RATIO, schemes
+    for percent in (50, 80, 90):
+        low = next(n for n in range(2, 1000) if 100 * (n - 1) >= percent * n)
+        for s in schemes(percent):
+            high = max(low + 1, int(low * RATIO))
+            need = 2 * (high - 1) * (100 - percent) // (100 + percent) + 1
+            assert s.least == -(-percent * low // 100)
+            assert s.exact + 2 * s.deleted >= need + s.spare_empty + s.spare_hot, (percent, s.j)
+            low = high
+
+
 def test_line_dedup(docs, empty):
     from tillhouse.llm.line_dedup import line_dedup
     rows = [(1, "a b c d e f\nshort one\na b c d e f"), (2, "a b c X e f\nnew line with six words"), (3, "a b c d e f g\nnew line with words six"),

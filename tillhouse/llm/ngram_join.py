@@ -84,6 +84,9 @@ class Scheme:
                 spare_hot = 1 + exact // 10 if exact >= 6 else 0
             if exact == 0 and 2 * deleted < need:
                 continue
+            if exact:  # the last round's slack is paid for in full
+                exact = max(exact, need + spare_empty + spare_hot - 2 * deleted)
+                m = exact + deleted
             k = self.least / m
             refined = (exact * math.exp(-k) if exact < 6 else 0) + deleted * (1 + k) * math.exp(-k)
             cost = exact + deleted * (k + 1) + 4 * refined * (1 + (100 - percent) * self.least / 100)
