@@ -12,8 +12,10 @@ a key are candidates and are verified exactly.
   ones from p % of L_j on; a set emits in its own scheme and the next.
 * Cost-based allocation: the number of e = 1 segments of a scheme is the one
   with the least expected emissions, including what empty segments cost
-  (``Scheme``).  Small sets get few segments with deletions, large sets many
-  exact ones.
+  (``Scheme``).  At 80 % that is one segment with deletions in the two schemes
+  of the smallest sets (least partner of 4 and 5 shingles) and none in any
+  other: a segment of k shingles emits k + 1 keys to cover two differences,
+  which two exact segments cover with two keys.
 * Slack: schemes have ``spare_empty + spare_hot`` segments more than needed.
   A set may leave out so many empty segments and so many of its most frequent
   segments; a similar pair still shares one that neither leaves out.  This
