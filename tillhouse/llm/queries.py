@@ -50,7 +50,8 @@ def queries() -> dict:
     """The numbered queries, by name."""
     from corpus_pipeline import run
     fs = (op1_quality_classifier, op2_decontaminate, op3_license_scan, op4_quality_rules, op5_pii, op6_warc,
-          op7_line_dedup, op8_byte_bpe, op9_ngram_join, op10_chunk_dedup)
+          op7_line_dedup, op8_byte_bpe, op9_ngram_join, op10_chunk_dedup, op11_word_bpe, op12_alignment,
+          op13_centroid_clusters)
     return {f.__name__: f for f in fs} | {"pipeline": run}
 
 
@@ -77,3 +78,24 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tillhouse.llm.license_scan import license_scan, train
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return license_scan(docs, train(docs))
+
+
+def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tillhouse.llm.word_bpe import digests
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return digests(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tillhouse.llm.alignment import align
+    return align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                 public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tillhouse.llm.centroids import cluster
+    return cluster(table(spark, sf_dir, "embeddings"))
