@@ -150,12 +150,12 @@ class Aligner:
         """For each text the solved units, or nothing if it has no tokens."""
         self.units.trim()
         rows = [([] if not t else UNIT.findall(" " + t) if self.by_unit else [" " + t]) for t in texts]
-        new = self.units.missing({u for row in rows for u in row})
+        new = self.units.missing(set().union(*rows))
         for unit, value in zip(new, self.solve(new)):
             self.units.put(unit, value, 4 * len(unit) + (len(value[2]) + 40 * len(value[4]) if value else 0))
         held = self.units.young
         for row in rows:
-            found = [held[u][0] for u in row]
+            found = [held[u] for u in row]
             yield [] if None in found else found
 
 

@@ -25,19 +25,20 @@ class Memo:
     def __init__(self, limit: int = 64 << 20):
         self.half, self.young, self.old, self.held = limit // 2, {}, {}, 0
 
-    def missing(self, keys) -> list:
+    def missing(self, keys: set) -> list:
         """The keys that are not held; older ones that are become young."""
-        young, old, out = self.young, self.old, []
-        for k in keys:
-            if k not in young:
-                if k in old:
-                    self.put(k, *old.pop(k))
-                else:
-                    out.append(k)
+        out, old = [], self.old
+        for k in keys.difference(self.young):
+            if k in old:
+                self.young[k] = old.pop(k)
+                self.held += self.ENTRY + 4 * len(k)
+            else:
+                out.append(k)
         return out
 
     def put(self, key, value, size: int) -> None:
-        self.young[key] = (value, size)
+        """``size`` counts the bytes of the contents."""
+        self.young[key] = value
         self.held += size + self.ENTRY
 
     def trim(self) -> None:

@@ -46,6 +46,9 @@ CUT_AT_SPACE = (
     ["NFC", "Replace", "Lowercase"],
     "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+")
 
+#: The same cut for printable ASCII in lower case, which byte-level BPE leaves as it is.
+ASCII_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
+
 PLACES = 40                     # bits of a place in a packed leaf
 NONE = 1 << 62                  # no merge
 SHORT = 64                      # symbols of a word up to which words are merged side by side
@@ -151,6 +154,14 @@ def merge_side_by_side(words: list[list[int]], leaves, made: np.ndarray) -> list
     return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
 
+def joined(parts: list[tuple[int, str, str]]) -> tuple[int, str, str]:
+    """The solved text that consists of solved parts."""
+    if not parts:
+        return 0, "", ""
+    counts, ids, back = zip(*parts)
+    return sum(counts), " ".join(ids), " ".join(back)
+
+
 class WordBpe:
     """Rules of one file, and what a Python worker has solved by them."""
 
@@ -186,12 +197,13 @@ class WordBpe:
         self.normal = tok.normalizer.normalize_str if tok.normalizer else lambda s: s
         self.cut = tok.pre_tokenizer.pre_tokenize_str if tok.pre_tokenizer else lambda s: [(s, None)]
         names = sorted(map(re.escape, self.special), key=len, reverse=True)
-        self.split = re.compile(f"({'|'.join(names)})").split if names else lambda s: [s]
+        added_names = re.compile(f"({'|'.join(names)})" if names else "(?!)")
+        self.find, self.split = added_names.search, added_names.split
         norm, pre = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
         found = ([n["type"] for n in norm.get("normalizers", [])],
                  ((pre.get("pretokenizers") or [{}])[0].get("pattern") or {}).get("Regex"))
         self.by_run = found == CUT_AT_SPACE and not any(re.search(r"\s", s) for s in self.special)
-        self.runs, self.words = Memo(128 << 20), Memo(64 << 20)
+        self.runs, self.words = Memo(160 << 20), Memo(160 << 20)
         fewer_collections()
 
     def code(self, left, right):
@@ -220,31 +232,41 @@ class WordBpe:
         return out
 
     def words_of(self, runs: list[str]) -> list[list[str]]:
-        """The words of runs without added tokens.  Runs are normalised and cut
-        together, with spaces between, where that changes nothing."""
-        if self.by_run and runs:
-            text = self.normal(" ".join(runs))
-            parts = text.split(" ")
-            if len(parts) == len(runs):
-                out: list[list[str]] = [[] for _ in runs]
-                ends = np.cumsum([len(p) + 1 for p in parts])
-                cut = self.cut(text)
-                for (word, _), i in zip(cut, np.searchsorted(ends, [s for _, (s, _) in cut], "right").tolist()):
-                    out[i].append(word)
-                return out
-        return [[word for word, _ in self.cut(self.normal(r))] for r in runs]
-
-    def ids(self, runs: list[str]) -> list[list[int]]:
-        """Ids of runs (whole texts where runs can't be told apart)."""
-        cut = [[p for p in self.split(r) if p] for r in runs]
-        plain = [p for parts in cut for p in parts if p not in self.special]
-        words = self.words_of(plain)
-        new = self.words.missing({w for ws in words for w in ws})
+        """The words of runs without added tokens."""
+        if not self.by_run:
+            return [[word for word, _ in self.cut(self.normal(r))] for r in runs]
+        out = [ASCII_WORDS(r.lower()) if r.isascii() and r.isprintable() else [] for r in runs]
+        rest = [i for i, ws in enumerate(out) if not ws]
+        # the others are normalised and cut together, with spaces between
+        text = self.normal(" ".join([runs[i] for i in rest]))
+        parts = text.split(" ")
+        if len(parts) != len(rest):
+            parts = [self.normal(runs[i]) for i in rest]
+            text = " ".join(parts)
+        cut = self.cut(text)
+        at = np.searchsorted(np.cumsum([len(p) + 1 for p in parts]), [s for _, (s, _) in cut], "right")
+        for (word, _), i in zip(cut, at.tolist()):
+            out[rest[i]].append(word)
+        return out
+
+    def solved_words(self, words: set[str]) -> None:
+        """Remember (count, ids as text, decoded text) of each word."""
+        new = self.words.missing(words)
         for word, ids in zip(new, self.merge(new)):
-            self.words.put(word, ids, 4 * len(word))
+            text, back = " ".join(map(str, ids)), self.decode(ids)
+            self.words.put(word, (len(ids), text, back), 4 * len(word) + len(text) + 2 * len(back))
+
+    def solved(self, runs: list[str]):
+        """(count, ids as text, decoded text) of runs, or of whole texts where
+        runs can't be told apart."""
+        some = [self.split(r) for r in runs] if self.find(" ".join(runs)) else [[r] for r in runs]
+        cut = [[p for p in parts if p] for parts in some]
+        words = self.words_of([p for parts in cut for p in parts if p not in self.special])
+        self.solved_words({w for ws in words for w in ws})
         held, of = self.words.young, iter(words)
-        return [[i for p in parts for i in ([self.special[p]] if p in self.special
-                                            else [x for w in next(of) for x in held[w][0]])] for parts in cut]
+        for parts in cut:
+            found = [x for p in parts for x in ([(1, str(self.special[p]), p)] if p in self.special else [held[w] for w in next(of)])]
+            yield found[0] if len(found) == 1 else joined(found)
 
     def decode(self, ids) -> str:
         """The text the library's ``decode(ids, skip_special_tokens=False)``
@@ -253,17 +275,16 @@ class WordBpe:
         return " ".join([self.tokens[i] for i in ids if i in self.tokens])
 
     def solve(self, texts: list[str | None]):
-        """For each text the (count, ids as text, decoded text) of its runs."""
+        """(count, ids as text, decoded text) of each text."""
         self.runs.trim()
         self.words.trim()
         rows = [([] if not t else RUNS.findall(t) if self.by_run else [t]) for t in texts]
-        new = self.runs.missing({r for row in rows for r in row})
-        for run, ids in zip(new, self.ids(new)):
-            value = (len(ids), " ".join(map(str, ids)), self.decode(ids))
+        new = self.runs.missing(set().union(*rows))
+        for run, value in zip(new, self.solved(new)):
             self.runs.put(run, value, 4 * len(run) + len(value[1]) + 2 * len(value[2]))
         held = self.runs.young
         for row in rows:
-            yield [held[r][0] for r in row if held[r][0][0]]
+            yield joined([held[r] for r in row])
 
 
 def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
@@ -271,8 +292,7 @@ def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     def make():
         def run(texts):
             found = list(WordBpe.get(path).solve(texts))
-            return ([[int(i) for _, s, _ in row for i in s.split(" ")] for row in found],
-                    [sum([n for n, _, _ in row]) for row in found])
+            return [[int(i) for i in ids.split()] for _, ids, _ in found], [n for n, _, _ in found]
         return run
 
     return text_columns(df, text, [T.StructField("ids", T.ArrayType(T.IntegerType())),
@@ -293,14 +313,11 @@ def digests(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``df`` without ``text``, plus n_tokens, ids_sha256 (ids joined by one
     space) and decoded_sha256 (of the decoded text in UTF-8)."""
     def make():
-        def sha(parts):
-            return hashlib.sha256(" ".join(parts).encode()).hexdigest()
+        def sha(text):
+            return hashlib.sha256(text.encode()).hexdigest()
 
         def run(texts):
-            found = list(WordBpe.get(path).solve(texts))
-            return ([sum([n for n, _, _ in row]) for row in found],
-                    [sha([s for _, s, _ in row]) for row in found],
-                    [sha([d for _, _, d in row]) for row in found])
+            return zip(*[(n, sha(ids), sha(back)) for n, ids, back in WordBpe.get(path).solve(texts)])
         return run
 
     return text_columns(df, text, [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
