@@ -166,11 +166,13 @@ def test_alignment_of_driver_texts_and_empty_tables(spark, odd):
 
 
 def test_groups_and_links():
+    import numpy as np
+
     from tillhouse.llm.alignment import groups, links
-    a, b = [1, 4, 6, 9], [2, 3, 4, 9]
-    cuts = groups(a, b)
-    assert cuts == [(2, 3), (4, 4)]
-    assert links(a, b, cuts) == [(0, 0), (1, 0), (1, 1), (1, 2), (2, 3), (3, 3)]
+    a, b = np.array([1, 4, 6, 9]), np.array([2, 3, 4, 9])
+    assert groups(a, b) == ([4, 9], [2, 4], [3, 4])
+    ends, left, right = links(a, b)
+    assert list(zip(left.tolist(), right.tolist())) == [(0, 0), (1, 0), (1, 1), (1, 2), (2, 3), (3, 3)]
 
 
 # ---- operator 13 --------------------------------------------------------------

@@ -4,8 +4,8 @@ A is a byte-level BPE file of the ``tokenizers`` library, B a sentencepiece
 model.  Each text is encoded by both; the cumulative byte ends of either
 side's tokens are dictionaries from end to index, the intersection of their keys
 is sorted, and each pair of neighbouring common ends slices both id lists into a
-group.  Inside a group no other end is common, so a walk over the two slices
-lists the links: token pairs whose byte ranges overlap.
+group.  Inside a group no other end is common, so each end of either side ends
+one link, an overlap of two tokens' byte ranges.
 
 A text is aligned in units that start at a space or a line feed after another
 character.  Both tokenizers end a token there (A by its word cut; B because no
@@ -40,7 +40,6 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -53,28 +52,25 @@ from tillhouse.llm.common import store
 from tillhouse.llm.memo import Memo, fewer_collections, slices
 
 UNIT = re.compile(r"\s*\S+(?:[^\S \n]\s*\S*)*|\s+")
+AT_ONCE = 50_000                 # units aligned in one go
 SHIFT = 32                       # a pair is the A id, shifted, and the B id
 
 
-def groups(a_ends: list[int], b_ends: list[int]) -> list[tuple[int, int]]:
-    """Exclusive ends (in tokens) of the groups of two lists of cumulative ends."""
-    of_a, of_b = dict(zip(a_ends, range(1, len(a_ends) + 1))), dict(zip(b_ends, range(1, len(b_ends) + 1)))
-    return [(of_a[e], of_b[e]) for e in sorted(of_a.keys() & of_b.keys())]
+def groups(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[list[int], list[int], list[int]]:
+    """The common ends of two ascending lists of cumulative ends, and each
+    one's exclusive index on both sides: these slice the tokens into groups."""
+    of_a = dict(zip(a_ends.tolist(), range(1, len(a_ends) + 1)))
+    of_b = dict(zip(b_ends.tolist(), range(1, len(b_ends) + 1)))
+    common = sorted(of_a.keys() & of_b.keys())
+    return common, [of_a[e] for e in common], [of_b[e] for e in common]
 
 
-def links(a_ends: list[int], b_ends: list[int], cuts: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Index pairs of tokens whose byte ranges overlap, group by group."""
-    out, i, j = [], 0, 0
-    for a, b in cuts:
-        while i < a:
-            out.append((i, j))
-            if i + 1 == a and j + 1 == b:
-                i, j = a, b
-            elif a_ends[i] < b_ends[j]:
-                i += 1
-            else:
-                j += 1
-    return out
+def links(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ends and indices of all token pairs whose byte ranges overlap.  Inside a
+    slice the overlap of two tokens ends where the first of them does, and each
+    end of either side ends exactly one overlap."""
+    ends = np.union1d(a_ends, b_ends)
+    return ends, np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
 
 
 class Aligner:
@@ -108,51 +104,63 @@ class Aligner:
             else:
                 self.b_bytes[i] = piece.replace("▁", " ").encode()
                 whole.append(piece.replace("▁", " "))
+        self.a_names, self.b_names = ({i: str(i) for i in t} for t in (self.a_bytes, self.b_bytes))
+        self.a_sizes, self.b_sizes = (np.array([len(t.get(i, b"")) for i in range(max(t) + 1)]) for t in (self.a_bytes, self.b_bytes))
         self.by_unit = not any(re.search(r"\S[ \n]", p) or "\n" in p for p in whole)
         self.space = self.b.piece_to_id("▁")
-        self.units = Memo(96 << 20)
+        self.units = Memo(192 << 20)
         fewer_collections()
 
     def solve(self, units: list[str]):
-        """(n_a, n_b, groups as text, number of groups, pairs, links) of each
-        unit; None where a side does not give the unit's bytes back."""
+        """(n_a, n_b, number of groups, number of links, groups as text, pairs
+        as 64-bit integers) of each unit; None where a side does not give
+        the unit's bytes back.  The units are aligned in one go, as one text."""
         a_ids = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
-        # the model puts a space before a text; a unit that starts with a line feed loses it again
-        feeds = [u[0] != " " for u in units]
-        b_ids = self.b.encode([u if feed else u[1:] for u, feed in zip(units, feeds)], num_threads=1)
-        a_bytes, b_bytes = self.a_bytes.get, self.b_bytes.get
-        for unit, a, b, feed in zip(units, a_ids, b_ids, feeds):
-            if unit == " ":
-                b = [self.space]      # the model puts no space before an empty text
-            elif feed:
-                if b[:1] != [self.space]:
-                    yield None
-                    continue
-                b = b[1:]
-            raw = unit.encode("utf-8", "surrogatepass")
-            a_parts, b_parts = [a_bytes(i, b"") for i in a], [b_bytes(i, b"") for i in b]
-            if b"".join(a_parts) != raw or b"".join(b_parts) != raw:
-                yield None
-                continue
-            if len(a) == 1 and len(b) == 1:
-                yield 1, 1, f"{a[0]}|{b[0]}", 1, [a[0] << SHIFT | b[0]], 1
-                continue
-            ends = [list(accumulate(map(len, parts))) for parts in (a_parts, b_parts)]
-            cuts = groups(*ends)
-            i, j, text = 0, 0, []
-            for x, y in cuts:
-                text.append(f"{','.join(map(str, a[i:x]))}|{','.join(map(str, b[j:y]))}")
-                i, j = x, y
-            pairs = [a[i] << SHIFT | b[j] for i, j in links(*ends, cuts)]
-            yield len(a), len(b), ";".join(text), len(cuts), pairs, len(pairs)
+        # the model puts a space before a text that is not empty; a unit that starts with a line feed loses it again
+        b_ids = self.b.encode([u if u[0] != " " else u[1:] for u in units], num_threads=1)
+        b_ids = [b if u[0] == " " and u != " " else [self.space] if u == " " else b[1:] if b[:1] == [self.space] else []
+                 for u, b in zip(units, b_ids)]
+        raw = [u.encode("utf-8", "surrogatepass") for u in units]
+        out: list[tuple | None] = [None] * len(units)
+        good = range(len(units))
+        if not self.equal(a_ids, b_ids, raw):
+            good = [i for i in good if self.equal(a_ids[i:i + 1], b_ids[i:i + 1], raw[i:i + 1])]
+            if not good:
+                return out
+        a = np.array([x for i in good for x in a_ids[i]], np.int64)
+        b = np.array([x for i in good for x in b_ids[i]], np.int64)
+        a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        common, a_cuts, b_cuts = groups(a_ends, b_ends)
+        a_names, b_names = [self.a_names[x] for x in a.tolist()], [self.b_names[x] for x in b.tolist()]
+        texts, i, j = [], 0, 0
+        for x, y in zip(a_cuts, b_cuts):
+            texts.append(f"{a_names[i] if x == i + 1 else ','.join(a_names[i:x])}|{b_names[j] if y == j + 1 else ','.join(b_names[j:y])}")
+            i, j = x, y
+        ends, left, right = links(a_ends, b_ends)
+        pairs = (a[left] << SHIFT | b[right]).tobytes()
+        stops = np.cumsum([len(raw[i]) for i in good])
+        g_at, l_at = np.searchsorted(common, stops, "right").tolist(), np.searchsorted(ends, stops, "right").tolist()
+        g, n = 0, 0
+        for i, g_end, n_end in zip(good, g_at, l_at):
+            out[i] = (len(a_ids[i]), len(b_ids[i]), g_end - g, n_end - n, ";".join(texts[g:g_end]), pairs[8 * n:8 * n_end])
+            g, n = g_end, n_end
+        return out
+
+    def equal(self, a_ids: list[list[int]], b_ids: list[list[int]], raw: list[bytes]) -> bool:
+        """Whether both sides give the bytes of the units back."""
+        whole = b"".join(raw)
+        return all(b"".join([table.get(i, b"") for x in ids for i in x]) == whole
+                   for ids, table in ((a_ids, self.a_bytes), (b_ids, self.b_bytes)))
 
     def texts(self, texts: list[str | None]):
         """For each text the solved units, or nothing if it has no tokens."""
         self.units.trim()
         rows = [([] if not t else UNIT.findall(" " + t) if self.by_unit else [" " + t]) for t in texts]
         new = self.units.missing(set().union(*rows))
-        for unit, value in zip(new, self.solve(new)):
-            self.units.put(unit, value, 4 * len(unit) + (len(value[2]) + 40 * len(value[4]) if value else 0))
+        for at in range(0, len(new), AT_ONCE):
+            part = new[at:at + AT_ONCE]
+            for unit, value in zip(part, self.solve(part)):
+                self.units.put(unit, value, 4 * len(unit) + (len(value[4]) + len(value[5]) if value else 0))
         held = self.units.young
         for row in rows:
             found = [held[u] for u in row]
@@ -178,13 +186,13 @@ def blocks(df: DataFrame, path_a: str, path_b: str, key: str, text: str, block_c
             keys, column = batch.column(0), batch.column(1)
             for lo, hi in slices(column, block_chars):
                 docs = list(aligner.texts(column.slice(lo, hi - lo).to_pylist()))
-                own = [np.unique(np.array([p for u in units for p in u[4]], np.int64), return_counts=True) for units in docs]
+                own = [np.unique(np.frombuffer(b"".join([u[5] for u in units]), np.int64), return_counts=True) for units in docs]
                 codes = np.concatenate([c for c, _ in own])
                 pairs, at, held = np.unique(codes, return_inverse=True, return_counts=True)
                 total = lambda k: [sum([u[k] for u in units]) for units in docs]
-                shas = [hashlib.sha256(";".join([u[2] for u in units]).encode()).hexdigest() if units else "" for units in docs]
-                row = (TaskContext.get().partitionId() << 32 | number, keys.slice(lo, hi - lo).to_pylist(), total(0), total(1), total(3),
-                       total(5), shas, pairs, held.astype(np.int32), np.cumsum([len(c) for c, _ in own]),
+                shas = [hashlib.sha256(";".join([u[4] for u in units]).encode()).hexdigest() if units else "" for units in docs]
+                row = (TaskContext.get().partitionId() << 32 | number, keys.slice(lo, hi - lo).to_pylist(), total(0), total(1), total(2),
+                       total(3), shas, pairs, held.astype(np.int32), np.cumsum([len(c) for c, _ in own]),
                        at.astype(np.int32), np.concatenate([n for _, n in own]).astype(np.int32))
                 number += 1
                 yield pa.RecordBatch.from_arrays(
