@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.plans import jobs
 from tillhouse.schemas import RAW_ST, conform
+from tillhouse.sources.manifest import published
 from tillhouse.sources.tpch import DriverTables, raw_multi, raw_single
 
 SMOKE = "/root/testdata/sf0.001"
@@ -28,7 +29,7 @@ def test_full_load_replaces_and_keeps_empty_tables(spark, tmp_root):
     assert audit["transactions"] == spark.read.parquet(f"{SMOKE}/orders.parquet").count()
     empty = {k: v.limit(0) for k, v in src.items()}
     jobs.load_full(spark, empty, f"{tmp_root}/raw")
-    assert spark.read.parquet(f"{tmp_root}/raw/transactions").count() == 0
+    assert published(spark, f"{tmp_root}/raw/transactions").count() == 0
 
 
 def test_daily_jobs_end_to_end(spark, tmp_root):
@@ -41,9 +42,9 @@ def test_daily_jobs_end_to_end(spark, tmp_root):
            for k, v in raw_multi(t).items()}
     # two runs over the same source: the second lands only the re-pulled last second
     f1 = jobs.daily_multi(spark, src, f"{tmp_root}/mt", 1).collect()
-    marts1 = spark.read.parquet(f"{tmp_root}/mt/marts/fct_sales").agg(F.count("*"), F.sum("subtotal")).first()
+    marts1 = published(spark, f"{tmp_root}/mt/marts/fct_sales").agg(F.count("*"), F.sum("subtotal")).first()
     f2 = jobs.daily_multi(spark, src, f"{tmp_root}/mt", 2).collect()
-    marts2 = spark.read.parquet(f"{tmp_root}/mt/marts/fct_sales").agg(F.count("*"), F.sum("subtotal")).first()
+    marts2 = published(spark, f"{tmp_root}/mt/marts/fct_sales").agg(F.count("*"), F.sum("subtotal")).first()
     assert tuple(marts1) == tuple(marts2)
     assert f1 == [] and f2 == []
 
@@ -60,7 +61,7 @@ def test_compacted_daily_flow_equals_dedup_on_read(spark, tmp_root):
     src2 = dict(src, transactions=src["transactions"].unionByName(changed))
 
     def totals(root):
-        return tuple(spark.read.parquet(f"{root}/marts/fct_sales").agg(F.count("*"), F.sum("subtotal")).first())
+        return tuple(published(spark, f"{root}/marts/fct_sales").agg(F.count("*"), F.sum("subtotal")).first())
 
     plain, comp = f"{tmp_root}/plain", f"{tmp_root}/comp"
     assert jobs.daily_multi(spark, src, plain, 1).collect() == []

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillhouse.plans import jobs
+from tillhouse.sources.manifest import published
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -63,8 +64,7 @@ def test_empty_first_batch_drift_and_booleans(spark, tmp_root):
                                      "unit_price double, is_active boolean, created_at timestamp_ntz, updated_at timestamp_ntz")
     jobs.load_incremental(spark, {"products": products}, f"{tmp_root}/landing", f"{tmp_root}/state", 4)
     jobs.land_raw_single(spark, {"products": products.drop("tenant_id", "updated_at")}, f"{tmp_root}/raw")
-    for path in ("landing", "raw"):
-        row = spark.read.parquet(f"{tmp_root}/{path}/products").first()
+    for row in (spark.read.parquet(f"{tmp_root}/landing/products").first(), published(spark, f"{tmp_root}/raw/products").first()):
         assert row["is_active"] == 1 and row["is_active"] is not True
 
 

@@ -4,6 +4,7 @@ import os
 from pyspark.sql import functions as F
 
 from tillhouse.plans import jobs, staging
+from tillhouse.sources.manifest import PublishedTable
 from tillhouse.sources import jdbc, landing, watermark
 from tillhouse.streaming import land_new_files
 
@@ -48,7 +49,7 @@ def test_incremental_load_twice_is_idempotent(spark, tmp_root):
     cur = {r.tenant_id: r.watermark for r in watermark.current(jobs.read_state(spark, state)).collect()}
     assert cur == {"t1": T(2024, 1, 1), "t2": T(2024, 1, 2)}
     # compaction keeps one version per key
-    comp = landing.compact(spark, f"{landing_root}/tx", f"{tmp_root}/compact", ["tenant_id", "id"])
+    comp = landing.compact(landed, PublishedTable(spark, f"{tmp_root}/compact"), ["tenant_id", "id"], buckets=4)
     assert comp.count() == 2
 
 

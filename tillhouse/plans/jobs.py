@@ -24,12 +24,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillhouse.operators.quality import run_suite
-from tillhouse.plans import checks
+from tillhouse.plans import checks, incremental
 from tillhouse.plans.lazy import merged
 from tillhouse.plans.warehouse import Warehouse
 from tillhouse.schemas import RAW_MT, RAW_ST, WATERMARK_STATE, conform
 from tillhouse.session import path_exists, scratch_path
 from tillhouse.sources import landing, watermark
+from tillhouse.sources.manifest import PublishedTable, publish, published
 
 
 def _path(root: str, name: str) -> str:
@@ -51,14 +52,15 @@ def run_concurrently(actions: Mapping[str, Callable[[], object]]) -> dict[str, o
 
 
 def write_tables(tables: Mapping[str, DataFrame], root: str) -> dict[str, str]:
+    """Publish each table as a new version (``sources.manifest``): readers of the
+    old ones go on, and a build that fails changes nothing."""
     paths = {name: _path(root, name) for name in tables}
-    run_concurrently({name: (lambda df=df, p=paths[name]: df.write.mode("overwrite").parquet(p))
-                      for name, df in tables.items()})
+    run_concurrently({name: (lambda df=df, p=paths[name]: publish(df, p)) for name, df in tables.items()})
     return paths
 
 
 def read_tables(spark: SparkSession, root: str, names) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(_path(root, n)) for n in names}
+    return {n: published(spark, _path(root, n)) for n in names}
 
 
 # ---- loads ----------------------------------------------------------------
@@ -67,8 +69,7 @@ def load_full(spark: SparkSession, sources: Mapping[str, DataFrame], raw_root: s
     the audit (rows per table + total) computed from the written tables."""
     run_concurrently({t: (lambda t=t, df=df: landing.land_full(conform(df, RAW_ST[t]), _path(raw_root, t)))
                       for t, df in sources.items()})
-    written = {t: spark.read.parquet(_path(raw_root, t)) for t in sources}
-    return landing.load_audit(written, tenant_col=None)
+    return landing.load_audit(read_tables(spark, raw_root, sources), tenant_col=None)
 
 
 def read_state(spark: SparkSession, state_path: str) -> DataFrame:
@@ -158,13 +159,21 @@ def build_single(spark: SparkSession, raw: Mapping[str, DataFrame], marts_root:
 
 def build_multi(spark: SparkSession, raw: Mapping[str, DataFrame], marts_root: str,
                 loaded_at: Column | None = None, staging_out: dict | None = None,
-                mt_deduplicated: bool = False) -> dict[str, DataFrame]:
+                mt_deduplicated: bool = False, landing_root: str | None = None, run_id: int | None = None) -> dict[str, DataFrame]:
     """As ``build_single`` for the multi-tenant models; ``mt_deduplicated``
-    when ``raw`` holds compacted tables (one row per key)."""
+    when ``raw`` holds compacted tables (one row per key).
+
+    With ``landing_root`` and ``run_id`` (and compacted ``raw``) the facts are
+    not built anew: only the tenant and month partitions that batches since
+    their last build affect are replaced (``plans.incremental``)."""
     wh = Warehouse.from_raw(raw_mt=raw, loaded_at=loaded_at, mt_deduplicated=mt_deduplicated)
     # deduplicated transactions feed both facts, the date dimension and checks
     wh.stg_mt["stg_transactions_mt"] = _shared(wh.stg_mt["stg_transactions_mt"], "stg_transactions_mt", marts_root)
-    write_tables(wh.marts_mt, marts_root)
+    models = dict.fromkeys(wh.marts_mt)
+    if landing_root is not None:
+        incremental.build_facts(spark, raw, landing_root, marts_root, run_id, RAW_MT, loaded_at)
+        models = {m: None for m in models if m not in incremental.FACTS}
+    write_tables({m: wh.marts_mt[m] for m in models}, marts_root)
     if staging_out is not None:
         staging_out.update(wh.stg_mt)
     return read_tables(spark, marts_root, wh.marts_mt)
@@ -174,7 +183,7 @@ def land_raw_single(spark: SparkSession, raw: Mapping[str, DataFrame], raw_root:
     """Full load of the single-tenant raw tables; returns the landed tables."""
     run_concurrently({t: (lambda df=df, t=t: landing.land_full(conform(df, RAW_ST[t]) if t in RAW_ST else df, _path(raw_root, t)))
                       for t, df in raw.items()})
-    return {t: spark.read.parquet(_path(raw_root, t)) for t in raw}
+    return read_tables(spark, raw_root, raw)
 
 
 def land_raw_multi(spark: SparkSession, raw: Mapping[str, DataFrame], landing_root: str,
@@ -197,76 +206,73 @@ def seed_state(spark: SparkSession, landed: Mapping[str, DataFrame], state_path:
     reduce(DataFrame.unionByName, marks).drop("run_id").write.mode("overwrite").parquet(f"{state_path.rstrip('/')}/run_id={run_id}")
 
 
-MANIFEST = "table_name string, version_path string, last_batch long, run_id long"
+def compact_tables(spark: SparkSession, landing_root: str, compact_root: str, tables, run_id: int,
+                   buckets: int = 64, keep: int = 7) -> dict[str, DataFrame]:
+    """Compacted copy of each landed table as of ``run_id`` (D3), see
+    ``landing.compact``: only the buckets that new or replaced batches touch are
+    read and written.  Versions that none of the last ``keep`` runs that changed
+    a table names are deleted."""
+    from tillhouse.schemas import MT_KEYS
 
+    def one(t):
+        table = PublishedTable(spark, _path(compact_root, t))
+        landed = landing.read_landed(spark, _path(landing_root, t), schema=_raw_schema(t))
+        landing.compact(landed, table, ["tenant_id", MT_KEYS[t]], buckets=buckets, up_to=run_id)
+        table.retain(keep)
+        return table.read()
 
-def compact_tables(spark: SparkSession, landing_root: str, compact_root: str, tables, run_id: int) -> dict[str, DataFrame]:
-    """Compacted copy of each landed table as of ``run_id`` (D3): the latest
-    version per ``(tenant_id, pk)``, written to ``<compact_root>/<table>/v<run_id>``.
+    return run_concurrently({t: (lambda t=t: one(t)) for t in tables})
 
-    A manifest names each table's current copy and the last batch in it.  Every
-    later batch up to ``run_id`` is merged in, however many runs were skipped
-    (``landing.merge_versions``: the base is not shuffled); a table without a
-    later batch keeps its copy; a table the manifest does not name is
-    deduplicated once from all versions.  A copy that the manifest names and
-    that is missing is an error.  Earlier copies stay in place, so a failed run
-    leaves the last good one.
-    """
-    from tillhouse.operators import latest_by_key
-    from tillhouse.schemas import MT_KEYS
 
-    manifest, known = _path(compact_root, "manifest"), {}
-    if path_exists(spark, manifest):
-        rows = (spark.read.schema(MANIFEST).parquet(manifest).where(F.col("run_id") < run_id).groupBy("table_name")
-                .agg(F.max_by(F.struct("version_path", "last_batch"), "run_id").alias("m")))
-        known = {r["table_name"]: (r["m"]["version_path"], r["m"]["last_batch"]) for r in rows.collect()}
-    out, actions = dict(known), {}
-    for t in tables:
-        keys, schema = ["tenant_id", MT_KEYS[t]], _raw_schema(t)
-        landed = landing.read_landed(spark, _path(landing_root, t), schema=schema).where(F.col("_batch_id") <= run_id)
-        if t in known:
-            path, last = known[t]
-            delta = landed.where(F.col("_batch_id") > last)
-            if delta.isEmpty():
-                continue
-            merged_df = landing.merge_versions(landing.read_landed(spark, path, schema=schema), delta, keys)
-        else:
-            merged_df = latest_by_key(landed, keys)
-        target = _path(compact_root, f"{t}/v{run_id}")
-        out[t] = (target, run_id)
-        actions[t] = (lambda df=merged_df, p=target: df.write.mode("overwrite").partitionBy("tenant_id").parquet(p))
-    run_concurrently(actions)
-    spark.createDataFrame([(t, p, b) for t, (p, b) in out.items()], "table_name string, version_path string, last_batch long") \
-         .coalesce(1).write.mode("overwrite").parquet(f"{manifest}/run_id={run_id}")
-    return {t: landing.read_landed(spark, out[t][0], schema=_raw_schema(t)) for t in tables}
-
-
-def daily_single(spark: SparkSession, sources: Mapping[str, DataFrame], root: str) -> DataFrame:
+class ChecksFailed(RuntimeError):
+    """A day's data-quality gate: carries the failing checks."""
+
+    def __init__(self, failures: list):
+        self.failures = failures
+        super().__init__("; ".join(f"{r['model']}.{r['column']} {r['check']}: {r['failures']}" for r in failures))
+
+
+def gate(results: DataFrame, on_failure: str = "raise") -> DataFrame:
+    """The failing checks; with ``on_failure="raise"`` any of them ends the run."""
+    if on_failure not in ("raise", "return"):
+        raise ValueError(on_failure)
+    bad = failing(results)
+    if on_failure == "raise" and (rows := bad.collect()):            # at most one row per check
+        raise ChecksFailed(rows)
+    return bad
+
+
+def daily_single(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, on_failure: str = "raise") -> DataFrame:
     """The single-tenant day: full load -> staging -> marts -> checks.
-    Returns the failing checks (empty when every check passes)."""
+    A failing check ends the run; with ``on_failure="return"`` the failing
+    checks are returned instead."""
     raw = land_raw_single(spark, sources, _path(root, "raw"))
     stg: dict = {}
     st = build_single(spark, raw, _path(root, "marts"), staging_out=stg)
-    return failing(run_checks(merged(stg, st), layers=("single",)))
+    return gate(run_checks(merged(stg, st), layers=("single",)), on_failure)
 
 
 def daily_multi(spark: SparkSession, sources: Mapping[str, DataFrame], root: str, run_id: int,
-                compacted: bool = False) -> DataFrame:
+                compacted: bool = False, on_failure: str = "raise") -> DataFrame:
     """The multi-tenant day: incremental load -> staging -> marts -> checks.
 
-    ``compacted``: merge the batches since the last compaction into its copy
-    and build from it (no dedup of the whole history);
-    otherwise staging deduplicates every landed version on read.
+    ``compacted``: merge the batches since the last compaction into its copy,
+    and bring the facts up to date from it (no dedup of the whole history, no
+    full rebuild); otherwise staging deduplicates every landed version on read.
+    A failing check ends the run; with ``on_failure="return"`` the failing
+    checks are returned instead.
     """
     landing_root = _path(root, "landing")
     load_incremental(spark, sources, landing_root, _path(root, "state"), run_id)
+    stg: dict = {}
     if compacted:
         raw = compact_tables(spark, landing_root, _path(root, "compact"), list(sources), run_id)
+        mt = build_multi(spark, raw, _path(root, "marts"), staging_out=stg, mt_deduplicated=True,
+                         landing_root=landing_root, run_id=run_id)
     else:
         raw = {t: landing.read_landed(spark, _path(landing_root, t), schema=_raw_schema(t)) for t in sources}
-    stg: dict = {}
-    mt = build_multi(spark, raw, _path(root, "marts"), staging_out=stg, mt_deduplicated=compacted)
-    return failing(run_checks(merged(stg, mt), layers=("multi",)))
+        mt = build_multi(spark, raw, _path(root, "marts"), staging_out=stg)
+    return gate(run_checks(merged(stg, mt), layers=("multi",)), on_failure)
 
 
 CHECK_RESULT_SCHEMA = "model string, column string, check string, failures bigint"

@@ -8,20 +8,26 @@ lineage is cut at the table boundary.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import hashlib
+import re
+import uuid
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillhouse.operators.dedup import latest_by_key
+from tillhouse.session import scratch_path
+from tillhouse.sources.manifest import PublishedTable, publish
 
 
 def land_full(df: DataFrame, path: str) -> None:
-    """Drop-and-recreate: the table is replaced; an empty input still leaves
-    an (empty) table with the declared schema."""
-    df.write.mode("overwrite").parquet(path)
+    """The table is replaced by a new published version; an empty input still
+    leaves an (empty) table with the declared schema, and a reader of the old
+    one or a failed write changes nothing."""
+    publish(df, path)
 
 
 def append_versions(df: DataFrame, path: str, batch_id: int, tenant_col: str = "tenant_id") -> None:
@@ -41,6 +47,17 @@ def read_landed(spark: SparkSession, path: str, batch_id: int | None = None,
     return df.where(F.col("_batch_id") == batch_id) if batch_id is not None else df
 
 
+def load_ids(landed: DataFrame) -> dict[int, str]:
+    """What identifies each batch's load: its file names, which Spark makes anew
+    for every write.  A batch that was replaced has another id."""
+    names: dict[int, list[str]] = {}
+    for f in landed.inputFiles():
+        found = re.search(r"/_batch_id=(-?\d+)/(.*)$", f)
+        if found:
+            names.setdefault(int(found[1]), []).append(found[2])
+    return {b: hashlib.md5("\n".join(sorted(fs)).encode()).hexdigest() for b, fs in names.items()}
+
+
 def load_audit(batches: Mapping[str, DataFrame], tenant_col: str | None = "tenant_id") -> DataFrame:
     """Rows loaded per (tenant, table) plus one total row (tenant and table
     NULL).  Each count is a partial aggregate; one small union results."""
@@ -57,16 +74,76 @@ def load_audit(batches: Mapping[str, DataFrame], tenant_col: str | None = "tenan
     return per.unionByName(total).withColumn("rows_loaded", F.col("rows_loaded").cast("long"))
 
 
-def compact(spark: SparkSession, path: str, out_path: str, keys: list[str],
-            version: str = "updated_at", tenant_col: str = "tenant_id") -> DataFrame:
-    """Write the latest version per key of the landed table to ``out_path``.
-
-    The compacted copy is written to a new path and becomes the base the
-    caller switches to; staging then deduplicates only base + newer batches.
-    """
-    latest = latest_by_key(read_landed(spark, path), keys, version)
-    latest.write.mode("overwrite").partitionBy(tenant_col).parquet(out_path)
-    return spark.read.parquet(out_path)
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets))
+
+
+def compact(landed: DataFrame, table: PublishedTable, keys: Sequence[str], version: str = "updated_at",
+            tie_break: Sequence[str] = ("_batch_id",), buckets: int = 64, up_to: int | None = None) -> DataFrame:
+    """Latest version per key of ``landed`` (its batches up to ``up_to``),
+    published in hash buckets of the key (D3).
+
+    The manifest holds the load id of every batch that was merged.  Batches it
+    does not hold are merged into the buckets their keys fall in; those buckets
+    are read once and written once, the others keep their files.  A batch whose
+    load id changed was replaced after it was merged: for every key of its new
+    load, and every key whose kept version came from its old load, the latest
+    version is found anew among all landed versions.  The result is always that
+    of deduplicating ``landed`` as a whole.
+
+    A landed table without new or replaced batches changes nothing."""
+    spark, known = landed.sparkSession, table.meta()
+    ids = {str(b): i for b, i in load_ids(landed).items() if up_to is None or b <= up_to}
+    if up_to is not None:
+        landed = landed.where(F.col("_batch_id") <= up_to)
+    if not table.exists():
+        latest = latest_by_key(landed, keys, version, tie_break)
+        part = bucket_of(keys, buckets)
+        return table.replace(latest.repartition(part), part, meta={"loads": ids, "buckets": buckets, "keys": list(keys)})
+    if known["keys"] != list(keys):
+        raise ValueError(f"{table.path} is compacted by {known['keys']}")
+    buckets, loads = known["buckets"], known["loads"]
+    new = [int(b) for b in ids if b not in loads]
+    again = [int(b) for b, i in loads.items() if ids.get(b) != i]
+    if not new and not again:
+        return table.read()
+    delta = landed.where(F.col("_batch_id").isin(new)) if new else landed.limit(0)
+    bucket = bucket_of(keys, buckets)
+    if again:
+        base = table.read()
+        touched_keys = (landed.where(F.col("_batch_id").isin(again)).select(*keys)
+                        .unionByName(base.where(F.col("_batch_id").isin(again)).select(*keys))
+                        .unionByName(delta.select(*keys)).distinct())
+        # a null-safe semi join: a null tenant or key is a key like others
+        touched = stored(touched_keys.withColumn("_bucket", bucket), "compact-keys")
+        delta = semi(landed, touched, keys)
+    else:
+        touched = delta.select(bucket.alias("_bucket"))
+    which = [r["_bucket"] for r in touched.select("_bucket").distinct().collect()]            # at most ``buckets`` numbers
+    if not which:
+        table.note({**known, "loads": ids})
+        return table.read()
+    base = table.read([str(b) for b in which])
+    if again:
+        base = semi(base, touched, keys, "left_anti")
+    fresh = latest_by_key(delta, keys, version, tie_break)
+    # one shuffle: rows go to their bucket, where the window and the write find them
+    both = base.unionByName(fresh.select(*base.columns)).withColumn("_bucket", bucket).repartition("_bucket")
+    merged = latest_by_key(both, ["_bucket", *keys], version, tie_break)
+    return table.replace(merged.drop("_bucket"), bucket, [str(b) for b in which], {**known, "loads": ids})
+
+
+def semi(df: DataFrame, of: DataFrame, keys: Sequence[str], how: str = "left_semi") -> DataFrame:
+    """Rows whose keys are (not) among those of ``of``; null equals null."""
+    k = of.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)])
+    return df.join(k, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys)]), how)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """A small result that is used twice, written once to the shared folder."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def merge_versions(base: DataFrame, delta: DataFrame, keys: list[str], version: str = "updated_at",

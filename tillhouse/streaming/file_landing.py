@@ -7,27 +7,24 @@ table: each micro-batch holds only new files and is landed as versions with
 backlog and stops, so the job keeps the scheduled-batch shape of the
 reference's load.
 
-Exactly-once: every epoch is written into its own ``batch_id=<n>``
-partition with dynamic partition overwrite, so an epoch that is replayed
-after a failure replaces what its first attempt wrote instead of appending a
-second copy.
+Exactly-once: every epoch is a batch of its own in the layout of the batch
+landing (``_batch_id=<n>``, by tenant inside), so an epoch that is replayed after a
+failure replaces what its first attempt wrote, and one table may be fed by both.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tillhouse.sources.landing import append_versions
+
 
 def epoch_writer(landing_path: str, tenant_col: str = "tenant_id", batch_offset: int = 0):
     """The ``foreachBatch`` function: idempotent per epoch id."""
 
     def write_batch(df: DataFrame, epoch_id: int) -> None:
-        batch = F.lit(batch_offset + epoch_id).cast("long")
-        (df.withColumn("_batch_id", batch).withColumn("batch_id", batch)
-           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("batch_id", tenant_col).parquet(landing_path))
+        append_versions(df, landing_path, batch_offset + epoch_id, tenant_col)
 
     return write_batch
 
@@ -35,7 +32,7 @@ def epoch_writer(landing_path: str, tenant_col: str = "tenant_id", batch_offset:
 def land_new_files(spark: SparkSession, source_dir: str, schema: StructType, landing_path: str,
                    checkpoint: str, tenant_col: str = "tenant_id", batch_offset: int = 0):
     """Land rows of files not yet seen under ``source_dir`` into ``landing_path``
-    (partitioned by ``batch_id`` and tenant).  Returns the finished query."""
+    (partitioned by ``_batch_id`` and tenant).  Returns the finished query."""
     stream = spark.readStream.schema(schema).parquet(source_dir)
     q = (stream.writeStream.foreachBatch(epoch_writer(landing_path, tenant_col, batch_offset))
                .option("checkpointLocation", checkpoint)
