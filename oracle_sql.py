@@ -424,6 +424,14 @@ def load_queries() -> dict[str, str]:
                          "(PARTITION BY event_type, user_id ORDER BY ts DESC, event_id DESC) = 1",
         "compaction_merge": "SELECT * FROM events QUALIFY row_number() OVER "
                             "(PARTITION BY event_type, user_id ORDER BY ts DESC, event_id DESC) = 1",
+        "compaction_days": "SELECT * FROM events QUALIFY row_number() OVER "
+                           "(PARTITION BY event_type, user_id ORDER BY ts DESC, event_id DESC) = 1",
+        "full_load_products": with_models("SELECT * FROM raw_products"),
+        "full_load_transactions": with_models("SELECT * FROM raw_transactions"),
+        "fct_sales_incremental": with_models("SELECT * FROM fct_sales"),
+        "fct_promotion_usage_incremental": with_models("SELECT * FROM fct_promotion_usage"),
+        "stored_fact_sales": with_models("SELECT * FROM fact_sales"),
+        "stored_dim_store": with_models("SELECT * FROM dim_store"),
         "incremental_slice": f"WITH {_FIRST} SELECT * FROM slice",
         "watermark_advance": f"""WITH {_FIRST}
 SELECT coalesce(n.tenant_id, o.tenant_id) AS tenant_id, 'events' AS table_name,

@@ -20,7 +20,7 @@ built in full.  Only partition names and load ids reach the driver.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,12 +81,13 @@ def update_fact(table: PublishedTable, build: Callable[..., DataFrame], lines: D
 
 
 def build_facts(spark: SparkSession, raw: Mapping[str, DataFrame], landing_root: str, marts_root: str, run_id: int,
-                schemas: Mapping, loaded_at: Column | None = None) -> dict[str, DataFrame]:
-    """Both facts, up to the batches of ``run_id``.  ``raw`` holds the compacted
+                schemas: Mapping, loaded_at: Column | None = None, only: Sequence[str] = tuple(FACTS)) -> dict[str, DataFrame]:
+    """The facts (``only`` some of them), up to the batches of ``run_id``.  ``raw`` holds the compacted
     tables as of that run, ``landing_root`` the landed versions."""
     staged = Warehouse.from_raw(raw_mt=raw, mt_deduplicated=True).stg_mt
     out = {}
-    for fact, (lines, model, line_key, fact_key, build) in FACTS.items():
+    for fact in only:
+        lines, model, line_key, fact_key, build = FACTS[fact]
         table = PublishedTable(spark, f"{marts_root.rstrip('/')}/{fact}")
         landed = {t: landing.read_landed(spark, f"{landing_root.rstrip('/')}/{t}", schema=schemas.get(t)) for t in ("transactions", lines)}
         loads = {t: {str(b): i for b, i in landing.load_ids(df).items() if b <= run_id} for t, df in landed.items()}
