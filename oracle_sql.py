@@ -396,11 +396,40 @@ def dq_queries() -> dict[str, str]:
     from tillhouse.plans.checks import suite_specs
     st, mt = suite_specs("single"), suite_specs("multi")
     out = {"dq_suite_single": dq_sql(st), "dq_suite_multi": dq_sql(mt)}
+    out["dq_raw_versions"] = with_models(f"SELECT model, \"column\", \"check\", CAST(failures AS BIGINT) AS failures FROM ({DQ_RAW})")
     for kind in ("not_null", "unique", "relationships", "accepted_values"):
         out[f"dq_{kind}"] = dq_sql(st + mt, kind)
     return out
 
 
+# Spelled out, not taken from the declared suite: each of these fails on the raw versions.
+DQ_RAW = """
+SELECT 'raw_products' AS model, 'product_id' AS "column", 'not_null' AS "check", count(*) FILTER (WHERE product_id IS NULL) AS failures FROM raw_mt_products
+UNION ALL SELECT 'raw_products', 'category', 'not_null', 3 * (SELECT count(*) FROM part WHERE p_partkey % 50 = 0 OR p_type IS NULL)
+UNION ALL SELECT 'raw_products', 'is_active', 'not_null', 3 * (SELECT count(*) FROM part WHERE p_partkey % 10 = 0)
+UNION ALL SELECT 'raw_products', 'product_id', 'unique', (SELECT count(DISTINCT p_partkey) FROM part)
+UNION ALL SELECT 'raw_products', 'brand', 'unique', (SELECT count(DISTINCT p_brand) FROM part)
+UNION ALL SELECT 'raw_transactions', 'transaction_id', 'not_null', 0
+UNION ALL SELECT 'raw_transactions', 'status', 'not_null', 0
+UNION ALL SELECT 'raw_transactions', 'tenant_id,transaction_id', 'unique',
+  (SELECT count(*) FROM orders WHERE o_orderstatus = 'P' OR (o_orderstatus = 'O' AND o_orderkey % 5 = 0))
+UNION ALL SELECT 'raw_transactions', 'transaction_id', 'unique',
+  (SELECT count(*) FROM (SELECT transaction_id FROM raw_mt_transactions GROUP BY 1 HAVING count(*) >= 2))
+UNION ALL SELECT 'raw_transactions', 'payment_method', 'accepted_values',
+  (SELECT count(DISTINCT payment_method) FROM mt_orders WHERE payment_method LIKE ' %')
+UNION ALL SELECT 'raw_transactions', 'status', 'accepted_values',
+  (SELECT count(DISTINCT status) FROM mt_orders WHERE status LIKE ' %')
+UNION ALL SELECT 'raw_items', 'tenant_id,item_id', 'unique', (SELECT count(*) FROM mt_lines WHERE is_old)
+UNION ALL SELECT 'raw_items', 'tenant_id,transaction_id', 'relationships',
+  (SELECT count(*) FROM raw_mt_transaction_items i ANTI JOIN stg_transactions_mt t USING (tenant_id, transaction_id))
+UNION ALL SELECT 'raw_items', 'product_id', 'relationships',
+  (SELECT count(*) FROM raw_mt_transaction_items WHERE product_id NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 50 <> 0))
+UNION ALL SELECT 'raw_junction', 'tenant_id,transaction_id', 'relationships',
+  (SELECT count(*) FROM raw_mt_transaction_promotions i ANTI JOIN stg_transactions_mt t USING (tenant_id, transaction_id))
+UNION ALL SELECT 'raw_junction', 'promo_id', 'relationships',
+  (SELECT count(*) FROM raw_mt_transaction_promotions WHERE promo_id % 5 = 0)"""
+
+
 # ---- load layer over events / orders ---------------------------------------
 _FIRST = """
 ev AS (SELECT event_type AS tenant_id, user_id, event_id, ts AS updated_at, value FROM events),

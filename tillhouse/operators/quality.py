@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -61,6 +61,69 @@ def accepted_values(df: DataFrame, model: str, col: str, values: Sequence[str])
     return _row(bad.agg(F.count(F.lit(1)).alias("f")), model, col, "accepted_values", F.col("f"))
 
 
+def nulls_and_values(df: DataFrame, model: str, cols: Sequence[str], accepted: Mapping[str, Sequence[str]]) -> DataFrame:
+    """``not_null`` of ``cols`` and ``accepted_values`` of every column of
+    ``accepted`` in one scan of ``df``.
+
+    Rows are grouped by their unexpected values (none, for most) while the nulls
+    are counted: the groups are combined before the shuffle and spread over it,
+    however many different unexpected values there are."""
+    cols, names = list(cols), list(accepted)
+    bad = [F.when(F.col(c).isNotNull() & ~F.col(c).isin(list(accepted[c])), F.col(c)).alias(f"_u{i}") for i, c in enumerate(names)]
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(cols)]
+    grouped = df.groupBy(*bad).agg(*(nulls or [F.count(F.lit(1)).alias("_rows")]))
+    distinct = F.count if len(names) == 1 else F.count_distinct       # one column: a group for each value
+    totals = grouped.agg(*[F.coalesce(F.sum(f"_n{i}"), F.lit(0)).alias(f"n{i}") for i in range(len(cols))],
+                         *[distinct(f"_u{i}").alias(f"u{i}") for i in range(len(names))])
+    cells = ([(c, "not_null", f"n{i}") for i, c in enumerate(cols)]
+             + [(c, "accepted_values", f"u{i}") for i, c in enumerate(names)])
+    return totals.select(F.inline(F.array(*[
+        F.struct(F.lit(model).alias("model"), F.lit(c).alias("column"), F.lit(check).alias("check"),
+                 F.col(f).cast("long").alias("failures")) for c, check, f in cells])))
+
+
+def orphans(child: DataFrame, model: str, relations: Sequence[tuple]) -> DataFrame:
+    """``relationships`` of all ``relations`` (child columns, parent, parent
+    columns) in one scan of ``child``: its distinct key tuples with their counts
+    meet each parent's distinct keys in an outer join that leaves a flag."""
+    rels = [(_list(cc), parent, _list(pc)) for cc, parent, pc in relations]
+    keys = list(dict.fromkeys(c for cc, _, _ in rels for c in cc))
+    met = child.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    for i, (cc, parent, pc) in enumerate(rels):
+        p = parent.select(*[F.col(b).alias(f"_p{i}_{k}") for k, b in enumerate(pc)]).dropna().distinct().withColumn(f"_has{i}", F.lit(True))
+        met = met.join(p, reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_p{i}_{k}") for k, c in enumerate(cc)]), "left")
+
+    def lost(i, cc):
+        full = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cc])
+        return F.coalesce(F.sum(F.when(full & F.col(f"_has{i}").isNull(), F.col("_n"))), F.lit(0)).cast("long")
+
+    totals = met.agg(*[lost(i, cc).alias(f"f{i}") for i, (cc, _, _) in enumerate(rels)])
+    return totals.select(F.inline(F.array(*[
+        F.struct(F.lit(model).alias("model"), F.lit(",".join(cc)).alias("column"), F.lit("relationships").alias("check"),
+                 F.col(f"f{i}").alias("failures")) for i, (cc, _, _) in enumerate(rels)])))
+
+
+def _list(c) -> list[str]:
+    return [c] if isinstance(c, str) else list(c)
+
+
+def failing_rows(df: DataFrame, check: str, cols, values: Sequence[str] = (), parent: DataFrame | None = None, parent_cols=None) -> DataFrame:
+    """The rows of ``df`` that make one check fail, all columns."""
+    cc = _list(cols)
+    full = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cc])
+    if check == "not_null":
+        return df.where(~full)
+    if check == "accepted_values":
+        return df.where(full & ~F.col(cc[0]).isin(list(values)))
+    if check == "unique":
+        other = df.where(full).groupBy(*cc).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+        return df.join(other.select(*cc), cc, "left_semi").select(*df.columns)
+    if check == "relationships":
+        other = parent.select(*[F.col(b).alias(a) for a, b in zip(cc, _list(parent_cols or cols))]).distinct()
+        return df.where(full).join(other, cc, "left_anti").select(*df.columns)
+    raise ValueError(check)
+
+
 @dataclass
 class ModelChecks:
     """The checks declared for one model."""
@@ -71,16 +134,16 @@ class ModelChecks:
 
 
 def run_suite(models: dict[str, DataFrame], spec: dict[str, ModelChecks]) -> DataFrame:
-    """All checks of ``spec`` over ``models`` as one DataFrame."""
+    """All checks of ``spec`` over ``models`` as one DataFrame: a scan of each
+    model for its nulls and values, one for all its parents, one for each
+    unique key."""
     parts = []
     for name, chk in spec.items():
         df = models[name]
-        if chk.not_null:
-            parts.append(not_null(df, name, chk.not_null))
+        if chk.not_null or chk.accepted_values:
+            parts.append(nulls_and_values(df, name, chk.not_null, chk.accepted_values))
         for u in chk.unique:
             parts.append(unique(df, name, u))
-        for cc, parent, pc in chk.relationships:
-            parts.append(relationships(df, name, cc, models[parent], pc))
-        for c, vals in chk.accepted_values.items():
-            parts.append(accepted_values(df, name, c, vals))
+        if chk.relationships:
+            parts.append(orphans(df, name, [(cc, models[parent], pc) for cc, parent, pc in chk.relationships]))
     return reduce(DataFrame.unionByName, parts)

@@ -102,3 +102,28 @@ def run_checks(models: dict[str, DataFrame], layers=("single", "multi"), kind: s
 def count_checks(spec: dict[str, M]) -> int:
     return sum(len(m.not_null) + len(m.unique) + len(m.relationships) + len(m.accepted_values)
                for m in spec.values())
+
+
+# Checks that the raw versions must fail: duplicate versions, values before cleaning,
+# lines and promotions of sales that are not completed.
+SUITE_RAW = {
+    "raw_products": M(not_null=["product_id", "category", "is_active"], unique=["product_id", "brand"]),
+    "raw_transactions": M(not_null=["transaction_id", "status"], unique=[["tenant_id", "transaction_id"], "transaction_id"],
+                          accepted_values={"payment_method": PAYMENT_METHODS, "status": ["completed", "pending", "cancelled"]}),
+    "raw_items": M(unique=[["tenant_id", "item_id"]],
+                   relationships=[(["tenant_id", "transaction_id"], "stg_transactions_mt", ["tenant_id", "transaction_id"]),
+                                  ("product_id", "clean_products", "product_id")]),
+    "raw_junction": M(relationships=[(["tenant_id", "transaction_id"], "stg_transactions_mt", ["tenant_id", "transaction_id"]),
+                                     ("promo_id", "clean_promotions", "promo_id")]),
+}
+
+
+def raw_suite(wh) -> DataFrame:
+    """``SUITE_RAW`` over the raw multi-tenant versions; its clean products have
+    a category, its clean promotions a name without stray spaces."""
+    raw = wh.raw_mt
+    return run_suite({"raw_products": raw["products"], "raw_transactions": raw["transactions"],
+                      "raw_items": raw["transaction_items"], "raw_junction": raw["transaction_promotions"],
+                      "stg_transactions_mt": wh.stg_mt["stg_transactions_mt"],
+                      "clean_products": raw["products"].where("category is not null"),
+                      "clean_promotions": raw["promotions"].where("promo_name = trim(promo_name)")}, SUITE_RAW)
