@@ -136,3 +136,63 @@ def test_merge_versions_equals_dedup_of_union(spark):
     want = {(r.tenant_id, r.id): r.v for r in latest_by_key(base.unionByName(delta), ["tenant_id", "id"]).collect()}
     assert set(got) == set(want) and got[("t1", 1)] == "a2" and got[("t2", 1)] == "c" and got[("t1", 2)] == "b"
     assert got[("t1", 3)] in ("new", "new2")
+
+
+def _derby(spark, name, table, rows, ddl):
+    url, props = f"jdbc:derby:memory:{name};create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    spark.createDataFrame(rows, ddl).write.format("jdbc").option("url", url).option("dbtable", table) \
+        .option("driver", props["driver"]).mode("overwrite").save()
+    return url, props
+
+
+def test_key_ranges_even_out_skewed_keys_and_keep_null_ones(spark):
+    from collections import Counter
+    keys = [*range(1, 901), *range(1_000_000, 1_000_100), -50, None, None]    # crowded at one end, gaps, negative, null
+    rows = [(k, f"n{i}", T(2024, 1, 1 + i % 20)) for i, k in enumerate(keys)]
+    url, props = _derby(spark, "tillhouse_r", "SALES", rows, "ID long, NAME string, UPDATED_AT timestamp")
+    df = jdbc.read_ranges(spark, url, "SALES", "ID", 8, T(2024, 1, 5), "UPDATED_AT", props)
+    want = Counter((r[0], r[1]) for r in rows if r[2] > T(2024, 1, 5))
+    assert Counter((r.ID, r.NAME) for r in df.collect()) == want
+    assert df.rdd.getNumPartitions() >= 3
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "UPDATED_AT" in plan.split("PushedFilters")[1][:200]
+    # a uniform key: many tasks with like shares
+    url, props = _derby(spark, "tillhouse_u", "SALES", [(k, "n", T(2024, 1, 9)) for k in range(800)], "ID long, NAME string, UPDATED_AT timestamp")
+    even = jdbc.read_ranges(spark, url, "SALES", "ID", 8, None, "UPDATED_AT", props)
+    sizes = [n for n in even.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect() if n]
+    assert sum(sizes) == 800 and 8 <= len(sizes) <= 10 and max(sizes) <= 2 * 800 / 8
+    whole = jdbc.read_ranges(spark, url, "SALES", "ID", 4, version_col=None, properties=props)
+    assert whole.count() == 800
+    nothing = jdbc.read_ranges(spark, url, "SALES", "ID", 4, T(2030, 1, 1), "UPDATED_AT", props)
+    assert nothing.count() == 0
+
+
+def test_configured_load_reads_all_tenants_in_ranges(spark, tmp_root):
+    for schema, n in (("A", 40), ("B", 10)):
+        url, props = _derby(spark, "tillhouse_c", f"{schema}.customers", [(i, f"{schema}{i}", T(2024, 1, 1 + i % 9)) for i in range(n)],
+                            "customer_id long, name string, updated_at timestamp")
+        _derby(spark, "tillhouse_c", f"{schema}.stores", [(1, "s", T(2024, 1, 1))], "store_id long, name string, updated_at timestamp")
+    config = {"url": url, "properties": props, "tenants": {"ta": "A", "tb": "B"},
+              "tables": {"customers": {"split_on": "customer_id", "num_ranges": 4}, "stores": {}}}
+    src = jdbc.configured_sources(spark, config)
+    audit = jobs.load_incremental(spark, src, f"{tmp_root}/l", f"{tmp_root}/s", 1, schemas={})
+    assert {(r.tenant_id, r.table_name, r.rows_loaded) for r in audit.collect()} == {
+        ("ta", "customers", 40), ("tb", "customers", 10), ("ta", "stores", 1), ("tb", "stores", 1), (None, None, 52)}
+    assert src["customers"](watermark.empty_state(spark)).rdd.getNumPartitions() > 6
+    again = jobs.load_incremental(spark, src, f"{tmp_root}/l", f"{tmp_root}/s", 2, schemas={})
+    assert {(r.tenant_id, r.table_name, r.rows_loaded) for r in again.collect()} == {
+        ("ta", "customers", 0), ("tb", "customers", 0), ("ta", "stores", 0), ("tb", "stores", 0), (None, None, 0)}
+
+
+def test_state_is_read_from_the_last_complete_run_alone(spark, tmp_root):
+    state = f"{tmp_root}/s"
+    mark = lambda day: spark.createDataFrame([("t", "x", T(2024, 1, day))], "tenant_id string, table_name string, watermark timestamp_ntz")
+    for run, day in ((1, 1), (2, 5), (10, 7)):
+        mark(day).write.parquet(f"{state}/run_id={run}")
+    os.makedirs(f"{state}/run_id=11/_temporary")                             # broke off while it wrote
+    os.makedirs(f"{state}/run_id=12")
+    got = jobs.last_state(spark, state, 13)
+    assert [tuple(r) for r in got.collect()] == [("t", "x", T(2024, 1, 7), 10)]
+    assert {f.split("run_id=")[1].split("/")[0] for f in got.inputFiles()} == {"10"}
+    assert jobs.last_state(spark, state, 10).first().watermark == T(2024, 1, 5)
+    assert jobs.last_state(spark, state, 1).count() == 0 and jobs.last_state(spark, f"{tmp_root}/none", 5).count() == 0

@@ -22,6 +22,7 @@ from functools import reduce
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillhouse.operators.quality import run_suite
 from tillhouse.plans import checks, incremental
@@ -30,7 +31,7 @@ from tillhouse.plans.warehouse import Warehouse
 from tillhouse.schemas import RAW_MT, RAW_ST, WATERMARK_STATE, conform
 from tillhouse.session import path_exists, scratch_path
 from tillhouse.sources import landing, watermark
-from tillhouse.sources.manifest import PublishedTable, publish, published
+from tillhouse.sources.manifest import PublishedTable, entries, publish, published
 
 
 def _path(root: str, name: str) -> str:
@@ -80,6 +81,19 @@ def read_state(spark: SparkSession, state_path: str) -> DataFrame:
     return spark.read.schema(WATERMARK_STATE).parquet(state_path).select(*WATERMARK_STATE.fieldNames())
 
 
+def last_state(spark: SparkSession, state_path: str, before: int) -> DataFrame:
+    """The state that the last complete run before ``before`` left: only that
+    run's files are read.  A run that broke off while it wrote its state has no
+    file or still its temporary folder, and does not count."""
+    runs = [int(n.removeprefix("run_id=")) for n in entries(spark, state_path) if n.startswith("run_id=")]
+    for run in sorted((r for r in runs if r < before), reverse=True):
+        files = entries(spark, f"{state_path.rstrip('/')}/run_id={run}")
+        if any(f.endswith(".parquet") for f in files) and "_temporary" not in files:
+            df = spark.read.schema(T.StructType(WATERMARK_STATE.fields[:-1])).parquet(f"{state_path.rstrip('/')}/run_id={run}")
+            return df.withColumn("run_id", F.lit(run).cast("long"))
+    return watermark.empty_state(spark)
+
+
 def _conformed(df: DataFrame, table: str, batch_id: int, schemas: Mapping = RAW_MT) -> DataFrame:
     """A batch in its table's declared schema: booleans as 0/1, a missing
     column fails here, extra ones go."""
@@ -107,19 +121,21 @@ def load_incremental(spark: SparkSession, sources: Mapping[str, Callable[[DataFr
     every table landed.  A retry of the run reads the state of earlier runs and
     replaces its own batch and state, so rows, state and audit come out the same.
     """
-    state = read_state(spark, state_path).where(F.col("run_id") < run_id)
-    marks, batches = [], {}
-    for table, src in sources.items():
+    state = last_state(spark, state_path, run_id)
+
+    def land(table, src):
         batch = src(state) if callable(src) else watermark.slice_since(src, state, table)
         path = _path(landing_root, table)
         landing.append_versions(_conformed(batch.drop("_batch_id"), table, run_id, schemas), path, run_id)
-        written = landing.read_landed(spark, path, run_id, schemas.get(table))
-        batches[table] = written
-        marks.append(watermark.batch_watermarks(written, table, run_id))
+        return landing.read_landed(spark, path, run_id, schemas.get(table))
+
+    # all tables of all tenants at once; an error in any of them ends the run before the state moves
+    batches = run_concurrently({t: (lambda t=t, src=src: land(t, src)) for t, src in sources.items()})
+    marks = [watermark.batch_watermarks(df, t, run_id) for t, df in batches.items()]
     new_state = watermark.advance(state, reduce(DataFrame.unionByName, marks), run_id)
     new_state.drop("run_id").write.mode("overwrite").parquet(f"{state_path.rstrip('/')}/run_id={run_id}")
     # every known (tenant, table) pair gets a row, 0 where nothing was loaded
-    known = read_state(spark, state_path).where(F.col("run_id") == run_id).select("tenant_id", "table_name")
+    known = last_state(spark, state_path, run_id + 1).select("tenant_id", "table_name")
     counted = landing.load_audit(batches).where(F.col("table_name").isNotNull())
     per = (known.join(counted, ["tenant_id", "table_name"], "left")
                 .select("tenant_id", "table_name",

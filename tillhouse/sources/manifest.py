@@ -35,7 +35,8 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
+def entries(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none where it is missing."""
     fs, p = _fs(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
@@ -49,7 +50,7 @@ class PublishedTable:
 
     # ---- manifests --------------------------------------------------------------
     def versions(self) -> list[int]:
-        return sorted(int(n.removesuffix(".json")) for n in _names(self.spark, f"{self.path}/_manifest") if n.endswith(".json"))
+        return sorted(int(n.removesuffix(".json")) for n in entries(self.spark, f"{self.path}/_manifest") if n.endswith(".json"))
 
     def manifest(self, version: int | None = None) -> dict | None:
         """The newest manifest, or that of ``version``; None before the first write."""
@@ -112,7 +113,7 @@ class PublishedTable:
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
         df.withColumn(PART, part.cast("string")).write.mode("overwrite").partitionBy(PART).parquet(target)
         kept = {} if old is None or replaced is None else {p: d for p, d in old["parts"].items() if p not in set(replaced)}
-        written = {self._unescaped(n): f"v{version}/{n}" for n in _names(self.spark, target) if n.startswith(f"{PART}=")}
+        written = {self._unescaped(n): f"v{version}/{n}" for n in entries(self.spark, target) if n.startswith(f"{PART}=")}
         if replaced is not None and (extra := set(written) & set(kept)):
             raise ValueError(f"rows for partitions that are not replaced: {sorted(extra)[:5]}")
         self._commit({"version": version, "parts": kept | written, "schema": schema.jsonValue(), "meta": meta or {}})
@@ -137,7 +138,7 @@ class PublishedTable:
         for v in found[:-last]:
             fs, p = _fs(self.spark, f"{self.path}/_manifest/{v}.json")
             fs.delete(p, False)
-        for n in _names(self.spark, self.path):
+        for n in entries(self.spark, self.path):
             if n.startswith("v") and n[1:].isdigit() and n not in named and int(n[1:]) <= found[-1]:
                 fs, p = _fs(self.spark, f"{self.path}/{n}")
                 fs.delete(p, True)
