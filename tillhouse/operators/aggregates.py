@@ -3,7 +3,9 @@ exact interpolated quantiles with bounded memory (A8)."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,76 +34,74 @@ def member_flag(df: DataFrame, members: DataFrame, keys: Sequence[str], flag: st
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
-                    accuracy: int = 10000, margin: float = 3.0) -> Column:
-    """Exact, linearly interpolated quantiles (``quantile_cont``) of ``col``.
-
-    Returns ONE scalar-subquery Column holding ``array<double>`` in the order of
-    ``probs`` (reference it once and pick elements, so the plan stays small).
+                    accuracy: int = 10000, margin: float = 3.0, ranges: int = 32) -> Column:
+    """Exact, linearly interpolated quantiles (``quantile_cont``) of ``col``, as
+    ONE literal ``array<double>`` in the order of ``probs`` (nulls where there
+    are no values).
 
     Spark's exact ``percentile`` merges every distinct value into one task.
-    Here three passes over the values, each a partial aggregation:
+    Here a few passes over the values, each a partial aggregation of which only
+    a bounded number of figures reaches the driver; give a ``df`` that is cheap
+    to read again (a stored table):
 
     1. a sketch (``percentile_approx``, rank error <= n/accuracy) brackets
        each target rank between values a <= v <= b;
     2. exact counts verify that each bracket holds both ranks the
        interpolation needs; a side that does not (possible only for small n)
        is opened up, so the result is always exact;
-    3. only the values inside a bracket - about 2*margin*n/accuracy of them,
-       grouped by value so ties collapse - are ranked (a window per target,
-       offset by the count below the bracket).
-
-    Memory per task is bounded by ``accuracy``, not by n.
+    3. the values inside a bracket (about 2*margin*n/accuracy, all of them
+       where it was opened) are cut into ``ranges`` by a sketch of their own,
+       each range is counted, and running sums of the counts tell which range
+       holds the rank;
+    4. only that range's values are ranked, from its first rank on, with ties
+       collapsed.  A range is the largest group of the only window.
+
+    Memory per task is bounded by ``accuracy`` and a range, not by n.
     """
-    k = len(probs)
-    x = df.select(F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    xv = F.col("_x")
-    m = margin / accuracy
-    edges: list[float] = []
-    for q in probs:
-        edges += [max(q - m, 0.0), min(q + m, 1.0)]
-
-    # Each scalar enters the plan once, as a column; everything downstream reads
-    # the column (a subquery repeated inside expressions multiplies the plan).
-
-    # 1. sketch -> per target: rank positions and candidate bracket
-    stats = x.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_x", edges, accuracy).alias("e"))
+    x = df.select(F.col(col).cast("double").alias("x")).where("x is not null")
+    v = F.col("x")
+    edges = [e for q in probs for e in (max(q - margin / accuracy, 0.0), min(q + margin / accuracy, 1.0))]
+    n, e = x.agg(F.count(F.lit(1)), F.percentile_approx("x", edges, accuracy)).first()
+    if not n:
+        return F.lit(None).cast("array<double>") if not probs else F.array(*[F.lit(None).cast("double") for _ in probs])
+    found = x.agg(*[F.count_if(v < a) for a in e[::2]], *[F.count_if(v <= b) for b in e[1::2]]).first()
     targets = []
     for i, q in enumerate(probs):
-        pos = F.lit(float(q)) * (F.col("n") - 1).cast("double")
-        targets.append(F.struct(F.lit(i).alias("i"), F.col("e")[2 * i].alias("a"),
-                                F.col("e")[2 * i + 1].alias("b"), F.floor(pos).alias("lo_rank"),
-                                F.ceil(pos).alias("hi_rank"), (pos - F.floor(pos)).alias("frac")))
-    P = stats.select(F.array(*targets).alias("p")).scalar()
-
-    # 2. exact counts below a / up to b; open a side whose bracket misses its rank
-    p = F.col("_p")
-    counts = (x.select("_x", P.alias("_p"))
-               .agg(F.first("_p").alias("_p"),
-                    *[F.count_if(xv < p[i]["a"]).alias(f"below{i}") for i in range(k)],
-                    *[F.count_if(xv <= p[i]["b"]).alias(f"upto{i}") for i in range(k)]))
-    checked = counts.select(F.array(*[F.struct(
-        p[i]["i"].alias("i"),
-        F.when(F.col(f"below{i}") <= p[i]["lo_rank"], p[i]["a"]).alias("lower"),
-        F.when(F.col(f"upto{i}") >= p[i]["hi_rank"] + 1, p[i]["b"]).alias("upper"),
-        F.when(F.col(f"below{i}") <= p[i]["lo_rank"], F.col(f"below{i}")).otherwise(F.lit(0)).alias("below"),
-        p[i]["lo_rank"].alias("lo_rank"), p[i]["hi_rank"].alias("hi_rank"), p[i]["frac"].alias("frac"))
-        for i in range(k)]).alias("t"))
-    C = checked.scalar()
-
-    # 3. rank the bracketed values of every target (k rows per value at most
-    #    before the bracket filter, which keeps ~2*margin*n/accuracy of them)
-    t = F.col("t")
-    inside = (t["lower"].isNull() | (xv >= t["lower"])) & (t["upper"].isNull() | (xv <= t["upper"]))
-    hits = (x.select("_x", C.alias("_ts"))
-             .select("_x", F.explode("_ts").alias("t"))
-             .where(inside))
-    grouped = hits.groupBy(F.col("t.i").alias("i"), "_x").agg(
-        F.count(F.lit(1)).alias("_c"), F.first("t").alias("t"))
-    w = Window.partitionBy("i").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = grouped.withColumn("_cum", F.col("t.below") + F.sum("_c").over(w))
-    per_target = ranked.groupBy("i").agg(
-        F.min(F.when(F.col("_cum") > F.col("t.lo_rank"), xv)).alias("lo"),
-        F.min(F.when(F.col("_cum") > F.col("t.hi_rank"), xv)).alias("hi"),
-        F.first("t.frac").alias("frac"))
-    values = per_target.select(F.struct("i", (F.col("lo") + F.col("frac") * (F.col("hi") - F.col("lo"))).alias("v")).alias("r"))
-    return values.agg(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["v"])).scalar()
+        place = float(q) * (n - 1)
+        low, high = math.floor(place), math.ceil(place)
+        below, upto = found[i], found[len(probs) + i]
+        lower, upper = (e[2 * i] if below <= low else None), (e[2 * i + 1] if upto > high else None)
+        targets.append({"i": i, "lower": lower, "upper": upper, "low": low, "high": high, "frac": place - low,
+                        "below": below if lower is not None else 0})
+
+    def inside(t):
+        return F.lit(True) & (v >= t["lower"] if t["lower"] is not None else F.lit(True)) \
+            & (v <= t["upper"] if t["upper"] is not None else F.lit(True))
+
+    # 3. ranges of the bracketed values; a value counts for each target whose bracket holds it
+    hits = x.select("x", F.explode(F.filter(F.array(*[F.when(inside(t), F.lit(t["i"])) for t in targets]), lambda i: i.isNotNull())).alias("i"))
+    steps = [j / ranges for j in range(1, ranges)]
+    cuts = {r["i"]: sorted(set(r["e"])) for r in hits.groupBy("i").agg(F.percentile_approx("x", steps, 40 * ranges).alias("e")).collect()}
+    numbers = F.array(*[F.array(*[F.lit(c) for c in cuts[t["i"]]]) for t in targets])
+    ranged = hits.select("i", "x", F.size(F.filter(F.get(numbers, F.col("i")), lambda c: c < v)).alias("r"))
+    chosen, start = [], F.lit(None).cast("long")
+    counts: dict = {t["i"]: [] for t in targets}
+    for r in ranged.groupBy("i", "r").count().collect():                 # at most ``ranges`` rows for each target
+        counts[r["i"]].append((r["r"], r["count"]))
+    for t in targets:
+        at = t["below"]
+        for r, c in sorted(counts[t["i"]]):
+            if at <= t["high"] and at + c > t["low"]:
+                here = (F.col("i") == t["i"]) & (F.col("r") == r)
+                chosen.append(here)
+                start = F.when(here, F.lit(at)).otherwise(start)
+            at += c
+
+    # 4. rank the values of the chosen ranges (two for a target whose ranks fall on both sides of a cut)
+    grouped = ranged.where(reduce(lambda a, b: a | b, chosen)).groupBy("i", "r", "x").agg(F.count(F.lit(1)).alias("c"))
+    upto = F.sum("c").over(Window.partitionBy("i", "r").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = grouped.withColumn("cum", start + upto)
+    pick = lambda which: F.get(F.array(*[F.lit(t[which]) for t in targets]), F.col("i"))
+    ends = {r["i"]: (r["lo"], r["hi"]) for r in ranked.groupBy("i").agg(
+        F.min(F.when(F.col("cum") > pick("low"), v)).alias("lo"), F.min(F.when(F.col("cum") > pick("high"), v)).alias("hi")).collect()}
+    return F.array(*[F.lit(lo + t["frac"] * (hi - lo)) for t in targets for lo, hi in [ends[t["i"]]]])

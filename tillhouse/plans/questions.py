@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.operators import (exact_quantiles, last_n_distinct, member_flag, pivot_wide, series,
                                  share_of_total, top_k, top_k_per)
+from tillhouse.sources.landing import stored
 
 SEGMENTS = ["High", "Medium", "Low"]
 SEGMENT_QUANTILES = (0.33, 0.66)
@@ -71,7 +72,8 @@ def revenue_by_store(fct_sales: DataFrame, dim_store: DataFrame, dim_date_mt: Da
 
 def _store_series(fct_sales, dim_store, dim_date_mt, n_months) -> DataFrame:
     sparse = revenue_by_store(fct_sales, dim_store, dim_date_mt, as_decimal=True)
-    sparse = sparse.select("store", "month", _money("revenue"))
+    # months and series both read this small aggregate: the fact is scanned once
+    sparse = stored(sparse.select("store", "month", _money("revenue")), "store-months")
     months = last_n_distinct(sparse, "month", n_months)
     return series(sparse, "store", "month", "revenue", months, fill=0.0, axis_out="months", measure_out="data")
 
@@ -156,7 +158,8 @@ def _customer_segments(fct_sales: DataFrame, dim_customer_mt: DataFrame,
     takes the sketch's values directly (one pass, an element of the data
     within n/accuracy ranks, not interpolated).
     """
-    cust = customer_spend(fct_sales)
+    # the quantiles and the result read one stored aggregate: the fact is shuffled once
+    cust = stored(customer_spend(fct_sales), "customer-spend")
     th = F.col("_th")
     spend = F.col("total_spend")
     seg = F.when(spend >= th[1], F.lit(SEGMENTS[0])).when(spend >= th[0], F.lit(SEGMENTS[1])) \
