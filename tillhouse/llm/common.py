@@ -128,6 +128,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if tuple(now) == seen:
             break
         seen = tuple(now)
+    else:
+        raise RuntimeError("components have not settled after 199 rounds")
     stars = cur.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node")
     heads = cur.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return stars.unionByName(heads)
