@@ -196,3 +196,14 @@ def test_state_is_read_from_the_last_complete_run_alone(spark, tmp_root):
     assert {f.split("run_id=")[1].split("/")[0] for f in got.inputFiles()} == {"10"}
     assert jobs.last_state(spark, state, 10).first().watermark == T(2024, 1, 5)
     assert jobs.last_state(spark, state, 1).count() == 0 and jobs.last_state(spark, f"{tmp_root}/none", 5).count() == 0
+
+
+def test_audit_reads_no_column_of_the_landed_batch(spark, tmp_root):
+    """Tenants are folders and rows are counted in the file footers."""
+    df = spark.createDataFrame([("t1", 1, T(2024, 1, 1)), ("t1", 2, T(2024, 1, 1)), ("t2", 3, T(2024, 1, 1))],
+                               "tenant_id string, id long, updated_at timestamp_ntz")
+    landing.append_versions(df, f"{tmp_root}/x", 4)
+    audit = landing.load_audit({"x": landing.read_landed(spark, f"{tmp_root}/x", 4)})
+    plan = spark._jvm.PythonSQLUtils.explainString(audit._jdf.queryExecution(), "formatted")
+    assert "ReadSchema: struct<>" in plan and "updated_at" not in plan.split("ReadSchema")[1].split("\n")[0]
+    assert {(r.tenant_id, r.rows_loaded) for r in audit.collect()} == {("t1", 2), ("t2", 1), (None, 3)}
