@@ -272,6 +272,25 @@ def test_warc_round_trip(spark, tmp_path):
     assert archive_pages(pages.where("false"), str(tmp_path / "c")).count() == 0
 
 
+def test_warc_copies_move_once(spark, tmp_path, monkeypatch):
+    """Many copies of a payload and of a page, over several tasks: one response each,
+    revisits in blocks; columns named like the helpers' are not read."""
+    from tillhouse.llm import warc
+    monkeypatch.setattr(warc, "BLOCK", 7)
+    rows = [(100 - i, None, b"z" * 5000) for i in range(60)] + [(200, "u", b"again")] * 40 + [(None, "v", b"again"), (None, "v", None)]
+    pages = spark.createDataFrame(rows, "page_id long, uri string, payload binary").withColumns({
+        c: F.lit("x") for c in ("digest", "kind", "block", "data", "n")}).repartition(3)
+    got = warc.archive_pages(pages, str(tmp_path / "a"), chunk=1000).collect()
+    assert len(got) == len(rows) and all(r["intact"] for r in got)
+    assert [(r["page_id"], r["payload_bytes"]) for r in got if r["record_type"] == "response" and r["payload_bytes"] == 5000] == [(41, 5000)]
+    z = [r for r in got if r["payload_bytes"] == 5000]
+    assert sorted(r["page_id"] for r in z) == list(range(41, 101)) and {r["refers_to"] for r in z if r["page_id"] > 41} == {41}
+    again = [(r["page_id"], r["record_type"], r["refers_to"]) for r in got if r["payload_bytes"] == 5]
+    assert sorted(again, key=str) == sorted([(200, "response", None)] + [(200, "revisit", 200)] * 39 + [(None, "revisit", 200)], key=str)
+    per_task = warc.payload_chunks(pages, 1000, candidates=True).where("page_id between 41 and 100").count()
+    assert per_task < warc.payload_chunks(pages, 1000).where("page_id between 41 and 100").count() == 300
+
+
 def test_chunks_find_shared_passages(spark):
     from tillhouse.llm.chunk_dedup import repeated_passages
     rows, caught = [], set()

@@ -7,16 +7,22 @@ archive back into chunk rows, so memory is a few chunks whatever a record's
 size.
 
 Writing: digests of all payloads (rows of equal digest are combined before the
-shuffle; the smallest page_id of a digest is its response, others revisit it),
-then chunk rows of the responses, sorted within partitions by record and
-chunk, go to one archive file for each partition.  A task writes under a name
-of its own attempt and reports it as a row, so a repeated or speculative task
-leaves no half archive in the result.
+shuffle; the smallest page_id of a digest is its response, others revisit it);
+then chunk rows meet the heads of their records in one shuffle and go, sorted
+within partitions by record and chunk, to one archive file for each partition.
+A task leaves out chunks of payloads that it has seen under a smaller page_id,
+so copies of a payload hardly move.  A page that is repeated any number of
+times is revisited in blocks of ``BLOCK`` records, each dealt by itself.  A
+task writes under a name of its own attempt and reports it as a row, so a
+repeated or speculative task leaves no half archive in the result.
 
 Defined results: a null html is the empty payload; repeated pages (equal id and
 html) are separate records: the first is the response, the rest revisit it;
 rows of equal id and different html are separate records; a null page_id is a
-record without id, and is a response only if no row with an id has its payload.
+record without id, and is a response only if no row with an id has its payload;
+an empty table writes no archive and gives no row; a payload of any length is
+read and written chunk by chunk.  Only the three named columns are read, so other
+columns of the pages can't clash.
 """
 
 from __future__ import annotations
@@ -36,6 +42,8 @@ from tillhouse.llm.common import partitions, ship, store
 from tillhouse.session import scratch_path
 
 CHUNK = 256 * 1024
+BLOCK = 10_000      # revisits of one repeated page that one row stands for
+SEEN = 200_000      # payloads a task remembers, to leave out their copies
 
 
 def _file_system(path: str):
@@ -51,45 +59,58 @@ def base32_sha1(digest) -> str:
 
 
 # ---- chunk table --------------------------------------------------------------
+def _digest(data, chunk: int) -> str:
+    d = hashlib.sha1()
+    for at in range(0, len(data), chunk):
+        d.update(data[at:at + chunk])
+    return base32_sha1(d)
+
+
+def _payloads(column: pa.Array):
+    return (memoryview(x.as_buffer() or b"") for x in column)
+
+
 def payload_digests(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """(page_id, uri, payload_bytes, digest) of every row, digests taken chunk by chunk."""
     def work(batches):
         for batch in batches:
-            sizes, digests = [], []
-            for i in range(batch.num_rows):
-                data = batch.column(2)[i].as_buffer() or b""
-                d = hashlib.sha1()
-                for at in range(0, len(data), chunk):
-                    d.update(memoryview(data)[at:at + chunk])
-                sizes.append(len(data))
-                digests.append(base32_sha1(d))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(digests)],
+            found = [(len(x), _digest(x, chunk)) for x in _payloads(batch.column(2))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([n for n, _ in found], pa.int64()),
+                                              pa.array([d for _, d in found], pa.string())],
                                              names=["page_id", "uri", "payload_bytes", "digest"])
 
     return pages.select("page_id", "uri", F.col("payload")).mapInArrow(
         work, "page_id long, uri string, payload_bytes long, digest string")
 
 
-def payload_chunks(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """(page_id, digest, chunk_no, data): the chunk rows of every payload."""
+def payload_chunks(pages: DataFrame, chunk: int = CHUNK, candidates: bool = False) -> DataFrame:
+    """(page_id, digest, chunk_no, data): the chunk rows of every payload; of
+    ``candidates``, without those that the same task has under a smaller or
+    equal page_id (they can't be responses)."""
     def work(batches):
+        seen: dict[str, tuple] = {}
         for batch in batches:
-            ids, digests, nos, data = [], [], [], []
-            held = 0
-            for i in range(batch.num_rows):
+            pages_ = batch.column(0).to_pylist()
+            places = [(p is None, p or 0) for p in pages_]
+            ids, digests, nos, data, held = [], [], [], [], 0
+            for i in sorted(range(batch.num_rows), key=places.__getitem__) if candidates else range(batch.num_rows):
                 raw = memoryview(batch.column(1)[i].as_buffer() or b"")
-                d, n = hashlib.sha1(), 0
-                for at in range(0, max(len(raw), 1), chunk):
-                    d.update(raw[at:at + chunk])
-                    data.append(bytes(raw[at:at + chunk]))
+                digest = _digest(raw, chunk)
+                if candidates:
+                    if digest in seen and seen[digest] <= places[i]:
+                        continue
+                    if len(seen) >= SEEN:
+                        seen.clear()
+                    seen[digest] = places[i]
+                for n, at in enumerate(range(0, max(len(raw), 1), chunk)):
+                    ids.append(pages_[i])
+                    digests.append(digest)
                     nos.append(n)
-                    n += 1
-                ids += [batch.column(0)[i].as_py()] * n
-                digests += [base32_sha1(d)] * n
-                held += len(raw)
-                if held > 16 << 20:
-                    yield _chunk_rows(ids, digests, nos, data)
-                    ids, digests, nos, data, held = [], [], [], [], 0
+                    data.append(bytes(raw[at:at + chunk]))
+                    held += len(data[-1])
+                    if held > 16 << 20:
+                        yield _chunk_rows(ids, digests, nos, data)
+                        ids, digests, nos, data, held = [], [], [], [], 0
             if ids:
                 yield _chunk_rows(ids, digests, nos, data)
 
@@ -129,19 +150,25 @@ def _http(size: int) -> bytes:
 
 def write_archives(records: DataFrame, chunks: DataFrame, folder: str) -> DataFrame:
     """Write ``.warc.gz`` files into ``folder``; returns a stored (path,
-    n_records) manifest.  Only responses take their chunks along."""
-    spark = records.sparkSession
+    n_records) manifest.  One shuffle brings a record's head and its chunks
+    together; chunks of records that only revisit find no head and end there."""
     head = records.withColumn("response", F.col("page_id").eqNullSafe(F.col("low")))
-    key = F.xxhash64("page_id", "digest")
-    first = head.where("response").select(F.col("page_id").alias("id"), F.col("digest").alias("sum"), "payload_bytes", "uri")
-    kept = chunks.join(first, chunks["page_id"].eqNullSafe(first["id"]) & (chunks["digest"] == first["sum"]))
-    body = kept.select("page_id", "digest", "uri", "payload_bytes", F.lit(None).cast("long").alias("refers"), "chunk_no", "data")
-    more = head.withColumn("times", F.col("n") - F.col("response").cast("long")).where("times > 0").select(
-        "page_id", "digest", "uri", "payload_bytes", F.col("low").alias("refers"),
-        F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("chunk_no"))
-    rows = body.unionByName(more.withColumn("data", F.lit(None).cast("binary")))
-    n = partitions(spark)
-    rows = rows.repartition(n, key).sortWithinPartitions("page_id", "digest", F.col("data").isNull(), "chunk_no")
+    common = [F.col(c) for c in ("page_id", "digest", "uri", "payload_bytes")]
+    nothing = F.lit(None).cast("binary").alias("data")
+    # kind 0: head of a response, 1: a chunk, 2: ``no`` revisits
+    first = head.where("response").select(*common, F.lit(None).cast("long").alias("refers"), F.lit(0).alias("kind"),
+                                          F.lit(0).alias("no"), nothing, F.lit(0).cast("long").alias("block"))
+    body = chunks.select("page_id", "digest", F.lit(None).cast("string").alias("uri"), F.lit(None).cast("long").alias("payload_bytes"),
+                         F.lit(None).cast("long").alias("refers"), F.lit(1).alias("kind"), F.col("chunk_no").alias("no"), "data",
+                         F.lit(0).cast("long").alias("block"))
+    times = F.col("n") - F.col("response").cast("long")
+    more = head.withColumn("times", times).where("times > 0").select(
+        *common, F.col("low").alias("refers"), "times", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("times") - 1) / BLOCK))).alias("block"))
+    more = more.select(*common, "refers", F.lit(2).alias("kind"), F.least(F.lit(BLOCK), F.col("times") - F.col("block") * BLOCK).cast("int").alias("no"),
+                       nothing, "block")
+    rows = first.unionByName(body).unionByName(more)
+    rows = rows.repartition(partitions(records.sparkSession), F.xxhash64("page_id", "digest", "block")).sortWithinPartitions(
+        "page_id", "digest", "block", "kind", "no")
 
     def work(batches):
         from pyspark import TaskContext
@@ -149,29 +176,28 @@ def write_archives(records: DataFrame, chunks: DataFrame, folder: str) -> DataFr
         system, base = _file_system(folder)
         system.create_dir(base, recursive=True)
         path = f"{base.rstrip('/')}/part-{c.partitionId():05d}-{c.taskAttemptId()}.warc.gz"
-        count, last, member, out = 0, None, None, None
+        count, current, after, member, out = 0, None, 0, None, None
         for batch in batches:
-            for i, (page, digest, uri, size, refers, no) in enumerate(zip(*[batch.column(k).to_pylist() for k in range(6)])):
-                data = batch.column(6)[i]
+            for i, (page, digest, uri, size, refers, kind, no) in enumerate(zip(*[batch.column(k).to_pylist() for k in range(7)])):
+                if kind == 1:
+                    # of a response, and not a repeated row's chunk
+                    if (page, digest) == current and no == after:
+                        member.write(batch.column(7)[i].as_buffer())
+                        after += 1
+                    continue
+                member, current = _close(member), None
                 if out is None:
                     out = system.open_output_stream(path, compression=None)
-                if not data.is_valid:                      # a revisit: headers only
-                    member = _close(member)
-                    http = _http(size)
-                    with gzip.GzipFile(fileobj=out, mode="wb", compresslevel=1, mtime=0) as g:
-                        g.write(_header("revisit", page, digest, uri, len(http), refers) + http + b"\r\n\r\n")
-                    count, last = count + 1, None
-                    continue
-                if (page, digest, no) == last:
-                    continue                               # a repeated row's chunk
-                if no == 0:
-                    member = _close(member)
-                    http = _http(size)
+                http = _http(size)
+                if kind == 0:
                     member = gzip.GzipFile(fileobj=out, mode="wb", compresslevel=1, mtime=0)
                     member.write(_header("response", page, digest, uri, len(http) + size, None) + http)
-                    count += 1
-                member.write(data.as_buffer())
-                last = (page, digest, no)
+                    count, current, after = count + 1, (page, digest), 0
+                    continue
+                for _ in range(no):                        # revisits: headers only
+                    with gzip.GzipFile(fileobj=out, mode="wb", compresslevel=1, mtime=0) as g:
+                        g.write(_header("revisit", page, digest, uri, len(http), refers) + http + b"\r\n\r\n")
+                count += no
         _close(member)
         if out is not None:
             out.close()
@@ -201,6 +227,9 @@ def _parse(stream: io.BufferedReader, chunk: int) -> Iterator[tuple]:
         left = int(headers["content-length"])
         while (line := stream.readline()).strip():          # the HTTP head
             left -= len(line)
+            k, _, v = line.partition(b":")
+            if k.lower() == b"content-length":
+                headers["http-content-length"] = v.strip().decode()
         left -= len(line)
         d, no, size = hashlib.sha1(), 0, 0
         while True:
@@ -220,7 +249,7 @@ def read_archives(manifest: DataFrame, with_data: bool = True, chunk: int = CHUN
     """Chunk rows of all records of the archives: page_id, record_type,
     refers_to, uri, header_digest, chunk_no, data (null unless ``with_data``),
     payload_bytes and payload_digest (on a record's last row; of the bytes
-    read for responses, as stated by revisits)."""
+    read for responses, as stated by revisits, whose HTTP head has the full size)."""
     schema = ("page_id long, record_type string, refers_to long, uri string, header_digest string, chunk_no int, "
               "data binary, payload_bytes long, payload_digest string, last boolean")
 
@@ -241,7 +270,8 @@ def read_archives(manifest: DataFrame, with_data: bool = True, chunk: int = CHUN
                         revisit = h["warc-type"] == "revisit"
                         stated = h["warc-payload-digest"].partition(":")[2]
                         rows.append((number(h.get("x-page-id")), h["warc-type"], number(h.get("x-refers-to-page-id")), h["warc-target-uri"],
-                                     stated, no, data if with_data else None, size, stated if revisit else digest, digest is not None))
+                                     stated, no, data if with_data else None, int(h["http-content-length"]) if revisit else size,
+                                     stated if revisit else digest, digest is not None))
                         held += len(data) if with_data else 100
                         if held > 8 << 20:
                             yield flush(rows)
@@ -259,9 +289,7 @@ def archive_pages(pages: DataFrame, folder: str | None = None, chunk: int = CHUN
     spark: SparkSession = ship(pages.sparkSession)
     folder = folder or scratch_path(spark, f"llm-{uuid.uuid4().hex}/warc")
     records = store(plan_records(payload_digests(pages, chunk)), "records")
-    manifest = write_archives(records, payload_chunks(pages, chunk), folder)
-    read = read_archives(manifest, with_data=False, chunk=chunk).where("last")
-    sizes = records.groupBy("digest").agg(F.first("payload_bytes").alias("whole"))
-    return read.join(sizes, read["payload_digest"] == sizes["digest"], "left").select(
-        "page_id", F.when(F.col("record_type") == "revisit", F.col("whole")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
-        "payload_digest", "record_type", "refers_to", (F.col("payload_digest") == F.col("header_digest")).alias("intact"))
+    manifest = write_archives(records, payload_chunks(pages, chunk, candidates=True), folder)
+    return read_archives(manifest, with_data=False, chunk=chunk).where("last").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
+        (F.col("payload_digest") == F.col("header_digest")).alias("intact"))
