@@ -375,6 +375,69 @@ def test_license_scan(docs, empty):
     assert license_scan(docs, model).count() == 0 and license_scan(empty, train(empty)).count() == 0
 
 
+CLASHES = ("_t", "_h", "_words", "_nos", "_id", "_gone", "_m_email", "base", "extra", "added", "row", "class", "had", "in_0", "score", "n_lines_")
+
+
+def test_helper_names_do_not_clash(spark):
+    """Columns named like helpers pass through op4, op5 and op7; those named like an output are replaced."""
+    from tillhouse.llm.line_dedup import line_dedup
+    from tillhouse.llm.pii import find_pii, train
+    from tillhouse.llm.quality_rules import quality_rules
+    plain = spark.createDataFrame(ROWS, "doc_id long, text string")
+    named = plain.select(*[F.concat(F.lit(c), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(c) for c in CLASHES],
+                         "*", F.lit("x").alias("kept"), F.lit("x").alias("spans"), F.lit("x").alias("n_near"))
+    weights = train(plain)
+    for run, replaced in ((quality_rules, "kept"), (lambda d: find_pii(d, weights), "spans"), (line_dedup, "n_near")):
+        want, got = run(plain), run(named)
+        assert sorted(got.columns) == sorted(set(named.columns) | set(want.columns))
+        rows = got.collect()
+        assert Counter(str([r[c] for c in want.columns]) for r in rows) == Counter(str(list(r)) for r in want.collect())
+        assert all(r[c] == c + ("-" if r["doc_id"] is None else str(r["doc_id"])) for r in rows for c in CLASHES)
+        assert "x" not in {r[replaced] for r in rows}
+
+
+def test_pipeline_stages_judge_rows(spark, tmp_path):
+    """Every stage after the classifier against brute force: null, empty and repeated rows and ids, clashing names, an empty table."""
+    import corpus_pipeline as P
+    item = text_of(77, 30)
+    rows = [(1, BASE), (1, BASE), (None, BASE), (2, BASE.replace("w7 ", "w8 ", 1)), (3, text_of(31, 80)), (3, text_of(32, 80) + " " + item),
+            (None, text_of(33, 60) + "\n" + item), (None, text_of(34, 60)), (4, None), (4, None), (5, ""), (5, ""), (6, "one two"), (7, "one two"),
+            (8, text_of(35, 80)), (None, text_of(36, 50)), (None, text_of(36, 50)), (9, text_of(37, 3000))]
+    docs = spark.createDataFrame([(i, t, None if t is None else len(t), f"{k}") for k, (i, t) in enumerate(rows)],
+                                 "doc_id long, text string, n_chars int, row string")
+    docs = docs.withColumns({c: F.col("row") for c in ("component_id", "class", "had", "in_0", "score", "n_exact")}).repartition(3)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    def kept(df):
+        got = df.collect()
+        assert df.columns == docs.columns and all(r[c] == r["row"] for r in got for c in ("component_id", "class", "had", "in_0", "score", "n_exact"))
+        return sorted(int(r["row"]) for r in got)
+
+    sets = [shingles(t) for _, t in rows]
+    group = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                group = [group[b] if g == group[a] else g for g in group]
+    got = kept(P.near_duplicates(spark, docs, str(tmp_path)))
+    assert len(got) == len(set(group))
+    for g in set(group):
+        members = [k for k in range(len(rows)) if group[k] == g]
+        low = min((rows[k][0] is None, rows[k][0] or 0) for k in members)
+        assert [(rows[k][0] is None, rows[k][0] or 0) for k in got if k in members] == [low]
+    leaks = [k for k in range(len(rows)) if 100 * len(sets[k] & shingles(item)) >= 80 * len(shingles(item))]
+    assert leaks == [5, 6] and kept(P.benchmark(spark, docs, str(tmp_path))) == [k for k in range(len(rows)) if k not in leaks]
+    left = {int(r["row"]): r for r in P.lines(spark, docs, str(tmp_path)).collect()}
+    assert all(r["n_chars"] is None or r["n_chars"] == len(r["text"]) for r in left.values())
+    # a null id comes first: row 2 keeps the lines that rows 0, 1 and 3 repeat
+    assert {2, 8, 9, 10, 11, 12} <= set(left) and not {0, 1, 3, 13} & set(left) and left[2]["text"] == BASE
+    tokens = P.tokens(spark, docs, str(tmp_path)).collect()
+    assert sorted((r["doc_id"] or 0, r["decoded_sha256"]) for r in tokens) == sorted(
+        (i or 0, hashlib.sha256((t or "").encode()).hexdigest()) for i, t in rows)
+    for stage in (P.lines, P.benchmark, P.tokens):
+        assert stage(spark, docs.where("false"), str(tmp_path)).count() == 0
+
+
 def test_pipeline_stages_take_effect(spark, tmp_path):
     import corpus_pipeline as P
     sf = "/root/testdata/sf0.001"

@@ -36,6 +36,17 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, *keep: str) -> DataFrame:
+    """``df`` with its columns, but for ``keep``, named in_0, in_1, ...: what an
+    operator adds can't clash with them.  ``at`` gives a column's new name."""
+    return df.toDF(*[c if c in keep else f"in_{i}" for i, c in enumerate(df.columns)])
+
+
+def at(df: DataFrame, column: str) -> str:
+    """Name of ``column`` of ``df`` in ``numbered(df)``."""
+    return f"in_{df.columns.index(column)}"
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

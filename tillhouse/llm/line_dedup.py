@@ -32,7 +32,9 @@ as DataFrame functions.
 
 Defined results: null texts stay null, empty ones empty; a text whose every
 line with a word goes keeps its blank lines; rows of equal or null doc_id are ordered by their text as well, and equal rows count once, the first
-occurrence inside keeping the line in each of them.
+occurrence inside keeping the line in each of them; an empty table stays empty;
+a very long text or line is split whole; other columns are passed through under
+any name, but those named n_lines, n_exact or n_near, which the counts replace.
 """
 
 from __future__ import annotations
@@ -40,8 +42,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillhouse.llm.common import WORD_GAP, store
-
+from tillhouse.llm.common import WORD_GAP, at, let, numbered, store
 
 
 def _words(line):
@@ -147,7 +148,8 @@ def within_one_edit(a, b):
 def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 5, exact_words: int = 4) -> DataFrame:
     """``docs`` with duplicate lines taken out of ``text``, plus n_lines,
     n_exact and n_near (lines that went, by kind)."""
-    docs = docs.drop(*[c for c in ("n_lines", "n_exact", "n_near", "_gone", "_tag") if c in docs.columns])
+    own = ("n_lines", "n_exact", "n_near")
+    given, docs, doc_id, text = docs, numbered(docs), at(docs, doc_id), at(docs, text)
     found = duplicate_lines(docs, doc_id, text, min_words, exact_words)
     lines = _lines(docs, doc_id, text, _shortest(min_words, exact_words)).select(*_hash(), "id", "tag", "no")
     several = lines.join(found, ["h1", "h2"]).select(
@@ -157,13 +159,14 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_
     out = docs.withColumn("_t", F.xxhash64(text))
     out = out.join(gone, out[doc_id].eqNullSafe(gone["_id"]) & (out["_t"] == gone["_tag"]), "left")
     none = F.array().cast("array<struct<no:int,exact:boolean>>")
-    out = out.withColumn("_gone", F.coalesce("_gone", none)).withColumn("_nos", F.sort_array(F.transform("_gone", lambda g: g["no"])))
-    ls = F.split(F.col(text), "\n")
-    rest = F.array_join(F.transform(F.filter(F.arrays_zip(ls.alias("x"), F.transform(ls, lambda x, i: i).alias("i")),
-                                             lambda z: ~F.array_contains(F.col("_nos"), z["i"])), lambda z: z["x"]), "\n")
-    return out.withColumns({
-        "n_lines": F.coalesce(F.size(ls), F.lit(0)).cast("long"),
+    out = out.withColumn("_gone", F.coalesce("_gone", none)).withColumn("_nos", F.transform("_gone", lambda g: g["no"]))
+    # the numbers of the lines that stay, in order
+    rest = let(F.split(text, "\n"), lambda ls: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), F.col("_nos")), lambda i: F.get(ls, i)), "\n"))
+    out = out.withColumns({
+        "n_lines": F.coalesce(F.size(F.split(text, "\n")), F.lit(0)).cast("long"),
         "n_exact": F.size(F.filter("_gone", lambda g: g["exact"])).cast("long"),
         "n_near": F.size(F.filter("_gone", lambda g: ~g["exact"])).cast("long"),
         text: F.when(F.size("_nos") > 0, rest).otherwise(F.col(text)),
-    }).select(*docs.columns, "n_lines", "n_exact", "n_near")
+    })
+    return out.select(*[F.col(at(given, c)).alias(c) for c in given.columns if c not in own], *own)

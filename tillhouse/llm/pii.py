@@ -21,7 +21,9 @@ time: possessive runs that start only where a run starts.
 
 Defined results: null is the empty text (no spans, the digest of nothing);
 rows are independent, so repeated rows and ids each get their own result; no
-candidates: nothing is added.
+candidates: nothing is added; an empty table gives an empty one; very long texts
+are read whole; other columns are passed through under any name, but those named
+like an output column, which it replaces.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillhouse.llm.common import running
+from tillhouse.llm.common import at, numbered, running
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 PATTERNS = {
@@ -236,14 +238,13 @@ def train(df: DataFrame, text: str = "text") -> dict[str, float]:
 def find_pii(df: DataFrame, weights: dict[str, float], text: str = "text", least: float = 0.5) -> DataFrame:
     """``df`` plus n_<kind> of the base kinds, n_added, base_sha256, and spans:
     all spans as kind:start:end, by kind, then start."""
-    own = [*[f"n_{k}" for k in BASE_KINDS], "n_added", "base_sha256", "spans", "_t", "base", "extra"]
-    clean = df.drop(*[c for c in df.columns if c in own])
-    found = with_spans(clean, text)
+    own = [*[f"n_{k}" for k in BASE_KINDS], "n_added", "base_sha256", "spans"]
+    found = with_spans(numbered(df), at(df, text))
     # the classifier as one expression on a candidate, inside the row
     kept = found.withColumn("added", F.filter("extra", lambda s: _accepted(s, weights, least)))
     size = lambda c: F.size(c).cast("long")
     return kept.select(
-        *clean.columns,
+        *[F.col(at(df, c)).alias(c) for c in df.columns if c not in own],
         *[size(F.filter("base", _is(i))).alias(f"n_{k}") for i, k in enumerate(BASE_KINDS)],
         size("added").alias("n_added"), F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
         _joined(F.concat("base", "added")).alias("spans"))

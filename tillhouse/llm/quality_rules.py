@@ -7,8 +7,9 @@ one scan at any size and a hot source or long text moves no data.
 
 Defined results: null and empty texts have no words (``n_words`` 0, all counts
 0) and fail; repeated rows each get their own row; other columns of the input
-are passed through unless they clash with an output column, where the output
-column replaces them.
+are passed through under any name, those of the helper columns included, unless
+they clash with an output column, where the output column replaces them; an empty
+table gives an empty one; very long texts are measured whole.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillhouse.llm.common import SPACES, WORD_GAP
+from tillhouse.llm.common import SPACES, WORD_GAP, at, numbered
 
 #: Frequent function words of the four languages.
 STOP_WORDS = (
@@ -142,8 +143,7 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 def quality_rules(df: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
     """``df`` plus base counts, ``n_lines``, metrics, ``base_failed`` and ``kept``."""
     own = (*BASE, "n_lines", *METRICS, "base_failed", "kept")
-    clean = df.drop(*[c for c in df.columns if c in own and c != text])
-    out = measured(clean, text)
+    out = measured(numbered(df), at(df, text))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return out.withColumn("base_failed", failed).withColumn("kept", ~failed & verdict(rules)).select(
-        *clean.columns, *own)
+        *[F.col(at(df, c)).alias(c) for c in df.columns if c not in own], *own)
