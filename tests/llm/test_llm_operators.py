@@ -84,6 +84,28 @@ def test_bpe_matches_the_library(docs, empty):
     assert digests(empty, path, P.PATTERN).count() == 0
 
 
+def test_bpe_pieces_and_bounds(monkeypatch):
+    """Pieces join to the text; ids stay the library's when the table of solved pieces drops entries all the time and queries are small."""
+    import public_tokenizers
+    import tiktoken
+
+    from tillhouse.llm import bpe
+    monkeypatch.setattr(bpe, "CHUNK_BYTES", 300)
+    own = bpe.Bpe(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    own.memo.half = 2_000
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=own.ranks, special_tokens={})
+    r = random.Random(4)
+    marks = ["a", "Haus", "42", "'s", " ", " ", "\n", "\t", "\r\n", "\u00a0", "\u3000", "\x1c", "!?", "\u4e2d\u6587", "z" * 500, "q" * 700]
+    texts = ["".join(r.choice(marks) for _ in range(r.randrange(40))) for _ in range(300)] + [BASE, LONG, " a", "a ", "\n", "a\n\nb", "a\nb c"]
+    assert all("".join(own.parts(t)) == t for t in texts if t)
+    for at in range(0, len(texts), 7):
+        part = texts[at:at + 7]
+        for t, solved in zip(part, own.encode(part)):
+            assert [int(i) for s, _, _ in solved for i in s.split(",")] == library.encode_ordinary(t)
+            assert b"".join(d for _, _, d in solved) == t.encode()
+    assert own.memo.held < 100_000
+
+
 def test_ngram_join_components(docs, empty):
     from tillhouse.llm.ngram_join import similar_components
     sets = [(i, shingles(t)) for i, t in ROWS]

@@ -7,7 +7,7 @@ merged, and an ordered aggregation turns ids back into bytes.  A partition
 solves each distinct pre-token once; texts then only look pieces up.
 
 Nothing is shuffled.  Memory of a task: the batch, plus a table of solved
-pieces that is dropped at ``CACHE`` entries.  Pre-tokens of more than
+pieces (``Memo``) of at most ``CACHE`` bytes.  Pre-tokens of more than
 ``LONG`` bytes (a text of 100,000 letters is one) would need one step of the
 recursion for each merge; they are merged with a heap of pairs instead, by the
 same rule.
@@ -21,6 +21,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,9 +29,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-CHUNK = 40_000     # distinct pre-tokens solved by one recursive query
-CACHE = 1_200_000 # solved pieces a task keeps
-LONG = 600         # bytes
+from tillhouse.llm.memo import Memo, fewer_collections
+
+CHUNK = 60_000      # distinct pre-tokens solved by one recursive query, and
+CHUNK_BYTES = 1_500_000  # their bytes; one pre-token may exceed it alone
+CACHE = 192 << 20   # bytes of solved pieces a worker keeps
+LONG = 600          # bytes
+
+PIECE = re.compile(r" ?[^ \n]+|\n")
+#: White space that touches a space, a line feed or an end of the text.
+RUN = re.compile(r"[ \n]\s|\s[ \n]|\A\s|\s\Z")
 
 STEP = """
 with recursive step as (
@@ -58,6 +66,18 @@ select t.doc, string_agg(v.hex, '' order by t.pos) as hex
 from tokens t join vocabulary v on v.id = t.id group by t.doc"""
 
 
+def _portions(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of at most CHUNK items of at most CHUNK_BYTES together."""
+    start = held = 0
+    for i, n in enumerate(sizes):
+        if i > start and (i - start == CHUNK or held + n > CHUNK_BYTES):
+            yield start, i
+            start, held = i, 0
+        held += n
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
 class Bpe:
     """Rank file, merge table and DuckDB connection of one Python worker."""
 
@@ -80,14 +100,15 @@ class Bpe:
                 for k in range(1, len(t)) if t[:k] in self.ranks and t[k:] in self.ranks]
         left, right, merged = np.array(rows, np.int32).T
         self.db = duckdb.connect()
-        self.db.execute("set threads = 1; set memory_limit = '500MB'; set temp_directory = ''")
+        self.db.execute("set threads = 1; set memory_limit = '300MB'; set temp_directory = ''")
         merge_rows = pa.table({"l": left, "r": right, "merged": merged})  # noqa: F841 - read by name
         self.db.execute("create table merges as select * from merge_rows")
         vocab_rows = pa.table({"id": pa.array(list(self.tokens), pa.int32()),  # noqa: F841
                                "hex": [t.hex() for t in self.tokens.values()]})
         self.db.execute("create table vocabulary as select * from vocab_rows")
         self.byte = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        self.memo: dict[str, tuple[str, int, bytes]] = {}
+        self.memo = Memo(CACHE)
+        fewer_collections()
 
     # -- pieces -> ids ---------------------------------------------------------
     def solve(self, words: list[bytes]) -> list[list[int]]:
@@ -101,8 +122,8 @@ class Bpe:
                 out[i] = self.heap(w)
             else:
                 todo.append(i)
-        for at in range(0, len(todo), CHUNK):
-            part = todo[at:at + CHUNK]
+        for a, b in _portions([len(words[i]) for i in todo]):
+            part = todo[a:b]
             lens = np.array([len(words[i]) for i in part])
             tok = self.byte[np.frombuffer(b"".join(words[i] for i in part), np.uint8)]
             ends = np.cumsum(lens)
@@ -142,20 +163,11 @@ class Bpe:
         """Pieces that split alike alone and in the text: a single space or
         newline between two other characters always starts a new pre-token.
         Texts with other runs of white space stay whole."""
-        out: list[str] = []
-        for n, line in enumerate(text.split("\n")):
-            if n:
-                out.append("\n")
-            row = line.split(" ")
-            if any(not p or p[0].isspace() or p[-1].isspace() for p in row):
-                return [text]
-            out.append(row[0])
-            out += [" " + p for p in row[1:]]
-        return out
+        return [text] if RUN.search(text) else PIECE.findall(text)
 
     def learn(self, parts: set[str]) -> None:
         """Solve unseen parts together."""
-        new = [p for p in parts if p not in self.memo]
+        new = self.memo.missing(parts)
         cut = {p: self.split(p) for p in new}
         words = list({w: None for ws in cut.values() for w in ws})
         solved = dict(zip(words, self.solve([w.encode() for w in words])))
@@ -163,13 +175,14 @@ class Bpe:
         back = dict(zip(words, texts))
         for p, ws in cut.items():
             ids = [i for w in ws for i in solved[w]]
-            self.memo[p] = (",".join(map(str, ids)), len(ids), b"".join(back[w] for w in ws))
+            text, data = ",".join(map(str, ids)), b"".join([back[w] for w in ws])
+            self.memo.put(p, (text, len(ids), data), len(p) + len(text) + len(data))
 
     def decode(self, docs: list[list[int]]) -> list[bytes]:
         """Bytes of each list of ids: an ordered aggregation over token rows."""
         out = [b""] * len(docs)
-        for at in range(0, len(docs), CHUNK):
-            part = docs[at:at + CHUNK]
+        for at, end in _portions([len(d) for d in docs]):
+            part = docs[at:end]
             lens = np.array([len(d) for d in part], np.int64)
             if not lens.sum():
                 continue
@@ -184,12 +197,12 @@ class Bpe:
 
     def encode(self, texts: list[str | None]) -> Iterator[list[tuple[str, int, bytes]]]:
         """For each text the solved parts it consists of."""
-        if len(self.memo) > CACHE:
-            self.memo.clear()
+        self.memo.trim()
         rows = [self.parts(t) if t else [] for t in texts]
-        self.learn({p for r in rows for p in r if p})
+        self.learn(set().union(*rows))
+        young = self.memo.young
         for r in rows:
-            yield [self.memo[p] for p in r if p]
+            yield [young[p] for p in r]
 
 
 def _batches(column: pa.Array, chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
