@@ -399,6 +399,64 @@ def test_license_scan(docs, empty):
     assert license_scan(docs, model).count() == 0 and license_scan(empty, train(empty)).count() == 0
 
 
+NAMED = {
+    "SPDX-License-Identifier: GPL-3.0-only": {"GPL"}, "SPDX-License-Identifier: BSD-2-Clause": {"BSD"},
+    "SPDX-License-Identifier: LGPL-2.1-or-later": {"LGPL"}, "SPDX-License-Identifier: EPL-2.0": {"EPL"}, "MIT OR Apache-2.0": {"MIT", "Apache-2.0"},
+    "MIT License or the Apache License, Version 2.0": {"MIT", "Apache-2.0"}, "SPDX-License-Identifier: (MIT OR GPL-2.0-only)": {"MIT", "GPL"},
+    "Dual licensed under the Eclipse Public License and the GNU General Public License": {"EPL", "GPL"},
+    "You should have received a copy of the GNU Affero General Public License along with this program. If not, see https://www.gnu.org/licenses/.": {"AGPL"},
+    "Text is available under the Creative Commons Attribution-ShareAlike 4.0 International License.": {"CC-BY-SA"},
+    "Released under the MIT license, see LICENSE.": {"MIT"}, "Covered by the Mozilla Public License, version 2.0.": {"MPL"},
+    "This module is licensed under the Apache License, Version 2.0.": {"Apache-2.0"}, "Distributed under the ISC License.": {"ISC"},
+}
+#: Licences that training has not seen.
+UNSEEN = ("WTFPL", "Boost Software", "Unicode", "Foo Public", "NVIDIA", "Eiffel Forum", "Blue Oak Model", "Proprietary Enterprise", "Intel Simplified", "Zend")
+
+
+def test_license_scan_of_known_and_unknown_licences(spark):
+    """Families that training has not seen stay unknown, each family on a line is named; scan() against a plain version; the sample is bounded and has no copies."""
+    import numpy as np
+
+    from tillhouse.llm import license_scan as L
+    r = random.Random(3)
+    model = L.Model([w for t in (BASE, LONG) for _, w in L.windows(t)])
+    assert 0.1 <= model.least <= 0.95
+    unknown = [f.format(n) for n in UNSEEN for f in L.NOTICES]
+    lines = [(t, fs) for t, fs in NAMED.items()] + [(t, set()) for t in unknown] + [(" ".join(r.choices(WORDS, k=30)), set()) for _ in range(300)]
+    lines += [("As a oure.", set()), ("under the law", set()), ("This software", set()), ("All rights reserved.", set())]
+    # the same notices with other text around them
+    lines += [(" ".join([*r.choices(WORDS, k=4), t, *r.choices(WORDS, k=4)]), fs) for t, fs in NAMED.items()]
+    r.shuffle(lines)
+    text = "\n".join(t for t, _ in lines)
+    got = {(no, f) for _, no, f, _, _ in model.scan([text])}
+    want = {(no, f) for no, (_, fs) in enumerate(lines) for f in fs}
+    assert len(got & want) >= 0.99 * len(got) and len(got & want) >= 0.95 * len(want)
+    plain = set()
+    for no, w in L.windows(text):
+        h = L._hashes(w)
+        z = model.logits([L._features(h)])
+        if 1 - model.soft(z / model.temperature)[0, 0] >= model.least:
+            mine = set(L._pairs(h).tolist())
+            for f, ts in model.templates.items():
+                if any(mine & set(own.tolist()) and len(mine & set(t.tolist())) >= 0.5 * min(max(len(mine), 6), len(t)) for t, own in ts):
+                    plain.add((no, f))
+    assert got == plain
+    assert all(len(np.unique(t)) == len(t) for ts in model.templates.values() for t, _ in ts)
+    rows = [(BASE,)] * 50 + [(f"Text {i} " + BASE,) for i in range(20)] + [(LONG,), (None,), ("",)]
+    seen = []
+
+    class Kept(L.Model):
+        def __init__(self, negatives):
+            seen.extend(negatives)
+
+    whole, L.Model = L.Model, Kept
+    try:
+        L.train(spark.createDataFrame(rows, "text string"), longest=len(LONG) - 1)
+    finally:
+        L.Model = whole
+    assert len(seen) == 21 * len(L.windows(BASE))
+
+
 CLASHES = ("_t", "_h", "_words", "_nos", "_id", "_gone", "_m_email", "base", "extra", "added", "row", "class", "had", "in_0", "score", "n_lines_")
 
 
