@@ -423,7 +423,7 @@ def test_license_scan_of_known_and_unknown_licences(spark):
     assert 0.1 <= model.least <= 0.95
     unknown = [f.format(n) for n in UNSEEN for f in L.NOTICES]
     lines = [(t, fs) for t, fs in NAMED.items()] + [(t, set()) for t in unknown] + [(" ".join(r.choices(WORDS, k=30)), set()) for _ in range(300)]
-    lines += [("As a oure.", set()), ("under the law", set()), ("This software", set()), ("All rights reserved.", set())]
+    lines += [("As a oure.", set()), ("under the law", set()), ("This software", set()), ("All rights reserved.", set()), ("er ging mit or ohne", set())]
     # the same notices with other text around them
     lines += [(" ".join([*r.choices(WORDS, k=4), t, *r.choices(WORDS, k=4)]), fs) for t, fs in NAMED.items()]
     r.shuffle(lines)

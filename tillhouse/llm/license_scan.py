@@ -166,14 +166,23 @@ class Model:
         rng = np.random.default_rng(seed)
         cut_up = lambda t: t.lower().encode().split()
         notices = {f: [*ts, *(f"SPDX-License-Identifier: {x}" for x in IDENTIFIERS.get(f, ()))] for f, ts in TEMPLATES.items()}
-        either = [(f, form.format(x, "")) for f, xs in IDENTIFIERS.items() for x in xs for form in ("OR {}", "{} OR", "AND {}", "{} AND")]
-        pairs = {f: [np.unique(_pairs(_hashes(cut_up(t)))) for t in ts + [e for g, e in either if g == f]] for f, ts in notices.items()}
-        #: each family's templates, and the pairs no other family's templates have, nor notices of other licences
+        pair_set = lambda t: np.unique(_pairs(_hashes(cut_up(t))))
+        ids = [(f, x) for f, xs in IDENTIFIERS.items() for x in xs]
+        joins = [form for word in ("OR", "AND") for form in (f"{{}} {word}", f"{word} {{}}")]
+        # an identifier with a number is a name by itself, "mit or" is one only next to another identifier
+        either = [(f, form.format(x)) for f, x in ids for form in joins if any(c.isdigit() for c in x)]
+        pairs = {f: [pair_set(t) for t in ts + [e for g, e in either if g == f]] for f, ts in notices.items()}
         seen = Counter(x for ts in pairs.values() for x in np.unique(np.concatenate(ts)).tolist())
         for t in NOTICES:
-            seen.update(x for name in OTHERS for x in set(_pairs(_hashes(cut_up(t.format(name)))).tolist()))
-        own = lambda t: t[[seen[x] == 1 for x in t.tolist()]]
-        self.templates = {f: [(t, own(t)) for t in ts] for f, ts in pairs.items()}
+            seen.update(x for name in OTHERS for x in set(pair_set(t.format(name)).tolist()))
+        #: each family's templates, with the pairs no other family's templates have, nor notices of other licences
+        self.templates = {f: [(t, t[[seen[x] == 1 for x in t.tolist()]]) for t in ts] for f, ts in pairs.items()}
+        for f, x in ids:
+            if not any(c.isdigit() for c in x):
+                self.templates[f] += [(pair_set(f"SPDX-License-Identifier: {form.format(x)} {y}" if form.startswith("{") else
+                                                f"SPDX-License-Identifier: {y} {form.format(x)}"), pair_set(form.format(x)))
+                                      for form in joins for g, y in ids if g != f]
+        self.owner: dict[int, str] = {x: f for f, ts in self.templates.items() for _, own in ts for x in own.tolist()}
         negatives = negatives + [cut_up(t) for t in NEAR_MISSES] * 4
         rows, labels = [_hashes(w) for w in negatives], [0] * len(negatives)
         # licences that are no family; every third only calibrates
@@ -248,7 +257,8 @@ class Model:
     def confirmed(self, h: np.ndarray) -> list[tuple[str, float]]:
         """Families whose templates confirm a paragraph, with the similarity."""
         pairs = np.unique(_pairs(h))
-        return [(f, s) for f in FAMILIES if (s := self.similarity(f, pairs)) >= 0.5]
+        named = {self.owner[x] for x in pairs.tolist() if x in self.owner}
+        return [(f, s) for f in FAMILIES if f in named and (s := self.similarity(f, pairs)) >= 0.5]
 
     def scan(self, texts: list[str | None]) -> list[tuple[int, int, str, float, float]]:
         """(row, line, family, probability, similarity) of confirmed paragraphs, the best window of a line."""
