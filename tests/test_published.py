@@ -206,3 +206,51 @@ def test_a_failing_check_ends_the_day(spark):
     assert len(e.value.failures) == 1
     assert jobs.gate(results, "return").count() == 1
     assert jobs.gate(results.where("failures = 0")).count() == 0
+
+
+def test_a_batch_of_one_tenant_leaves_the_buckets_of_others(spark, tmp_root):
+    path, table = f"{tmp_root}/landing", PublishedTable(spark, f"{tmp_root}/compact")
+    land(spark, path, 1, [("a", i, "v1", 1) for i in range(20)] + [("b", i, "v1", 1) for i in range(20)])
+    landing.compact(landed(spark, path), table, KEYS, buckets=2, group="tenant_id")
+    before = table.manifest()["parts"]
+    assert sorted(before) == ["a|0", "a|1", "b|0", "b|1"]
+    land(spark, path, 2, [("b", i, "v2", 2) for i in range(20)])
+    got = landing.compact(landed(spark, path), table, KEYS, buckets=2)             # the table keeps its layout
+    after = table.manifest()["parts"]
+    assert {p for p in after if after[p] != before[p]} == {"b|0", "b|1"}
+    assert {(r["tenant_id"], r["name"]) for r in got.collect()} == {("a", "v1"), ("b", "v2")} and got.count() == 40
+
+
+def test_compaction_sends_versions_once_unless_many_are_of_the_same_keys(spark, monkeypatch):
+    one = spark.range(1000).selectExpr("'a' as tenant_id", "id", "1 as updated_at", "1 as _batch_id")
+    many = spark.range(1000).selectExpr("'a' as tenant_id", "id % 10 as id", "id as updated_at", "1 as _batch_id")
+
+    def run(df):
+        out, parts = landing._latest_in_parts(df, None, KEYS, "updated_at", ("_batch_id",), landing.part_of(KEYS, 4), 4)
+        exchanges = [l for l in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in l]
+        assert set(parts) <= {"0", "1", "2", "3"}
+        return len(exchanges), out
+
+    assert run(one)[0] == 1 and run(one)[1].count() == 1000
+    assert run(many)[0] == 2 and sorted(r["updated_at"] for r in run(many)[1].collect()) == list(range(990, 1000))
+    monkeypatch.setattr(landing, "ROWS_PER_TASK", 50)                               # parts split by key
+    n, out = run(one)
+    assert n == 1 and out.count() == 1000 and out.groupBy("_part").count().count() == 4
+
+
+def test_rows_of_a_renewed_fact_are_computed_once(spark, tmp_root):
+    table = PublishedTable(spark, f"{tmp_root}/t")
+    part = F.col("p")
+    table.replace(spark.createDataFrame([("x", 1), ("x", 2), ("y", 3), ("z", 4)], "p string, v int"), part)
+    old, seen = table.manifest()["parts"], spark.sparkContext.accumulator(0)
+
+    def note(v):
+        seen.add(1)
+        return v
+    fresh = spark.createDataFrame([("x", 2), ("w", 5)], "p string, v int").withColumn("v", F.udf(note, "int")("v"))
+    got = table.renew(fresh, part, ["z"], lambda rows: rows.where("v not in (2, 4)"))
+    assert sorted(map(tuple, got.collect())) == [("w", 5), ("x", 1), ("x", 2), ("y", 3)]
+    assert seen.value == 2 and table.parts() == ["w", "x", "y"] and table.manifest()["parts"]["y"] == old["y"]
+    version = table.versions()[-1]
+    assert table.renew(fresh.limit(0), part, [], lambda rows: rows, {"n": 1}).count() == 4
+    assert table.versions()[-1] == version + 1 and table.meta() == {"n": 1}

@@ -8,9 +8,9 @@ was built from.  For the batches that are new since then:
    line belongs to, and those that the line belonged to in the fact before.
 2. *Affected partitions*: where rows of these transactions stand now, and where
    they stood (a sale that moved to another month, or was cancelled).
-3. The rows of the affected transactions are derived anew; in the affected
-   partitions they take the place of the old ones, all other rows of those
-   partitions are copied, and all other partitions keep their files.
+3. The rows of the affected transactions are derived anew and written once, at
+   their place; beside them all other rows of the affected partitions are
+   copied, and all other partitions keep their files.
 
 The result is that of a full build but for ``loaded_at``, which stays that of the
 build that derived the row.  A batch that was replaced after the fact took it may
@@ -25,6 +25,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillhouse.functions import surrogate_key
 from tillhouse.plans import marts
 from tillhouse.plans.warehouse import Warehouse
 from tillhouse.sources import landing
@@ -55,6 +56,14 @@ def _placed(df: DataFrame) -> DataFrame:
     return df.withColumn("_month", month_part()).hint("rebalance", F.col("_month")).drop("_month")
 
 
+def _keyed_in_place(rows: DataFrame, fact_key: str, loaded_at: Column | None) -> DataFrame:
+    """``_placed`` with the surrogate key and the load time set where the rows
+    are written: neither is shuffled."""
+    name = rows.columns[0]
+    return (_placed(rows.drop(name, "loaded_at")).withColumn(name, surrogate_key("tenant_id", fact_key))
+            .withColumn("loaded_at", marts.load_time(loaded_at)).select(*rows.columns))
+
+
 def fact_is_current(table: PublishedTable, loads: Mapping[str, Mapping[str, str]]) -> bool:
     return table.exists() and table.meta().get("loads") == loads
 
@@ -67,17 +76,16 @@ def update_fact(table: PublishedTable, build: Callable[..., DataFrame], lines: D
     transaction_id) and ``changed_transactions`` (tenant_id, transaction_id)
     name what changed since it was built."""
     old = table.read()
-    before = semi(old.select("tenant_id", fact_key, "transaction_id"),
-                   changed_lines.select("tenant_id", F.col(line_key).alias(fact_key)).distinct(), ["tenant_id", fact_key])
+    # lines meet by the hash of their key: one that is taken for another costs no more than deriving a sale's rows once more
+    before = (old.select(*TXN, F.xxhash64("tenant_id", fact_key).alias("_line"))
+              .join(changed_lines.select(F.xxhash64("tenant_id", line_key).alias("_line")), "_line", "left_semi"))
     keys = stored(changed_transactions.select(*TXN).unionByName(changed_lines.select(*TXN))
                    .unionByName(before.select(*TXN)).dropna().distinct(), "fact-keys")
-    fresh = stored(build(semi(lines, keys, TXN), semi(transactions, keys, TXN), loaded_at), "fact-rows")
-    parts = sorted({*_names(semi(old, keys, TXN)), *_names(fresh)})
-    if not parts:
-        table.note(meta or {})
-        return table.read()
-    kept = semi(table.read(parts), keys, TXN, "left_anti")
-    return table.replace(_placed(kept.unionByName(fresh.select(*kept.columns))), month_part(), parts, meta)
+    # the keys hold no nulls: joined as equals, transactions stay where their lines are looked up
+    of = F.col("tenant_id").isin([r["tenant_id"] for r in keys.select("tenant_id").distinct().collect()])
+    fresh = build(lines.where(of), transactions.where(of).join(keys, TXN, "left_semi"), loaded_at)
+    return table.renew(_keyed_in_place(fresh, fact_key, loaded_at), month_part(), _names(old.where(of).join(keys, TXN, "left_semi")),
+                       lambda rows: _placed(semi(rows, keys, TXN, "left_anti")), meta)
 
 
 def build_facts(spark: SparkSession, raw: Mapping[str, DataFrame], landing_root: str, marts_root: str, run_id: int,
@@ -97,7 +105,7 @@ def build_facts(spark: SparkSession, raw: Mapping[str, DataFrame], landing_root:
         known = table.meta().get("loads") if table.exists() else None
         if known is None or any(loads[t].get(b) != i for t in loads for b, i in known.get(t, {}).items()):
             rows = build(staged[model], staged["stg_transactions_mt"], loaded_at)
-            out[fact] = table.replace(_placed(rows), month_part(), meta={"loads": loads})
+            out[fact] = table.replace(_keyed_in_place(rows, fact_key, loaded_at), month_part(), meta={"loads": loads})
             continue
         new = {t: landed[t].where(F.col("_batch_id").isin([int(b) for b in loads[t] if b not in known.get(t, {})])) for t in loads}
         out[fact] = update_fact(table, build, staged[model], staged["stg_transactions_mt"], new[lines].select("tenant_id", line_key, "transaction_id"),

@@ -29,7 +29,7 @@ from tillhouse.plans import checks, incremental
 from tillhouse.plans.lazy import merged
 from tillhouse.plans.warehouse import Warehouse
 from tillhouse.schemas import RAW_MT, RAW_ST, WATERMARK_STATE, conform
-from tillhouse.session import path_exists, scratch_path
+from tillhouse.session import WRITE_OPTIONS, path_exists, scratch_path
 from tillhouse.sources import landing, watermark
 from tillhouse.sources.manifest import PublishedTable, entries, publish, published
 
@@ -156,7 +156,7 @@ def _shared(df: DataFrame, name: str, marts_root: str) -> DataFrame:
     leaving a new one behind."""
     key = hashlib.md5(marts_root.encode()).hexdigest()[:16]
     path = scratch_path(df.sparkSession, f"staging-{key}/{name}")
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**WRITE_OPTIONS).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -208,7 +208,7 @@ def land_raw_multi(spark: SparkSession, raw: Mapping[str, DataFrame], landing_ro
     ``_batch_id`` when present); returns all landed versions."""
     def append(t, df):
         out = _conformed(df, t, batch_id)
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**WRITE_OPTIONS)
             .partitionBy("_batch_id", "tenant_id").parquet(_path(landing_root, t)))
 
     run_concurrently({t: (lambda t=t, df=df: append(t, df)) for t, df in raw.items()})
@@ -233,7 +233,8 @@ def compact_tables(spark: SparkSession, landing_root: str, compact_root: str, ta
     def one(t):
         table = PublishedTable(spark, _path(compact_root, t))
         landed = landing.read_landed(spark, _path(landing_root, t), schema=_raw_schema(t))
-        landing.compact(landed, table, ["tenant_id", MT_KEYS[t]], buckets=buckets, up_to=run_id)
+        landing.compact(landed, table, ["tenant_id", MT_KEYS[t]], buckets=buckets, up_to=run_id,
+                        group="tenant_id")
         table.retain(keep)
         return table.read()
 

@@ -19,8 +19,12 @@ from tillhouse.operators import date_spine
 from tillhouse.plans.lazy import LazyDict
 
 
+def load_time(loaded_at: Column | None) -> Column:
+    return loaded_at if loaded_at is not None else F.localtimestamp()
+
+
 def _loaded(loaded_at: Column | None) -> Column:
-    return (loaded_at if loaded_at is not None else F.localtimestamp()).alias("loaded_at")
+    return load_time(loaded_at).alias("loaded_at")
 
 
 # ---- single tenant ----------------------------------------------------------

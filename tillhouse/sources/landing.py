@@ -19,8 +19,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillhouse.operators.dedup import latest_by_key
-from tillhouse.session import scratch_path
-from tillhouse.sources.manifest import PublishedTable, publish
+from tillhouse.session import WRITE_OPTIONS, scratch_path
+from tillhouse.sources.manifest import PART, PublishedTable, publish
+
+#: Versions that one task of a compaction sorts, about 150 MB of them in memory.
+ROWS_PER_TASK = 500_000
 
 
 def land_full(df: DataFrame, path: str) -> None:
@@ -33,7 +36,8 @@ def land_full(df: DataFrame, path: str) -> None:
 def append_versions(df: DataFrame, path: str, batch_id: int, tenant_col: str = "tenant_id") -> None:
     """Land a batch of row versions as its own partition ``_batch_id=<id>``, by
     tenant inside.  A retry of the batch replaces it, so a run is idempotent."""
-    df.drop("_batch_id").write.mode("overwrite").partitionBy(tenant_col).parquet(f"{path.rstrip('/')}/_batch_id={batch_id}")
+    (df.drop("_batch_id").write.mode("overwrite").options(**WRITE_OPTIONS)
+       .partitionBy(tenant_col).parquet(f"{path.rstrip('/')}/_batch_id={batch_id}"))
 
 
 def read_landed(spark: SparkSession, path: str, batch_id: int | None = None,
@@ -78,10 +82,50 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets))
 
 
+def part_of(keys: Sequence[str], buckets: int, group: str | None = None) -> Column:
+    """Partition of a compacted row: its bucket, within its ``group`` if there is one."""
+    bucket = bucket_of(keys, buckets).cast("string")
+    # never null, so that the write needs no other order than the one the rows have
+    return F.concat_ws("|", F.coalesce(F.col(group), F.lit("_null_")), bucket) if group else F.concat_ws("|", bucket)
+
+
+def _latest_in_parts(delta: DataFrame, base: DataFrame | None, keys: Sequence[str], version: str, tie_break: Sequence[str],
+                     part: Column, buckets: int) -> tuple[DataFrame, list[str]]:
+    """Latest version per key of ``delta`` and ``base``, in column ``_part`` the
+    partition, whose rows are together; and the partitions of ``delta``.
+
+    Versions go to their partition in one shuffle.  Only where so many are older
+    ones of the same keys that a frequent key could more than double a bucket are
+    the latest of ``delta`` found first, of which a map task sends one per key.  A
+    partition of many rows is split by key over several tasks, so that no sort
+    outgrows its memory."""
+    counted = delta.groupBy(part.alias(PART)).agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64(*keys), 0.02).alias("keys"))
+    found = counted.collect()                                                                 # a row per partition
+    rows, different = sum(r["n"] for r in found), sum(r["keys"] for r in found)
+    if rows - different > rows / buckets:
+        delta, rows = latest_by_key(delta, keys, version, tie_break), min(rows, different)
+    both = delta
+    if base is not None:
+        both, rows = base.unionByName(delta.select(*base.columns)), rows + base.count()
+    tasks = -(-rows // ROWS_PER_TASK)
+    splits = -(-tasks // max(1, len(found)))
+    placed = both.withColumn(PART, part).withColumn("_split", F.pmod(F.xxhash64(F.lit(1), *keys), F.lit(splits)))
+    by = [PART, "_split"] if splits > 1 else [PART]
+    placed = placed.repartition(tasks, *by) if tasks > _shuffle_partitions(delta.sparkSession) else placed.repartition(*by)
+    return latest_by_key(placed, [*by, *keys], version, tie_break).drop("_split"), [r[PART] for r in found]
+
+
+def _shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def compact(landed: DataFrame, table: PublishedTable, keys: Sequence[str], version: str = "updated_at",
-            tie_break: Sequence[str] = ("_batch_id",), buckets: int = 64, up_to: int | None = None) -> DataFrame:
+            tie_break: Sequence[str] = ("_batch_id",), buckets: int = 64, up_to: int | None = None,
+            group: str | None = None) -> DataFrame:
     """Latest version per key of ``landed`` (its batches up to ``up_to``),
-    published in hash buckets of the key (D3).
+    published in hash buckets of the key (D3).  With ``group``, one of the keys,
+    each of its values has buckets of its own: a batch of one tenant leaves the
+    files of the others as they are.
 
     The manifest holds the load id of every batch that was merged.  Batches it
     does not hold are merged into the buckets their keys fall in; those buckets
@@ -97,9 +141,8 @@ def compact(landed: DataFrame, table: PublishedTable, keys: Sequence[str], versi
     if up_to is not None:
         landed = landed.where(F.col("_batch_id") <= up_to)
     if not table.exists():
-        latest = latest_by_key(landed, keys, version, tie_break)
-        part = bucket_of(keys, buckets)
-        return table.replace(latest.repartition(part), part, meta={"loads": ids, "buckets": buckets, "keys": list(keys)})
+        latest, _ = _latest_in_parts(landed, None, keys, version, tie_break, part_of(keys, buckets, group), buckets)
+        return table.replace(latest, F.col(PART), meta={"loads": ids, "buckets": buckets, "keys": list(keys), "group": group})
     if known["keys"] != list(keys):
         raise ValueError(f"{table.path} is compacted by {known['keys']}")
     buckets, loads = known["buckets"], known["loads"]
@@ -108,29 +151,26 @@ def compact(landed: DataFrame, table: PublishedTable, keys: Sequence[str], versi
     if not new and not again:
         return table.read()
     delta = landed.where(F.col("_batch_id").isin(new)) if new else landed.limit(0)
-    bucket = bucket_of(keys, buckets)
+    part = part_of(keys, buckets, known.get("group"))
     if again:
         base = table.read()
         touched_keys = (landed.where(F.col("_batch_id").isin(again)).select(*keys)
                         .unionByName(base.where(F.col("_batch_id").isin(again)).select(*keys))
                         .unionByName(delta.select(*keys)).distinct())
         # a null-safe semi join: a null tenant or key is a key like others
-        touched = stored(touched_keys.withColumn("_bucket", bucket), "compact-keys")
+        touched = stored(touched_keys.withColumn(PART, part), "compact-keys")
         delta = semi(landed, touched, keys)
     else:
-        touched = delta.select(bucket.alias("_bucket"))
-    which = [r["_bucket"] for r in touched.select("_bucket").distinct().collect()]            # at most ``buckets`` numbers
+        touched = delta.select(part.alias(PART))
+    which = [r[PART] for r in touched.select(PART).distinct().collect()]                      # groups x buckets names
     if not which:
         table.note({**known, "loads": ids})
         return table.read()
-    base = table.read([str(b) for b in which])
+    base = table.read(which)
     if again:
         base = semi(base, touched, keys, "left_anti")
-    fresh = latest_by_key(delta, keys, version, tie_break)
-    # one shuffle: rows go to their bucket, where the window and the write find them
-    both = base.unionByName(fresh.select(*base.columns)).withColumn("_bucket", bucket).repartition("_bucket")
-    merged = latest_by_key(both, ["_bucket", *keys], version, tie_break)
-    return table.replace(merged.drop("_bucket"), bucket, [str(b) for b in which], {**known, "loads": ids})
+    merged, _ = _latest_in_parts(delta, base, keys, version, tie_break, part, buckets)
+    return table.replace(merged, F.col(PART), which, {**known, "loads": ids})
 
 
 def semi(df: DataFrame, of: DataFrame, keys: Sequence[str], how: str = "left_semi") -> DataFrame:
@@ -142,7 +182,7 @@ def semi(df: DataFrame, of: DataFrame, keys: Sequence[str], how: str = "left_sem
 def stored(df: DataFrame, name: str) -> DataFrame:
     """A small result that is used twice, written once to the shared folder."""
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.options(**WRITE_OPTIONS).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -20,12 +20,14 @@ it does not grow with the rows.
 from __future__ import annotations
 
 import json
-from collections.abc import Collection, Iterable
+from collections.abc import Callable, Collection, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillhouse.session import WRITE_OPTIONS
+
 PART = "_part"
 WHOLE = "all"
 
@@ -108,15 +110,37 @@ class PublishedTable:
         them, by default all: a whole rebuild.  Returns the published table."""
         old = self.manifest()
         version = (old["version"] if old else 0) + 1
-        target = f"{self.path}/v{version}"
-        part = F.lit(WHOLE) if part is None else part
-        schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
-        df.withColumn(PART, part.cast("string")).write.mode("overwrite").partitionBy(PART).parquet(target)
+        written = self._write(df, F.lit(WHOLE) if part is None else part, version)
         kept = {} if old is None or replaced is None else {p: d for p, d in old["parts"].items() if p not in set(replaced)}
-        written = {self._unescaped(n): f"v{version}/{n}" for n in entries(self.spark, target) if n.startswith(f"{PART}=")}
         if replaced is not None and (extra := set(written) & set(kept)):
             raise ValueError(f"rows for partitions that are not replaced: {sorted(extra)[:5]}")
-        self._commit({"version": version, "parts": kept | written, "schema": schema.jsonValue(), "meta": meta or {}})
+        return self._publish(version, kept | written, df, meta)
+
+    def renew(self, fresh: DataFrame, part: Column, left: Collection[str], kept: Callable[[DataFrame], DataFrame],
+              meta: dict | None = None) -> DataFrame:
+        """Publish a version with the rows ``fresh``, each computed and written
+        once.  Of the partitions they fall in, and of those named by ``left``,
+        the rows that ``kept`` takes from the table are written beside them."""
+        old = self.manifest()
+        version = old["version"] + 1
+        written = self._write(fresh, part, version)
+        parts = {*left, *written} & set(old["parts"])
+        if not parts and not written:
+            self.note(meta or {})
+            return self.read()
+        if parts:
+            written |= self._write(kept(self.read(parts)).select(*fresh.columns), part, version, "append")
+        return self._publish(version, {p: d for p, d in old["parts"].items() if p not in parts} | written, fresh, meta)
+
+    def _write(self, df: DataFrame, part: Column, version: int, mode: str = "overwrite") -> dict[str, str]:
+        """Rows into the folder of ``version`` by partition; the directory of each partition there."""
+        target = f"{self.path}/v{version}"
+        df.withColumn(PART, part.cast("string")).write.mode(mode).options(**WRITE_OPTIONS).partitionBy(PART).parquet(target)
+        return {self._unescaped(n): f"v{version}/{n}" for n in entries(self.spark, target) if n.startswith(f"{PART}=")}
+
+    def _publish(self, version: int, parts: dict[str, str], df: DataFrame, meta: dict | None) -> DataFrame:
+        schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields if f.name != PART])
+        self._commit({"version": version, "parts": parts, "schema": schema.jsonValue(), "meta": meta or {}})
         return self.read(version=version)
 
     def note(self, meta: dict) -> None:
