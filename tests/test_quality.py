@@ -44,3 +44,23 @@ def test_failing_rows_are_those_counted(spark):
     assert ids(dq.failing_rows(df, "unique", "id")) == [("1", "a"), ("1", "b")]
     assert ids(dq.failing_rows(df, "accepted_values", "v", ["a"])) == [("1", "b"), ("None", "c")]
     assert ids(dq.failing_rows(df, "relationships", "id", parent=df.where("id = 2"))) == [("1", "a"), ("1", "b")]
+
+
+def test_models_that_several_checks_read_are_derived_once(spark):
+    import __spark_entry__ as e
+
+    def scans(name, table):
+        plan = e.queries()[name](spark, e.SMOKE_DIR)._jdf.queryExecution().optimizedPlan()
+        leaves = plan.collectLeaves()
+        return sum(f"{table}key#" in leaves.apply(i).toString() for i in range(leaves.size()))
+
+    # of the raw tables only what a single scan of the suite needs is left: promotions are found in the lines
+    assert scans("dq_suite_multi", "o_order") == 0
+    assert scans("dq_suite_multi", "l_order") == 1
+
+
+def test_shared_models_names_the_checked_columns():
+    from tillhouse.operators.quality import shared_models
+    spec = {"a": dq.ModelChecks(not_null=["x"], unique=["x", ["x", "y"]]), "b": dq.ModelChecks(not_null=["z"]),
+            "c": dq.ModelChecks(relationships=[("k", "b", "z"), (["p", "q"], "d", ["p", "q"])])}
+    assert shared_models([spec]) == {"a": ["x", "y"], "b": ["z"]}

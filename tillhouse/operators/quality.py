@@ -133,6 +133,29 @@ class ModelChecks:
     accepted_values: dict = field(default_factory=dict)  # col -> values
 
 
+def shared_models(specs: Sequence[Mapping[str, ModelChecks]]) -> dict[str, list[str]]:
+    """Models that more than one scan of ``run_suite`` reads, with the columns
+    that the checks of ``specs`` name."""
+    scans: dict[str, int] = {}
+    columns: dict[str, dict] = {}
+
+    def use(model, cols, n=1):
+        scans[model] = scans.get(model, 0) + n
+        columns.setdefault(model, {}).update(dict.fromkeys(cols))
+
+    for spec in specs:
+        for name, chk in spec.items():
+            if chk.not_null or chk.accepted_values:
+                use(name, [*chk.not_null, *chk.accepted_values])
+            for u in chk.unique:
+                use(name, _list(u))
+            if chk.relationships:
+                use(name, [c for cc, _, _ in chk.relationships for c in _list(cc)])
+                for _, parent, pc in chk.relationships:
+                    use(parent, _list(pc))
+    return {m: list(columns[m]) for m, n in scans.items() if n > 1}
+
+
 def run_suite(models: dict[str, DataFrame], spec: dict[str, ModelChecks]) -> DataFrame:
     """All checks of ``spec`` over ``models`` as one DataFrame: a scan of each
     model for its nulls and values, one for all its parents, one for each

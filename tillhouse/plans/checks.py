@@ -4,16 +4,26 @@ so only ``(tenant_id, id)`` identifies a row)."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame
 
 from tillhouse.operators.quality import ModelChecks as M
-from tillhouse.operators.quality import run_suite
+from tillhouse.operators.quality import run_suite, shared_models
+from tillhouse.plans.lazy import LazyDict, merged
+from tillhouse.session import run_concurrently
+from tillhouse.sources.landing import stored
 
 # Accepted domains.
 PAYMENT_METHODS = ["cash", "debit", "credit", "e-wallet"]
 STORE_TYPES = ["minimarket", "supermarket", "express"]
 PROMO_TYPES = ["discount", "bundle", "cashback"]
 
+# Models that one pass over their raw table gives, without a shuffle, and the
+# stored transactions: every check reads them as they are.
+ONE_PASS = {"stg_customers", "stg_products", "stg_transactions", "stg_transaction_items", "dim_customer", "dim_product",
+            "stg_transactions_mt", "raw_products", "raw_transactions", "raw_items", "raw_junction"}
+
 SUITE_SINGLE = {
     "stg_customers": M(not_null=["customer_id", "customer_name"], unique=["customer_id"]),
     "stg_products": M(not_null=["product_id", "product_name", "unit_price"], unique=["product_id"]),
@@ -84,6 +94,30 @@ def suite_specs(layer: str, composite: bool = True) -> list[dict[str, M]]:
     return [SUITE_MULTI] + ([SUITE_MULTI_COMPOSITE] if composite else [])
 
 
+def derived_once(models: Mapping[str, DataFrame], specs: Sequence[Mapping[str, M]]) -> LazyDict:
+    """``models`` in which those that several checks read, and that take a shuffle
+    to derive, are derived once: their checked columns are written to the shared
+    folder, all at the same time, and read back."""
+    shared = {m: models[m].select(*cols) for m, cols in shared_models(specs).items() if m not in ONE_PASS}
+    return merged(models, run_concurrently({m: (lambda m=m, df=df: stored(df, f"checked-{m}")) for m, df in shared.items()}))
+
+
+def warehouse_checks(wh, layers=("single", "multi"), kind: str | None = None) -> DataFrame:
+    """``run_checks`` over the models of a warehouse that stores none of them.
+    The deduplicated transactions, from which both facts and the calendar start,
+    are derived once too where more than one model is checked."""
+    specs = [only(spec, kind) if kind else spec for layer in layers for spec in suite_specs(layer)]
+    used = {m for spec in specs for m in spec} | {p for spec in specs for chk in spec.values() for _, p, _ in chk.relationships}
+    parts = []
+    if "single" in layers:
+        parts += [wh.stg_st, wh.marts_st]
+    if "multi" in layers:
+        parts += [wh.stg_mt, wh.marts_mt]
+        if len(used & {"stg_transactions_mt", "fct_sales", "fct_promotion_usage", "dim_date_mt"}) > 1:
+            wh.stg_mt["stg_transactions_mt"] = stored(wh.stg_mt["stg_transactions_mt"], "stg_transactions_mt")
+    return run_checks(derived_once(merged(*parts), specs), layers, kind)
+
+
 def run_checks(models: dict[str, DataFrame], layers=("single", "multi"), kind: str | None = None,
                composite: bool = True) -> DataFrame:
     """Run the suite(s) of ``layers`` (optionally one kind of check only)."""
@@ -124,6 +158,6 @@ def raw_suite(wh) -> DataFrame:
     raw = wh.raw_mt
     return run_suite({"raw_products": raw["products"], "raw_transactions": raw["transactions"],
                       "raw_items": raw["transaction_items"], "raw_junction": raw["transaction_promotions"],
-                      "stg_transactions_mt": wh.stg_mt["stg_transactions_mt"],
+                      "stg_transactions_mt": stored(wh.stg_mt["stg_transactions_mt"].select("tenant_id", "transaction_id"), "sale-keys"),
                       "clean_products": raw["products"].where("category is not null"),
                       "clean_promotions": raw["promotions"].where("promo_name = trim(promo_name)")}, SUITE_RAW)

@@ -16,10 +16,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +27,7 @@ from tillhouse.plans import checks, incremental
 from tillhouse.plans.lazy import merged
 from tillhouse.plans.warehouse import Warehouse
 from tillhouse.schemas import RAW_MT, RAW_ST, WATERMARK_STATE, conform
-from tillhouse.session import WRITE_OPTIONS, path_exists, scratch_path
+from tillhouse.session import WRITE_OPTIONS, path_exists, run_concurrently, scratch_path
 from tillhouse.sources import landing, watermark
 from tillhouse.sources.manifest import PublishedTable, entries, publish, published
 
@@ -38,20 +36,6 @@ def _path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def run_concurrently(actions: Mapping[str, Callable[[], object]]) -> dict[str, object]:
-    """Submit independent Spark actions (e.g. writes of different tables) at
-    the same time, so stages of one table that cannot use every core leave
-    the rest to the others.  Each action is still one distributed job; an
-    error in any of them is re-raised here."""
-    if len(actions) <= 1:
-        return {k: f() for k, f in actions.items()}
-    with ThreadPoolExecutor(max_workers=min(len(actions), 8)) as pool:
-        # worker threads inherit the caller's local properties (job group,
-        # scheduler pool), so cancellation and accounting still apply
-        futures = {k: pool.submit(inheritable_thread_target(f)) for k, f in actions.items()}
-        return {k: fut.result() for k, fut in futures.items()}
-
-
 def write_tables(tables: Mapping[str, DataFrame], root: str) -> dict[str, str]:
     """Publish each table as a new version (``sources.manifest``): readers of the
     old ones go on, and a build that fails changes nothing."""

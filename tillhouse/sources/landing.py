@@ -112,7 +112,7 @@ def _latest_in_parts(delta: DataFrame, base: DataFrame | None, keys: Sequence[st
     placed = both.withColumn(PART, part).withColumn("_split", F.pmod(F.xxhash64(F.lit(1), *keys), F.lit(splits)))
     by = [PART, "_split"] if splits > 1 else [PART]
     placed = placed.repartition(tasks, *by) if tasks > _shuffle_partitions(delta.sparkSession) else placed.repartition(*by)
-    return latest_by_key(placed, [*by, *keys], version, tie_break).drop("_split"), [r[PART] for r in found]
+    return latest_by_key(placed, keys, version, tie_break, within=by).drop("_split"), [r[PART] for r in found]
 
 
 def _shuffle_partitions(spark: SparkSession) -> int:

@@ -252,26 +252,22 @@ def raw_mt_transactions(t: DriverTables) -> DataFrame:
     """
     k = F.col("o_orderkey")
     cols = _order_cols(t, local_txn_id(k))
-    # project first: the store count is a scalar subquery, which may not sit
-    # inside the higher-order filter below
-    base = t.orders.select(tenant_of(k).alias("tenant_id"), *_named(cols),
-                           F.col("o_orderstatus"), k.alias("_k"),
+    cancelled = F.col("o_orderstatus") == "P"
+    base = t.orders.select(tenant_of(k).alias("tenant_id"), *_named(cols), cancelled.alias("_cancelled"),
+                           (cancelled | ((F.col("o_orderstatus") == "O") & (k % 5 == 0))).alias("_old"),
                            F.timestamp_add("DAY", F.lit(1), F.col("o_orderdate")).alias("_cur_ts"))
+    older = F.col("_batch_id") == 0
+    out = _versions_of(base).withColumns({
+        "status": F.when(older, F.lit(STATUS_BY_ORDERSTATUS["F"])).otherwise(F.col("status")),
+        "updated_at": F.when(older & F.col("_cancelled"), F.col("transaction_date")).otherwise(F.col("_cur_ts"))})
+    return _versioned(out, "transactions")
 
-    def version(status: Column, ts: Column, batch: int) -> Column:
-        fields = [F.col(n) for n in cols if n != "status"] + [status.alias("status")]
-        return F.struct(*fields, ts.alias("updated_at"), F.lit(batch).cast("long").alias("_batch_id"))
 
-    completed = F.lit(STATUS_BY_ORDERSTATUS["F"])
-    versions = F.array(
-        version(F.col("status"), F.col("_cur_ts"), 1),
-        F.when(F.col("o_orderstatus") == "P", version(completed, F.col("transaction_date"), 0)),
-        F.when((F.col("o_orderstatus") == "O") & (F.col("_k") % 5 == 0),
-               version(completed, F.col("_cur_ts"), 0)),
-    )
-    out = (base.select("tenant_id", F.explode(F.filter(versions, lambda v: v.isNotNull())).alias("v"))
-               .select("tenant_id", "v.*"))
-    return _versioned(out, "transactions")
+def _versions_of(base: DataFrame) -> DataFrame:
+    """A row of batch 1 for every row and another of batch 0 where ``_old``.
+    Only the batch number is generated: columns that nobody reads are not derived."""
+    one, both = F.array(F.lit(1).cast("long")), F.array(F.lit(1).cast("long"), F.lit(0).cast("long"))
+    return base.select("*", F.explode(F.when(F.col("_old"), both).otherwise(one)).alias("_batch_id"))
 
 
 def raw_mt_transaction_items(t: DriverTables) -> DataFrame:
@@ -279,21 +275,14 @@ def raw_mt_transaction_items(t: DriverTables) -> DataFrame:
     doubled version in batch 0 that deduplication must discard.  Both come
     from one scan through a generator (no second pass, no union)."""
     k = F.col("l_orderkey")
-    names = [f.name for f in RAW_ST["transaction_items"].fields]
     base = t.lineitem.select(tenant_of(k).alias("tenant_id"), *_item_cols(local_txn_id(k)),
                              F.col("l_shipdate").alias("_ts"),
                              ((F.col("l_linenumber") == 1) & (k % 11 == 0)).alias("_old"))
-
-    def version(overrides: dict, ts, batch: int):
-        fields = [overrides.get(n, F.col(n)).alias(n) for n in names]
-        return F.struct(*fields, ts.alias("updated_at"), F.lit(batch).cast("long").alias("_batch_id"))
-
-    older = version({"quantity": F.col("quantity") + 1,
-                     "subtotal": (F.col("subtotal") * 2).cast("decimal(14,2)")},
-                    F.timestamp_add("DAY", F.lit(-1), F.col("_ts")), 0)
-    versions = F.array(version({}, F.col("_ts"), 1), F.when(F.col("_old"), older))
-    out = (base.select("tenant_id", F.explode(versions).alias("v"))
-               .where(F.col("v").isNotNull()).select("tenant_id", "v.*"))
+    older = F.col("_batch_id") == 0
+    out = _versions_of(base).withColumns({
+        "quantity": F.when(older, F.col("quantity") + 1).otherwise(F.col("quantity")),
+        "subtotal": F.when(older, (F.col("subtotal") * 2).cast("decimal(14,2)")).otherwise(F.col("subtotal")),
+        "updated_at": F.when(older, F.timestamp_add("DAY", F.lit(-1), F.col("_ts"))).otherwise(F.col("_ts"))})
     return _versioned(out, "transaction_items")
 
 
