@@ -254,3 +254,19 @@ def test_rows_of_a_renewed_fact_are_computed_once(spark, tmp_root):
     version = table.versions()[-1]
     assert table.renew(fresh.limit(0), part, [], lambda rows: rows, {"n": 1}).count() == 4
     assert table.versions()[-1] == version + 1 and table.meta() == {"n": 1}
+
+
+def test_lines_are_deduplicated_where_their_sale_is(spark):
+    schema = "tenant_id string, id long, txn long, updated_at long, _batch_id long"
+    data = [("a", i, i // 3, 1, 1) for i in range(30)] + [("a", i, i // 3, 0, 0) for i in range(0, 30, 4)]
+    still = spark.createDataFrame(data, schema)
+    at = ["tenant_id", "txn"]
+    got = landing.latest_in_place(still, KEYS, at)
+    assert rows(got) == rows(latest_by_key(still, KEYS))
+    plan = got.groupBy(*at).count()._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange" in line for line in plan.splitlines()) == 1              # a grouping by sale moves nothing
+    moving = spark.createDataFrame(
+        data + [("a", 0, 9, 5, 2), ("a", 1, None, 5, 2), ("b", 1, 7, 1, 1), (None, 2, 3, 1, 1), (None, 2, 3, 2, 1),
+                ("a", 99, None, 1, 1)] + [("a", 50, 4, i, 1) for i in range(120)], schema)
+    got = landing.latest_in_place(moving, KEYS, at)
+    assert got.columns == moving.columns and rows(got) == rows(latest_by_key(moving, KEYS))

@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillhouse.operators.quality import run_suite
-from tillhouse.plans import checks, incremental
+from tillhouse.plans import checks, incremental, staging
 from tillhouse.plans.lazy import merged
 from tillhouse.plans.warehouse import Warehouse
-from tillhouse.schemas import RAW_MT, RAW_ST, WATERMARK_STATE, conform
+from tillhouse.schemas import MT_KEYS, RAW_MT, RAW_ST, WATERMARK_STATE, conform
 from tillhouse.session import WRITE_OPTIONS, path_exists, run_concurrently, scratch_path
 from tillhouse.sources import landing, watermark
 from tillhouse.sources.manifest import PublishedTable, entries, publish, published
@@ -169,6 +169,10 @@ def build_multi(spark: SparkSession, raw: Mapping[str, DataFrame], marts_root: s
     wh = Warehouse.from_raw(raw_mt=raw, loaded_at=loaded_at, mt_deduplicated=mt_deduplicated)
     # deduplicated transactions feed both facts, the date dimension and checks
     wh.stg_mt["stg_transactions_mt"] = _shared(wh.stg_mt["stg_transactions_mt"], "stg_transactions_mt", marts_root)
+    if not mt_deduplicated:       # lines are deduplicated where the join with their sales finds them
+        for table, model in (("transaction_items", staging.stg_transaction_items_mt), ("transaction_promotions", staging.stg_transaction_promotions)):
+            if table in raw:
+                wh.stg_mt[model.__name__] = model(landing.latest_in_place(raw[table], ["tenant_id", MT_KEYS[table]], incremental.TXN), True)
     models = dict.fromkeys(wh.marts_mt)
     if landing_root is not None:
         incremental.build_facts(spark, raw, landing_root, marts_root, run_id, RAW_MT, loaded_at)
@@ -212,8 +216,6 @@ def compact_tables(spark: SparkSession, landing_root: str, compact_root: str, ta
     ``landing.compact``: only the buckets that new or replaced batches touch are
     read and written.  Versions that none of the last ``keep`` runs that changed
     a table names are deleted."""
-    from tillhouse.schemas import MT_KEYS
-
     def one(t):
         table = PublishedTable(spark, _path(compact_root, t))
         landed = landing.read_landed(spark, _path(landing_root, t), schema=_raw_schema(t))

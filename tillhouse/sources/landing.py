@@ -186,6 +186,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def latest_in_place(landed: DataFrame, keys: Sequence[str], at: Sequence[str], version: str = "updated_at",
+                    tie_break: Sequence[str] = ("_batch_id",), many: int = 100) -> DataFrame:
+    """``latest_by_key`` whose rows are left by ``at``, where a join on it needs no
+    shuffle of its own.
+
+    Hashes of the keys are counted first.  Those whose versions all have the same
+    ``at``, as lines that stay with their sale, meet there.  Those that moved, have
+    no place or more than ``many`` versions are deduplicated by themselves."""
+    key, place = F.xxhash64(*keys).alias("_key"), F.xxhash64(*at)
+    nowhere = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in at])
+    apart = stored(landed.groupBy(key).agg(F.min(place).alias("_lo"), F.max(place).alias("_hi"), F.count_if(nowhere).alias("_none"),
+                                           F.count(F.lit(1)).alias("_n"))
+                   .where((F.col("_lo") != F.col("_hi")) | (F.col("_none") > 0) | (F.col("_n") > many)).select("_key"), "keys-apart")
+    if apart.isEmpty():
+        return latest_by_key(landed.repartition(*at), keys, version, tie_break, within=at)
+    hashed = landed.withColumn("_key", key)
+    there = hashed.join(apart, "_key", "left_anti").drop("_key").repartition(*at)
+    moved = hashed.join(apart, "_key", "left_semi").drop("_key")
+    return (latest_by_key(there, keys, version, tie_break, within=at).select(*landed.columns)
+            .unionByName(latest_by_key(moved, keys, version, tie_break).select(*landed.columns)))
+
+
 def merge_versions(base: DataFrame, delta: DataFrame, keys: list[str], version: str = "updated_at",
                    tie_break: tuple[str, ...] = ("_batch_id",)) -> DataFrame:
     """Latest version per key of ``base`` (one row per key already) plus a
