@@ -160,6 +160,48 @@ def test_ngram_join_of_crowded_keys(spark, monkeypatch, seed):
     assert got == {i: low[g] for i, g in enumerate(group)}
 
 
+def test_ngram_residuals_are_short_and_keep_every_link(monkeypatch):
+    """Of far classes too a quarter of the set at most is sent, in blocks of bounded size; only what two components share is read."""
+    import numpy as np
+    import pyarrow as pa
+    import zstandard
+
+    from tillhouse.llm import ngram_join
+    monkeypatch.setattr(ngram_join, "FLUSH", 6000)
+    r = random.Random(4)
+    base, texts = [f"b{i}" for i in range(100)], []
+    for kept in (0, 30, 50, 70, 85, 92):
+        for _ in range(12):
+            at = r.randrange(100 - kept + 1)
+            ws = [f"n{r.randrange(10 ** 6)}" for _ in range(r.randrange(5, 120 - kept))]
+            other = [*ws[:-2], "x", "y", "z"]
+            texts += [" ".join(base[at:at + kept] + w) for w in (ws, other)]
+    zipped = [zstandard.compress(t.encode()) for t in texts]
+    columns = ("key", "class", "component", "size", "own", "odd0", "odd1")
+    ids = list(range(1, len(texts) + 1))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(ids), pa.array([0] * len(ids)), pa.array([True] * len(ids)), pa.array(ids), pa.array(zipped),
+         pa.array([zstandard.compress(" ".join(base).encode())] * len(ids))], names=["class", "hub", "other", "component", "zx", "zh"])
+    sent = list(ngram_join._residuals(80, 5, 3)([batch]))
+    tables = [np.frombuffer(x, np.int64).reshape(-1, len(columns)) for b in sent for x in b.column(1).to_pylist()]
+    assert len(sent) > 1 and max(b.column(1).nbytes for b in sent) < 2 * 1000 * 8 * len(columns)
+    rows = np.concatenate(tables)
+    sets, hub = [shingles(t) for t in texts], shingles(" ".join(base))
+    keys = {c: set(rows[rows[:, 1] == c, 0].tolist()) for c in ids}
+    assert all(len(keys[c]) <= len(x) // 4 + 1 for c, x in zip(ids, sets))
+    met, pairs = [], [(a, b) for a in ids for b in ids if a < b]
+    near = lambda x, y: 100 * len(x & y) >= 80 * len(x | y)
+    for a, b in pairs:
+        x, y = sets[a - 1], sets[b - 1]
+        if near(x, y) and not (near(x, hub) and near(y, hub)):
+            met.append((a, b))
+            assert keys[a] & keys[b], (a, b)
+    assert len(met) > 30
+    shared = np.concatenate([np.stack([c.to_numpy() for c in out.columns], 1) for out in ngram_join._shared(*columns)(sent)])
+    times = Counter(shared[:, 0].tolist())
+    assert min(times.values()) >= 2 and set(times) == {k for k, n in Counter(rows[:, 0].tolist()).items() if n > 1}
+
+
 def test_ngram_schemes_keep_every_link():
     """Random pairs at exactly the threshold share a key, in every size band."""
     import numpy as np

@@ -29,8 +29,8 @@ a key are candidates and are verified exactly.
   verifications, and components come out exactly.  Keys that many classes of
   different components still share don't pair them all.  A class that is not
   similar to the hub is similar to another one only where both differ from the
-  hub in the same shingles, in about half of the other's differences at least
-  (``_residuals``), so classes meet again by a prefix filter on those.
+  hub in the same shingles, so classes meet again by a prefix filter on those
+  differences (``_residuals``), a fifth or a quarter of a class's size.
 * Candidates are first compared by size and by 2,048-bit bitmaps, which rule
   out most pairs exactly, before their texts are fetched.
 
@@ -162,28 +162,32 @@ def class_of(x: np.ndarray) -> int:
 
 
 # ---- stage functions --------------------------------------------------------
+def _block(keys: np.ndarray, values: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Blocks (bucket, rows of key and values); the first value is the class."""
+    order = np.argsort(keys, kind="stable")
+    keys, values = keys[order], values[order]
+    first = np.nonzero(np.append(True, keys[1:] != keys[:-1]))[0]
+    times = np.diff(np.append(first, len(keys)))
+    bucket = (mix(keys) % U(buckets)).astype(np.int64)
+    hot = np.repeat(times > HOT, times)
+    marks = first[times > HOT]                  # one marker of each goes where the key belongs
+    mark_bucket = bucket[marks]
+    bucket[hot] = -1 - (values[hot, 0] % buckets)
+    keys, values, bucket = (np.concatenate(x) for x in (
+        (keys, keys[marks]), (values, values[marks]), (bucket, mark_bucket)))
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    cut = np.nonzero(np.append(True, bucket[1:] != bucket[:-1]))[0]
+    ends = np.append(cut[1:], len(bucket))
+    rows = np.column_stack([keys.view(np.int64), values])[order]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[cut], pa.int64()),
+                                       pa.array([rows[a:b].tobytes() for a, b in zip(cut, ends)], pa.binary())],
+                                      names=["bucket", "block"])
+
+
 def _emit(percent: int, size: int, buckets: int):
     def send(keys, classes):
-        keys, classes = np.concatenate(keys), np.concatenate(classes)
-        order = np.argsort(keys, kind="stable")
-        keys, classes = keys[order], classes[order]
-        first = np.nonzero(np.append(True, keys[1:] != keys[:-1]))[0]
-        times = np.diff(np.append(first, len(keys)))
-        bucket = (mix(keys) % U(buckets)).astype(np.int64)
-        hot = np.repeat(times > HOT, times)
-        marks = first[times > HOT]                  # one marker of each goes where the key belongs
-        mark_bucket = bucket[marks]
-        bucket[hot] = -1 - (classes[hot] % buckets)
-        keys, classes, bucket = (np.concatenate(x) for x in (
-            (keys, keys[marks]), (classes, classes[marks]), (bucket, mark_bucket)))
-        order = np.argsort(bucket, kind="stable")
-        keys, classes, bucket = keys[order], classes[order], bucket[order]
-        cut = np.nonzero(np.append(True, bucket[1:] != bucket[:-1]))[0]
-        ends = np.append(cut[1:], len(bucket))
-        both = np.stack([keys.view(np.int64), classes], 1)
-        return pa.RecordBatch.from_arrays([pa.array(bucket[cut], pa.int64()),
-                                           pa.array([both[a:b].tobytes() for a, b in zip(cut, ends)], pa.binary())],
-                                          names=["bucket", "block"])
+        return _block(np.concatenate(keys), np.concatenate(classes)[:, None], buckets)
 
     def work(batches):
         keys, classes, held, seen = [], [], 0, set()
@@ -205,37 +209,44 @@ def _emit(percent: int, size: int, buckets: int):
     return work
 
 
-def _shared(batches):
-    """(key, class) rows of keys that two classes have, from the blocks of a partition."""
-    def rows(pairs):
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["key", "class"])
-
-    held = []
-    for batch in batches:
-        buckets = batch.column(0).to_pylist()
-        for i, b in enumerate(buckets):
-            pairs = np.frombuffer(batch.column(1)[i].as_buffer(), np.int64).reshape(-1, 2)
-            if b < 0:
-                yield rows(pairs)                   # repeated within a task: shared for certain
-            else:
-                held.append(pairs)
-    if held:
-        pairs = np.concatenate(held)
-        held.clear()
-        pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
-        new = np.append(True, (pairs[1:] != pairs[:-1]).any(1))
-        pairs = pairs[new]
-        # keys of one class go; a lone marker may too, as all rows of its spread key are out already
-        first = np.append(True, pairs[1:, 0] != pairs[:-1, 0])
-        last = np.append(first[1:], True)
-        yield rows(pairs[~(first & last)])
+def _shared(*names: str):
+    """Rows (key, class, ...) of keys that two classes have, from the blocks of a
+    partition; with a component, of keys that two components have."""
+    by = names.index("component") if "component" in names else 1
+
+    def rows(table):
+        return pa.RecordBatch.from_arrays([pa.array(table[:, i]) for i in range(len(names))], names=names)
+
+    def work(batches):
+        held = []
+        for batch in batches:
+            buckets = batch.column(0).to_pylist()
+            for i, b in enumerate(buckets):
+                table = np.frombuffer(batch.column(1)[i].as_buffer(), np.int64).reshape(-1, len(names))
+                if b < 0:
+                    yield rows(table)               # repeated within a task: shared for certain
+                else:
+                    held.append(table)
+        if held:
+            table = np.concatenate(held)
+            held.clear()
+            table = table[np.lexsort((table[:, 1], table[:, 0]))]
+            table = table[np.append(True, (table[1:, :2] != table[:-1, :2]).any(1))]
+            # keys of one class go; a lone marker may too, as all rows of its spread key are out already
+            first = np.append(True, table[1:, 0] != table[:-1, 0])
+            at = np.nonzero(first)[0]
+            several = np.minimum.reduceat(table[:, by], at) < np.maximum.reduceat(table[:, by], at)
+            yield rows(table[several[np.cumsum(first) - 1]])
+    return work
 
 
 def _info(percent: int, size: int):
     def work(batches):
+        import zstandard
+        zipper = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             ns, cs = [], []
-            bits = []
+            bits, zips = [], []
             for t in batch.column(1).to_pylist():
                 x = shingle_set(t, size)
                 ns.append(len(x))
@@ -243,8 +254,9 @@ def _info(percent: int, size: int):
                 b = np.zeros(BITMAP, bool)
                 b[(x >> U(20)).astype(np.int64) % BITMAP] = True
                 bits.append(np.packbits(b).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int64()), pa.array(cs, pa.int64()), pa.array(bits, pa.binary())],
-                                             names=["doc_id", "n_shingles", "class", "bits"])
+                zips.append(zipper.compress((t or "").encode("utf-8", "surrogatepass")))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int64()), pa.array(cs, pa.int64()), pa.array(bits, pa.binary()),
+                                              pa.array(zips, pa.binary())], names=["doc_id", "n_shingles", "class", "bits", "zip"])
     return work
 
 
@@ -261,43 +273,55 @@ def _possible(percent: int):
     return work
 
 
-def _residuals(percent: int, size: int):
-    """From (class, hub, other, component, zx, zh) rows the differences D of each
-    class x from a hub h.  A far class o is not similar to h, so it differs from
-    it in (100 + p) d_o > (100 - p) (n_o + n_h) shingles; where o and x are
-    similar, they differ in no more than (100 - p) (n_o + n_x) / (100 + p), so
-    D_o and D_x share over (d_x + (100 - p) (n_h - n_x) / (100 + p)) / 2 > 0
-    elements.  Probe rows hold all of D for far classes of other components than
-    the hub's; index rows as many of D, x's own shingles first, as surely meet,
-    or n_x - p n_x + 1 of x's own shingles where there are so many (of those, a
-    similar set has one; the far one's D holds it, as h does not).  Two classes
-    differ in no fewer shingles than their counts of own shingles and of those
-    shared with h do, and than the parities of their shingles in 128 places
-    (size, own, odd0, odd1) do; a row with a null probe says that a class of another component is similar to h."""
+def _residuals(percent: int, size: int, buckets: int):
+    """Blocks of keys (hub and shingle) from (class, hub, other, component, zx,
+    zh) rows: the first of the differences D of each class x from its hub h, x's
+    own shingles before those that x lacks, each in hash order.  Where classes x
+    and o are similar and o is not similar to h, D_x and D_o share a shingle (o
+    differs from h in more shingles than from x).  The first shared one is early
+    in both: those before it tell x from o, so there are (100 - p) n / p of them at
+    most; of x's own shingles, where there are n - p n + 1, it is one of so many,
+    as x and o share one of the first so many of each in this order.  And for
+    classes of the hub's component, or similar to h (verified against it), which
+    need to meet only those that are not: (100 + p) d_o > (100 - p) (n_o + n_h), so D_o and D_x share
+    over (d_x + (100 - p) (n_h - n_x) / (100 + p)) / 2 elements.  Each side thus
+    sends a fifth or a quarter of its size, however far it is from h.
+
+    Rows also hold the component, the numbers of shingles (size) and own ones
+    (own), and the parities of the shingles in 128 places (odd0, odd1): two
+    classes differ in no fewer shingles than these do."""
     def work(batches):
         import zstandard
         unzip = zstandard.ZstdDecompressor()
         read = lru_cache(500)(lambda z: shingle_set(unzip.decompress(z).decode("utf-8", "surrogatepass"), size))
+
+        def send():
+            times = [len(t) for t, _ in held]
+            return _block(np.concatenate([t for t, _ in held]), np.repeat(np.array([v for _, v in held], np.int64), times, 0), buckets)
+
+        held, tokens = [], 0
         for batch in batches:
-            parts, sketch = [], np.zeros((batch.num_rows, 4), np.int64)
-            for i in range(batch.num_rows):
+            classes, hubs, others, components = (batch.column(i).to_pylist() for i in range(4))
+            for i, (c, hub, other, component) in enumerate(zip(classes, hubs, others, components)):
                 x, h = read(batch.column(4)[i].as_py()), read(batch.column(5)[i].as_py())
                 own = np.setdiff1d(x, h, True)
                 d = np.concatenate([own, np.setdiff1d(h, x, True)])
-                least = ((100 + percent) * len(d) + (100 - percent) * (len(h) - len(x))) // (2 * (100 + percent)) + 1
-                enough, plain = len(d) - least + 1, len(x) - (-(-percent * len(x) // 100)) + 1
-                odd = np.bincount((x >> U(40)).astype(np.int64) % 128, minlength=128) % 2
-                sketch[i] = len(x), len(own), *np.packbits(odd.astype(bool)).view(np.int64)
-                parts.append((i, d[:plain if plain <= len(own) and (plain < enough or enough > len(own)) else enough], False))
-                if batch.column(2)[i].as_py():
-                    far = (100 + percent) * len(d) > (100 - percent) * (len(x) + len(h))
-                    parts.append((i, d if far else d[:1], True if far else None))
-            if parts:
-                at, probe = (np.repeat([x[k] for x in parts], [len(x[1]) for x in parts]) for k in (0, 2))
-                token = np.concatenate([t for _, t, _ in parts]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([*batch.select([0, 1, 3]).take(pa.array(at)).columns, pa.array(token), pa.array(probe.tolist(), pa.bool_()),
-                                                  *[pa.array(sketch[at, k]) for k in range(4)]],
-                                                 names=["class", "hub", "component", "token", "probe", "size", "own", "odd0", "odd1"])
+                odd = np.packbits((np.bincount((x >> U(40)).astype(np.int64) % 128, minlength=128) % 2).astype(bool)).view(np.int64)
+                row = (c, component, len(x), len(own), *odd.tolist())
+                far = (100 + percent) * len(d) > (100 - percent) * (len(x) + len(h))
+                many, plain = (100 - percent) * len(x) // percent + 1, len(x) - (-(-percent * len(x) // 100)) + 1
+                if plain <= len(own):
+                    many = min(many, plain)
+                if not (other and far):
+                    least = ((100 + percent) * len(d) + (100 - percent) * (len(h) - len(x))) // (2 * (100 + percent)) + 1
+                    many = min(many, max(0, len(d) - least + 1))
+                held.append((mix(d[:many] ^ mix(np.array([hub], np.int64).view(np.uint64))), row))
+                tokens += len(held[-1][0])
+                if tokens > FLUSH // 6:
+                    yield send()
+                    held, tokens = [], 0
+        if held:
+            yield send()
     return work
 
 
@@ -336,9 +360,9 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     kind = d.schema["doc_id"].dataType.simpleString()
     parts = partitions(spark)
 
-    info = store(d.mapInArrow(_info(percent, size), f"doc_id {kind}, n_shingles long, class long, bits binary"), "info")
+    info = store(d.mapInArrow(_info(percent, size), f"doc_id {kind}, n_shingles long, class long, bits binary, zip binary"), "info")
     blocks = d.select("text").mapInArrow(_emit(percent, size, 4 * parts), "bucket long, block binary")
-    found = store(blocks.repartition(parts, "bucket").mapInArrow(_shared, "key long, class long"), "shared")
+    found = store(blocks.repartition(parts, "bucket").mapInArrow(_shared("key", "class"), "key long, class long"), "shared")
 
     # leave out, per class and scheme, the most frequent of its exact keys within the slack
     freq = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
@@ -363,7 +387,7 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     heads = info.where("class is not null").groupBy("class").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bits").alias("bits")).join(wanted, "class")
     heads = store(heads, "heads")
-    texts = store(_texts(d, heads, size), "texts")
+    texts = store(info.where("class is not null").select("class", "zip").dropDuplicates(["class"]).join(wanted, "class", "left_semi"), "texts")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         a, b = (heads.select(F.col("class").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"z{x}")) for x in "ab")
@@ -394,17 +418,17 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     # keys of many classes: their classes meet again through their differences from the key's hub
     crowd = of.where((F.col("n") > FEW) & (F.col("class") != F.col("hub.class"))).select(
         "class", F.col("hub.class").alias("hub"), (F.col("component") != F.col("hub.component")).alias("other"), "component").distinct()
+    near = crowd.where("other").select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b"))
     # by class last, so that the classes of a hot hub are spread over all tasks
     crowd = crowd.join(texts.select(F.col("class").alias("hub"), F.col("zip").alias("zh")), "hub").join(texts.withColumnRenamed("zip", "zx"), "class")
-    differ = store(crowd.select("class", "hub", "other", "component", "zx", "zh").mapInArrow(
-        _residuals(percent, size), "class long, hub long, component long, token long, probe boolean, size long, own long, odd0 long, odd1 long"), "differ")
-    x, y = (differ.where(F.col("probe") == side).select("hub", "token", *[F.col(k).alias(f"{c}_{k}") for k in ("class", "component", "size", "own", "odd0", "odd1")])
-            for c, side in (("x", False), ("y", True)))
-    met = (x.join(y, ["hub", "token"]).where("x_component <> y_component").where(
+    blocks = crowd.select("class", "hub", "other", "component", "zx", "zh").mapInArrow(_residuals(percent, size, 4 * parts), "bucket long, block binary")
+    columns = ("key", "class", "component", "size", "own", "odd0", "odd1")
+    differ = store(blocks.repartition(parts, "bucket").mapInArrow(_shared(*columns), ", ".join(f"{c} long" for c in columns)), "differ")
+    x, y = (differ.select("key", *[F.col(k).alias(f"{c}_{k}") for k in columns[1:]]) for c in "xy")
+    met = (x.join(y, "key").where("x_class < y_class and x_component <> y_component").where(
         f"{100 + percent} * greatest(abs(x_own - y_own) + abs(x_size - x_own - y_size + y_own), bit_count(x_odd0 ^ y_odd0) + bit_count(x_odd1 ^ y_odd1))"
         f" <= {100 - percent} * (x_size + y_size)")
-           .select(F.least("x_class", "y_class").alias("a"), F.greatest("x_class", "y_class").alias("b")))
-    near = differ.where("probe is null").select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b"))
+           .select(F.col("x_class").alias("a"), F.col("y_class").alias("b")))
     rest = rest.unionByName(met).unionByName(near).distinct().join(star, ["a", "b"], "left_anti")
     links = store(links.unionByName(verified(store(rest, "rest"), "rest-links")), "links")
 
@@ -419,24 +443,3 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         "doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
-
-def _texts(d: DataFrame, heads: DataFrame, size: int) -> DataFrame:
-    """(class, zip): a compressed text of each wanted class.  Texts are matched
-    by the class itself, so a doc_id that several rows share does no harm."""
-    def work(batches):
-        import zstandard
-        zipper = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            cs, zs = [], []
-            for t in batch.column(1).to_pylist():
-                x = shingle_set(t, size)
-                cs.append(class_of(x) if len(x) else None)
-                zs.append(zipper.compress((t or "").encode("utf-8", "surrogatepass")))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cs, pa.int64()), pa.array(zs, pa.binary())],
-                                             names=["doc_id", "class", "zip"])
-
-    kind = d.schema["doc_id"].dataType.simpleString()
-    zipped = d.mapInArrow(work, f"doc_id {kind}, class long, zip binary")
-    got = zipped.join(heads.select("class", F.col("doc_id").alias("head")), "class").where(
-        "doc_id <=> head").select("class", "zip")
-    return got.dropDuplicates(["class"])
