@@ -576,3 +576,18 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
         assert new.count() <= left
         left, docs = new.count(), new
     assert left > 50
+
+
+def test_classifier_holds_one_number_a_word():
+    import numpy as np
+    import xxhash
+
+    from tillhouse.llm import quality_classifier as q
+    q._MEMO.clear()
+    text = "The the THE naïve Äpfel 12,5 -- x_y a1B2 ... ▁ the"
+    got = q.token_rows(text)
+    low = [re.sub(r"[^\w]+", "", w.lower()) for w in text.split()]
+    assert got.tolist() == [[xxhash.xxh3_64_intdigest(w) % q.WORDS for w in low],
+                            [q.WORDS + xxhash.xxh3_64_intdigest(q._shape(w)) % q.SHAPES for w in text.split()]]
+    assert len(q._MEMO) == len(set(text.split())) and all(isinstance(v, int) for v in q._MEMO.values())
+    assert q.token_rows(None).shape == q.token_rows(" \n").shape == (2, 0) and q.token_rows("a").dtype == np.int64

@@ -37,7 +37,6 @@ from tillhouse.llm.common import U, mix, with_arrow_columns
 WORDS, SHAPES, DIM, WINDOW = 8192, 1024, 64, 2
 ROWS = WORDS + SHAPES
 _LETTERS = re.compile(r"[^\w]+")
-_MEMO: dict[bytes, tuple[int, int]] = {}
 #: Index vectors: two places and signs for each row of the token table.
 _H = mix(np.arange(1, ROWS + 1, dtype=np.uint64))
 PLACES = np.stack([(_H % U(DIM)), ((_H >> U(20)) % U(DIM))]).astype(np.int64)
@@ -56,10 +55,17 @@ def _shape(word: str) -> str:
     return "".join(out)
 
 
-def _rows(word: bytes) -> tuple[int, int]:
-    w = word.decode("utf-8", "replace")
-    core = _LETTERS.sub("", w.lower())
-    return (xxhash.xxh3_64_intdigest(core) % WORDS, WORDS + xxhash.xxh3_64_intdigest(_shape(w)) % SHAPES)
+class _Memo(dict):
+    """Both rows of each word seen, as one number: the word's times SHAPES, and the shape's."""
+
+    def __missing__(self, word: bytes) -> int:
+        w = word.decode("utf-8", "replace")
+        core = _LETTERS.sub("", w.lower())
+        code = self[word] = xxhash.xxh3_64_intdigest(core) % WORDS * SHAPES + xxhash.xxh3_64_intdigest(_shape(w)) % SHAPES
+        return code
+
+
+_MEMO = _Memo()
 
 
 def token_rows(text: str | None) -> np.ndarray:
@@ -67,11 +73,8 @@ def token_rows(text: str | None) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").split()
     if len(_MEMO) > 400_000:
         _MEMO.clear()
-    memo = _MEMO
-    for w in set(words):
-        if w not in memo:
-            memo[w] = _rows(w)
-    return np.array([memo[w] for w in words], np.int64).reshape(-1, 2).T
+    codes = np.fromiter(map(_MEMO.__getitem__, words), np.int64, len(words))
+    return np.stack([codes // SHAPES, WORDS + codes % SHAPES])
 
 
 def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
