@@ -267,3 +267,34 @@ def test_clusters_of_driver_vectors_match_sql(spark):
     want = Counter(tuple(r[i] for i in at) for r in rel.fetchall())
     got = Counter(tuple(r[c] for c in VEC) for r in op13_centroid_clusters(spark, "/root/testdata/sf0.001").collect())
     assert got == want and got
+
+
+def test_alignment_holds_a_slice_of_a_block_at_once(spark, monkeypatch):
+    """A block's documents are aligned in slices; the block and its pairs are the same, and later steps drop the units."""
+    from types import SimpleNamespace
+
+    import public_tokenizers as P
+    import pyarrow as pa
+
+    from tillhouse.llm import alignment
+    paths = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
+    texts = odd_texts(60, 9) + ["plain words here " * 40] * 3 + [None, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    taken = SimpleNamespace(select=lambda *_: SimpleNamespace(mapInArrow=lambda work, _: work))
+    monkeypatch.setattr(alignment, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    calls, whole = [], alignment.Aligner.texts
+    monkeypatch.setattr(alignment.Aligner, "texts", lambda self, ts: calls.append(sum(len(t or "") for t in ts)) or whole(self, ts))
+
+    def run():
+        calls.clear()
+        return [b.to_pylist() for b in alignment.blocks(taken, *paths, "doc_id", "text", 4_000_000)([batch])]
+    want = run()
+    assert len(calls) == len(want) == 1
+    longest = max(len(t or "") for t in texts)
+    monkeypatch.setattr(alignment, "SLICE", longest)
+    assert run() == want
+    assert len(calls) > 2 and max(calls) <= longest
+    aligner = alignment.Aligner.get(*paths)
+    assert aligner.units.young
+    alignment.Aligner.forget()
+    assert not aligner.units.young and not aligner.units.old

@@ -53,6 +53,8 @@ from tillhouse.llm.memo import Memo, fewer_collections, slices
 
 UNIT = re.compile(r"\s*\S+(?:[^\S \n]\s*\S*)*|\s+")
 AT_ONCE = 50_000                 # units aligned in one go
+SLICE = 500_000                  # characters of a block whose units are held at once
+UNITS = 96 << 20                 # bytes of aligned units a worker keeps
 SHIFT = 32                       # a pair is the A id, shifted, and the B id
 
 
@@ -108,7 +110,7 @@ class Aligner:
         self.a_sizes, self.b_sizes = (np.array([len(t.get(i, b"")) for i in range(max(t) + 1)]) for t in (self.a_bytes, self.b_bytes))
         self.by_unit = not any(re.search(r"\S[ \n]", p) or "\n" in p for p in whole)
         self.space = self.b.piece_to_id("▁")
-        self.units = Memo(192 << 20)
+        self.units = Memo(UNITS)
         fewer_collections()
 
     def solve(self, units: list[str]):
@@ -152,6 +154,12 @@ class Aligner:
         return all(b"".join([table.get(i, b"") for x in ids for i in x]) == whole
                    for ids, table in ((a_ids, self.a_bytes), (b_ids, self.b_bytes)))
 
+    @classmethod
+    def forget(cls) -> None:
+        """Drop the aligned units of this worker, which later steps do not need."""
+        for aligner in cls._open.values():
+            aligner.units = Memo(UNITS)
+
     def texts(self, texts: list[str | None]):
         """For each text the solved units, or nothing if it has no tokens."""
         self.units.trim()
@@ -185,15 +193,20 @@ def blocks(df: DataFrame, path_a: str, path_b: str, key: str, text: str, block_c
         for batch in batches:
             keys, column = batch.column(0), batch.column(1)
             for lo, hi in slices(column, block_chars):
-                docs = list(aligner.texts(column.slice(lo, hi - lo).to_pylist()))
-                own = [np.unique(np.frombuffer(b"".join([u[5] for u in units]), np.int64), return_counts=True) for units in docs]
+                own, totals, shas = [], ([], [], [], []), []
+                for a, b in slices(column.slice(lo, hi - lo), SLICE):
+                    for units in aligner.texts(column.slice(lo + a, b - a).to_pylist()):
+                        codes, times = np.unique(np.frombuffer(b"".join([u[5] for u in units]), np.int64), return_counts=True)
+                        own.append((codes, times.astype(np.int32)))
+                        for k, total in enumerate(totals):
+                            total.append(sum([u[k] for u in units]))
+                        shas.append(hashlib.sha256(";".join([u[4] for u in units]).encode()).hexdigest() if units else "")
+                ends, times = np.cumsum([len(c) for c, _ in own]), np.concatenate([n for _, n in own])
                 codes = np.concatenate([c for c, _ in own])
+                own.clear()
                 pairs, at, held = np.unique(codes, return_inverse=True, return_counts=True)
-                total = lambda k: [sum([u[k] for u in units]) for units in docs]
-                shas = [hashlib.sha256(";".join([u[4] for u in units]).encode()).hexdigest() if units else "" for units in docs]
-                row = (TaskContext.get().partitionId() << 32 | number, keys.slice(lo, hi - lo).to_pylist(), total(0), total(1), total(2),
-                       total(3), shas, pairs, held.astype(np.int32), np.cumsum([len(c) for c, _ in own]),
-                       at.astype(np.int32), np.concatenate([n for _, n in own]).astype(np.int32))
+                row = (TaskContext.get().partitionId() << 32 | number, keys.slice(lo, hi - lo).to_pylist(), *totals,
+                       shas, pairs, held.astype(np.int32), ends, at.astype(np.int32), times)
                 number += 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x], kind) if not isinstance(x, np.ndarray)
@@ -228,6 +241,7 @@ def align(df: DataFrame, path_a: str, path_b: str, key: str = "doc_id", text: st
                         T.StructField("groups_sha256", T.StringType())])
 
     def finish(batches):
+        Aligner.forget()
         for batch in batches:
             for r in range(batch.num_rows):
                 col = {n: batch.column(i)[r].values for i, n in enumerate(batch.schema.names)}
