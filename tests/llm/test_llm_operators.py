@@ -202,6 +202,39 @@ def test_ngram_residuals_are_short_and_keep_every_link(monkeypatch):
     assert min(times.values()) >= 2 and set(times) == {k for k, n in Counter(rows[:, 0].tolist()).items() if n > 1}
 
 
+def test_ngram_residuals_start_with_rare_shingles(spark):
+    """Dissimilar classes that share a passage which their hub lacks don't all meet in it; similar ones still do."""
+    import numpy as np
+    import pyarrow as pa
+    import zstandard
+
+    from tillhouse.llm import ngram_join
+    r, texts = random.Random(8), []
+    core, passage = [f"c{i}" for i in range(80)], [f"p{i}" for i in range(50)]
+    for _ in range(80):
+        own = [f"n{r.randrange(10 ** 6)}" for _ in range(60)]
+        texts += [" ".join(core + passage + own + [end]) for end in ("x y", "z")]
+    hub, ids = zstandard.compress(" ".join(core + [f"h{i}" for i in range(90)]).encode()), list(range(1, len(texts) + 1))
+    zipped = [zstandard.compress(x.encode()) for x in texts]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(ids), pa.array([0] * len(ids)), pa.array([True] * len(ids)), pa.array(ids), pa.array(zipped), pa.array([hub] * len(ids))],
+        names=["class", "hub", "other", "component", "zx", "zh"])
+
+    def classes_by_key(*ranks):
+        out = {}
+        for sent in ngram_join._residuals(80, 5, 3, *ranks)([batch]):
+            for block in sent.column(1).to_pylist():
+                for key, c in np.frombuffer(block, np.int64).reshape(-1, 7)[:, :2].tolist():
+                    out.setdefault(key, set()).add(c)
+        return out
+    ranks = ngram_join._ranks(spark.createDataFrame([(bytearray(z),) for z in zipped], "zip binary").repartition(3), 5)
+    assert ranks.nbytes == ngram_join.COMMON and ranks.max() == 8         # 160 classes have each shingle of the passage
+    assert max(map(len, classes_by_key().values())) == len(ids)           # in the order of hashes alone all meet
+    found = classes_by_key(ranks)
+    assert max(map(len, found.values())) <= 4
+    assert all(any({a, a + 1} <= cs for cs in found.values()) for a in ids[::2])
+
+
 def test_ngram_schemes_keep_every_link():
     """Random pairs at exactly the threshold share a key, in every size band."""
     import numpy as np

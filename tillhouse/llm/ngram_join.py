@@ -30,7 +30,9 @@ a key are candidates and are verified exactly.
   different components still share don't pair them all.  A class that is not
   similar to the hub is similar to another one only where both differ from the
   hub in the same shingles, so classes meet again by a prefix filter on those
-  differences (``_residuals``), a fifth or a quarter of a class's size.
+  differences (``_residuals``), a fifth or a quarter of a class's size, taken
+  from the rare ones on (``_common``): else a passage that many dissimilar
+  classes hold and the hub lacks would bring all of them together again.
 * Candidates are first compared by size and by 2,048-bit bitmaps, which rule
   out most pairs exactly, before their texts are fetched.
 
@@ -63,6 +65,7 @@ FLUSH = 1_500_000    # keys a task holds before it sends a block
 HOT = 200            # times a key repeats in a block before it is spread
 BITMAP = 2048        # bits of a set's bitmap
 FEW = 16             # classes of a key that are compared with each other directly
+COMMON = 1 << 16     # cells that count how many crowded classes have a shingle
 
 
 class Scheme:
@@ -273,10 +276,38 @@ def _possible(percent: int):
     return work
 
 
-def _residuals(percent: int, size: int, buckets: int):
+def _cell(x: np.ndarray) -> np.ndarray:
+    return (x >> U(24)).astype(np.int64) % COMMON
+
+
+def _common(size: int):
+    """(cell, n): how many texts' shingles fall into each of ``COMMON`` cells."""
+    def work(batches):
+        import zstandard
+        unzip, n = zstandard.ZstdDecompressor(), np.zeros(COMMON, np.int64)
+        for batch in batches:
+            for z in batch.column(0).to_pylist():
+                n += np.bincount(_cell(shingle_set(unzip.decompress(z).decode("utf-8", "surrogatepass"), size)), minlength=COMMON)
+        cells = np.nonzero(n)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(n[cells])], names=["cell", "n"])
+    return work
+
+
+def _ranks(texts: DataFrame, size: int) -> np.ndarray:
+    """For each cell the binary logarithm of its count, 64 kB whatever the input:
+    shingles are ordered by it, then by hash.  Any order loses nothing, one that
+    puts common shingles last lets few classes meet."""
+    counts = texts.select("zip").mapInArrow(_common(size), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    out = np.zeros(COMMON, np.uint8)
+    for cell, n in counts.collect():
+        out[cell] = n.bit_length()
+    return out
+
+
+def _residuals(percent: int, size: int, buckets: int, ranks: np.ndarray = np.zeros(COMMON, np.uint8)):
     """Blocks of keys (hub and shingle) from (class, hub, other, component, zx,
     zh) rows: the first of the differences D of each class x from its hub h, x's
-    own shingles before those that x lacks, each in hash order.  Where classes x
+    own shingles before those that x lacks, each by ``ranks``, then hash.  Where classes x
     and o are similar and o is not similar to h, D_x and D_o share a shingle (o
     differs from h in more shingles than from x).  The first shared one is early
     in both: those before it tell x from o, so there are (100 - p) n / p of them at
@@ -290,6 +321,9 @@ def _residuals(percent: int, size: int, buckets: int):
     Rows also hold the component, the numbers of shingles (size) and own ones
     (own), and the parities of the shingles in 128 places (odd0, odd1): two
     classes differ in no fewer shingles than these do."""
+    def ordered(x):
+        return x[np.argsort(ranks[_cell(x)], kind="stable")]
+
     def work(batches):
         import zstandard
         unzip = zstandard.ZstdDecompressor()
@@ -305,7 +339,7 @@ def _residuals(percent: int, size: int, buckets: int):
             for i, (c, hub, other, component) in enumerate(zip(classes, hubs, others, components)):
                 x, h = read(batch.column(4)[i].as_py()), read(batch.column(5)[i].as_py())
                 own = np.setdiff1d(x, h, True)
-                d = np.concatenate([own, np.setdiff1d(h, x, True)])
+                d = np.concatenate([ordered(own), ordered(np.setdiff1d(h, x, True))])
                 odd = np.packbits((np.bincount((x >> U(40)).astype(np.int64) % 128, minlength=128) % 2).astype(bool)).view(np.int64)
                 row = (c, component, len(x), len(own), *odd.tolist())
                 far = (100 + percent) * len(d) > (100 - percent) * (len(x) + len(h))
@@ -418,10 +452,12 @@ def similar_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     # keys of many classes: their classes meet again through their differences from the key's hub
     crowd = of.where((F.col("n") > FEW) & (F.col("class") != F.col("hub.class"))).select(
         "class", F.col("hub.class").alias("hub"), (F.col("component") != F.col("hub.component")).alias("other"), "component").distinct()
+    crowd = store(crowd, "crowd")
     near = crowd.where("other").select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b"))
+    ranks = _ranks(texts.join(crowd.select("class").distinct(), "class", "left_semi"), size)
     # by class last, so that the classes of a hot hub are spread over all tasks
     crowd = crowd.join(texts.select(F.col("class").alias("hub"), F.col("zip").alias("zh")), "hub").join(texts.withColumnRenamed("zip", "zx"), "class")
-    blocks = crowd.select("class", "hub", "other", "component", "zx", "zh").mapInArrow(_residuals(percent, size, 4 * parts), "bucket long, block binary")
+    blocks = crowd.select("class", "hub", "other", "component", "zx", "zh").mapInArrow(_residuals(percent, size, 4 * parts, ranks), "bucket long, block binary")
     columns = ("key", "class", "component", "size", "own", "odd0", "odd1")
     differ = store(blocks.repartition(parts, "bucket").mapInArrow(_shared(*columns), ", ".join(f"{c} long" for c in columns)), "differ")
     x, y = (differ.select("key", *[F.col(k).alias(f"{c}_{k}") for k in columns[1:]]) for c in "xy")
