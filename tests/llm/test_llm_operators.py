@@ -320,6 +320,33 @@ def test_line_dedup_takes_short_lines(spark, tmp_path):
     assert left == {i: t for i, (_, _, _, t) in want.items() if t.strip() or not texts[i].strip()}
 
 
+def test_line_dedup_joins_only_variants_that_lines_share(spark, monkeypatch):
+    """Deletion variants by brute force, over lines with repeated words and all kinds of white space."""
+    from tillhouse.llm import line_dedup
+    stored, store = {}, line_dedup.store
+    monkeypatch.setattr(line_dedup, "store", lambda df, name: stored.setdefault(name, store(df, name)))
+    r = random.Random(6)
+
+    def spaced(ws):
+        return r.choice(["", " ", "\t"]) + "".join(w + r.choice([" ", " ", "  ", "\t", "\x0b ", "\r"]) for w in ws)
+    lines = [[r.choice("abc") + str(r.randrange(3)) for _ in range(r.randrange(5, 9))] for _ in range(60)]
+    lines += [[f"u{i}x{j}" for j in range(40)] for i in range(20)]
+    lines += [x[:at] + r.choice([[], ["new"]]) + x[at + 1:] for x in lines[-20:-10] for at in [r.randrange(40)]]
+    texts = ["\n".join(map(spaced, lines[i:i + 5])) for i in range(0, len(lines), 5)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    line_dedup.line_dedup(docs).collect()
+    places = {(x["id"], x["no"]): tuple(x["line"].split(" ")) for x in stored["lines"].collect()}
+    assert all(list(ws) == lines[5 * d + no] for (d, no), ws in places.items())
+    emitted = {(p, at): ws[:at - 1] + ws[at:] if at else ws for p, ws in places.items() for at in range(len(ws) + 1)}
+    of = {}
+    for (p, _), v in emitted.items():
+        of.setdefault(v, set()).add(places[p])
+    want = sorted((*p, at) for (p, at), v in emitted.items() if len(of[v]) > 1)
+    got = {(x["place"]["id"], x["place"]["no"], x["at"]): x["v"] for x in stored["shared"].collect()}
+    assert sorted(got) == want and 10 < len(want) < len(emitted) / 2
+    assert len(set(got.values())) == len({emitted[(d, no), at] for d, no, at in want})
+
+
 def test_decontaminate(docs, empty):
     from tillhouse.llm.decontaminate import decontaminate
     spark = docs.sparkSession

@@ -32,7 +32,7 @@ def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: cuts the lineage, and a lost executor does not lose it."""
     path = scratch_path(df.sparkSession, f"llm-{uuid.uuid4().hex}/{name}")
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
