@@ -108,6 +108,27 @@ def test_bpe_pieces_and_bounds(monkeypatch):
     assert len(own.memo.young) + len(own.memo.old) < len(seen)
 
 
+def test_bpe_keeps_ids_in_columns(monkeypatch):
+    """Learning pieces makes no list of ids; texts that stay whole are those with other runs of white space."""
+    import public_tokenizers
+
+    from tillhouse.llm import bpe
+    own = bpe.Bpe(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    words = [b"the", b"xqzzyvw", "\u4e2dnaïve".encode(), b"z" * 700, b"unforeseeably", b"the"]
+    flat, ends = own.ids(words)
+    lists = own.solve(words)
+    assert flat.tolist() == [i for ids in lists for i in ids] and ends.tolist() == [sum(map(len, lists[:i + 1])) for i in range(len(lists))]
+    assert own.decode([*lists, [], lists[0]]) == [*words, b"", b"the"] and own.decode([]) == []
+    assert own.ids([])[0].tolist() == [] and own.solve([]) == []
+    monkeypatch.setattr(own, "solve", lambda words: 1 / 0)
+    monkeypatch.setattr(own, "decode", lambda docs: 1 / 0)
+    assert [[p[1] for p in t] for t in own.encode(["the the", None, ""])] == [[1, 1], [], []]
+    r = random.Random(1)
+    for _ in range(3000):
+        t = "".join(r.choice("ab \n\t\u00a0\x1c\r") for _ in range(r.randrange(9)))
+        assert bool(bpe.RUN.search(t)) == bool(re.search(r"[ \n]\s|\s[ \n]|\A\s|\s\Z", t)), repr(t)
+
+
 def test_ngram_join_components(docs, empty):
     from tillhouse.llm.ngram_join import similar_components
     sets = [(i, shingles(t)) for i, t in ROWS]

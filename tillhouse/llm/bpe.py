@@ -3,8 +3,9 @@
 Each partition runs DuckDB in its own process: the bytes of every distinct
 pre-token are token-position rows, joined with the merge table; a recursive
 query contracts each word's leftmost pair of minimum rank until no pair can be
-merged, and an ordered aggregation turns ids back into bytes.  A partition
-solves each distinct pre-token once; texts then only look pieces up.
+merged, and an ordered join with the vocabulary turns ids back into bytes.  A
+partition solves each distinct pre-token once; texts then only look pieces up.
+Rows go in and out as columns; Python makes no list of ids on the way.
 
 Nothing is shuffled.  Memory of a task: the batch, plus a table of solved
 pieces (``Memo``) of at most ``CACHE`` bytes.  Pre-tokens of more than
@@ -23,6 +24,7 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +40,7 @@ LONG = 600          # bytes
 
 PIECE = re.compile(r" ?[^ \n]+|\n")
 #: White space that touches a space, a line feed or an end of the text.
-RUN = re.compile(r"[ \n]\s|\s[ \n]|\A\s|\s\Z")
+RUN = re.compile(r"\s(?:(?=[ \n])|\Z|(?<=[ \n]\s)|(?<=\A\s))")
 
 STEP = """
 with recursive step as (
@@ -59,11 +61,9 @@ with recursive step as (
               when p.npos = (a.k & 65535) then (a.k >> 16)::int else p.nxt end
   from pairs p join act a on a.word = p.word
   where p.pos is distinct from a.gone))
-select word, list(tok order by pos) as ids from step where done group by word"""
+select word, tok from step where done order by word, pos"""
 
-DECODE = """
-select t.doc, string_agg(v.hex, '' order by t.pos) as hex
-from tokens t join vocabulary v on v.id = t.id group by t.doc"""
+DECODE = "select v.bytes from tokens t join vocabulary v on v.id = t.id order by t.pos"
 
 
 def _portions(sizes: list[int]) -> Iterator[tuple[int, int]]:
@@ -78,6 +78,15 @@ def _portions(sizes: list[int]) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
+def _join(values, ends: np.ndarray, mark) -> list:
+    """The values up to each end, joined."""
+    import pyarrow.compute as pc
+    if isinstance(values, pa.ChunkedArray):
+        values = values.combine_chunks()
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), values)
+    return pc.binary_join(lists, pa.scalar(mark, values.type)).to_pylist()
+
+
 class Bpe:
     """Rank file, merge table and DuckDB connection of one Python worker."""
 
@@ -104,28 +113,31 @@ class Bpe:
         merge_rows = pa.table({"l": left, "r": right, "merged": merged})  # noqa: F841 - read by name
         self.db.execute("create table merges as select * from merge_rows")
         vocab_rows = pa.table({"id": pa.array(list(self.tokens), pa.int32()),  # noqa: F841
-                               "hex": [t.hex() for t in self.tokens.values()]})
+                               "bytes": pa.array(list(self.tokens.values()), pa.binary())})
         self.db.execute("create table vocabulary as select * from vocab_rows")
         self.byte = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
+        self.names = pa.array([str(i) for i in range(max(self.tokens) + 1)])
         self.memo = Memo(CACHE)
         fewer_collections()
 
     # -- pieces -> ids ---------------------------------------------------------
-    def solve(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of distinct pre-tokens, by the recursive query."""
-        out: list[list[int]] = [[] for _ in words]
-        todo = []
+    def ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct pre-tokens, one after the other, and where each ends."""
+        whole = [(i, r) for i, w in enumerate(words) if (r := self.ranks.get(w)) is not None]
+        found = [np.array(whole, np.int32).reshape(-1, 2).T]
+        known, todo = {i for i, _ in whole}, []
         for i, w in enumerate(words):
-            if (r := self.ranks.get(w)) is not None:
-                out[i] = [r]
-            elif len(w) > LONG:
-                out[i] = self.heap(w)
+            if i in known:
+                continue
+            if len(w) > LONG:
+                ids = self.heap(w)
+                found.append(np.array([[i] * len(ids), ids], np.int32))
             else:
                 todo.append(i)
         for a, b in _portions([len(words[i]) for i in todo]):
             part = todo[a:b]
             lens = np.array([len(words[i]) for i in part])
-            tok = self.byte[np.frombuffer(b"".join(words[i] for i in part), np.uint8)]
+            tok = self.byte[np.frombuffer(b"".join([words[i] for i in part]), np.uint8)]
             ends = np.cumsum(lens)
             pos = np.arange(len(tok)) - np.repeat(ends - lens, lens)
             last = np.zeros(len(tok), bool)
@@ -135,9 +147,15 @@ class Bpe:
                 "npos": np.where(last, -1, pos + 1).astype(np.int32), "tok": tok,
                 "nxt": np.where(last, -1, np.roll(tok, -1)).astype(np.int32)})
             got = self.db.sql(STEP).to_arrow_table()
-            for i, ids in zip(got["word"].to_pylist(), got["ids"].to_pylist()):
-                out[i] = ids
-        return out
+            found.append(np.stack([got["word"].to_numpy(), got["tok"].to_numpy()]))
+        word, tok = np.concatenate(found, 1)
+        return tok[np.argsort(word, kind="stable")], np.cumsum(np.bincount(word, minlength=len(words)))
+
+    def solve(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of distinct pre-tokens, by the recursive query."""
+        flat, ends = self.ids(words)
+        flat, ends = flat.tolist(), ends.tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
     def heap(self, word: bytes) -> list[int]:
         """The same contraction for one very long pre-token."""
@@ -168,32 +186,30 @@ class Bpe:
     def learn(self, parts: set[str]) -> None:
         """Solve unseen parts together."""
         new = self.memo.missing(parts)
-        cut = {p: self.split(p) for p in new}
-        words = list({w: None for ws in cut.values() for w in ws})
-        solved = dict(zip(words, self.solve([w.encode() for w in words])))
-        texts = self.decode([ids for ids in solved.values()])
-        back = dict(zip(words, texts))
-        for p, ws in cut.items():
-            ids = [i for w in ws for i in solved[w]]
-            text, data = ",".join(map(str, ids)), b"".join([back[w] for w in ws])
-            self.memo.put(p, (text, len(ids), data), len(p) + len(text) + len(data))
+        if not new:
+            return
+        cut = [self.split(p) for p in new]
+        words = list(dict.fromkeys(chain.from_iterable(cut)))
+        flat, ends = self.ids([w.encode() for w in words])
+        texts = _join(self.names.take(pa.array(flat)), ends, ",")
+        solved = dict(zip(words, zip(texts, np.diff(ends, prepend=0).tolist(), self.bytes(flat, ends))))
+        for p, ws in zip(new, cut):
+            value = solved[ws[0]] if len(ws) == 1 else (
+                ",".join([solved[w][0] for w in ws]), sum([solved[w][1] for w in ws]), b"".join([solved[w][2] for w in ws]))
+            self.memo.put(p, value, len(p) + len(value[0]) + len(value[2]))
+
+    def bytes(self, flat: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """Bytes of the ids up to each end: an ordered join of token rows."""
+        out, starts = [], np.concatenate([[0], ends])
+        for a, b in _portions(np.diff(starts).tolist()):
+            lo, hi = starts[a], starts[b]
+            tokens = pa.table({"pos": np.arange(hi - lo, dtype=np.int32), "id": flat[lo:hi].astype(np.int32)})  # noqa: F841 - read by name
+            out += _join(self.db.sql(DECODE).to_arrow_table()["bytes"], starts[a + 1:b + 1] - lo, b"")
+        return out
 
     def decode(self, docs: list[list[int]]) -> list[bytes]:
-        """Bytes of each list of ids: an ordered aggregation over token rows."""
-        out = [b""] * len(docs)
-        for at, end in _portions([len(d) for d in docs]):
-            part = docs[at:end]
-            lens = np.array([len(d) for d in part], np.int64)
-            if not lens.sum():
-                continue
-            tokens = pa.table({  # noqa: F841 - read by name
-                "doc": np.repeat(np.arange(len(part), dtype=np.int32), lens),
-                "pos": np.concatenate([np.arange(n, dtype=np.int32) for n in lens]),
-                "id": np.concatenate([np.asarray(d, np.int32) for d in part if d])})
-            got = self.db.sql(DECODE).to_arrow_table()
-            for i, h in zip(got["doc"].to_pylist(), got["hex"].to_pylist()):
-                out[at + i] = bytes.fromhex(h)
-        return out
+        """Bytes of each list of ids."""
+        return self.bytes(np.array([i for d in docs for i in d], np.int32), np.cumsum([len(d) for d in docs], dtype=np.int64))
 
     def encode(self, texts: list[str | None]) -> Iterator[list[tuple[str, int, bytes]]]:
         """For each text the solved parts it consists of."""
