@@ -298,3 +298,26 @@ def test_alignment_holds_a_slice_of_a_block_at_once(spark, monkeypatch):
     assert aligner.units.young
     alignment.Aligner.forget()
     assert not aligner.units.young and not aligner.units.old
+
+
+def test_worker_memory_of_other_operators_is_dropped():
+    import numpy as np
+    import public_tokenizers
+
+    from tillhouse.llm import memo
+    from tillhouse.llm import quality_classifier as q
+    from tillhouse.llm.bpe import Bpe
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    memo._KEPT.clear()
+    Bpe._open.clear()
+    first = list(Bpe.get(path, public_tokenizers.PATTERN).encode(["some words here", None]))
+    kept = Bpe.get(path, public_tokenizers.PATTERN)
+    assert kept is Bpe.get(path, public_tokenizers.PATTERN) and len(kept.memo.young)
+    x = q.pooled(["Some words"], np.ones((q.ROWS, q.DIM), np.float32))
+    assert not Bpe._open and not kept.memo.young and q._MEMO
+    assert (x == q.pooled(["Some words"], np.ones((q.ROWS, q.DIM), np.float32))).all() and q._MEMO
+    assert list(Bpe.get(path, public_tokenizers.PATTERN).encode(["some words here", None])) == first
+    assert not q._MEMO
+    memo.make_room("another")
+    assert not Bpe._open and not memo._KEPT

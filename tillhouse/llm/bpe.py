@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tillhouse.llm.memo import Memo, fewer_collections
+from tillhouse.llm.memo import Memo, fewer_collections, make_room
 
 CHUNK = 60_000      # distinct pre-tokens solved by one recursive query, and
 CHUNK_BYTES = 1_500_000  # their bytes; one pre-token may exceed it alone
@@ -94,10 +94,19 @@ class Bpe:
 
     @classmethod
     def get(cls, path: str, pattern: str) -> "Bpe":
+        make_room("byte_bpe", cls.close)
         if (path, pattern) not in cls._open:
             cls._open[path, pattern] = cls(path, pattern)
         return cls._open[path, pattern]
 
+    @classmethod
+    def close(cls) -> None:
+        """Drop the solved pieces, tables and connections of this worker."""
+        for bpe in cls._open.values():
+            bpe.memo = Memo(CACHE)
+            bpe.db.close()
+        cls._open.clear()
+
     def __init__(self, path: str, pattern: str):
         import duckdb
         import regex
@@ -221,7 +230,7 @@ class Bpe:
             yield [young[p] for p in r]
 
 
-def _batches(column: pa.Array, chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def _batches(column: pa.Array, chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of rows of bounded size; one text may exceed it alone."""
     start, size = 0, 0
     for i, n in enumerate(column.to_numpy(zero_copy_only=False).tolist()):

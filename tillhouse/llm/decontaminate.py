@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillhouse.llm.common import U, mix, shingle_set, shingles_of, word_hashes
+from tillhouse.llm.memo import make_room
 
 HASHES = 48
 
@@ -131,6 +132,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
         index = spark.sparkContext.broadcast(Index([tuple(r) for r in part.collect()], size, percent, hashes))
 
         def work(batches, index=index):
+            make_room("decontaminate")
             ix = index.value
             names = ["doc_id", "item_id", "containment"]
             for batch in batches:

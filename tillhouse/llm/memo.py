@@ -3,6 +3,7 @@ bytes, and Arrow columns computed from texts in slices of bounded size."""
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterator, Sequence
 
@@ -47,6 +48,34 @@ class Memo:
             self.old, self.young, self.held = self.young, {}, 0
 
 
+#: What operators keep in this Python worker from task to task: how to drop it, by operator.
+_KEPT: dict[str, Callable[[], object]] = {}
+
+
+def make_room(operator: str, drop: Callable[[], object] | None = None) -> None:
+    """Call at the start of a task's work: what other operators left in this
+    worker is dropped and its memory goes back to the system; ``drop`` will do
+    so for this one.  A worker outlives its stage, and what is dropped is only
+    made again, so no result changes."""
+    others = [_KEPT.pop(k) for k in [*_KEPT] if k != operator]
+    if drop:
+        _KEPT[operator] = drop
+    if others:
+        for f in others:
+            f()
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):
+        pass
+
+
 def fewer_collections() -> None:
     """Solved pieces live long and hold no cycles: the collector need not walk
     them after every few hundred new ones."""

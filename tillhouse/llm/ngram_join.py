@@ -59,6 +59,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillhouse.llm.common import U, connected_components, mix, partitions, shingle_set, ship, store
+from tillhouse.llm.memo import make_room
 
 RATIO = 1.3          # width of a size band
 FLUSH = 1_500_000    # keys a task holds before it sends a block
@@ -193,6 +194,7 @@ def _emit(percent: int, size: int, buckets: int):
         return _block(np.concatenate(keys), np.concatenate(classes)[:, None], buckets)
 
     def work(batches):
+        make_room("ngram_join")
         keys, classes, held, seen = [], [], 0, set()
         for batch in batches:
             for t in batch.column(0).to_pylist():
@@ -246,6 +248,7 @@ def _shared(*names: str):
 def _info(percent: int, size: int):
     def work(batches):
         import zstandard
+        make_room("ngram_join")
         zipper = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             ns, cs = [], []

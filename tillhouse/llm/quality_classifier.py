@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillhouse.llm.common import U, mix, with_arrow_columns
+from tillhouse.llm.memo import make_room
 
 WORDS, SHAPES, DIM, WINDOW = 8192, 1024, 64, 2
 ROWS = WORDS + SHAPES
@@ -92,6 +93,7 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
                             total += np.bincount(a * DIM + p[b], s[b], ROWS * DIM)
 
     def work(batches):
+        make_room("quality_classifier", _MEMO.clear)
         total, held, words = np.zeros(ROWS * DIM, np.float64), [], 0
         for batch in batches:
             for t in batch.column(0).to_pylist():
@@ -122,6 +124,7 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
 
 def pooled(texts: list[str | None], vectors: np.ndarray) -> np.ndarray:
     """Document vectors: pooled word, shape and index vectors and four ratios."""
+    make_room("quality_classifier", _MEMO.clear)
     out = np.zeros((len(texts), 4 * DIM + 4), np.float32)
     for i, t in enumerate(texts):
         tokens = token_rows(t)
