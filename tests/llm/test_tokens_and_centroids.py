@@ -321,3 +321,20 @@ def test_worker_memory_of_other_operators_is_dropped():
     assert not q._MEMO
     memo.make_room("another")
     assert not Bpe._open and not memo._KEPT
+
+
+def test_shingles_are_word_sequences_mixed_once(monkeypatch):
+    import numpy as np
+
+    from tillhouse.llm import common
+    r = random.Random(4)
+    for words in [[r.choice("abc") for _ in range(n)] for n in (1, 2, 4, 5, 6, 40, 300)]:
+        got = common.shingles_of(common.word_hashes(" ".join(words)))
+        want = [tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))]
+        assert len(set(zip(want, got.tolist()))) == len(set(want)) == len(set(got.tolist()))
+        assert (common.shingle_set(" ".join(words)) == np.unique(got)).all()
+    calls, mix = [], common.mix
+    monkeypatch.setattr(common, "mix", lambda x: calls.append(1) or mix(x))
+    common.shingles_of(common.word_hashes("a b c d e f"))
+    assert len(calls) == 1
+    assert not len(common.shingle_set(None)) and common.distinct(np.array([3, 1, 3])).tolist() == [1, 3]

@@ -53,18 +53,17 @@ def partitions(spark: SparkSession) -> int:
 
 # ---- words and shingles -----------------------------------------------------
 U = np.uint64
-_MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
-                  0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB,
-                  0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
+_BASE = U(0x9E3779B97F4A7C15)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (bijective): spreads every input bit over the word."""
     x = x ^ (x >> U(33))
-    x = x * U(0xFF51AFD7ED558CCD)
-    x = x ^ (x >> U(33))
-    x = x * U(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> U(33))
+    x *= U(0xFF51AFD7ED558CCD)
+    x ^= x >> U(33)
+    x *= U(0xC4CEB9FE1A85EC53)
+    x ^= x >> U(33)
+    return x
 
 
 def word_hashes(text: str | None) -> np.ndarray:
@@ -79,20 +78,28 @@ def word_hashes(text: str | None) -> np.ndarray:
 
 def shingles_of(words: np.ndarray, size: int = 5) -> np.ndarray:
     """Hashes of all word n-grams in order; with fewer words, the whole
-    sequence as one; without words, none."""
+    sequence as one; without words, none.  Words are well mixed hashes already,
+    so a polynomial of them, mixed once, tells their sequences apart."""
     n = len(words)
     if n == 0:
         return np.empty(0, np.uint64)
     k = min(size, n)
-    out = np.full(n - k + 1, k, np.uint64)
-    for i in range(k):
-        out = out + mix(words[i:n - k + 1 + i] + U(i + 1)) * _MULT[i % 8]
+    out = words[:n - k + 1] + U(k)
+    for i in range(1, k):
+        out *= _BASE
+        out += words[i:n - k + 1 + i]
     return mix(out)
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values: a sort and a comparison of neighbours cost less than ``np.unique``."""
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+
+
 def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
     """Sorted distinct shingle hashes of a whole text."""
-    return np.unique(shingles_of(word_hashes(text), size))
+    return distinct(shingles_of(word_hashes(text), size))
 
 
 # ---- running totals of array columns ----------------------------------------

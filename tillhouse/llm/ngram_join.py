@@ -130,10 +130,9 @@ def keys_of(x: np.ndarray, percent: int) -> np.ndarray:
             if s.least > n:
                 break
             continue
-        h = mix(x ^ s.salt)
+        h = np.sort(mix(x ^ s.salt))                # a segment's are neighbours
         segment = ((h >> U(32)) * U(s.m) >> U(32)).astype(np.int64)
-        order = np.argsort(segment, kind="stable")
-        segment, part = segment[order], mix(h[order] + U(1))
+        part = mix(h + U(1))
         count = np.bincount(segment, minlength=s.m)
         full = np.nonzero(count)[0]
         sums = np.zeros(s.m, np.uint64)
