@@ -338,3 +338,20 @@ def test_shingles_are_word_sequences_mixed_once(monkeypatch):
     common.shingles_of(common.word_hashes("a b c d e f"))
     assert len(calls) == 1
     assert not len(common.shingle_set(None)) and common.distinct(np.array([3, 1, 3])).tolist() == [1, 3]
+
+
+@pytest.mark.parametrize("portion", [1, 3, 1000])
+def test_alignment_compares_all_bytes_at_once(monkeypatch, portion):
+    import numpy as np
+    import pyarrow as pa
+
+    from tillhouse.llm import alignment
+    monkeypatch.setattr(alignment, "PORTION", portion)
+    table = [b"", b"ab", b"c", b"", b"def"]
+    sizes, raw = np.array([len(x) for x in table]), np.frombuffer(b"".join(table), np.uint8)
+    for ids in ([1, 2, 4, 1], [4], [0, 1, 3], [0], []):
+        whole = b"".join(table[i] for i in ids)
+        for other in {whole, whole[:-1], whole + b"c", b"x" + whole[1:], b""}:
+            assert alignment.spelled(np.array(ids, np.int64), sizes, raw, np.frombuffer(other, np.uint8)) == (other == whole)
+    assert alignment.joined(pa.array(["7", "8", "9"]), [2, 3], ",").to_pylist() == ["7,8", "9"]
+    assert alignment.joined(pa.array([], pa.string()), [], ",").to_pylist() == []

@@ -40,24 +40,32 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillhouse.llm.common import store
+from tillhouse.llm.common import distinct, store
 from tillhouse.llm.memo import Memo, fewer_collections, slices
 
 UNIT = re.compile(r"\s*\S+(?:[^\S \n]\s*\S*)*|\s+")
 AT_ONCE = 50_000                 # units aligned in one go
 SLICE = 500_000                  # characters of a block whose units are held at once
 UNITS = 96 << 20                 # bytes of aligned units a worker keeps
+PORTION = 200_000                # tokens whose bytes are compared at once
 SHIFT = 32                       # a pair is the A id, shifted, and the B id
 
 
+#: Fields of a solved unit.
+*COUNTS, TEXT, PAIRS = map(itemgetter, range(6))
+
+
 def groups(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[list[int], list[int], list[int]]:
     """The common ends of two ascending lists of cumulative ends, and each
     one's exclusive index on both sides: these slice the tokens into groups."""
@@ -71,10 +79,30 @@ def links(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """Ends and indices of all token pairs whose byte ranges overlap.  Inside a
     slice the overlap of two tokens ends where the first of them does, and each
     end of either side ends exactly one overlap."""
-    ends = np.union1d(a_ends, b_ends)
+    ends = distinct(np.concatenate([a_ends, b_ends]))
     return ends, np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
 
 
+def spelled(ids: np.ndarray, sizes: np.ndarray, spellings: np.ndarray, whole: np.ndarray) -> bool:
+    """Whether the tokens' bytes are ``whole``; sizes and spellings (one after the other) are by id."""
+    first, at = np.cumsum(sizes) - sizes, 0
+    for k in range(0, len(ids), PORTION):
+        part = ids[k:k + PORTION]
+        n = sizes[part]
+        ends = np.cumsum(n)
+        got = spellings[np.repeat(first[part] - ends + n, n) + np.arange(ends[-1])]
+        if not np.array_equal(got, whole[at:at + len(got)]):
+            return False
+        at += len(got)
+    return at == len(whole)
+
+
+def joined(names: pa.Array, ends, mark: str) -> pa.Array:
+    """The names up to each end, joined."""
+    at = pa.array(np.concatenate([[0], np.asarray(ends, np.int64)]).astype(np.int32))
+    return pc.binary_join(pa.ListArray.from_arrays(at, names), mark)
+
+
 class Aligner:
     """Both tokenizers and the aligned units of one Python worker."""
 
@@ -106,8 +134,12 @@ class Aligner:
             else:
                 self.b_bytes[i] = piece.replace("▁", " ").encode()
                 whole.append(piece.replace("▁", " "))
-        self.a_names, self.b_names = ({i: str(i) for i in t} for t in (self.a_bytes, self.b_bytes))
-        self.a_sizes, self.b_sizes = (np.array([len(t.get(i, b"")) for i in range(max(t) + 1)]) for t in (self.a_bytes, self.b_bytes))
+        spellings = [[t.get(i, b"") for i in range(max(max(t) + 1, n))] for t, n in (
+            (self.a_bytes, self.a.get_vocab_size(True)), (self.b_bytes, self.b.vocab_size()))]
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in xs]) for xs in spellings)
+        # all tokens' bytes one after the other
+        self.a_raw, self.b_raw = (np.frombuffer(b"".join(xs), np.uint8) for xs in spellings)
+        self.names = pa.array([str(i) for i in range(max(map(len, spellings)))])
         self.by_unit = not any(re.search(r"\S[ \n]", p) or "\n" in p for p in whole)
         self.space = self.b.piece_to_id("▁")
         self.units = Memo(UNITS)
@@ -125,33 +157,30 @@ class Aligner:
         raw = [u.encode("utf-8", "surrogatepass") for u in units]
         out: list[tuple | None] = [None] * len(units)
         good = range(len(units))
-        if not self.equal(a_ids, b_ids, raw):
-            good = [i for i in good if self.equal(a_ids[i:i + 1], b_ids[i:i + 1], raw[i:i + 1])]
+        a, b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (a_ids, b_ids))
+        whole = np.frombuffer(b"".join(raw), np.uint8)
+        if not (spelled(a, self.a_sizes, self.a_raw, whole) and spelled(b, self.b_sizes, self.b_raw, whole)):
+            good = [i for i in good if self.equal(a_ids[i], b_ids[i], raw[i])]
             if not good:
                 return out
-        a = np.array([x for i in good for x in a_ids[i]], np.int64)
-        b = np.array([x for i in good for x in b_ids[i]], np.int64)
+            a, b = (np.fromiter(chain.from_iterable([ids[i] for i in good]), np.int64) for ids in (a_ids, b_ids))
         a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
         common, a_cuts, b_cuts = groups(a_ends, b_ends)
-        a_names, b_names = [self.a_names[x] for x in a.tolist()], [self.b_names[x] for x in b.tolist()]
-        texts, i, j = [], 0, 0
-        for x, y in zip(a_cuts, b_cuts):
-            texts.append(f"{a_names[i] if x == i + 1 else ','.join(a_names[i:x])}|{b_names[j] if y == j + 1 else ','.join(b_names[j:y])}")
-            i, j = x, y
+        texts = pc.binary_join_element_wise(joined(self.names.take(pa.array(a)), a_cuts, ","),
+                                            joined(self.names.take(pa.array(b)), b_cuts, ","), "|")
         ends, left, right = links(a_ends, b_ends)
         pairs = (a[left] << SHIFT | b[right]).tobytes()
         stops = np.cumsum([len(raw[i]) for i in good])
         g_at, l_at = np.searchsorted(common, stops, "right").tolist(), np.searchsorted(ends, stops, "right").tolist()
         g, n = 0, 0
-        for i, g_end, n_end in zip(good, g_at, l_at):
-            out[i] = (len(a_ids[i]), len(b_ids[i]), g_end - g, n_end - n, ";".join(texts[g:g_end]), pairs[8 * n:8 * n_end])
+        for i, g_end, n_end, text in zip(good, g_at, l_at, joined(texts, g_at, ";").to_pylist()):
+            out[i] = (len(a_ids[i]), len(b_ids[i]), g_end - g, n_end - n, text, pairs[8 * n:8 * n_end])
             g, n = g_end, n_end
         return out
 
-    def equal(self, a_ids: list[list[int]], b_ids: list[list[int]], raw: list[bytes]) -> bool:
-        """Whether both sides give the bytes of the units back."""
-        whole = b"".join(raw)
-        return all(b"".join([table.get(i, b"") for x in ids for i in x]) == whole
+    def equal(self, a_ids: list[int], b_ids: list[int], raw: bytes) -> bool:
+        """Whether both sides give the bytes of a unit back."""
+        return all(b"".join([table.get(i, b"") for i in ids]) == raw
                    for ids, table in ((a_ids, self.a_bytes), (b_ids, self.b_bytes)))
 
     @classmethod
@@ -171,8 +200,8 @@ class Aligner:
                 self.units.put(unit, value, 4 * len(unit) + (len(value[4]) + len(value[5]) if value else 0))
         held = self.units.young
         for row in rows:
-            found = [held[u] for u in row]
-            yield [] if None in found else found
+            found = list(map(held.__getitem__, row))
+            yield found if all(found) else []          # a solved unit is a tuple, others are None
 
 
 BLOCK = T.StructType([
@@ -196,11 +225,11 @@ def blocks(df: DataFrame, path_a: str, path_b: str, key: str, text: str, block_c
                 own, totals, shas = [], ([], [], [], []), []
                 for a, b in slices(column.slice(lo, hi - lo), SLICE):
                     for units in aligner.texts(column.slice(lo + a, b - a).to_pylist()):
-                        codes, times = np.unique(np.frombuffer(b"".join([u[5] for u in units]), np.int64), return_counts=True)
+                        codes, times = np.unique(np.frombuffer(b"".join(map(PAIRS, units)), np.int64), return_counts=True)
                         own.append((codes, times.astype(np.int32)))
                         for k, total in enumerate(totals):
-                            total.append(sum([u[k] for u in units]))
-                        shas.append(hashlib.sha256(";".join([u[4] for u in units]).encode()).hexdigest() if units else "")
+                            total.append(sum(map(COUNTS[k], units)))
+                        shas.append(hashlib.sha256(";".join(map(TEXT, units)).encode()).hexdigest() if units else "")
                 ends, times = np.cumsum([len(c) for c, _ in own]), np.concatenate([n for _, n in own])
                 codes = np.concatenate([c for c, _ in own])
                 own.clear()
