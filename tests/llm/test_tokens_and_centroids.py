@@ -355,3 +355,38 @@ def test_alignment_compares_all_bytes_at_once(monkeypatch, portion):
             assert alignment.spelled(np.array(ids, np.int64), sizes, raw, np.frombuffer(other, np.uint8)) == (other == whole)
     assert alignment.joined(pa.array(["7", "8", "9"]), [2, 3], ",").to_pylist() == ["7,8", "9"]
     assert alignment.joined(pa.array([], pa.string()), [], ",").to_pylist() == []
+
+
+def test_alignment_stores_no_row_that_holds_a_block(spark, monkeypatch):
+    """Spark reads thousands of rows at once: one may grow with a document, not with its block."""
+    from types import SimpleNamespace
+
+    import public_tokenizers as P
+    import pyarrow as pa
+
+    from tillhouse.llm import alignment
+    texts = odd_texts(300, 11)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    taken = SimpleNamespace(select=lambda *_: SimpleNamespace(mapInArrow=lambda work, _: work))
+    monkeypatch.setattr(alignment, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+
+    def largest(chars):
+        out = list(alignment.blocks(taken, P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model"), "doc_id", "text", chars)([batch]))
+        return len(out), max(b.slice(i, 1).nbytes for b in out for i in range(b.num_rows))
+    (many, alone), (one, together) = largest(1), largest(4_000_000)
+    assert many > 100 and one == 1
+    assert together <= 2 * alone           # an index into a longer list may take two bytes for one
+
+
+def test_alignment_packs_indices_and_counts_of_any_width(spark):
+    import numpy as np
+
+    from tillhouse.llm.alignment import packed
+    for top, width in ((0, 1), (255, 1), (256, 2), (65_535, 2), (65_536, 4), (1 << 32, 8)):
+        got = packed(np.array([0, top, 1], np.int64), top, np.array([2, 2, 3])).to_pylist()
+        assert [np.frombuffer(x, f"u{width}").tolist() for x in got] == [[0, top], [], [1]]
+    texts = ["word " * 300, "other " * 700, "one", "", None, "word other " * 200] + odd_texts(40, 12)
+    rows = list(enumerate(texts))
+    for chars in (1, 4_000_000):
+        out = aligned(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), block_chars=chars)
+        assert Counter(tuple(r[c] for c in COLUMNS) for r in out.collect()) == brute_alignment(rows)

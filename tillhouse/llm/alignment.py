@@ -16,14 +16,15 @@ once, and a text's groups are those of its units in order.
 How many documents hold an id pair linked is counted over the whole corpus:
 
 1. Each task packs neighbouring documents into blocks (``block_chars``
-   characters) and writes a row for each: the block's distinct pairs with the
-   number of its documents that hold them, and its documents' pairs as
-   indices into that list.  The block table is stored in the shared folder.
+   characters).  A block's distinct pairs are a row each, with the number of
+   its documents that hold them, and so are its documents, whose pairs are
+   indices into that list, as bytes.  Spark reads, sorts and sends many rows at
+   once, so none holds a whole block.  The table is stored in the shared folder.
 2. The pairs of all blocks are summed (one row for each block and pair, so a pair
    that every document has costs one row a block), and marked if they are the
    most frequent of their A id.
-3. Counts go back to the blocks by pair, are gathered for each block in the
-   order of its list, and the documents' sums follow.
+3. Counts go back to the blocks by pair, meet each block's documents, and
+   their sums follow.
 
 No group is larger than a block or B's vocabulary; nothing reaches the driver.
 
@@ -52,7 +53,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillhouse.llm.common import distinct, store
-from tillhouse.llm.memo import Memo, fewer_collections, slices
+from tillhouse.llm.memo import Memo, fewer_collections, give_back, slices
 
 UNIT = re.compile(r"\s*\S+(?:[^\S \n]\s*\S*)*|\s+")
 AT_ONCE = 50_000                 # units aligned in one go
@@ -185,9 +186,12 @@ class Aligner:
 
     @classmethod
     def forget(cls) -> None:
-        """Drop the aligned units of this worker, which later steps do not need."""
-        for aligner in cls._open.values():
+        """Drop the aligned units of this worker, which later steps do not need, and give their memory back."""
+        held = [x for x in cls._open.values() if x.units.young or x.units.old]
+        for aligner in held:
             aligner.units = Memo(UNITS)
+        if held:
+            give_back()
 
     def texts(self, texts: list[str | None]):
         """For each text the solved units, or nothing if it has no tokens."""
@@ -204,19 +208,27 @@ class Aligner:
             yield found if all(found) else []          # a solved unit is a tuple, others are None
 
 
-BLOCK = T.StructType([
-    T.StructField("block", T.LongType()), T.StructField("key", T.ArrayType(T.LongType())),
-    *[T.StructField(n, T.ArrayType(T.LongType())) for n in ("n_a", "n_b", "n_groups", "n_links")],
-    T.StructField("groups_sha256", T.ArrayType(T.StringType())),
-    T.StructField("pairs", T.ArrayType(T.LongType())),          # distinct pairs of the block, ascending
-    T.StructField("docs", T.ArrayType(T.IntegerType())),        # how many of its documents hold each
-    T.StructField("ends", T.ArrayType(T.LongType())),           # of the documents' runs in the next two
-    T.StructField("at", T.ArrayType(T.IntegerType())),          # index into pairs
-    T.StructField("times", T.ArrayType(T.IntegerType()))])      # links of the document with that pair
+ROW = T.StructType([
+    T.StructField("block", T.LongType()),
+    # a distinct pair of the block: its place in their ascending order (rows without are documents), how many documents hold it
+    T.StructField("pos", T.IntegerType()), T.StructField("pair", T.LongType()), T.StructField("docs", T.IntegerType()),
+    # a document of the block
+    T.StructField("key", T.LongType()), *[T.StructField(n, T.LongType()) for n in ("n_a", "n_b", "n_groups", "n_links")],
+    T.StructField("groups_sha256", T.StringType()),
+    T.StructField("at", T.BinaryType()),                        # places of its distinct pairs
+    T.StructField("times", T.BinaryType())])                    # its links with each
+
+
+def packed(values: np.ndarray, top: int, ends: np.ndarray) -> pa.Array:
+    """The values up to each end as bytes, in the smallest unsigned type that holds ``top``."""
+    values = values.astype(np.min_scalar_type(top))
+    offsets = (np.concatenate([[0], ends]) * values.itemsize).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
 
 
 def blocks(df: DataFrame, path_a: str, path_b: str, key: str, text: str, block_chars: int) -> DataFrame:
-    """A row for each run of documents with about ``block_chars`` characters."""
+    """A batch for each run of documents with about ``block_chars`` characters:
+    a row for each distinct pair, then one for each document."""
     def work(batches):
         number, aligner = 0, Aligner.get(path_a, path_b)
         for batch in batches:
@@ -234,24 +246,27 @@ def blocks(df: DataFrame, path_a: str, path_b: str, key: str, text: str, block_c
                 codes = np.concatenate([c for c, _ in own])
                 own.clear()
                 pairs, at, held = np.unique(codes, return_inverse=True, return_counts=True)
-                row = (TaskContext.get().partitionId() << 32 | number, keys.slice(lo, hi - lo).to_pylist(), *totals,
-                       shas, pairs, held.astype(np.int32), ends, at.astype(np.int32), times)
+                block = np.full(len(pairs) + hi - lo, TaskContext.get().partitionId() << 32 | number)
+                of_pairs = np.arange(len(pairs), dtype=np.int32), pairs, held.astype(np.int32)
+                of_docs = (keys.slice(lo, hi - lo), *totals, shas, packed(at, len(pairs), ends),
+                           packed(times, int(times.max(initial=0)), ends))
                 number += 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x], kind) if not isinstance(x, np.ndarray)
-                     else pa.ListArray.from_arrays([0, len(x)], pa.array(x)).cast(kind) for x, kind in zip(row, kinds)], names=BLOCK.names)
+                    [pa.array(block),
+                     *[pa.concat_arrays([pa.array(x), pa.nulls(hi - lo, kind)]) for x, kind in zip(of_pairs, kinds[1:4])],
+                     *[pa.concat_arrays([pa.nulls(len(pairs), kind), x if isinstance(x, pa.Array) else pa.array(x, kind)])
+                       for x, kind in zip(of_docs, kinds[4:])]], names=ROW.names)
 
     from pyspark.sql.pandas.types import to_arrow_type
-    kinds = [to_arrow_type(f.dataType) for f in BLOCK]
-    return df.select(F.col(f"`{key}`").cast("long"), F.col(f"`{text}`")).mapInArrow(work, BLOCK)
+    kinds = [to_arrow_type(f.dataType) for f in ROW]
+    return df.select(F.col(f"`{key}`").cast("long"), F.col(f"`{text}`")).mapInArrow(work, ROW)
 
 
-def pair_counts(table: DataFrame) -> DataFrame:
+def pair_counts(pairs: DataFrame) -> DataFrame:
     """(pair, count, best): documents that hold each pair linked, and whether
     no pair of its A id is held by more.  A window's group has at most as many
     rows as B has ids."""
-    each = table.select(F.explode(F.arrays_zip("pairs", "docs")).alias("x")).select("x.pairs", "x.docs")
-    count = each.groupBy(F.col("pairs").alias("pair")).agg(F.sum("docs").alias("count"))
+    count = pairs.groupBy("pair").agg(F.sum("docs").alias("count"))
     most = F.max("count").over(Window.partitionBy(F.shiftright("pair", SHIFT)))
     return count.select("pair", "count", (F.col("count") == most).alias("best"))
 
@@ -261,30 +276,25 @@ def align(df: DataFrame, path_a: str, path_b: str, key: str = "doc_id", text: st
     """One row per document: ``key``, n_a, n_b, n_groups, n_links, n_best,
     count_sum and groups_sha256."""
     table = store(blocks(df, path_a, path_b, key, text, block_chars), "blocks")
-    known = (table.select("block", F.posexplode("pairs").alias("pos", "pair"))
-                  .join(pair_counts(table), "pair")
-                  .groupBy("block").agg(F.array_sort(F.collect_list(F.struct("pos", "count", "best"))).alias("known"))
-                  .select("block", F.col("known.count").alias("counts"), F.col("known.best").alias("bests")))
+    pairs, docs = table.where("pos is not null").select("block", "pos", "pair", "docs"), table.where("pos is null")
+    known = (pairs.select("block", "pos", "pair").join(pair_counts(pairs), "pair")
+                  .select(F.col("block").alias("of"), "pos", (F.shiftleft("count", 1) + F.col("best").cast("long")).alias("known")))
     own = T.StructType([T.StructField(key, T.LongType()),
                         *[T.StructField(n, T.LongType()) for n in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")],
                         T.StructField("groups_sha256", T.StringType())])
 
-    def finish(batches):
+    def finish(docs, pairs):
         Aligner.forget()
-        for batch in batches:
-            for r in range(batch.num_rows):
-                col = {n: batch.column(i)[r].values for i, n in enumerate(batch.schema.names)}
-                ends = col["ends"].to_numpy(zero_copy_only=False)
-                if col["counts"] is None:
-                    best = total = np.zeros(len(ends), np.int64)
-                else:
-                    at, times = col["at"].to_numpy(), col["times"].to_numpy().astype(np.int64)
-                    sums = [np.concatenate([[0], np.cumsum(times * col[n].to_numpy(zero_copy_only=False)[at])]) for n in ("bests", "counts")]
-                    best, total = (np.diff(s[np.concatenate([[0], ends])]) for s in sums)
-                yield pa.RecordBatch.from_arrays(
-                    [col["key"], col["n_a"], col["n_b"], col["n_groups"], col["n_links"], pa.array(best.astype(np.int64)),
-                     pa.array(total.astype(np.int64)), col["groups_sha256"]], names=own.names)
-
-    rows = table.drop("pairs", "docs").join(known, "block", "left")
-    return rows.select("key", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "ends", "at", "times", "counts", "bests") \
-               .mapInArrow(finish, own)
+        n = pairs.num_rows
+        known = np.empty(n, np.int64)
+        known[pairs.column("pos").to_numpy()] = pairs.column("known").to_numpy()
+        at, times = (b"".join(docs.column(c).to_pylist()) for c in ("at", "times"))
+        at = np.frombuffer(at, np.min_scalar_type(n))
+        times = np.frombuffer(times, f"u{len(times) // max(1, len(at)) or 1}").astype(np.int64)
+        cuts = np.concatenate([[0], np.cumsum(pc.binary_length(docs.column("at")).to_numpy()) // at.itemsize])
+        best, total = (np.diff(np.concatenate([[0], np.cumsum(times * x[at])])[cuts]) for x in (known & 1, known >> 1))
+        columns = [docs.column(c) for c in ("key", "n_a", "n_b", "n_groups", "n_links")]
+        return pa.Table.from_arrays([*columns, pa.array(best), pa.array(total), docs.column("groups_sha256")], names=own.names)
+
+    rows = docs.select("block", "key", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "at", "times")
+    return rows.groupBy("block").cogroup(known.groupBy("of")).applyInArrow(finish, own)
